@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, sstable, token_counts
+from . import packing, quality_rules, sstable, token_counts
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -23,13 +23,17 @@ def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
+def op5_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_tokens, op3_bestfit_packing, op6_token_counts)}
+    return {f.__name__: f for f in (op1_sstable_tokens, op3_bestfit_packing, op5_llr_quality, op6_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
