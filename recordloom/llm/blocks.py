@@ -169,3 +169,14 @@ def distinct_pairs(docs: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np
     new = np.ones(len(docs), dtype=bool)
     new[1:] = (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])
     return docs[new], hashes[new]
+
+
+def batch_words(texts: pa.Array, word_bytes: np.ndarray = NON_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of a whole batch, and per document its first word (one more at the end)."""
+    hashes, first, total = [], [np.zeros(1, np.int64)], 0
+    for block in blocks(texts):
+        w = words(block, word_bytes)
+        hashes.append(w.hashes)
+        first.append(w.first[1:] + total)
+        total += len(w.hashes)
+    return (np.concatenate(hashes) if hashes else np.empty(0, np.uint64)), np.concatenate(first)

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+ROW_GROUP_BYTES = 16 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -28,15 +35,66 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
+def materialise(df: DataFrame, label: str, through: Callable | None = None, schema: str | None = None) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back.
 
     The rows survive the loss of any executor, and every later use reads them
-    instead of running the Python code above them again.
+    instead of running the Python code above them again. ``through`` is a function
+    for ``mapInArrow`` with result ``schema``; its batches are written by the worker
+    that makes them.
+
+    Each task writes one Parquet file under a private name and publishes it by one
+    rename, so a repeated task replaces the same file. Arrow writes it, because
+    Hadoop's local file system starts a process for every file that it creates.
+    Where Arrow does not know the folder's scheme, Spark's own writer is used.
     """
-    path = scratch(df.sparkSession, label)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path, spark = scratch(df.sparkSession, label), df.sparkSession
+    shape = T._parse_datatype_string(schema) if schema else df.schema
+    try:
+        make_dir(path)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        (df.mapInArrow(through, schema) if through else df).write.option("compression", "zstd").parquet(path)
+        return spark.read.schema(shape).parquet(path)
+    layout = to_arrow_schema(shape)
+    written = df.mapInArrow(_parquet_writer(path, layout, through), "rows bigint")
+    written.agg(F.sum("rows")).collect()
+    return spark.read.schema(shape).parquet(path)
+
+
+def _parquet_writer(path: str, layout: pa.Schema, through: Callable | None):
+    def run(batches):
+        name = f"part-{TaskContext.get().partitionId():07d}.parquet"
+        held, size, rows, out = [], 0, 0, None
+        for batch in through(batches) if through else batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            size += batch.nbytes
+            rows += batch.num_rows
+            if size >= ROW_GROUP_BYTES:
+                out = _write_group(out, f"{path}/{name}", layout, held)
+                held, size = [], 0
+        if held:
+            out = _write_group(out, f"{path}/{name}", layout, held)
+        if out:
+            out[1].close()
+            out[0].publish()
+        yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64())], ["rows"])
+
+    return run
+
+
+def _write_group(out, path, layout, held):
+    if out is None:
+        file = AtomicFile(path)
+        out = file, pq.ParquetWriter(file.sink, layout, compression="zstd", compression_level=1, use_dictionary=False, write_statistics=False)
+    out[1].write_table(pa.Table.from_batches([pa.RecordBatch.from_arrays(b.columns, schema=layout) for b in held]))
+    return out
+
+
+def few_files(df: DataFrame) -> DataFrame:
+    """A result of small rows in about two partitions a core, by a narrow coalesce."""
+    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -72,7 +130,8 @@ class AtomicFile:
         self.offset += len(data)
 
     def publish(self) -> None:
-        self.sink.close()
+        if not self.sink.closed:
+            self.sink.close()
         self.fs.move(self.part, self.path)
 
     def __enter__(self):

@@ -18,6 +18,7 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,23 +83,24 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token pieces of documents: doc_id, piece, start, length, ids_crc32. Null texts hold only the end id."""
-    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
+    """Token pieces of documents: doc_id, piece, start, length, ids_crc32, item (a number of their own). Null texts hold only the end id."""
+    schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("item", pa.int64())])
 
     def run(batches):
-        enc = encoder(tokenizer)
+        enc, item = encoder(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
             rows = {c: [] for c in schema.names}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 ids = np.append(enc.ids(text.as_py()).astype("<u4"), np.uint32(end_id))
                 for k, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
-                    for c, v in zip(schema.names, (doc_id, k, at, len(part), zlib.crc32(part.tobytes())), strict=True):
+                    for c, v in zip(schema.names, (doc_id, k, at, len(part), zlib.crc32(part.tobytes()), item), strict=True):
                         rows[c].append(v)
+                    item += 1
             yield batch_of(rows, schema)
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint")
+    return materialise(source, "pieces", run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, item bigint")
 
 
 _PACKED = "item bigint, length bigint, grp bigint, bin bigint, offset bigint, fill bigint, bins bigint, bound bigint"
@@ -162,6 +164,6 @@ def packed_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity:
 
     Repeated rows are packed row by row; null ids stay null; an empty table gives no rows.
     """
-    cut = materialise(pieces(docs, tokenizer, end_id, capacity).withColumn("item", F.monotonically_increasing_id()), "pieces")
+    cut = pieces(docs, tokenizer, end_id, capacity)
     placed = pack(cut.select("item", "length"), capacity, **kw)
     return cut.join(placed, "item").drop("item")

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality_rules, sstable, token_counts
+from . import decontamination, packing, quality_rules, sstable, token_counts, warc
+from .common import few_files
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -32,9 +33,47 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("matches", "longest_match")
+
+
+def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(_read(spark, sf_dir, "pages")).drop("archive", "offset")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sstable_tokens, op3_bestfit_packing, op5_llr_quality, op6_token_counts)}
+    return {f.__name__: lambda spark, sf_dir, f=f: few_files(f(spark, sf_dir)) for f in (op1_sstable_tokens, op3_bestfit_packing, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op10_warc_chain)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10}
+
+
+_OP7 = """
+WITH dw AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+iw AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, array_to_string(w[i : i + least(13, len(w)) - 1], ' ') AS g, least(13, len(w)) AS n
+  FROM (SELECT item_id, w, unnest(generate_series(1, len(w) - least(13, len(w)) + 1)) AS i FROM iw WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+dwin AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM dw, sizes WHERE len(w) >= n)),
+hit AS (SELECT doc_id, i, d.n, item_id FROM dwin d JOIN win USING (g, n)),
+covered AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS k FROM hit) GROUP BY doc_id),
+listed AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+_OP10 = """
+WITH p AS (SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS least_id FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> least_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> least_id THEN least_id END AS refers_to
+FROM m
+"""

@@ -214,7 +214,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialise(ordered.mapInArrow(run, _MANIFEST), "shard-manifest")
+    return materialise(ordered, "shard-manifest", run, _MANIFEST)
 
 
 def read_shards(spark, folder: str, manifest: DataFrame) -> DataFrame:

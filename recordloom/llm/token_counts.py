@@ -58,8 +58,8 @@ def _piece_counts(path):
     return run
 
 
-def _local_sums(path, hot, id_type):
-    schema = pa.schema([("row_id", pa.int64()), ("doc_id", id_type), ("n_bytes", pa.int64()), ("n_hot", pa.int64()), ("tail", pa.list_(pa.binary())), ("tail_n", pa.list_(pa.int32()))])
+def _local_sums(path, hot):
+    schema = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_hot", pa.int64()), ("tail", pa.list_(pa.binary())), ("tail_n", pa.list_(pa.int32()))])
 
     def run(batches):
         enc, known = encoder(path), hot.value
@@ -89,11 +89,11 @@ def token_counts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
     spark = docs.sparkSession
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     freq = source.select("text").mapInArrow(_frequencies(tokenizer), "piece binary, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
-    counted = materialise(freq.mapInArrow(_piece_counts(tokenizer), "piece binary, n bigint, tokens int"), "pretokens")
+    counted = materialise(freq, "pretokens", _piece_counts(tokenizer), "piece binary, n bigint, tokens int")
     least = frequent_from(counted, "n", hot_limit)
     bucket = frequency_bucket(F.col("n"))
     hot = spark.sparkContext.broadcast({bytes(r[0]): r[1] for r in counted.where(bucket >= least).select("piece", "tokens").collect()})
-    rows = materialise(source.mapInArrow(_local_sums(tokenizer, hot, pa.int64()), "row_id bigint, doc_id bigint, n_bytes bigint, n_hot bigint, tail array<binary>, tail_n array<int>"), "token-rows")
+    rows = materialise(source, "token-rows", _local_sums(tokenizer, hot), "row_id bigint, doc_id bigint, n_bytes bigint, n_hot bigint, tail array<binary>, tail_n array<int>")
     rare = rows.where(F.size("tail") > 0).select("row_id", F.explode(F.arrays_zip("tail", "tail_n")).alias("e")).select("row_id", F.col("e.tail").alias("piece"), F.col("e.tail_n").alias("k"))
     sums = rare.join(counted.where(bucket < least).select("piece", "tokens"), "piece").groupBy("row_id").agg(F.sum(F.col("k").cast("bigint") * F.col("tokens")).alias("n_rare"))
     return rows.select("row_id", "doc_id", "n_bytes", "n_hot").join(sums, "row_id", "left").select("doc_id", "n_bytes", (F.col("n_hot") + F.coalesce("n_rare", F.lit(0))).alias("n_tokens"))
