@@ -180,3 +180,13 @@ def batch_words(texts: pa.Array, word_bytes: np.ndarray = NON_SPACE) -> tuple[np
         first.append(w.first[1:] + total)
         total += len(w.hashes)
     return (np.concatenate(hashes) if hashes else np.empty(0, np.uint64)), np.concatenate(first)
+
+
+def sequence_hashes(w: Words) -> np.ndarray:
+    """64-bit hash of each document's word sequence; 0 for a document without words."""
+    total = np.zeros(len(w.hashes) + 1, np.uint64)
+    np.cumsum(w.hashes * powers(_STEP, len(w.hashes)), out=total[1:])
+    n = np.diff(w.first)
+    back = powers(_STEP_INV, len(total))
+    found = mix((total[w.first[1:]] - total[w.first[:-1]]) * back[w.first[:-1]] + n.astype(np.uint64) * _GOLD)
+    return np.where(n > 0, np.maximum(found, _U(1)), _U(0))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, packing, quality_rules, sstable, token_counts, warc
+from . import decontamination, near_dedup, packing, quality_rules, sstable, token_counts, warc
 from .common import few_files
 
 
@@ -24,6 +24,10 @@ def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=0, capacity=2048)
 
 
+def op4_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
+
+
 def op5_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
@@ -42,12 +46,27 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: lambda spark, sf_dir, f=f: few_files(f(spark, sf_dir)) for f in (op1_sstable_tokens, op3_bestfit_packing, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op10_warc_chain)}
+    return {f.__name__: lambda spark, sf_dir, f=f: few_files(f(spark, sf_dir)) for f in (op1_sstable_tokens, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op10_warc_chain)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10}
-
+    return {"op4_setsketch_dedup": _OP4, "op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10}
+
+
+_OP4 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 75 * (a.n + b.n - k)),
+pair AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, pair.y FROM reach JOIN pair ON reach.y = pair.x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least_id AS component_id, doc_id = least_id AS kept
+FROM (SELECT x AS doc_id, min(y) AS least_id FROM reach GROUP BY x) LEFT JOIN n USING (doc_id)
+"""
 
 _OP7 = """
 WITH dw AS (
