@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, near_dedup, packing, quality_rules, sstable, substring_dedup, token_counts, warc
+from . import decontamination, maxent_lm, near_dedup, packing, quality_rules, sstable, substring_dedup, token_counts, warc
 from .common import few_files
 
 
@@ -20,6 +20,10 @@ def op1_sstable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sstable.token_table(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op2_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.lm_scores(_read(spark, sf_dir, "documents"))
+
+
 def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=0, capacity=2048)
 
@@ -50,7 +54,7 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: lambda spark, sf_dir, f=f: few_files(f(spark, sf_dir)) for f in (op1_sstable_tokens, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op9_bwt_dedup, op10_warc_chain)}
+    return {f.__name__: lambda spark, sf_dir, f=f: few_files(f(spark, sf_dir)) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op9_bwt_dedup, op10_warc_chain)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -52,7 +52,7 @@ def _piece_counts(path):
     def run(batches):
         enc = encoder(path)
         for batch in batches:
-            tokens = [len(enc.whole(p.as_py().decode("utf-8"))) for p in batch.column(0)]
+            tokens = [len(ids) // enc.dtype.itemsize for ids in enc.encode_pieces(batch.column(0).to_pylist())]
             yield batch_of({"piece": batch.column(0), "n": batch.column(1), "tokens": tokens}, schema)
 
     return run

@@ -15,44 +15,28 @@ for the byte-level kind, goes through the library whole.
 
 from __future__ import annotations
 
+ 
 import json
 import os
 import re
-from collections.abc import Callable
 
 import numpy as np
 
-CACHE_ENTRIES = 1 << 20
+CACHE_ENTRIES = 3 << 19
+_SPACES = b" \t\n\r\x0b\x0c"
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　᠎​﻿]")
 _BYTE_CUT = re.compile(rb" ?[^ \t\n\r\x0b\x0c]+|[ \t\n\r\x0b\x0c]+(?![^ \t\n\r\x0b\x0c])|[ \t\n\r\x0b\x0c]+")
 
 
-class _Cache(dict):
-    """Missing pre-tokens are encoded by the library, once.
+class Encoder:
+    """Encodes whole texts to numpy id arrays.
 
-    Two generations: when the young one is full it becomes the old one, and what
-    is used again moves back, so that the size is bounded and frequent pieces stay.
+    The cache has two generations: when the young one is full it becomes the old
+    one, and what is used again moves back, so that its size is bounded and
+    frequent pieces stay.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], kind: np.dtype):
-        super().__init__()
-        self.encode, self.kind, self.old = encode, kind, {}
-
-    def __missing__(self, piece: bytes) -> bytes:
-        found = self.old.get(piece)
-        if found is None:
-            found = np.asarray(self.encode(piece.decode("utf-8")), self.kind).tobytes()
-        if len(self) >= CACHE_ENTRIES // 2:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = found
-        return found
-
-
-class Encoder:
-    """Encodes whole texts to numpy id arrays."""
-
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -64,7 +48,8 @@ class Encoder:
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
         self.drops_space = _drops_space(spec)
         self.safe = self.drops_space or _byte_level(spec)
-        self.cache = _Cache(self.whole, self.dtype)
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def whole(self, text: str) -> list[int]:
         """The library's ids of a text, nothing added."""
@@ -80,6 +65,27 @@ class Encoder:
             return None
         return _BYTE_CUT.findall(text.encode("utf-8"))
 
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of pre-tokens, as bytes of the id type.
+
+        Pre-tokens that begin where the tokenizer cuts anyway are encoded by one
+        call on their concatenation; offsets tell which ids are whose.
+        """
+        glue = b" " if self.drops_space else b""
+        joined = [i for i, p in enumerate(pieces) if glue or (len(p) > 1 and p[0] == 32 and p[1] not in _SPACES)]
+        out: list[bytes] = [b""] * len(pieces)
+        for at in range(0, len(joined), 256):
+            some = joined[at : at + 256]
+            texts = [pieces[i].decode("utf-8") for i in some]
+            found = self.library.encode(glue.decode().join(texts), add_special_tokens=False)
+            ids, starts = np.asarray(found.ids, self.dtype), [o[0] for o in found.offsets]
+            cut = np.searchsorted(starts, np.cumsum([0] + [len(t) + len(glue) for t in texts])).tolist()
+            for i, x, y in zip(some, cut[:-1], cut[1:], strict=True):
+                out[i] = ids[x:y].tobytes()
+        for i in set(range(len(pieces))).difference(joined):
+            out[i] = np.asarray(self.whole(pieces[i].decode("utf-8")), self.dtype).tobytes()
+        return out
+
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of a text; null is empty."""
         if not text:
@@ -87,7 +93,18 @@ class Encoder:
         pieces = self.pieces(text)
         if pieces is None:
             return np.asarray(self.whole(text), self.dtype)
-        return np.frombuffer(b"".join(map(self.cache.__getitem__, pieces)), self.dtype)
+        found = list(map(self.young.get, pieces))
+        if None in found:
+            for i, x in enumerate(found):
+                if x is None and (kept := self.old.get(pieces[i])) is not None:
+                    found[i] = self.young[pieces[i]] = kept
+            missing = list({p for p, x in zip(pieces, found, strict=True) if x is None})
+            new = dict(zip(missing, self.encode_pieces(missing), strict=True))
+            found = [new[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+            self.young.update(new)
+            if len(self.young) >= CACHE_ENTRIES // 2:
+                self.old, self.young = self.young, {}
+        return np.frombuffer(b"".join(found), self.dtype)
 
 
 def _drops_space(spec: dict) -> bool:
