@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, maxent_lm, near_dedup, packing, quality_rules, sstable, substring_dedup, token_counts, warc
+from . import decontamination, maxent_lm, near_dedup, packing, pu_classifier, quality_rules, sstable, substring_dedup, token_counts, warc
 from .common import few_files
 
 
@@ -45,6 +45,10 @@ def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("matches", "longest_match")
 
 
+def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pu_classifier.quality_scores(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op9_bwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(_read(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: lambda spark, sf_dir, f=f: few_files(f(spark, sf_dir)) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op9_bwt_dedup, op10_warc_chain)}
+    return {f.__name__: lambda spark, sf_dir, f=f: few_files(f(spark, sf_dir)) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain)}
 
 
 def oracle_sql() -> dict[str, str]:
