@@ -185,3 +185,20 @@ def frequent_from(df: DataFrame, count: str, limit: int) -> int:
             break
         at = row["b"]
     return at
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def rows_of_keys(docs: DataFrame, keys: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Rows of ``docs`` whose key columns are (``left_semi``) or are not (``left_anti``) among
+    ``keys``. Keys are counted first: up to ``BROADCAST_ROWS`` are broadcast, more are joined by shuffle.
+    """
+    keys = materialise(keys.select(*columns).distinct(), "keys")
+    right = keys.select(*[F.col(c).alias(f"_key_{c}") for c in columns])
+    if keys.count() <= BROADCAST_ROWS:
+        right = F.broadcast(right)
+    same = F.lit(True)
+    for c in columns:
+        same = same & docs[c].eqNullSafe(right[f"_key_{c}"])
+    return docs.join(right, same, how)

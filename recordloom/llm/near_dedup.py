@@ -236,7 +236,7 @@ def _cross_pairs(live: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept (doc_id is the component's)."""
+    """One row per input row: doc_id, n_shingles, component_id, kept (doc_id is the component's), content (text key)."""
     text = F.col(text_col)
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("content"), text.alias("text"))
     rows = materialise(source, "sketches", _sketches, "doc_id bigint, content bigint, node bigint, n bigint, registers binary")
@@ -265,6 +265,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     placed = least.join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least")
     named = placed.join(placed.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
-    full = rows.where("node is not null").select("doc_id", "n", "node").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    bare = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.unionByName(bare).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    full = rows.where("node is not null").select("doc_id", "n", "node", "content").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "content")
+    bare = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "content")
+    return full.unionByName(bare).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "content")

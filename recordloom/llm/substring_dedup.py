@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Block, blocks, prefix_hash, range_hash
-from .common import batch_of, materialise
+from .common import batch_of, materialise, text_key
 
 WINDOW = 400
 SYMBOL = 100
@@ -265,40 +265,57 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return spans.groupBy("content").agg(F.array_sort(F.collect_list("span")).alias("spans"))
 
 
-def _removal(keep_text):
-    fields = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())]
-    schema = pa.schema(fields + [("kept_text", pa.string())] * keep_text)
+def cut_bytes(text: str | None, spans) -> tuple[bytes, bytes, list[tuple[int, int]]]:
+    """A text's bytes, what is left of them, and the maximal removed runs."""
+    data, at, kept = (text or "").encode("utf-8"), 0, []
+    cut = merged_spans((s["a"], s["b"]) for s in spans or ())
+    for a, b in cut:
+        kept.append(data[at:a])
+        at = b
+    return data, b"".join([*kept, data[at:]]), cut
 
+
+def _digests(batches):
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+    for batch in batches:
+        rows = {c: [] for c in schema.names}
+        for doc_id, text, spans in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+            data, left, cut = cut_bytes(text.as_py(), spans.as_py())
+            for c, v in zip(schema.names, (doc_id.as_py(), len(data), len(data) - len(left), len(cut), hashlib.sha256(left).hexdigest()), strict=True):
+                rows[c].append(v)
+        yield batch_of(rows, schema)
+
+
+def _cut_column(place):
     def run(batches):
         for batch in batches:
-            rows = {c: [] for c in schema.names}
-            for doc_id, text, spans in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
-                data = (text.as_py() or "").encode("utf-8")
-                cut = merged_spans((s["a"], s["b"]) for s in spans.as_py() or ())
-                at, kept = 0, []
-                for a, b in cut:
-                    kept.append(data[at:a])
-                    at = b
-                left = b"".join([*kept, data[at:]])
-                values = [doc_id.as_py(), len(data), len(data) - len(left), len(cut), hashlib.sha256(left).hexdigest()]
-                if keep_text:
-                    values.append(left.decode("utf-8", "ignore"))
-                for c, v in zip(schema.names, values, strict=True):
-                    rows[c].append(v)
-            yield batch_of(rows, schema)
+            texts = [text.as_py() if not spans.is_valid else cut_bytes(text.as_py(), spans.as_py())[1].decode("utf-8", "ignore") for text, spans in zip(batch.column(place), batch.column(batch.num_columns - 1), strict=True)]
+            columns = batch.columns[:-1]
+            columns[place] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
-
-    With ``keep_text`` also kept_text, the remaining bytes as text; bytes of a
-    character that a cut has split are left out there.
-    """
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("content"), F.col(text_col).alias("text"))
-    spans = materialise(repeated_spans(source, window), "removal-spans")
+def _with_spans(source: DataFrame, window: int) -> DataFrame:
+    spans = materialise(repeated_spans(source.select("doc_id", "content", "text"), window), "removal-spans")
     if spans.count() <= BROADCAST_ROWS:
         spans = F.broadcast(spans)
-    joined = source.join(spans, "content", "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_removal(keep_text), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * keep_text)
+    return source.join(spans, "content", "left").drop("content")
+
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("content"), F.col(text_col).alias("text"))
+    return _with_spans(source, window).select("doc_id", "text", "spans").mapInArrow(_digests, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+
+
+def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The documents with what is left of their texts; other columns stay.
+
+    ``docs`` has doc_id and text. Bytes of a character that a cut has split are
+    left out; n_chars, if there, counts the new text.
+    """
+    joined = _with_spans(docs.withColumn("content", text_key(F.col("text"))), window).select(*docs.columns, "spans")
+    out = joined.mapInArrow(_cut_column(docs.columns.index("text")), docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
