@@ -6,7 +6,7 @@
    Registers are mergeable (maximum of values) and locality-sensitive. Documents
    with the same word sequence are one node from here on.
 2. Four registers make a band; nodes that share a band value meet in a bucket.
-   48 bands miss a pair at the threshold with probability 1e-8.
+   48 bands, of the first 192 registers, miss a pair at the threshold with probability 1e-8.
 3. In each bucket the node with the most company is the hub; every other node is
    compared with it: first the joint maximum-likelihood estimate of the similarity
    from registers and set sizes, then the full sets. Verified links are contracted.
@@ -34,8 +34,10 @@ from .blocks import blocks, distinct_pairs, mix, sequence_hashes, shingles, word
 from .common import batch_of, materialise
 from .graph import connected_components
 
-REGISTERS = 192
+REGISTERS = 640
 BAND = 4
+BANDS = 48
+DOCS = 2048
 BASE = 1.001
 RATE = 20.0
 SHINGLE = 5
@@ -126,21 +128,27 @@ def _sketches(batches):
             if len(seen) > 1 << 20:
                 seen.clear()
             keep = new[doc]
-            made = registers((np.cumsum(new) - 1)[doc[keep]], h[keep], int(new.sum()))
-            made = iter(made)
+            made = _made((np.cumsum(new) - 1)[doc[keep]], h[keep], int(new.sum()))
             node += [x or None for x in names.tolist()]
             size += n.tolist()
             regs += [next(made).tobytes() if x else None for x in new]
         yield batch_of({"doc_id": batch.column(0), "content": batch.column(1), "node": node, "n": size, "registers": regs}, schema)
 
 
+def _made(doc, hashes, n_docs):
+    """Register rows, made for a bounded number of documents at a time; ``doc`` ascends."""
+    for at in range(0, n_docs, DOCS):
+        part = slice(*np.searchsorted(doc, [at, at + DOCS]))
+        yield from registers(doc[part] - at, hashes[part], min(DOCS, n_docs - at))
+
+
 def _bands(batches):
     """Band values: four 16-bit registers fill 64 bits, mixed with the band's number."""
     schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64())])
-    each = np.arange(1, REGISTERS // BAND + 1, dtype=np.uint64) * _GOLD
+    each = np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD
     for batch in batches:
         if batch.num_rows:
-            rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(batch.num_rows, -1)[:, :BANDS]
             buckets = mix(mix(rows) + each)
             yield batch_of({"bucket": buckets.ravel().view(np.int64), "node": np.repeat(batch.column(0).to_numpy(), len(each))}, schema)
 
