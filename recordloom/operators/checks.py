@@ -63,12 +63,16 @@ def blank(c: Column) -> Column:
 
 CONTRACT = "1.0.0"
 
-EVENT_RULES: list[Rule] = [
-    ("event without event_id", blank(F.col("event_id"))),
-    ("event without case_id", blank(F.col("case_id"))),
-    ("event without activity", F.col("activity").isNull()),
-    ("unsupported contract version", F.coalesce(F.col("contract_version"), F.lit(CONTRACT)) != CONTRACT),
-]
+
+def event_rules() -> list[Rule]:
+    """Rules of process events."""
+    return [
+        ("event without event_id", blank(F.col("event_id"))),
+        ("event without case_id", blank(F.col("case_id"))),
+        ("event without activity", F.col("activity").isNull()),
+        ("unsupported contract version", F.coalesce(F.col("contract_version"), F.lit(CONTRACT)) != CONTRACT),
+    ]
+
 
 
 def manifest_rules(sources: list[str], instance_id: str | None = None, jurisdiction: str | None = None) -> list[Rule]:
@@ -86,13 +90,16 @@ def manifest_rules(sources: list[str], instance_id: str | None = None, jurisdict
     return rules
 
 
-CHANGE_RULES: list[Rule] = [
-    ("unknown change bucket", ~F.col("bucket").isin("added", "updated", "removed")),
-    ("change without a positive id", F.coalesce(F.col("request_id"), F.lit(0)) < 1),
-    ("change without a slug", blank(F.col("url_title"))),
-    ("added or updated change without a digest", (F.col("bucket") != "removed") & ~is_digest(F.col("content_sha256"))),
-    ("updated change without the previous digest", (F.col("bucket") == "updated") & ~is_digest(F.col("previous_sha256"))),
-]
+def change_rules() -> list[Rule]:
+    """Rules of change entries (bucket, request_id, url_title, digests)."""
+    return [
+        ("unknown change bucket", ~F.col("bucket").isin("added", "updated", "removed")),
+        ("change without a positive id", F.coalesce(F.col("request_id"), F.lit(0)) < 1),
+        ("change without a slug", blank(F.col("url_title"))),
+        ("added or updated change without a digest", (F.col("bucket") != "removed") & ~is_digest(F.col("content_sha256"))),
+        ("updated change without the previous digest", (F.col("bucket") == "updated") & ~is_digest(F.col("previous_sha256"))),
+    ]
+
 
 # Raw fields that a derived layer must not carry.
 FORBIDDEN_FIELDS = ["request_body", "message_body", "ocr_text", "embedding", "embedding_vector", "attachment_bytes"]
@@ -108,8 +115,11 @@ def derived_rules(columns: list[str]) -> list[Rule]:
     ]
 
 
-RANGE_RULES: list[Rule] = [
-    ("range without bounds", F.col("start_offset").isNull() | F.col("end_offset").isNull()),
-    ("range is empty or backward", F.col("start_offset") >= F.col("end_offset")),
-    ("range before the origin", F.col("start_offset") < 0),
-]
+def range_rules() -> list[Rule]:
+    """Rules of half-open offset ranges."""
+    return [
+        ("range without bounds", F.col("start_offset").isNull() | F.col("end_offset").isNull()),
+        ("range is empty or backward", F.col("start_offset") >= F.col("end_offset")),
+        ("range before the origin", F.col("start_offset") < 0),
+    ]
+

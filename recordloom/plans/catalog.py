@@ -144,7 +144,7 @@ def payload_field_extract(spark, sf_dir):
 @query("SELECT count_if(user_id IS NULL) AS no_case, count_if(event_type = '') AS no_activity, count(*) - count(DISTINCT event_id) AS repeated FROM events")
 def event_rule_counts(spark, sf_dir):
     log = event_log(spark, sf_dir).withColumn("contract_version", F.lit("1.0.0"))
-    checks.require(log, checks.EVENT_RULES)
+    checks.require(log, checks.event_rules())
     return log.agg(F.count_if(F.col("user_id").isNull()).alias("no_case"), F.count_if(checks.blank(F.col("activity"))).alias("no_activity"), (F.count("*") - F.count_distinct("event_id")).alias("repeated"))
 
 
