@@ -115,10 +115,8 @@ def rehearsal(spark: SparkSession, n: int) -> DataFrame:
 
 
 def _documents(spark: SparkSession, path: str, glob: str | None = None, deep: bool = False) -> DataFrame:
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", str(deep).lower())
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^﻿", "").alias("value"))
+    read = spark.read.text(path, wholetext=True, pathGlobFilter=glob, recursiveFileLookup=deep)
+    return read.select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\ufeff", "").alias("value"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -161,7 +159,9 @@ def _document_rows(docs: DataFrame, keys: list[str]) -> DataFrame:
     parsed = docs.withColumn("v", F.try_parse_json("value"))
     lines = F.filter(F.split("value", "\r?\n"), lambda x: F.trim(x) != "")
     as_list = F.try_variant_get("v", "$", "array<variant>")
-    rows = F.when(F.col("v").isNull(), F.transform(lines, lambda x: F.try_parse_json(x))).when(as_list.isNotNull(), as_list).otherwise(F.coalesce(_first_list(F.col("v"), keys), F.array("v")))
+    # a parser that stops after the first value would take JSON lines for one object
+    by_line = F.col("v").isNull() | ((F.size(lines) > 1) & F.forall(lines, lambda x: F.try_parse_json(x).isNotNull()))
+    rows = F.when(by_line, F.transform(lines, lambda x: F.try_parse_json(x))).when(as_list.isNotNull(), as_list).otherwise(F.coalesce(_first_list(F.col("v"), keys), F.array("v")))
     parsed = parsed.select("file", rows.alias("rows")).withColumn("header", F.try_variant_get(F.get("rows", F.lit(0)), "$", "array<string>"))
     flat = parsed.select("file", "header", F.posexplode("rows").alias("at", "cell"))
     zipped = F.parse_json(F.to_json(F.map_from_arrays(F.slice("header", 1, F.least(F.size("header"), F.size(F.col("cells")))), F.slice("cells", 1, F.least(F.size("header"), F.size(F.col("cells")))))))
