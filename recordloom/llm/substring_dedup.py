@@ -102,7 +102,21 @@ def _strings_of(window):
 
 def _dense(values: np.ndarray) -> np.ndarray:
     """Ranks 0.. of values, equal for equal."""
-    return np.unique(values, return_inverse=True)[1].reshape(-1)
+    order = np.argsort(values)
+    ranked = values[order]
+    out = np.empty(len(values), np.int64)
+    out[order] = np.cumsum(np.concatenate([[0], ranked[1:] != ranked[:-1]])) if len(values) else []
+    return out
+
+
+def _stable_order(keys: np.ndarray) -> np.ndarray:
+    """Stable sorting permutation of small whole numbers, by sorting numbers that end in the place."""
+    bits = max(1, int(len(keys)).bit_length())
+    if not len(keys) or int(keys.max()) >= 1 << (62 - bits):
+        return np.argsort(keys, kind="stable")
+    packed = (keys.astype(np.int64) << bits) | np.arange(len(keys))
+    packed.sort()
+    return packed & ((1 << bits) - 1)
 
 
 class ShardTransform:
@@ -119,7 +133,7 @@ class ShardTransform:
             nxt = np.where(ended, 0, rank[step] + 1)
             rank = _dense(rank.astype(np.int64) * (int(nxt.max(initial=0)) + 1) + nxt)
             step, span = step[step], span * 2
-        self.suffixes = places[np.argsort(rank, kind="stable")]
+        self.suffixes = places[_stable_order(rank)]
         self.transform = symbols[before[self.suffixes]]
 
 
@@ -135,7 +149,7 @@ def merge_transforms(shards: list[ShardTransform], depth: int) -> tuple[np.ndarr
         symbol = np.empty(n, np.int64)
         for k, s in enumerate(shards):  # each shard's transform is read in its own order
             symbol[source == k] = s.transform
-        order = np.argsort(symbol, kind="stable")
+        order = _stable_order(symbol)
         source, symbol, group = source[order], symbol[order], group[order]
         parted = np.ones(n, bool)
         parted[1:] = (symbol[1:] != symbol[:-1]) | (group[1:] != group[:-1])
