@@ -22,7 +22,7 @@ import re
 
 import numpy as np
 
-CACHE_ENTRIES = 3 << 19
+CACHE_ENTRIES = 1 << 21
 _SPACES = b" \t\n\r\x0b\x0c"
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　᠎​﻿]")
@@ -95,12 +95,12 @@ class Encoder:
             return np.asarray(self.whole(text), self.dtype)
         found = list(map(self.young.get, pieces))
         if None in found:
-            for i, x in enumerate(found):
-                if x is None and (kept := self.old.get(pieces[i])) is not None:
-                    found[i] = self.young[pieces[i]] = kept
-            missing = list({p for p, x in zip(pieces, found, strict=True) if x is None})
-            new = dict(zip(missing, self.encode_pieces(missing), strict=True))
-            found = [new[p] if x is None else x for p, x in zip(pieces, found, strict=True)]
+            places = [i for i, x in enumerate(found) if x is None]
+            new = {pieces[i]: self.old.get(pieces[i]) for i in places}
+            missing = [p for p, x in new.items() if x is None]
+            new.update(zip(missing, self.encode_pieces(missing), strict=True))
+            for i in places:
+                found[i] = new[pieces[i]]
             self.young.update(new)
             if len(self.young) >= CACHE_ENTRIES // 2:
                 self.old, self.young = self.young, {}
