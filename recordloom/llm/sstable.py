@@ -19,6 +19,7 @@ and reads one block.
 
 from __future__ import annotations
 
+import hashlib
 import struct
 import zlib
 from bisect import bisect_left
@@ -72,7 +73,7 @@ def _read_varint(data: bytes, at: int) -> tuple[int, int]:
 
 
 def _probes(key: bytes, bits: int) -> list[int]:
-    a, b = zlib.crc32(key), zlib.crc32(key, 0x9E3779B9) | 1
+    a, b = struct.unpack("<QQ", hashlib.blake2b(key, digest_size=16).digest())
     return [(a + i * b) % bits for i in range(BLOOM_HASHES)]
 
 

@@ -15,7 +15,11 @@
    is their common prefix. Intervals unparted after four rounds share 400 bytes;
    those of total multiplicity two or more are repeated, and so are all windows
    of a string that is alone with its anchor and occurs more than once.
-4. Repeated windows are joined back to the strings' occurrences, merged per text,
+4. An anchor with more than ``HOT_STRINGS`` distinct strings (a passage that many texts
+   hold in different surroundings) is not merged but split: its windows are anchored
+   again by longer k-grams, at last by the whole window. Equal windows stay together,
+   windows that differ near the anchor part, so that no task gets an unbounded group.
+5. Repeated windows are joined back to the strings' occurrences, merged per text,
    and cut out.
 
 Texts are named by a 64-bit content hash, so copies are worked on once and all lose
@@ -39,7 +43,8 @@ from .common import batch_of, materialise, text_key
 
 WINDOW = 400
 SYMBOL = 100
-GRAM = 32
+GRAMS = (0.08, 0.5, 0.9, 0.99, 1.0)
+HOT_STRINGS = 4096
 MERGE_BYTES = 2 << 20
 SHARDS = 4
 CHUNK = 8 << 20
@@ -48,7 +53,7 @@ BROADCAST_ROWS = 1_000_000
 _U = np.uint64
 
 
-def anchors(block: Block, window: int, gram: int = GRAM) -> dict[str, np.ndarray]:
+def anchors(block: Block, window: int, gram: int) -> dict[str, np.ndarray]:
     """Strings of a block: document, start, windows, anchor and content hashes, and
     whether the anchor's k-gram occurs at several places of the string."""
     found = []
@@ -86,16 +91,22 @@ def anchors(block: Block, window: int, gram: int = GRAM) -> dict[str, np.ndarray
     return {k: np.concatenate([f[k] for f in found]) if found else np.empty(0, np.uint64 if k in ("anchor", "string") else np.int64) for k in names}
 
 
-def _strings_of(window):
+def _strings_of(window, gram):
+    """Strings of whole texts, or of the window ranges in a fourth column."""
     schema = pa.schema([("anchor", pa.int64()), ("string", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("multi", pa.int32())])
 
     def run(batches):
         for batch in batches:
-            ids, contents = batch.column(0), batch.column(1).to_numpy()
-            for block in blocks(batch.column(2)):
-                s = anchors(block, window)
-                rows = s["doc"] + block.first
-                yield batch_of({"anchor": s["anchor"].view(np.int64), "string": s["string"].view(np.int64), "content": contents[rows], "doc_id": ids.take(pa.array(rows, pa.int64())), "start": s["start"], "windows": s["windows"], "multi": s["multi"]}, schema)
+            ids, contents, texts = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
+            row, shift = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            if batch.num_columns > 3:
+                parts = [(i, r["start"], t[r["start"] : r["start"] + r["windows"] + window - 1]) for i, (text, ranges) in enumerate(zip(texts, batch.column(3), strict=True)) if ranges.is_valid for t in [text.as_py().encode("utf-8")] for r in ranges.as_py()]
+                row, shift = (np.array([p[k] for p in parts], np.int64) for k in (0, 1))
+                texts = pa.array([p[2] for p in parts], pa.binary())
+            for block in blocks(texts):
+                s = anchors(block, window, gram)
+                part = s["doc"] + block.first
+                yield batch_of({"anchor": s["anchor"].view(np.int64), "string": s["string"].view(np.int64), "content": contents[row[part]], "doc_id": ids.take(pa.array(row[part], pa.int64())), "start": s["start"] + shift[part], "windows": s["windows"], "multi": s["multi"]}, schema)
 
     return run
 
@@ -167,19 +178,19 @@ def repeated_windows(strings: list[bytes], keys: np.ndarray, weights: np.ndarray
     ``weights`` counts the copies of each string; all copies share one entry.
     """
     depth = window // symbol
-    sizes = np.array([len(s) for s in strings])
+    # one end byte each, so that every remainder of a place by the symbol ends in an end mark
+    sizes = np.array([len(s) + 1 for s in strings])
     offsets = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.frombuffer(b"".join(strings), np.uint8)
+    data = np.frombuffer(b"\0".join([*strings, b""]), np.uint8)
     owner = np.repeat(np.arange(len(strings)), sizes)
     place = np.arange(len(data))
     begin, end = offsets[owner], offsets[owner + 1]
-    full = place + symbol <= end
+    full = place + symbol < end
     hashed = range_hash(prefix_hash(data), place[full], place[full] + symbol) ^ (keys[owner[full]] * _U(0x9E3779B97F4A7C15))
     symbols = np.zeros(len(data), np.int64)
     symbols[full] = _dense(hashed) + 1
     # one symbol on, or back to the first place of the same remainder: a cycle through the end mark
-    after = np.where(full, np.minimum(place + symbol, end - 1), begin + (place - begin) % symbol)
-    after = np.where(full & (place + symbol >= end), begin + (place - begin) % symbol, after)
+    after = np.where(full, place + symbol, begin + (place - begin) % symbol)
     before = np.empty(len(data), np.int64)
     before[after] = place
     cuts = np.linspace(0, len(strings), min(n_shards, len(strings)) + 1).astype(int)
@@ -189,7 +200,7 @@ def repeated_windows(strings: list[bytes], keys: np.ndarray, weights: np.ndarray
     counts = np.bincount(interval, weights=weights[owner[merged]])
     repeated = np.zeros(len(data), bool)
     repeated[merged] = counts[interval] >= 2
-    return [repeated[a : b - window + 1] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return [repeated[a : b - window] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -250,33 +261,52 @@ def merged_spans(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Byte ranges to remove per distinct text: content, spans array<struct<a,b>>.
+def _by_content(docs: DataFrame, keys: DataFrame, how: str = "inner") -> DataFrame:
+    """Documents joined with rows per content; few rows are broadcast, more are shuffled."""
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "content", how)
 
-    ``docs`` has doc_id, content (64-bit hash of the text) and text.
-    """
-    occurrences = materialise(docs.select("doc_id", "content", "text"), "strings", _strings_of(window), "anchor bigint, string bigint, content bigint, doc_id bigint, start bigint, windows bigint, multi int")
+
+def _level(docs: DataFrame, occurrences: DataFrame, window: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Ranges of repeated windows per content (content, a, b), and window ranges of hot anchors, if any."""
     strings = occurrences.groupBy("anchor", "string").agg(F.count("*").alias("weight"), F.max("multi").alias("multi"), F.max("windows").alias("windows"), F.min(F.struct("content", "doc_id", "start")).alias("at"))
     groups = strings.groupBy("anchor").agg(F.sum(F.col("weight") + F.col("multi")).alias("total"), F.count("*").alias("kinds")).where("total > 1").select("anchor", "kinds")
     shared = materialise(strings.join(groups, "anchor").select("anchor", "string", "weight", "multi", "windows", "kinds", "at.content", "at.doc_id", "at.start"), "shared-strings")
+    hot = F.lit(False) if last else F.col("kinds") > HOT_STRINGS
     alone = (F.col("kinds") == 1) & (F.col("multi") == 0)
     sure = shared.where(alone).select("anchor", "string", F.array(F.lit(0)).alias("from"), F.array(F.col("windows").cast("int")).alias("to"))
 
-    wanted = shared.where(~alone).groupBy("content", F.col("doc_id").alias("at_id")).agg(F.collect_list(F.struct("anchor", "string", "weight", "start", "windows")).alias("wanted"))
-    match = lambda right: (docs["content"] == right["content"]) & docs["doc_id"].eqNullSafe(right["at_id"])
-    keys = shared.where(~alone).select("content", F.col("doc_id").alias("at_id")).distinct()
-    holders = docs
-    if keys.count() <= BROADCAST_ROWS:
-        holders = docs.join(F.broadcast(keys), match(keys), "left_semi")
+    compared = shared.where(~alone & ~hot)
+    keys = materialise(compared.select("content", F.col("doc_id").alias("at_id")).distinct(), "holders")
+    holders = docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, (docs["content"] == keys["content"]) & docs["doc_id"].eqNullSafe(keys["at_id"]), "left_semi")
+    wanted = compared.groupBy("content", F.col("doc_id").alias("at_id")).agg(F.collect_list(F.struct("anchor", "string", "weight", "start", "windows")).alias("wanted"))
     texts = holders.select("content", "doc_id", "text").join(wanted, (holders["content"] == wanted["content"]) & holders["doc_id"].eqNullSafe(wanted["at_id"])).select("text", "wanted")
     parts = texts.mapInArrow(_cut_strings(window), "anchor bigint, string bigint, weight bigint, bytes binary")
     parts = parts.repartition("anchor").sortWithinPartitions("anchor")
     merged = materialise(parts, "repeated-windows", _merge_task(window), "anchor bigint, string bigint, from array<int>, to array<int>")
 
-    ranges = sure.unionByName(merged)
-    found = occurrences.join(ranges, ["anchor", "string"]).select("content", "start", F.explode(F.arrays_zip("from", "to")).alias("r"))
-    spans = found.select("content", F.struct((F.col("start") + F.col("r.from")).alias("a"), (F.col("start") + F.col("r.to") + (window - 1)).alias("b")).alias("span")).distinct()
-    return spans.groupBy("content").agg(F.array_sort(F.collect_list("span")).alias("spans"))
+    found = occurrences.join(sure.unionByName(merged), ["anchor", "string"]).select("content", "start", F.explode(F.arrays_zip("from", "to")).alias("r"))
+    spans = found.select("content", (F.col("start") + F.col("r.from")).alias("a"), (F.col("start") + F.col("r.to") + (window - 1)).alias("b")).distinct()
+    split = shared.where(~alone & hot).select("anchor").distinct()
+    if last or split.isEmpty():
+        return spans, None
+    again = occurrences.join(split, "anchor", "left_semi").select("content", F.struct("start", "windows").alias("range")).distinct()
+    return spans, materialise(again.groupBy("content").agg(F.collect_list("range").alias("ranges")), "hot-ranges")
+
+
+def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Byte ranges to remove per distinct text: content, spans array<struct<a,b>>.
+
+    ``docs`` has doc_id, content (64-bit hash of the text) and text.
+    """
+    columns, every, ranges = "anchor bigint, string bigint, content bigint, doc_id bigint, start bigint, windows bigint, multi int", None, None
+    for share in GRAMS:
+        source = docs.select("doc_id", "content", "text") if ranges is None else _by_content(docs, ranges).select("doc_id", "content", "text", "ranges")
+        occurrences = materialise(source, "strings", _strings_of(window, max(1, int(share * window))), columns)
+        spans, ranges = _level(docs, occurrences, window, share == GRAMS[-1])
+        every = spans if every is None else every.unionByName(spans)
+        if ranges is None:
+            break
+    return every.groupBy("content").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
 
 
 def cut_bytes(text: str | None, spans) -> tuple[bytes, bytes, list[tuple[int, int]]]:
@@ -313,9 +343,7 @@ def _cut_column(place):
 
 def _with_spans(source: DataFrame, window: int) -> DataFrame:
     spans = materialise(repeated_spans(source.select("doc_id", "content", "text"), window), "removal-spans")
-    if spans.count() <= BROADCAST_ROWS:
-        spans = F.broadcast(spans)
-    return source.join(spans, "content", "left").drop("content")
+    return _by_content(source, spans, "left").drop("content")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
