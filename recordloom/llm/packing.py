@@ -3,9 +3,11 @@
 Documents become pieces of at most ``capacity`` tokens (only longer ones are
 cut). Pieces are dealt to partitions; each runs best-fit decreasing, and
 dual-feasible functions give a lower bound for its bins. Partitions that meet
-their bound are proved optimal and stay. The others give the pieces of their
-bins that are not full to a common pool, which is dealt anew and packed again;
-a round counts only if it saves bins.
+their bound are proved optimal; the others give the pieces of their bins that are
+not full to a common pool, and all partitions those of bins that are far from
+full, which add up over partitions. The pool is dealt anew and packed again; a
+round counts only if it saves bins. The same functions over the histogram of all
+lengths bound the whole: rounds end where that bound is met.
 
 Only (id, length) rows are shuffled, never ids or texts. A partition holds a
 bounded number of pieces, so memory does not grow with the input.
@@ -27,6 +29,7 @@ from .tokens import encoder
 
 PARTITION_ITEMS = 200_000
 ROUNDS = 3
+LOOSE = 0.9
 
 
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -56,8 +59,8 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return out
 
 
-def lower_bound(lengths: np.ndarray, capacity: int) -> int:
-    """Bins that any packing needs, by two families of dual-feasible functions.
+def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:
+    """Bins that any packing of the lengths (each ``counts`` times) needs, by two families of dual-feasible functions.
 
     ``U_e``: items over capacity-e count whole, items under e not at all.
     ``u_k``: x -> floor((k+1)x)/k, or x where (k+1)x is whole.
@@ -65,7 +68,7 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     """
     if not len(lengths):
         return 0
-    sizes, n = np.unique(lengths, return_counts=True)
+    sizes, n = np.unique(lengths, return_counts=True) if counts is None else (lengths, counts)
     best = -(-int((sizes * n).sum()) // capacity)
     total, count = np.concatenate([[0], np.cumsum(sizes * n)]), np.concatenate([[0], np.cumsum(n)])
     cuts = np.unique(np.concatenate([[0], sizes[sizes * 2 <= capacity], sizes[sizes * 2 <= capacity] + 1]))
@@ -126,10 +129,14 @@ def _round(items: DataFrame, number: int, capacity: int, per_group: int) -> Data
     return materialise(dealt.groupBy("grp").applyInPandas(_pack_group(capacity), _PACKED), "packed")
 
 
-def _stats(packed: DataFrame) -> tuple[int, int]:
-    """Bins, and bins beyond the partitions' bounds."""
-    row = packed.groupBy("grp").agg(F.first("bins").alias("b"), F.first("bound").alias("l")).agg(F.sum("b").alias("b"), F.sum("l").alias("l")).first()
-    return row["b"] or 0, (row["b"] or 0) - (row["l"] or 0)
+def _bins(packed: DataFrame) -> int:
+    return packed.select("grp", "bins").distinct().agg(F.sum("bins").alias("b")).first()["b"] or 0
+
+
+def whole_bound(items: DataFrame, capacity: int) -> int:
+    """Lower bound for all items, from the histogram of lengths (at most ``capacity`` rows)."""
+    seen = sorted(items.groupBy("length").count().collect())
+    return lower_bound(np.array([r[0] for r in seen], np.int64), capacity, np.array([r[1] for r in seen], np.int64))
 
 
 def pack(items: DataFrame, capacity: int, per_group: int = PARTITION_ITEMS, rounds: int = ROUNDS) -> DataFrame:
@@ -138,21 +145,21 @@ def pack(items: DataFrame, capacity: int, per_group: int = PARTITION_ITEMS, roun
     ``certified`` marks sequences of partitions that meet their lower bound.
     """
     alone = items.where(F.col("length") == capacity).select("item", (-F.col("item") - 1).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"), F.lit(True).alias("certified"))
-    packed = _round(items.where(F.col("length") < capacity), 0, capacity, per_group)
-    settled = []
+    shorter = items.where(F.col("length") < capacity)
+    packed, least = _round(shorter, 0, capacity, per_group), whole_bound(shorter, capacity)
+    settled, bins = [], _bins(packed)
     for number in range(1, rounds + 1):
-        bins, gap = _stats(packed)
-        if not gap:
+        if bins <= least:
             break
-        loose = (F.col("bins") > F.col("bound")) & (F.col("fill") < capacity)
+        loose = ((F.col("bins") > F.col("bound")) & (F.col("fill") < capacity)) | (F.col("fill") <= LOOSE * capacity)
         pool = packed.where(loose)
         before = pool.select("grp", "bin").distinct().count()
         again = _round(pool, number, capacity, per_group)
-        after, _ = _stats(again)
-        if after >= before:
+        saved = before - _bins(again)
+        if saved <= 0:
             break
         settled.append(packed.where(~loose))
-        packed = again
+        packed, bins = again, bins - saved
     for part in settled:
         packed = packed.unionByName(part)
     # a group has fewer bins than items, so 20 bits hold a bin's number
