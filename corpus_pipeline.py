@@ -19,22 +19,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _by_text(docs: DataFrame, keys: DataFrame, columns: list[str], how: str) -> DataFrame:
-    keyed = docs.withColumn("content", text_key(F.col("text")))
-    return rows_of_keys(keyed, keys, columns, how).select(*docs.columns)
-
-
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     verdicts = quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels"))
-    return few_files(_by_text(docs, verdicts.where("not kept"), ["content"], "left_anti"))
+    return few_files(rows_of_keys(docs, verdicts.where("not kept"), {"content": text_key(F.col("text"))}, "left_anti"))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays; rows repeated whole are one document."""
     kept = near_dedup.near_duplicates(docs).where("kept")
-    rows = _by_text(docs, kept, ["content", "doc_id"], "left_semi")
-    return few_files(rows)
+    keys = {"content": text_key(F.col("text")), "doc_id": F.col("doc_id").cast("bigint")}
+    return few_files(rows_of_keys(docs, kept, keys, "left_semi"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +40,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages go."""
     verdicts = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    return few_files(_by_text(docs, verdicts.where("contaminated"), ["content"], "left_anti"))
+    return few_files(rows_of_keys(docs, verdicts.where("contaminated"), {"content": text_key(F.col("text"))}, "left_anti"))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

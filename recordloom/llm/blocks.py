@@ -1,7 +1,7 @@
 """Vectorised byte-level text primitives (numpy, no per-word Python objects).
 
 Texts arrive as Arrow string arrays; their UTF-8 buffers are viewed, not
-copied. Work proceeds in blocks of whole documents of about two megabytes, so
+copied. Work proceeds in blocks of whole documents of about one megabyte, so
 that temporaries stay small whatever the batch size; a longer document is a
 block of its own.
 """
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -55,7 +55,7 @@ def powers(base: int, n: int) -> np.ndarray:
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         have = np.multiply.accumulate(have)
-        if size <= 4 * BLOCK_BYTES:
+        if size <= 2 * BLOCK_BYTES:
             _powers[base] = have
     return have[:n]
 

@@ -190,15 +190,19 @@ def frequent_from(df: DataFrame, count: str, limit: int) -> int:
 BROADCAST_ROWS = 1_000_000
 
 
-def rows_of_keys(docs: DataFrame, keys: DataFrame, columns: list[str], how: str) -> DataFrame:
-    """Rows of ``docs`` whose key columns are (``left_semi``) or are not (``left_anti``) among
-    ``keys``. Keys are counted first: up to ``BROADCAST_ROWS`` are broadcast, more are joined by shuffle.
+def rows_of_keys(docs: DataFrame, keys: DataFrame, columns: dict, how: str) -> DataFrame:
+    """Rows of ``docs`` whose keys are (``left_semi``) or are not (``left_anti``) among ``keys``.
+
+    ``columns`` maps a column of ``keys`` to the expression over ``docs`` that it is compared
+    with, null equal to null. Keys are counted first: up to ``BROADCAST_ROWS`` are broadcast,
+    more are joined by shuffle.
     """
     keys = materialise(keys.select(*columns).distinct(), "keys")
-    right = keys.select(*[F.col(c).alias(f"_key_{c}") for c in columns])
+    names = {c: f"key_{uuid.uuid4().hex}" for c in columns}
+    right = keys.select(*[F.col(c).alias(n) for c, n in names.items()])
     if keys.count() <= BROADCAST_ROWS:
         right = F.broadcast(right)
     same = F.lit(True)
-    for c in columns:
-        same = same & docs[c].eqNullSafe(right[f"_key_{c}"])
+    for c, value in columns.items():
+        same = same & value.eqNullSafe(F.col(names[c]))
     return docs.join(right, same, how)

@@ -49,7 +49,7 @@ BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
-_DRAWS = 1 << 20
+_DRAWS = 1 << 18
 
 
 def registers(doc: np.ndarray, hashes: np.ndarray, n_docs: int, m: int = REGISTERS, base: float = BASE, rate: float = RATE) -> np.ndarray:

@@ -32,6 +32,7 @@ repeats of each other; ids, null or not, play no part in matching.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +46,10 @@ WINDOW = 400
 SYMBOL = 100
 GRAMS = (0.08, 0.5, 0.9, 0.99, 1.0)
 HOT_STRINGS = 4096
-MERGE_BYTES = 2 << 20
+MERGE_BYTES = 1 << 20
 SHARDS = 4
-CHUNK = 8 << 20
+CHUNK = 1 << 20
+ANCHOR_BYTES = 1 << 19
 BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
@@ -103,7 +105,7 @@ def _strings_of(window, gram):
                 parts = [(i, r["start"], t[r["start"] : r["start"] + r["windows"] + window - 1]) for i, (text, ranges) in enumerate(zip(texts, batch.column(3), strict=True)) if ranges.is_valid for t in [text.as_py().encode("utf-8")] for r in ranges.as_py()]
                 row, shift = (np.array([p[k] for p in parts], np.int64) for k in (0, 1))
                 texts = pa.array([p[2] for p in parts], pa.binary())
-            for block in blocks(texts):
+            for block in blocks(texts, ANCHOR_BYTES):
                 s = anchors(block, window, gram)
                 part = s["doc"] + block.first
                 yield batch_of({"anchor": s["anchor"].view(np.int64), "string": s["string"].view(np.int64), "content": contents[row[part]], "doc_id": ids.take(pa.array(row[part], pa.int64())), "start": s["start"] + shift[part], "windows": s["windows"], "multi": s["multi"]}, schema)
@@ -358,6 +360,8 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ``docs`` has doc_id and text. Bytes of a character that a cut has split are
     left out; n_chars, if there, counts the new text.
     """
-    joined = _with_spans(docs.withColumn("content", text_key(F.col("text"))), window).select(*docs.columns, "spans")
+    # the columns travel in a struct, so that none can clash with those used here
+    source = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("content"), F.col("text").alias("text"))
+    joined = _with_spans(source, window).select("doc.*", F.col("spans").alias(f"spans_{uuid.uuid4().hex}"))
     out = joined.mapInArrow(_cut_column(docs.columns.index("text")), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -216,7 +216,7 @@ def test_lm_probabilities_sum_to_one():
 
 
 def test_lm_update_learns():
-    table, squares, touched = maxent_lm.new_tables(), np.zeros(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS, np.float32), np.zeros(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS)
+    table, squares, touched = maxent_lm.new_tables(np.zeros((maxent_lm.CLASSES, maxent_lm.SLOTS))), np.zeros(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS, np.float32), np.zeros(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS)
     context = np.tile([1, 2], 2000)
     feature = maxent_lm.features(context, np.zeros(4000, int), np.arange(4000))
     rows, _ = maxent_lm.rows_of(feature, context)
