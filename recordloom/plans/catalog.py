@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
-from ..operators import chains, checks, completeness, discovery, events, manifest, mirrors, ranges, replay
+from ..operators import chains, checks, completeness, discovery, events, manifest, mirrors, ranges, registry, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -630,6 +630,96 @@ def outcome_counts(spark, sf_dir):
     return table(spark, sf_dir, "events").select(out).select("o.*").groupBy("code", "disposition").agg(F.count("*").alias("n"))
 
 
+# --- registries and selections -----------------------------------------------
+
+
+@query(f"WITH {URL_SQL} SELECT count(*) AS input_count, count_if(scheme = 'https') AS output_count FROM norm")
+def index_filter_counts(spark, sf_dir):
+    return registry.filtered_index(_pages(spark, sf_dir), urls.scheme(F.col("url")) == "https")[1]
+
+
+@query(f"""WITH {URL_SQL} SELECT page_id, CASE WHEN contains(path, '.html') THEN 'json' ELSE 'html' END AS kind, regexp_replace(leaf, '\\.html$', '') AS slug
+FROM req WHERE regexp_matches(path, '^/[a-z]+/[^/]+/?$')""".replace("\\\\", "\\"))
+def capture_candidates(spark, sf_dir):
+    twin = F.regexp_replace(F.regexp_replace("request_url", r"[?#].*$", ""), r"\.html$", ".json")
+    rows = _requests(spark, sf_dir).select("page_id", twin.alias("original"), F.lit("200").alias("statuscode"))
+    return registry.capture_candidates(rows).select("page_id", "kind", "slug")
+
+
+BODY_SQL = "body AS (SELECT s_name AS slug, s_suppkey, n_name, r_name FROM supplier JOIN nation ON n_nationkey = s_nationkey JOIN region ON r_regionkey = n_regionkey)"
+
+
+def _bodies(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("r_regionkey") == F.col("n_regionkey"))
+    s = table(spark, sf_dir, "supplier").join(n, F.col("n_nationkey") == F.col("s_nationkey"))
+    return s.select(F.col("s_name").alias("slug"), "s_suppkey", F.array(F.concat(F.lit("The "), F.col("n_name")), F.concat(F.col("r_name"), F.lit("!"))).alias("tags"))
+
+
+def _rules(spark, sf_dir):
+    r = table(spark, sf_dir, "region").where("r_name in ('ASIA', 'EUROPE')")
+    return r.select(text.body_tag(F.col("r_name")).alias("tag"), F.col("r_name").alias("jurisdiction"), F.col("r_regionkey").alias("ord"))
+
+
+@query(f"WITH {BODY_SQL} SELECT slug, CASE WHEN r_name IN ('ASIA', 'EUROPE') THEN r_name ELSE 'OTHER' END AS jurisdiction FROM body")
+def body_jurisdictions(spark, sf_dir):
+    return registry.body_jurisdictions(_bodies(spark, sf_dir), _rules(spark, sf_dir))
+
+
+@query(f"WITH {BODY_SQL} SELECT slug, s_suppkey FROM body WHERE r_name = 'ASIA'")
+def authority_selection(spark, sf_dir):
+    return registry.bodies_of(_bodies(spark, sf_dir), _rules(spark, sf_dir), "ASIA", "s_suppkey").select("slug", "s_suppkey")
+
+
+@query("""SELECT r_name AS instance_id, (SELECT string_agg(n_name, ',' ORDER BY n_name) FROM nation WHERE n_regionkey = r_regionkey) AS sites,
+  coalesce((SELECT string_agg(s_name, ',' ORDER BY s_name) FROM supplier JOIN nation ON n_nationkey = s_nationkey WHERE n_regionkey = r_regionkey), '') AS targets FROM region""")
+def source_graph(spark, sf_dir):
+    region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
+    instances = region.select(F.col("r_name").alias("instance_id"), F.col("r_regionkey").alias("host"))
+    sites = nation.select(F.col("n_name").alias("site_id"), F.col("n_regionkey").alias("host"))
+    targets = table(spark, sf_dir, "supplier").join(nation, F.col("n_nationkey") == F.col("s_nationkey")).select(F.col("s_name").alias("target_id"), F.col("n_name").alias("site_id"))
+    graph = registry.source_graph(instances, sites, targets)
+    return graph.select("instance_id", F.array_join("sites", ",").alias("sites"), F.array_join("targets", ",").alias("targets"))
+
+
+@query("SELECT conv_id, arg_max(role, turn) AS role, max(turn) AS turn FROM conversations GROUP BY conv_id")
+def rows_last_by_id(spark, sf_dir):
+    return registry.last_by_id(table(spark, sf_dir, "conversations").select("conv_id", "role", "turn"), "conv_id", "turn")
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS value FROM events")
+def json_pointer_field(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", registry.pointed(F.col("props"), "/k").alias("value"))
+
+
+@query("SELECT o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 25 OFFSET 50")
+def deterministic_slice(spark, sf_dir):
+    return registry.slice_of(table(spark, sf_dir, "orders"), ["o_totalprice", "o_orderkey"], 50, 25).select("o_orderkey")
+
+
+@query("""SELECT conv_id AS site_id, count(*) AS pages, CAST(sum(length(text)) AS BIGINT) AS rows, max(turn) + 1 = count(*) AND count(DISTINCT text) = count(*) AS complete
+FROM conversations GROUP BY conv_id""")
+def site_totals(spark, sf_dir):
+    pages = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("site_id"), F.col("turn").alias("page"), F.length("text").alias("rows"), F.sha2("text", 256).alias("fingerprint"))
+    return registry.site_totals(pages)
+
+
+@query("""WITH a AS (SELECT l_orderkey AS site_id, count(*) AS n FROM lineitem GROUP BY 1), b AS (SELECT l_orderkey AS site_id, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1)
+SELECT o_orderkey AS site_id, coalesce(a.n, 0) AS rows_now, coalesce(b.n, 0) AS rows_before, coalesce(a.n, 0) - coalesce(b.n, 0) AS delta, CAST(NULL AS DOUBLE) AS coverage
+FROM orders LEFT JOIN a ON a.site_id = o_orderkey LEFT JOIN b ON b.site_id = o_orderkey""")
+def site_progress(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "site_id")
+    by = lambda df: df.groupBy("site_id").agg(F.count("*").alias("rows"))
+    return registry.progress(table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "site_id"), by(lines), by(lines.where("l_returnflag = 'A'")))
+
+
+@query("""SELECT side, n_name FROM (SELECT 'missing' AS side, n_name FROM (SELECT n_name, n_regionkey FROM nation EXCEPT ALL SELECT n_name, CASE WHEN n_regionkey = 1 THEN 0 ELSE n_regionkey END FROM nation)
+UNION ALL SELECT 'extra', n_name FROM (SELECT n_name, CASE WHEN n_regionkey = 1 THEN 0 ELSE n_regionkey END AS r FROM nation EXCEPT ALL SELECT n_name, n_regionkey FROM nation))""")
+def mapping_difference(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
+    moved = n.withColumn("n_regionkey", F.when(F.col("n_regionkey") == 1, 0).otherwise(F.col("n_regionkey")))
+    return registry.same_mapping(moved, n).select("side", "n_name")
+
+
 # --- archived pages ----------------------------------------------------------
 
 
