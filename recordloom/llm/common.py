@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -49,7 +53,7 @@ def materialise(df: DataFrame, label: str, through: Callable | None = None, sche
     Where Arrow does not know the folder's scheme, Spark's own writer is used.
     """
     path, spark = scratch(df.sparkSession, label), df.sparkSession
-    shape = T._parse_datatype_string(schema) if schema else df.schema
+    shape = T.StructType.fromDDL(schema) if schema else df.schema
     try:
         make_dir(path)
     except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
@@ -86,6 +90,8 @@ def _parquet_writer(path: str, layout: pa.Schema, through: Callable | None):
         if out:
             out[1].close()
             out[0].publish()
+        del held, out
+        trim()
         yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64())], ["rows"])
 
     return run
@@ -152,6 +158,31 @@ class AtomicFile:
             self.fs.delete_file(self.part)
 
 
+def trim() -> None:
+    """Give freed memory back to the system: workers stay alive between tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(run: Callable) -> Callable:
+    """A worker function for ``mapInArrow`` that first drops what other operators cached in
+    the worker, and trims its memory when it ends."""
+
+    def leaner(batches):
+        tokens = sys.modules.get(f"{__package__}.tokens")
+        if tokens:
+            tokens.forget()
+        gc.collect()
+        trim()
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return leaner
+
+
 def batch_of(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     """Record batch of plain columns in the order of ``schema``."""
     arrays = []

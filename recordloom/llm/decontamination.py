@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import ALNUM, batch_words
-from .common import batch_of, materialise, text_key
+from .common import batch_of, lean, materialise, text_key
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
@@ -152,8 +152,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_b
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()
         tests = spark.sparkContext.broadcast(TestSet([(r["item_id"], r["text"]) for r in block], window))
         if n_blocks == 1:
-            return source.mapInArrow(_scan(tests), _DDL).drop("row_id")
-        passes.append(materialise(source, "suffix-hits", _scan(tests), _DDL))
+            return source.mapInArrow(lean(_scan(tests)), _DDL).drop("row_id")
+        passes.append(materialise(source, "suffix-hits", lean(_scan(tests)), _DDL))
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import blocks, distinct_pairs, mix, sequence_hashes, shingles, words
-from .common import batch_of, materialise
+from .common import batch_of, lean, materialise
 from .graph import connected_components
 
 REGISTERS = 640
@@ -195,7 +195,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     heads = members.select("hub", "salt").distinct().select("hub", "salt", F.col("hub").alias("node"))
     rows = members.unionByName(heads).join(texts, "node").select("hub", "salt", "node", "n", "registers", "text")
     rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("hub") != F.col("node"))
-    return materialise(rows, "links", _verify, "a bigint, b bigint")
+    return materialise(rows, "links", lean(_verify), "a bigint, b bigint")
 
 
 def _between(batches):
@@ -240,17 +240,17 @@ def _cross_pairs(live: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFra
     rows = rows.select("bucket", "node", "component", "block", other).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block")
     rows = rows.join(texts.select("node", "n", "registers"), "node").select("bucket", "i", "j", "node", "component", "n", "block", "registers")
     rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    return rows.mapInArrow(_between, "node bigint, hub bigint").distinct()
+    return rows.mapInArrow(lean(_between), "node bigint, hub bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept (doc_id is the component's), content (text key)."""
     text = F.col(text_col)
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("content"), text.alias("text"))
-    rows = materialise(source, "sketches", _sketches, "doc_id bigint, content bigint, node bigint, n bigint, registers binary")
+    rows = materialise(source, "sketches", lean(_sketches), "doc_id bigint, content bigint, node bigint, n bigint, registers binary")
     named = rows.where("registers is not null")
     nodes = materialise(named.groupBy("node").agg(F.max(F.struct("doc_id", "content")).alias("at"), F.max("n").alias("n"), F.max("registers").alias("registers")), "nodes")
-    bands = nodes.select("node", "registers").mapInArrow(_bands, "bucket bigint, node bigint")
+    bands = nodes.select("node", "registers").mapInArrow(lean(_bands), "bucket bigint, node bigint")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     live = materialise(bands.join(shared, "bucket").select("bucket", "node", "size"), "buckets")
 

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Block, blocks, prefix_hash, range_hash
-from .common import batch_of, materialise, text_key
+from .common import batch_of, lean, materialise, text_key
 
 WINDOW = 400
 SYMBOL = 100
@@ -282,9 +282,9 @@ def _level(docs: DataFrame, occurrences: DataFrame, window: int, last: bool) ->
     holders = docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, (docs["content"] == keys["content"]) & docs["doc_id"].eqNullSafe(keys["at_id"]), "left_semi")
     wanted = compared.groupBy("content", F.col("doc_id").alias("at_id")).agg(F.collect_list(F.struct("anchor", "string", "weight", "start", "windows")).alias("wanted"))
     texts = holders.select("content", "doc_id", "text").join(wanted, (holders["content"] == wanted["content"]) & holders["doc_id"].eqNullSafe(wanted["at_id"])).select("text", "wanted")
-    parts = texts.mapInArrow(_cut_strings(window), "anchor bigint, string bigint, weight bigint, bytes binary")
+    parts = texts.mapInArrow(lean(_cut_strings(window)), "anchor bigint, string bigint, weight bigint, bytes binary")
     parts = parts.repartition("anchor").sortWithinPartitions("anchor")
-    merged = materialise(parts, "repeated-windows", _merge_task(window), "anchor bigint, string bigint, from array<int>, to array<int>")
+    merged = materialise(parts, "repeated-windows", lean(_merge_task(window)), "anchor bigint, string bigint, from array<int>, to array<int>")
 
     found = occurrences.join(sure.unionByName(merged), ["anchor", "string"]).select("content", "start", F.explode(F.arrays_zip("from", "to")).alias("r"))
     spans = found.select("content", (F.col("start") + F.col("r.from")).alias("a"), (F.col("start") + F.col("r.to") + (window - 1)).alias("b")).distinct()
@@ -303,7 +303,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     columns, every, ranges = "anchor bigint, string bigint, content bigint, doc_id bigint, start bigint, windows bigint, multi int", None, None
     for share in GRAMS:
         source = docs.select("doc_id", "content", "text") if ranges is None else _by_content(docs, ranges).select("doc_id", "content", "text", "ranges")
-        occurrences = materialise(source, "strings", _strings_of(window, max(1, int(share * window))), columns)
+        occurrences = materialise(source, "strings", lean(_strings_of(window, max(1, int(share * window)))), columns)
         spans, ranges = _level(docs, occurrences, window, share == GRAMS[-1])
         every = spans if every is None else every.unionByName(spans)
         if ranges is None:
@@ -351,7 +351,7 @@ def _with_spans(source: DataFrame, window: int) -> DataFrame:
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("content"), F.col(text_col).alias("text"))
-    return _with_spans(source, window).select("doc_id", "text", "spans").mapInArrow(_digests, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return _with_spans(source, window).select("doc_id", "text", "spans").mapInArrow(lean(_digests), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -363,5 +363,5 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     # the columns travel in a struct, so that none can clash with those used here
     source = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("content"), F.col("text").alias("text"))
     joined = _with_spans(source, window).select("doc.*", F.col("spans").alias(f"spans_{uuid.uuid4().hex}"))
-    out = joined.mapInArrow(_cut_column(docs.columns.index("text")), docs.schema)
+    out = joined.mapInArrow(lean(_cut_column(docs.columns.index("text"))), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -22,7 +22,7 @@ import re
 
 import numpy as np
 
-CACHE_ENTRIES = 1 << 21
+CACHE_ENTRIES = 5 << 18
 _SPACES = b" \t\n\r\x0b\x0c"
 
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0  -     　᠎​﻿]")
@@ -124,6 +124,11 @@ def _byte_level(spec: dict) -> bool:
 _encoders: dict[str, Encoder] = {}
 
 
+def forget() -> None:
+    """Drop the worker's encoders and their caches."""
+    _encoders.clear()
+
+
 def encoder(path: str) -> Encoder:
     """One encoder per worker process and file."""
     if path not in _encoders:
