@@ -44,7 +44,7 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 SLACK = 4 * (0.75 * 0.25 / REGISTERS) ** 0.5
 PER_TASK = 256
-BLOCK = 512
+BLOCK = 2048
 BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
@@ -142,15 +142,18 @@ def _made(doc, hashes, n_docs):
         yield from registers(doc[part] - at, hashes[part], min(DOCS, n_docs - at))
 
 
+def buckets_of(regs: np.ndarray) -> np.ndarray:
+    """Bucket per band of register rows: four 16-bit registers fill 64 bits, mixed with the band's number."""
+    values = np.ascontiguousarray(regs[:, : BANDS * BAND]).view(np.uint64)
+    return mix(mix(values) + np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD).view(np.int64)
+
+
 def _bands(batches):
-    """Band values: four 16-bit registers fill 64 bits, mixed with the band's number."""
     schema = pa.schema([("bucket", pa.int64()), ("node", pa.int64())])
-    each = np.arange(1, BANDS + 1, dtype=np.uint64) * _GOLD
     for batch in batches:
         if batch.num_rows:
-            rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(batch.num_rows, -1)[:, :BANDS]
-            buckets = mix(mix(rows) + each)
-            yield batch_of({"bucket": buckets.ravel().view(np.int64), "node": np.repeat(batch.column(0).to_numpy(), len(each))}, schema)
+            rows = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(batch.num_rows, -1)
+            yield batch_of({"bucket": buckets_of(rows).ravel(), "node": np.repeat(batch.column(0).to_numpy(), BANDS)}, schema)
 
 
 def _compared(a: np.ndarray, b: np.ndarray):
@@ -199,18 +202,22 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _between(batches):
-    """Rows sorted by (bucket, i, j): pairs of different components that the likelihood lets pass."""
+    """Rows sorted by (bucket, i, j): pairs of different components that the likelihood lets
+    pass, each in the first bucket that it shares."""
     schema = pa.schema([("node", pa.int64()), ("hub", pa.int64())])
 
     def pairs(rows):
         node, comp, size, block, regs = (np.array(x) for x in zip(*((r[3], r[4], r[5], r[6], np.frombuffer(r[7], np.uint16)) for r in rows), strict=True))
-        i, j = rows[0][1], rows[0][2]
+        bucket, i, j = rows[0][:3]
+        shared = buckets_of(np.stack(regs))
+        band = int(np.flatnonzero((shared == bucket).all(axis=0))[0])
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         out_a, out_b = [], []
         for at, x in enumerate(left.tolist()):
             others = right[at + 1 :] if i == j else right
             others = others[comp[others] != comp[x]]
             if len(others):
+                others = others[~(shared[others, :band] == shared[x, :band]).any(axis=1)]
                 passed = others[plausible(size[x], size[others], *_compared(regs[x], regs[others]))]
                 out_a += np.minimum(node[passed], node[x]).tolist()
                 out_b += np.maximum(node[passed], node[x]).tolist()
