@@ -29,7 +29,7 @@ from .blocks import ALNUM, batch_words
 from .common import batch_of, lean, materialise, text_key
 
 WINDOW = 13
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 4 << 20
 
 
 class TestSet:

@@ -187,7 +187,7 @@ def _verify(batches):
         yield batch_of({"a": a, "b": b}, schema)
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, sketches: DataFrame) -> DataFrame:
     """Pairs (node, hub) whose full sets are similar enough: a, b.
 
     Members of a hub are dealt over salted groups of about ``PER_TASK``; the hub's
@@ -196,7 +196,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     load = pairs.groupBy("hub").agg(F.ceil(F.count("*") / PER_TASK).alias("salts"))
     members = pairs.join(load, "hub").select("hub", F.pmod(F.xxhash64("node"), "salts").alias("salt"), "node")
     heads = members.select("hub", "salt").distinct().select("hub", "salt", F.col("hub").alias("node"))
-    rows = members.unionByName(heads).join(texts, "node").select("hub", "salt", "node", "n", "registers", "text")
+    rows = members.unionByName(heads).join(texts, "node").join(sketches, "node").select("hub", "salt", "node", "n", "registers", "text")
     rows = rows.repartition("hub", "salt").sortWithinPartitions("hub", "salt", F.col("hub") != F.col("node"))
     return materialise(rows, "links", lean(_verify), "a bigint, b bigint")
 
@@ -238,14 +238,14 @@ def _between(batches):
         yield batch_of({"node": a, "hub": b}, schema)
 
 
-def _cross_pairs(live: DataFrame, parts: DataFrame, texts: DataFrame) -> DataFrame:
+def _cross_pairs(live: DataFrame, parts: DataFrame, sketches: DataFrame) -> DataFrame:
     """Plausible pairs (node, hub) between different components of one bucket."""
     placed = live.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x <> y").select("bucket", F.ceil(F.col("size") / BLOCK).alias("blocks"))
     rows = placed.join(mixed, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other")
     rows = rows.select("bucket", "node", "component", "block", other).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block")
-    rows = rows.join(texts.select("node", "n", "registers"), "node").select("bucket", "i", "j", "node", "component", "n", "block", "registers")
+    rows = rows.join(sketches, "node").select("bucket", "i", "j", "node", "component", "n", "block", "registers")
     rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
     return rows.mapInArrow(lean(_between), "node bigint, hub bigint").distinct()
 
@@ -263,18 +263,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     company = live.groupBy("node").agg(F.sum("size").alias("company"))
     involved = company.count()
-    wanted = nodes.join(company.select("node"), "node", "left_semi").select("node", F.col("at.doc_id").alias("at_id"), F.col("at.content").alias("content"), "n", "registers")
+    chosen = nodes.join(company.select("node"), "node", "left_semi")
+    sketches = materialise(chosen.select("node", "n", "registers"), "candidate-sketches")
+    wanted = chosen.select("node", F.col("at.doc_id").alias("at_id"), F.col("at.content").alias("content"))
     if involved <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
-    texts = source.join(wanted, (source["content"] == wanted["content"]) & source["doc_id"].eqNullSafe(F.col("at_id"))).select("node", "n", "registers", "text")
+    texts = source.join(wanted, (source["content"] == wanted["content"]) & source["doc_id"].eqNullSafe(F.col("at_id"))).select("node", "text")
     texts = materialise(texts, "candidate-texts")
 
     hubs = live.join(company, "node").groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("top")).select("bucket", F.col("top.node").alias("hub"))
     stars = live.join(hubs, "bucket").where("node <> hub").select("node", "hub").distinct()
-    links = verified(stars, texts)
+    links = verified(stars, texts, sketches)
     parts = materialise(connected_components(links), "parts")
-    cross = _cross_pairs(live, parts, texts)
-    more = verified(materialise(cross, "cross-pairs"), texts)
+    cross = _cross_pairs(live, parts, sketches)
+    more = verified(materialise(cross, "cross-pairs"), texts, sketches)
     parts = connected_components(links.unionByName(more))
 
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
