@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-ROW_GROUP_BYTES = 16 << 20
+ROW_GROUP_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+TEXT_ROWS = 2048
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -59,9 +61,15 @@ def materialise(df: DataFrame, label: str, through: Callable | None = None, sche
     except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
         (df.mapInArrow(through, schema) if through else df).write.option("compression", "zstd").parquet(path)
         return spark.read.schema(shape).parquet(path)
-    layout = to_arrow_schema(shape)
-    written = df.mapInArrow(_parquet_writer(path, layout, through), "rows bigint")
-    written.agg(F.sum("rows")).collect()
+    written = df.mapInArrow(_parquet_writer(path, to_arrow_schema(shape), through), "rows bigint")
+    # whole texts pass through: smaller batches bound the memory of both sides
+    held = spark.conf.get(BATCH_SETTING)
+    if through:
+        spark.conf.set(BATCH_SETTING, str(min(int(held), TEXT_ROWS)))
+    try:
+        written.agg(F.sum("rows")).collect()
+    finally:
+        spark.conf.set(BATCH_SETTING, held)
     return spark.read.schema(shape).parquet(path)
 
 
