@@ -263,9 +263,10 @@ def merged_spans(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _by_content(docs: DataFrame, keys: DataFrame, how: str = "inner") -> DataFrame:
-    """Documents joined with rows per content; few rows are broadcast, more are shuffled."""
-    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "content", how)
+def _by_content(docs: DataFrame, lists: DataFrame, column: str, how: str = "inner") -> DataFrame:
+    """Documents joined with lists per content; few list entries in all are broadcast, more are shuffled."""
+    entries = lists.agg(F.sum(F.size(column) + 1)).first()[0] or 0
+    return docs.join(F.broadcast(lists) if entries <= BROADCAST_ROWS else lists, "content", how)
 
 
 def _level(docs: DataFrame, occurrences: DataFrame, window: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
@@ -302,7 +303,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """
     columns, every, ranges = "anchor bigint, string bigint, content bigint, doc_id bigint, start bigint, windows bigint, multi int", None, None
     for share in GRAMS:
-        source = docs.select("doc_id", "content", "text") if ranges is None else _by_content(docs, ranges).select("doc_id", "content", "text", "ranges")
+        source = docs.select("doc_id", "content", "text") if ranges is None else _by_content(docs, ranges, "ranges").select("doc_id", "content", "text", "ranges")
         occurrences = materialise(source, "strings", lean(_strings_of(window, max(1, int(share * window)))), columns)
         spans, ranges = _level(docs, occurrences, window, share == GRAMS[-1])
         every = spans if every is None else every.unionByName(spans)
@@ -345,7 +346,7 @@ def _cut_column(place):
 
 def _with_spans(source: DataFrame, window: int) -> DataFrame:
     spans = materialise(repeated_spans(source.select("doc_id", "content", "text"), window), "removal-spans")
-    return _by_content(source, spans, "left").drop("content")
+    return _by_content(source, spans, "spans", "left").drop("content")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
