@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import decontamination, near_dedup, packing, quality_rules, substring_dedup
-from recordloom.llm.common import few_files, rows_of_keys, scratch, text_key
+from recordloom.llm.common import few_files, materialise_native, rows_of_keys, scratch, text_key
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     verdicts = quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels"))
-    return few_files(rows_of_keys(docs, verdicts.where("not kept"), {"content": text_key(F.col("text"))}, "left_anti"))
+    return few_files(rows_of_keys(docs, verdicts.where("not kept"), {"content": text_key(F.col("text"))}, "left_anti", materialise_native))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

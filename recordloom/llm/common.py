@@ -229,14 +229,14 @@ def frequent_from(df: DataFrame, count: str, limit: int) -> int:
 BROADCAST_ROWS = 1_000_000
 
 
-def rows_of_keys(docs: DataFrame, keys: DataFrame, columns: dict, how: str) -> DataFrame:
+def rows_of_keys(docs: DataFrame, keys: DataFrame, columns: dict, how: str, write: Callable = materialise) -> DataFrame:
     """Rows of ``docs`` whose keys are (``left_semi``) or are not (``left_anti``) among ``keys``.
 
     ``columns`` maps a column of ``keys`` to the expression over ``docs`` that it is compared
     with, null equal to null. Keys are counted first: up to ``BROADCAST_ROWS`` are broadcast,
-    more are joined by shuffle.
+    more are joined by shuffle. ``write`` is ``materialise_native`` in native stages.
     """
-    keys = materialise(keys.select(*columns).distinct(), "keys")
+    keys = write(keys.select(*columns).distinct(), "keys")
     names = {c: f"key_{uuid.uuid4().hex}" for c in columns}
     right = keys.select(*[F.col(c).alias(n) for c, n in names.items()])
     if keys.count() <= BROADCAST_ROWS:
