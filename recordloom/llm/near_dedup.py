@@ -44,7 +44,7 @@ SHINGLE = 5
 NUMERATOR, DENOMINATOR = 75, 100
 SLACK = 4 * (0.75 * 0.25 / REGISTERS) ** 0.5
 PER_TASK = 256
-BLOCK = 2048
+BLOCK = 1024
 BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
