@@ -46,10 +46,10 @@ WINDOW = 400
 SYMBOL = 100
 GRAMS = (0.08, 0.5, 0.9, 0.99, 1.0)
 HOT_STRINGS = 256
-MERGE_BYTES = 1 << 20
+MERGE_BYTES = 1 << 18
 SHARDS = 4
 CHUNK = 1 << 20
-ANCHOR_BYTES = 1 << 19
+ANCHOR_BYTES = 1 << 18
 BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
