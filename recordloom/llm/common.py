@@ -24,15 +24,22 @@ BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXT_ROWS = 2048
 
 
+_own_roots: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where it is unset (plain local sessions) a temporary folder takes its place.
+    Where it is unset, a local session gets a temporary folder of its own; a cluster
+    has to name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="recordloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _own_roots.setdefault(context.applicationId, "") or tempfile.mkdtemp(prefix="recordloom-")
+        _own_roots[context.applicationId] = root
     return root.rstrip("/")
 
 

@@ -244,3 +244,15 @@ def test_pu_prior_and_fit_separate():
 
 def test_crc_of_ids_is_of_32_bit_numbers():
     assert zlib.crc32(np.array([1, 2], "<u2").astype("<u4").tobytes()) == zlib.crc32(b"\1\0\0\0\2\0\0\0")
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    from types import SimpleNamespace
+
+    from recordloom.llm import common
+
+    session = lambda master, root=None: SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: root), sparkContext=SimpleNamespace(master=master, applicationId="a"))
+    assert common.shared_root(session("spark://x", "hdfs://y/z/")) == "hdfs://y/z"
+    assert common.shared_root(session("local[2]")) == common.shared_root(session("local[2]"))
+    with pytest.raises(ValueError):
+        common.shared_root(session("yarn"))
