@@ -45,7 +45,7 @@ from .common import batch_of, lean, materialise, text_key
 WINDOW = 400
 SYMBOL = 100
 GRAMS = (0.08, 0.5, 0.9, 0.99, 1.0)
-HOT_STRINGS = 256
+HOT_STRINGS = 4096
 MERGE_BYTES = 1 << 18
 SHARDS = 4
 CHUNK = 1 << 20
