@@ -10,9 +10,10 @@ probabilities of all words and these outcomes sum to one.
 
 1. Counts of all training tokens: partial counts per task, one shuffle.
 2. Distributed gradient updates, from the training shares as biases: in each round every task starts from the current
-   tables, runs Adagrad over its documents (a fixed share of positions, by hash)
-   and emits its changes in blocks of rows; per block the changes are averaged,
-   weighted by the updates of each row. Tables have a fixed size.
+   tables, runs Adagrad over its documents and emits its changes in blocks of rows;
+   per block the changes are averaged, weighted by the updates of each row. A hash
+   deals the positions to the rounds, so that all rounds together are one pass over
+   every training position. Tables have a fixed size.
 3. Scoring in sparse numpy batches. Counts of the most frequent words travel to the
    tasks (at most ``hot_limit``); the rest, rare and so without hot keys, is joined
    by word, and only needs the sum of log10(count + 1) per document.
@@ -39,11 +40,11 @@ CLASS_ROWS = 1 << 14
 SLOT_ROWS = 1 << 15
 FEATURES = 5
 ROUNDS = 2
-SHARE = 8
 BATCH = 4096
 RATE = 0.5
 HOT_LIMIT = 1 << 18
 ROW_BLOCK = 1 << 10
+SHORT = 16
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -116,20 +117,25 @@ def rows_of(feature: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return (feature % _U(CLASS_ROWS)).astype(np.int64), (slot % _U(SLOT_ROWS)).astype(np.int64) + CLASS_ROWS
 
 
-def log_softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = table[rows[:, 0]]
+def scores(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the features' rows, less the greatest of each place."""
+    z = table.take(rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
-        z = z + table[rows[:, k]]
+        z += table.take(rows[:, k], axis=0)
     z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
+
+
+def softmax(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    z = scores(table, rows)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
 
 
 def log_probability(table: np.ndarray, rows: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural logarithm of the softmax at ``target``."""
-    z = table[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        z += table[rows[:, k]]
-    z -= z.max(axis=1, keepdims=True)
+    z = scores(table, rows)
     chosen = z[np.arange(len(target)), target].astype(np.float64)
     return chosen - np.log(np.exp(z, out=z).sum(axis=1, dtype=np.float64))
 
@@ -146,22 +152,45 @@ def new_tables(mass: np.ndarray) -> np.ndarray:
     return table
 
 
+def row_sums(grad: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct table rows of a batch, how often each occurs, and the sum of its gradients."""
+    flat = rows.ravel()
+    order = np.argsort(flat.astype(np.uint16) if CLASS_ROWS + SLOT_ROWS <= 1 << 16 else flat, kind="stable")
+    which, place = flat[order], order // rows.shape[1]
+    at = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
+    n = np.diff(np.append(at, len(which)))
+    longest = np.argsort(-n, kind="stable")
+    at, n = at[longest], n[longest]
+    total = grad.take(place[at], axis=0)
+    # rows that occur often one by one, the others together: their second places, their third ones, ...
+    often = int(np.searchsorted(-n, -SHORT, side="left"))
+    for i in range(often):
+        total[i] = grad.take(place[at[i] : at[i] + n[i]], axis=0).sum(axis=0)
+    for k in range(1, SHORT):
+        end = int(np.searchsorted(-n, -k, side="left"))
+        total[often:end] += grad.take(place[at[often:end] + k], axis=0)
+    return which[at], n, total
+
+
 def update(table: np.ndarray, squares: np.ndarray, touched: np.ndarray, rows: np.ndarray, target: np.ndarray) -> None:
     """One Adagrad step of a softmax on a batch."""
-    grad = np.exp(log_softmax(table, rows))
+    grad = softmax(table, rows)
     grad[np.arange(len(target)), target] -= 1
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    which = flat[order]
-    at = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1]]))
-    rows_hit, n = which[at], np.diff(np.append(at, len(which)))
-    total = np.add.reduceat(grad[order // rows.shape[1]], at, axis=0)
-    mean = total / n[:, None]
-    squares[rows_hit] += (mean * mean).mean(axis=1)
-    table[rows_hit] -= (RATE / rows.shape[1]) * np.minimum(n, 8)[:, None] ** 0.5 * mean / np.sqrt(squares[rows_hit] + 1e-4)[:, None] * 0.25
+    rows_hit, n, mean = row_sums(grad, rows)
+    mean /= n.astype(np.float32)[:, None]
+    squares[rows_hit] += np.einsum("ij,ij->i", mean, mean) / SLOTS
+    pace = (RATE / rows.shape[1]) * np.minimum(n, 8) ** 0.5 / np.sqrt(squares[rows_hit] + 1e-4) * 0.25
+    mean *= pace.astype(np.float32)[:, None]
+    table[rows_hit] -= mean
     touched[rows_hit] += n
 
 
+def in_round(h: np.ndarray, start: np.ndarray, number: int, rounds: int) -> np.ndarray:
+    """Places of the tokens that round ``number`` learns from; each token has one of the rounds, whatever batch it is in."""
+    inside = (np.arange(len(h)) - start).astype(np.uint64)
+    return np.flatnonzero(mix(h + inside * _GOLD) % _U(rounds) == number)
+
+
 def _counts(batches):
     schema = pa.schema([("word", pa.int64()), ("ending", pa.int32()), ("n", pa.int64())])
     for batch in batches:
@@ -175,7 +204,7 @@ def _counts(batches):
             yield batch_of({"word": word.view(np.int64), "ending": np.concatenate(endings)[at], "n": n}, schema)
 
 
-def _gradients(lexicon, tables, number):
+def _gradients(lexicon, tables, number, rounds):
     """One task's changes of the tables, in blocks of rows."""
     schema = pa.schema([("block", pa.int32()), ("change", pa.binary()), ("weight", pa.binary())])
 
@@ -186,8 +215,8 @@ def _gradients(lexicon, tables, number):
             for block in blocks(batch.column(0)):
                 h, ending, first = tokens(block)
                 _, context, cls, slot = lex.look_up(h, ending)
-                chosen = np.flatnonzero(mix(h + np.arange(len(h), dtype=np.uint64) * _GOLD) % _U(SHARE) == number)
                 start = np.repeat(first[:-1], np.diff(first))
+                chosen = in_round(h, start, number, rounds)
                 feature = features(context, start[chosen], chosen)
                 by_class, by_slot = rows_of(feature, cls[chosen])
                 for at in range(0, len(chosen), BATCH):
@@ -217,7 +246,7 @@ def train(training: DataFrame, lexicon, rounds: int = ROUNDS) -> np.ndarray:
     tables = new_tables(lexicon.value.mass)
     for number in range(rounds):
         sent = training.sparkSession.sparkContext.broadcast(tables)
-        changes = few_files(training).mapInArrow(lean(_gradients(lexicon, sent, number)), "block int, change binary, weight binary")
+        changes = few_files(training).mapInArrow(lean(_gradients(lexicon, sent, number, rounds)), "block int, change binary, weight binary")
         tables = tables.copy()
         for row in changes.groupBy("block").applyInPandas(_average, "block int, change binary").collect():
             at = row["block"] * ROW_BLOCK

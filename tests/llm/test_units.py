@@ -226,6 +226,35 @@ def test_lm_update_learns():
     assert before < -3 and maxent_lm.log_probability(table, rows, context).mean() > -1
 
 
+def test_lm_rounds_cover_every_position():
+    from types import SimpleNamespace
+
+    texts = ["one two three two one", None, "", "a b " * 300, "one two three two one"]
+    batch = lambda t: pa.RecordBatch.from_arrays([pa.array(t, pa.string())], ["text"])
+    h, ending, _ = maxent_lm.tokens(next(blocks.blocks(pa.array(texts))))
+    found, at, n = np.unique(h, return_index=True, return_counts=True)
+    rest = {k: (int(n[ending[at] == k].sum()), int((ending[at] == k).sum())) for k in range(maxent_lm.CLASSES)}
+    lex = SimpleNamespace(value=maxent_lm.Lexicon(found, n, ending[at], int(n.sum()), len(found), rest))
+    tables = SimpleNamespace(value=maxent_lm.new_tables(lex.value.mass))
+    for rounds in {1, 3, maxent_lm.ROUNDS}:
+        weight = 0
+        for number in range(rounds):
+            # other batches in each round: a position still has one round
+            dealt = [batch(texts)] if number % 2 else [batch([t]) for t in texts]
+            for out in maxent_lm._gradients(lex, tables, number, rounds)(dealt):
+                weight += np.frombuffer(out.column(2)[0].as_py(), np.float32).sum()
+        assert weight == 2 * maxent_lm.FEATURES * len(h)
+
+
+def test_lm_row_sums():
+    r = np.random.default_rng(2)
+    grad, rows = r.normal(size=(300, maxent_lm.SLOTS)), np.minimum(r.zipf(1.3, (300, 5)), 1000)
+    hit, n, total = maxent_lm.row_sums(grad, rows)
+    want = np.zeros((1001, maxent_lm.SLOTS))
+    np.add.at(want, rows.ravel(), np.repeat(grad, 5, axis=0))
+    assert np.allclose(want[hit], total) and (np.bincount(rows.ravel())[hit] == n).all() and n.sum() == rows.size
+
+
 def test_pu_features_do_not_depend_on_neighbours():
     texts = ["Some words here.", "### $$$ %%%", "", "a a a a a a", "x" * 5000]
     together = np.concatenate([pu_classifier.features(b) for b in blocks.blocks(pa.array(texts))])
