@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordloom.llm import decontamination, near_dedup, packing, quality_rules, substring_dedup
-from recordloom.llm.common import few_files, materialise_native, rows_of_keys, scratch, text_key
+from recordloom.llm.common import few_files, materialise, materialise_native, rows_of_keys, scratch, text_key
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,10 +26,18 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays; rows repeated whole are one document."""
-    kept = near_dedup.near_duplicates(docs).where("kept")
+    """One document of each group of near copies stays; rows repeated whole are one document, of which one row stays."""
+    kept = materialise(near_dedup.near_duplicates(docs).where("kept").select("doc_id", "content"), "kept-keys")
     keys = {"content": text_key(F.col("text")), "doc_id": F.col("doc_id").cast("bigint")}
-    return few_files(rows_of_keys(docs, kept, keys, "left_semi"))
+    counted = kept.groupBy("doc_id", "content").count().where("count > 1").select("doc_id", "content")
+    repeated = materialise(counted, "repeated-rows")
+    found = rows_of_keys(docs, kept, keys, "left_semi")
+    if repeated.isEmpty():
+        return few_files(found)
+    # of repeated rows the least stays; each task sends one row of a group
+    groups = rows_of_keys(found, repeated, keys, "left_semi").groupBy(*[value.alias(f"key_{name}") for name, value in keys.items()])
+    least = groups.agg(F.min(F.struct(*docs.columns)).alias("least")).select("least.*")
+    return few_files(rows_of_keys(found, repeated, keys, "left_anti").unionByName(least))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -364,3 +364,15 @@ def test_pipeline_stages(spark, sf_dir):
     assert packed.select("doc_id").distinct().count() == clean.count()
     assert packed.groupBy("sequence_id").sum("length").agg({"sum(length)": "max"}).first()[0] <= 2048
     assert rows(p.run(spark, sf_dir), "doc_id", "piece", "length", "ids_crc32") == rows(packed, "doc_id", "piece", "length", "ids_crc32")
+
+
+def test_pipeline_keeps_one_of_rows_repeated_whole(spark, sf_dir):
+    import corpus_pipeline as p
+
+    long, other = " ".join(f"word{i}" for i in range(200)), " ".join(f"other{i}" for i in range(200))
+    data = [(1, long, "en", "a")] * 3 + [(2, other, "en", "b"), (None, long[::-1], "en", "d"), (None, long[::-1], "en", "c"), (3, None, "en", "e"), (3, None, "en", "e")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string").repartition(3)
+    single = p.near_dedup_stage(spark, docs, sf_dir).cache()
+    assert single.columns == docs.columns
+    assert rows(single, "doc_id", "text", "source") == sorted([(1, long, "a"), (2, other, "b"), (None, long[::-1], "c"), (3, None, "e")], key=repr)
+    assert rows(p.substring_stage(spark, single, sf_dir), "doc_id", "text") == rows(single, "doc_id", "text")
