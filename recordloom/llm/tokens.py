@@ -9,7 +9,7 @@ where they cannot change the result:
 * byte-level tokenizers before the single space that precedes a word, and
   around white-space runs, as their own pattern does.
 
-A text that holds the string of a special token, or white space outside ASCII
+A text that holds the string of a special token, for lower-casing tokenizers in any case, or white space outside ASCII
 for the byte-level kind, goes through the library whole.
 """
 
@@ -46,6 +46,7 @@ class Encoder:
             spec = json.load(f)
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.special = [t["content"] for t in spec.get("added_tokens") or []]
+        self.special_bytes = [s.encode("utf-8") for s in self.special]
         self.drops_space = _drops_space(spec)
         self.safe = self.drops_space or _byte_level(spec)
         self.young: dict[bytes, bytes] = {}
@@ -60,7 +61,11 @@ class Encoder:
         if not self.safe or any(s in text for s in self.special):
             return None
         if self.drops_space:
-            return text.encode("utf-8").lower().split()
+            lowered = text.encode("utf-8").lower()
+            # the library looks for special strings before it lower-cases
+            if any(s in lowered for s in self.special_bytes):
+                return None
+            return lowered.split()
         if _ODD_SPACE.search(text):
             return None
         return _BYTE_CUT.findall(text.encode("utf-8"))

@@ -32,6 +32,13 @@ def test_encoder_cache_stays_bounded(monkeypatch):
     assert len(enc.young) + len(enc.old) <= 14
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_equals_library_on_special_strings_in_any_case(name):
+    enc = tokens.Encoder(public_tokenizers.path(name))
+    for text in ("a <|ENDOFTEXT|> b", "<|EndOfText|>", "x\n<|StartOfText|>\ty", "<|endoftext|>", "a<|ENDOFTEXT|>b"):
+        assert enc.ids(text).tolist() == enc.whole(text)
+
+
 def test_words_and_shingles():
     texts = ["A b  c\x0bd e f", None, "", " \n ", "one", "x y", "A b c d e f a b c d e f", "é" * 3 + " Ü"]
     for block in blocks.blocks(pa.array(texts), limit=7):
