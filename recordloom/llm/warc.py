@@ -148,6 +148,15 @@ def reachable(offsets: np.ndarray, successors: np.ndarray, size: int) -> np.ndar
     return mark[:n]
 
 
+def _split_of(f, length: int) -> bytes:
+    """A split, and what follows it up to the end of the header of its last record magic."""
+    data = f.read(length + HEADER_BYTES)
+    last = data.rfind(MAGIC, 0, length + len(MAGIC) - 1)
+    while last >= 0 and data.find(b"\r\n\r\n", last) < 0 and (more := f.read(max(HEADER_BYTES, len(data) - last))):
+        data += more
+    return data
+
+
 def _candidates_of(folder):
     schema = pa.schema([("archive", pa.string()), ("n_bytes", pa.int64()), ("offset", pa.int64()), ("successor", pa.int64())])
 
@@ -157,7 +166,7 @@ def _candidates_of(folder):
                 fs, path = filesystem(f"{folder}/{name}")
                 with fs.open_input_file(path) as f:
                     f.seek(start)
-                    found = candidates(f.read(length + HEADER_BYTES), start, length)
+                    found = candidates(_split_of(f, length), start, length)
                 yield batch_of({"archive": [name] * len(found), "n_bytes": [size] * len(found), "offset": [x for x, _ in found], "successor": [y for _, y in found]}, schema)
 
     return run

@@ -222,6 +222,20 @@ def test_lm_probabilities_sum_to_one():
         assert np.isclose((lex.counts[own] + 1).sum() + 1, 10 ** lex.rest_log[k])
 
 
+def test_warc_header_longer_than_the_overhang(tmp_path):
+    urls = ["http://a/1", "http://a/" + "x" * 3 * warc.HEADER_BYTES, "http://a/2", "http://a/" + "y" * 2 * warc.HEADER_BYTES]
+    data, at = b"", []
+    for i, url in enumerate(urls):
+        at.append(len(data))
+        data += warc.record(i, url, b"body" * 40, "0", False, None, "1970-01-01T00:00:00Z")
+    (tmp_path / "a.warc").write_bytes(data)
+    for split in (at[1] + 5, 1000, 8 << 20):
+        starts = list(range(0, len(data), split))
+        batch = pa.RecordBatch.from_pydict({"archive": ["a.warc"] * len(starts), "n_bytes": [len(data)] * len(starts), "start": starts, "length": [split] * len(starts)})
+        found = pa.Table.from_batches(warc._candidates_of(str(tmp_path))([batch]))
+        assert found["offset"].to_pylist() == at and found["successor"].to_pylist() == [*at[1:], len(data)]
+
+
 def test_lm_update_learns():
     table, squares, touched = maxent_lm.new_tables(np.zeros((maxent_lm.CLASSES, maxent_lm.SLOTS))), np.zeros(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS, np.float32), np.zeros(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS)
     context = np.tile([1, 2], 2000)
