@@ -68,6 +68,13 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     return total
 
 
+def prefix_of(values: np.ndarray) -> np.ndarray:
+    """Like ``prefix_hash`` over 64-bit values in place of bytes."""
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * powers(_STEP, len(values)), out=total[1:])
+    return total
+
+
 def range_hash(total: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of the byte ranges [start, end); equal bytes have equal hashes anywhere."""
     back = powers(_STEP_INV, len(total))
@@ -182,10 +189,9 @@ def batch_words(texts: pa.Array, word_bytes: np.ndarray = NON_SPACE) -> tuple[np
     return (np.concatenate(hashes) if hashes else np.empty(0, np.uint64)), np.concatenate(first)
 
 
-def sequence_hashes(w: Words) -> np.ndarray:
-    """64-bit hash of each document's word sequence; 0 for a document without words."""
-    total = np.zeros(len(w.hashes) + 1, np.uint64)
-    np.cumsum(w.hashes * powers(_STEP, len(w.hashes)), out=total[1:])
+def sequence_hashes(w: Words, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each document's word sequence; 0 for a document without words. Seeds give independent hashes."""
+    total = prefix_of(mix(w.hashes + _U(seed)) if seed else w.hashes)
     n = np.diff(w.first)
     back = powers(_STEP_INV, len(total))
     found = mix((total[w.first[1:]] - total[w.first[:-1]]) * back[w.first[:-1]] + n.astype(np.uint64) * _GOLD)

@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 ROW_GROUP_BYTES = 8 << 20
-BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
-TEXT_ROWS = 2048
+BATCH_BYTES = 4 << 20
+BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BROADCAST_BYTES = 32 << 20
 
 
 _own_roots: dict[str, str] = {}
@@ -48,6 +49,23 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH_BYTES`` from here on, whatever the length of texts.
+
+    The setting is only ever lowered, and always to the same value, so that jobs of
+    one session do not disturb each other.
+    """
+    held = str(spark.conf.get(BYTES_SETTING, None)).rstrip("bB")
+    if not (held.isdigit() and int(held) <= BATCH_BYTES):
+        spark.conf.set(BYTES_SETTING, str(BATCH_BYTES))
+
+
+def mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` in batches of bounded bytes, by a worker that holds no other operator's caches."""
+    bounded_batches(df.sparkSession)
+    return df.mapInArrow(lean(run), schema)
+
+
 def materialise(df: DataFrame, label: str, through: Callable | None = None, schema: str | None = None) -> DataFrame:
     """Cut the lineage: write to the shared folder and read back.
 
@@ -60,31 +78,42 @@ def materialise(df: DataFrame, label: str, through: Callable | None = None, sche
     rename, so a repeated task replaces the same file. Arrow writes it, because
     Hadoop's local file system starts a process for every file that it creates.
     Where Arrow does not know the folder's scheme, Spark's own writer is used.
+    ``drop`` deletes the table when nothing needs it any more.
     """
     path, spark = scratch(df.sparkSession, label), df.sparkSession
     shape = T.StructType.fromDDL(schema) if schema else df.schema
+    bounded_batches(spark)
     try:
         make_dir(path)
     except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
         (df.mapInArrow(through, schema) if through else df).write.option("compression", "zstd").parquet(path)
-        return spark.read.schema(shape).parquet(path)
+        return _table(spark, path, shape)
     written = df.mapInArrow(_parquet_writer(path, to_arrow_schema(shape), through), "rows bigint")
-    # whole texts pass through: smaller batches bound the memory of both sides
-    held = spark.conf.get(BATCH_SETTING)
-    if through:
-        spark.conf.set(BATCH_SETTING, str(min(int(held), TEXT_ROWS)))
-    try:
-        written.agg(F.sum("rows")).collect()
-    finally:
-        spark.conf.set(BATCH_SETTING, held)
-    return spark.read.schema(shape).parquet(path)
+    written.agg(F.sum("rows")).collect()
+    return _table(spark, path, shape)
 
 
 def materialise_native(df: DataFrame, label: str) -> DataFrame:
     """Like ``materialise``, by Spark's own writer: no Python runs on the executors."""
     path = scratch(df.sparkSession, label)
-    few_files(df).write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return _table(df.sparkSession, path, df.schema)
+
+
+def _table(spark: SparkSession, path: str, shape: T.StructType) -> DataFrame:
+    table = spark.read.schema(shape).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def drop(*tables: DataFrame | str | None) -> None:
+    """Delete materialised tables, or folders of the shared folder, that no plan will read again."""
+    for table in tables:
+        path = getattr(table, "scratch_path", table)
+        session = SparkSession.getActiveSession()
+        if isinstance(path, str) and session is not None:
+            where = session._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(session._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def _parquet_writer(path: str, layout: pa.Schema, through: Callable | None):
@@ -120,11 +149,6 @@ def _write_group(out, path, layout, held):
     return out
 
 
-def few_files(df: DataFrame) -> DataFrame:
-    """A result of small rows in about two partitions a core, by a narrow coalesce."""
-    return df.coalesce(2 * df.sparkSession.sparkContext.defaultParallelism)
-
-
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     """Arrow file system of a path or URI, and the path inside it."""
     if "://" not in path and not path.startswith("file:"):
@@ -207,9 +231,14 @@ def batch_of(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
-def text_key(column) -> F.col:
-    """64-bit content key of a text column; null counts as empty."""
-    return F.xxhash64(F.coalesce(column, F.lit("")))
+#: Columns that name a text by 128 bits.
+CONTENT = ("content", "content2")
+
+
+def text_keys(column) -> list:
+    """The two 64-bit content keys of a text column, named as in ``CONTENT``; null counts as empty."""
+    text = F.coalesce(column, F.lit(""))
+    return [F.xxhash64(text).alias(CONTENT[0]), F.xxhash64(F.lit(1), text).alias(CONTENT[1])]
 
 
 def frequency_bucket(count) -> F.col:
@@ -233,21 +262,27 @@ def frequent_from(df: DataFrame, count: str, limit: int) -> int:
     return at
 
 
-BROADCAST_ROWS = 1_000_000
+def small_side(table: DataFrame, entries=None, row_bytes: int = 64) -> DataFrame:
+    """``table`` marked for broadcast if it has at most ``BROADCAST_BYTES``, else as it is, for a shuffle join.
+
+    It is counted first: rows of ``row_bytes``, and 32 bytes for each of a row's ``entries`` (a column).
+    """
+    size = F.count("*") * row_bytes
+    if entries is not None:
+        size = size + 32 * F.coalesce(F.sum(entries.cast("bigint")), F.lit(0))
+    return F.broadcast(table) if table.agg(size).first()[0] <= BROADCAST_BYTES else table
 
 
 def rows_of_keys(docs: DataFrame, keys: DataFrame, columns: dict, how: str, write: Callable = materialise) -> DataFrame:
     """Rows of ``docs`` whose keys are (``left_semi``) or are not (``left_anti``) among ``keys``.
 
     ``columns`` maps a column of ``keys`` to the expression over ``docs`` that it is compared
-    with, null equal to null. Keys are counted first: up to ``BROADCAST_ROWS`` are broadcast,
-    more are joined by shuffle. ``write`` is ``materialise_native`` in native stages.
+    with, null equal to null. Keys are counted first: few are broadcast, more are joined by
+    shuffle. ``write`` is ``materialise_native`` in native stages.
     """
     keys = write(keys.select(*columns).distinct(), "keys")
     names = {c: f"key_{uuid.uuid4().hex}" for c in columns}
-    right = keys.select(*[F.col(c).alias(n) for c, n in names.items()])
-    if keys.count() <= BROADCAST_ROWS:
-        right = F.broadcast(right)
+    right = small_side(keys.select(*[F.col(c).alias(n) for c, n in names.items()]))
     same = F.lit(True)
     for c, value in columns.items():
         same = same & value.eqNullSafe(F.col(names[c]))

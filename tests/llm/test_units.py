@@ -1,6 +1,8 @@
 """Building blocks of the corpus operators, without Spark."""
 
+import contextlib
 import random
+from types import SimpleNamespace
 import zlib
 
 import numpy as np
@@ -144,7 +146,7 @@ def test_repeated_windows_against_counting():
         for s, k, n in zip(strings, keys.tolist(), weights.tolist()):
             for i in range(len(s) - 7):
                 seen[k, s[i : i + 8]] = seen.get((k, s[i : i + 8]), 0) + n
-        got = substring_dedup.repeated_windows(strings, keys, weights, window=8, symbol=2, n_shards=3)
+        got = substring_dedup.repeated_windows([np.frombuffer(s, np.uint8) for s in strings], keys, weights, window=8, n_shards=3)
         want = [[seen[k, s[i : i + 8]] > 1 for i in range(len(s) - 7)] for s, k in zip(strings, keys.tolist())]
         assert [m.tolist() for m in got] == want
 
@@ -152,14 +154,15 @@ def test_repeated_windows_against_counting():
 @pytest.mark.parametrize("gram", [32, 200, 399, 400])
 def test_anchors_cover_each_window_once(gram):
     r = random.Random(8)
-    texts = ["".join(r.choice("abc é") for _ in range(n)) for n in (0, 5, 399, 400, 900, 3000)] + ["ab" * 700]
+    texts = ["".join(r.choice("abc é") for _ in range(n)) for n in (0, 5, 399, 400, 900, 3000)] + ["ab" * 700, "x" * 300_000]
     for block in blocks.blocks(pa.array(texts)):
-        s = substring_dedup.anchors(block, 400, gram)
+        s = substring_dedup.anchors(block.data, block.offsets, 400, gram)
         for i in range(block.n_docs):
             n = len(texts[block.first + i].encode())
             own = s["doc"] == i
             covered = [p for a, k in zip(s["start"][own], s["windows"][own]) for p in range(a, a + k)]
             assert covered == list(range(max(0, n - 399)))
+            assert s["windows"].max(initial=0) <= substring_dedup.RUN * 400
 
 
 def test_suffix_array_matches_naive_search():
@@ -207,19 +210,30 @@ def test_lm_probabilities_sum_to_one():
     for c in range(maxent_lm.CLASSES):
         cls = np.full(3, c)
         by_class, by_slot = maxent_lm.rows_of(feature, cls)
-        p = np.exp(maxent_lm.log_probability(table, by_class, cls))
+        p = np.exp(maxent_lm.Softmax(table).log_probability(by_class, cls))
         for s in range(maxent_lm.SLOTS):
-            total += p * np.exp(maxent_lm.log_probability(table, by_slot, np.full(3, s)))
+            total += p * np.exp(maxent_lm.Softmax(table).log_probability(by_slot, np.full(3, s)))
     assert np.allclose(total, 1, atol=1e-4)
-    # inside an open slot: (count + 1) over tokens + words + 1, so known words and one unseen outcome fill it
-    hashes = np.arange(1, 2001, dtype=np.uint64)
-    counts, endings = np.arange(2000, 0, -1), np.arange(2000) % maxent_lm.CLASSES
-    rest = {k: (int(counts[endings == k].sum()), int((endings == k).sum())) for k in range(maxent_lm.CLASSES)}
-    lex = maxent_lm.Lexicon(hashes, counts, endings, int(counts.sum()), 2000, rest)
-    open_words = lex.slot == maxent_lm.SLOTS - 1
-    for k in range(maxent_lm.CLASSES):
-        own = open_words & (lex.cls == k)
-        assert np.isclose((lex.counts[own] + 1).sum() + 1, 10 ** lex.rest_log[k])
+    # inside a shared slot: (count + 1) over tokens + words + 1, so known words and one unseen outcome fill it
+    hashes = np.arange(1, 5001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    counts, endings = np.arange(5000, 0, -1), np.arange(5000) % maxent_lm.CLASSES
+    cells = _cells(hashes, counts, endings)
+    lex = maxent_lm.Lexicon(hashes, counts, endings, int(counts.sum()), 5000, cells)
+    shared, filled = lex.slot >= maxent_lm.SINGLE, 0
+    assert (~shared).sum() == maxent_lm.CLASSES * maxent_lm.SINGLE
+    for c, k in set(zip(lex.cls[shared].tolist(), lex.slot[shared].tolist())):
+        own = (lex.cls == c) & (lex.slot == k)
+        assert np.isclose((lex.counts[own] + 1).sum() + 1, 10 ** lex.rest_log[c, k])
+        filled += lex.counts[own].sum()
+    assert lex.mass.sum() == counts.sum() and lex.mass[:, maxent_lm.SINGLE :].sum() == filled
+
+
+def _cells(hashes, counts, endings):
+    cells = {}
+    for e, k, n in zip(endings.tolist(), maxent_lm.rest_slot(hashes).tolist(), counts.tolist()):
+        had = cells.get((e, k), (0, 0))
+        cells[e, k] = (had[0] + n, had[1] + 1)
+    return cells
 
 
 def test_warc_header_longer_than_the_overhang(tmp_path):
@@ -236,44 +250,52 @@ def test_warc_header_longer_than_the_overhang(tmp_path):
         assert found["offset"].to_pylist() == at and found["successor"].to_pylist() == [*at[1:], len(data)]
 
 
-def test_lm_update_learns():
-    table, squares, touched = maxent_lm.new_tables(np.zeros((maxent_lm.CLASSES, maxent_lm.SLOTS))), np.zeros(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS, np.float32), np.zeros(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS)
-    context = np.tile([1, 2], 2000)
-    feature = maxent_lm.features(context, np.zeros(4000, int), np.arange(4000))
-    rows, _ = maxent_lm.rows_of(feature, context)
-    before = maxent_lm.log_probability(table, rows, context).mean()
-    for _ in range(30):
-        maxent_lm.update(table, squares, touched, rows, context)
-    assert before < -3 and maxent_lm.log_probability(table, rows, context).mean() > -1
-
-
-def test_lm_rounds_cover_every_position():
-    from types import SimpleNamespace
-
+def test_lm_counts_cover_every_position_whatever_the_batches():
     texts = ["one two three two one", None, "", "a b " * 300, "one two three two one"]
     batch = lambda t: pa.RecordBatch.from_arrays([pa.array(t, pa.string())], ["text"])
     h, ending, _ = maxent_lm.tokens(next(blocks.blocks(pa.array(texts))))
     found, at, n = np.unique(h, return_index=True, return_counts=True)
-    rest = {k: (int(n[ending[at] == k].sum()), int((ending[at] == k).sum())) for k in range(maxent_lm.CLASSES)}
-    lex = SimpleNamespace(value=maxent_lm.Lexicon(found, n, ending[at], int(n.sum()), len(found), rest))
-    tables = SimpleNamespace(value=maxent_lm.new_tables(lex.value.mass))
-    for rounds in {1, 3, maxent_lm.ROUNDS}:
-        weight = 0
-        for number in range(rounds):
-            # other batches in each round: a position still has one round
-            dealt = [batch(texts)] if number % 2 else [batch([t]) for t in texts]
-            for out in maxent_lm._gradients(lex, tables, number, rounds)(dealt):
-                weight += np.frombuffer(out.column(2)[0].as_py(), np.float32).sum()
-        assert weight == 2 * maxent_lm.FEATURES * len(h)
-
-
-def test_lm_row_sums():
-    r = np.random.default_rng(2)
-    grad, rows = r.normal(size=(300, maxent_lm.SLOTS)), np.minimum(r.zipf(1.3, (300, 5)), 1000)
-    hit, n, total = maxent_lm.row_sums(grad, rows)
-    want = np.zeros((1001, maxent_lm.SLOTS))
-    np.add.at(want, rows.ravel(), np.repeat(grad, 5, axis=0))
-    assert np.allclose(want[hit], total) and (np.bincount(rows.ravel())[hit] == n).all() and n.sum() == rows.size
+    lex = SimpleNamespace(value=maxent_lm.Lexicon(found, n, ending[at], int(n.sum()), len(found), _cells(found, n, ending[at])))
+
+    def total(dealt, tables):
+        tables = None if tables is None else SimpleNamespace(value=tables)
+        out = np.zeros((maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS) * maxent_lm.SLOTS)
+        with _task():
+            parts = [row for part in dealt for row in maxent_lm._gathered(lex, tables)([part])]
+        for part in maxent_lm._added(sorted(parts, key=lambda r: r.column(1)[0].as_py())):
+            at = part.column(1)[0].as_py() * maxent_lm.ROW_BLOCK * maxent_lm.SLOTS
+            out[at : at + maxent_lm.ROW_BLOCK * maxent_lm.SLOTS] = maxent_lm._unpacked(part.column(2)[0].as_py())
+        return out.reshape(-1, maxent_lm.SLOTS)
+
+    observed = total([batch(texts)], None)
+    table = maxent_lm.first_tables(lex.value.mass, observed)
+    for tables in (None, table):
+        one, many = total([batch(texts)], tables), total([batch([t]) for t in texts], tables)
+        assert (one == many).all()
+        assert tables is not None or one.sum() == 2 * maxent_lm.FEATURES * len(h)
+
+
+@contextlib.contextmanager
+def _task():
+    """A task context for functions that ask for their partition."""
+    held = maxent_lm.TaskContext
+    maxent_lm.TaskContext = SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0))
+    try:
+        yield
+    finally:
+        maxent_lm.TaskContext = held
+
+
+def test_lm_samples_weigh_as_the_softmax():
+    r = np.random.default_rng(5)
+    table = r.normal(size=(maxent_lm.CLASS_ROWS + maxent_lm.SLOT_ROWS, maxent_lm.SLOTS)).astype(np.float32)
+    n, ask = 400_000, maxent_lm.Proposals(r.random((maxent_lm.CLASSES, maxent_lm.SLOTS)) + 0.3)
+    rows, target = np.tile(r.integers(0, maxent_lm.CLASS_ROWS, 5), (n, 1)), r.integers(0, maxent_lm.SLOTS, n)
+    want = np.exp([maxent_lm.Softmax(table).log_probability(rows[:1], np.array([k]))[0] for k in range(maxent_lm.SLOTS)])
+    for kind in (0, 7):
+        outcome, weight = maxent_lm.Softmax(table).sampled(rows, target, np.full(n, kind), ask, r.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) * (r.random(n) < 0.5).astype(np.uint64))
+        got = np.bincount(outcome, weight, minlength=maxent_lm.SLOTS) / maxent_lm.UNIT / n
+        assert np.abs(got - want).max() < 0.02 and abs(got.sum() - 1) < 0.02
 
 
 def test_pu_features_do_not_depend_on_neighbours():
