@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 ROW_GROUP_BYTES = 8 << 20
 BATCH_BYTES = 4 << 20
 BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 64 << 20
 
 
 _own_roots: dict[str, str] = {}

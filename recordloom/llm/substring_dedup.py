@@ -1,32 +1,37 @@
 """Removal of long repeated substrings by merging shard Burrows-Wheeler transforms.
 
-1. Every 400-byte window of a text belongs to the least k-gram hash inside it.
-   Consecutive windows of one anchor form a string (their bytes together). Equal
-   windows have equal anchors wherever they start, so only strings that share an
-   anchor need comparing. Strings are named by hash and counted before any bytes
+A text is a sequence of units: its bytes, or its words. A window is a run of so many
+units that is removed if it starts anywhere else too.
+
+1. Every window belongs to the least k-gram hash inside it. Consecutive windows of
+   one anchor form a string (their units together), cut after ``RUN`` window lengths.
+   Equal windows have equal anchors wherever they start, so only strings that share
+   an anchor need comparing. Strings are named by hash and counted before any bytes
    move; an anchor that occurs once is dropped.
 2. The bytes of one copy of each distinct remaining string go to its anchor's
-   task. There strings form shards. A suffix is read in symbols of 100 bytes; each
-   shard's suffixes are sorted to four symbols, which gives the shard's transform:
-   the symbol before each suffix, in suffix order.
+   task. There strings form shards. A suffix is read in symbols of a part of the window;
+   each shard's suffixes are sorted to that many symbols, which gives the shard's
+   transform: the symbol before each suffix, in suffix order.
 3. Shards are merged by iterative interleave refinement: the interleave, first
    shard by shard, is stably sorted by the transforms' next symbols, once a symbol
    of depth; no suffix is sorted again. The round that first parts two neighbours
-   is their common prefix. Intervals unparted after four rounds share 400 bytes;
-   those of total multiplicity two or more are repeated, and so are all windows
-   of a string that is alone with its anchor and occurs more than once.
-4. An anchor with more than ``HOT_STRINGS`` distinct strings (a passage that many texts
+   is their common prefix. Intervals that no round has parted share a window; those of
+   total multiplicity two or more are repeated. Strings carry their number of
+   occurrences, so that copies are merged as one; nothing is decided by counting alone.
+4. An anchor with more than ``HOT_BYTES`` of distinct strings (a passage that many texts
    hold in different surroundings) is not merged but split: its windows are anchored
    again by longer k-grams, at last by the whole window. Equal windows stay together,
    windows that differ near the anchor part, so that no task gets an unbounded group.
 5. Repeated windows are joined back to the strings' occurrences, merged per text,
    and cut out.
 
-Texts are named by a 64-bit content hash, so copies are worked on once and all lose
-the same bytes. Texts are not shuffled but for those that hold compared strings.
+Texts are named by a 128-bit content key. A task emits the strings of at most two
+copies of a text, which is all that a multiplicity of two or more needs; all copies
+lose the same bytes. Texts are not shuffled but for those that hold compared strings.
 
-Rows: null is empty; texts under 400 bytes have no windows; repeated rows are
-repeats of each other; ids, null or not, play no part in matching.
+Rows: null is empty; texts shorter than a window have none, so an empty table gives no
+rows and a text of any length is taken whole, in chunks; repeated rows are repeats of
+each other; ids, null or not, play no part in matching; other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,33 +44,40 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import Block, blocks, prefix_hash, range_hash
-from .common import batch_of, lean, materialise, text_key
+from .blocks import Block, blocks, prefix_hash, prefix_of, range_hash, words
+from .common import CONTENT, batch_of, drop, lean, mapped, materialise, small_side, text_keys
 
 WINDOW = 400
-SYMBOL = 100
-GRAMS = (0.08, 0.5, 0.9, 0.99, 1.0)
-HOT_STRINGS = 4096
+PASSAGE_WORDS = 51
+GRAMS = (0.08, 0.9, 1.0)
+RUN = 4
+HOT_BYTES = 1 << 20
 MERGE_BYTES = 1 << 18
 SHARDS = 4
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 ANCHOR_BYTES = 1 << 18
-BROADCAST_ROWS = 1_000_000
+SEEN = 1 << 20
+BYTES, WORDS = "byte", "word"
 
 _U = np.uint64
 
 
-def anchors(block: Block, window: int, gram: int) -> dict[str, np.ndarray]:
-    """Strings of a block: document, start, windows, anchor and content hashes, and
-    whether the anchor's k-gram occurs at several places of the string."""
+def _prefix(data: np.ndarray) -> np.ndarray:
+    return prefix_hash(data) if data.dtype == np.uint8 else prefix_of(data)
+
+
+def anchors(data: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> dict[str, np.ndarray]:
+    """Strings of texts (units ``data``, text i at offsets[i]..offsets[i+1]): text, start, windows,
+    anchor and content hashes, and whether the anchor's k-gram occurs at several places of the string."""
+    names = ("doc", "start", "windows", "anchor", "string", "multi")
     found = []
-    for at in range(0, max(1, len(block.data) - window + 1), CHUNK):
-        data = block.data[at : at + CHUNK + window - 1]
-        n = len(data) - window + 1
+    for at in range(0, max(1, len(data) - window + 1), CHUNK):
+        part = data[at : at + CHUNK + window - 1]
+        n = len(part) - window + 1
         if n <= 0:
             break
-        total = prefix_hash(data)
-        place = np.arange(len(data) - gram + 1)
+        total = _prefix(part)
+        place = np.arange(len(part) - gram + 1)
         grams = range_hash(total, place, place + gram)
         packed = (grams & ~_U((1 << 24) - 1)) | place.astype(np.uint64)
         width = window - gram + 1
@@ -74,41 +86,75 @@ def anchors(block: Block, window: int, gram: int) -> dict[str, np.ndarray]:
         ahead = np.minimum.accumulate(tiles, axis=1).ravel()
         behind = np.minimum.accumulate(tiles[:, ::-1], axis=1)[:, ::-1].ravel()
         least = (np.minimum(behind[:n], ahead[width - 1 : width - 1 + n]) & _U((1 << 24) - 1)).astype(np.int64)
-        doc = np.searchsorted(block.offsets, np.arange(at, at + n), side="right") - 1
-        valid = np.arange(at, at + n) + window <= block.offsets[doc + 1]
+        del tiles, ahead, behind, packed
+        doc = np.searchsorted(offsets, np.arange(at, at + n), side="right") - 1
+        valid = np.arange(at, at + n) + window <= offsets[doc + 1]
         value = grams[least]
         starts = valid.copy()
         starts[1:] &= ~valid[:-1] | (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
         first = np.flatnonzero(starts)
         if not len(first):
             continue
-        gaps = np.flatnonzero(~valid)
-        stop = np.append(first[1:], n)
-        if len(gaps):
-            next_gap = np.append(gaps, n)[np.searchsorted(gaps, first)]
-            stop = np.minimum(stop, next_gap)
+        gaps = np.append(np.flatnonzero(~valid), n)
+        stop = np.minimum(np.append(first[1:], n), gaps[np.searchsorted(gaps, first)])
+        # cut long runs, always at the same places after the run's start
+        pieces = -(-(stop - first) // (RUN * window))
+        run = np.repeat(np.arange(len(first)), pieces)
+        first = first[run] + (np.arange(len(run)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * (RUN * window)
+        stop = np.minimum(first + RUN * window, stop[run])
         moves = np.concatenate([[0], np.cumsum(least[1:] != least[:-1])])
-        found.append({"doc": doc[first], "start": at + first - block.offsets[doc[first]], "windows": stop - first, "anchor": value[first], "string": range_hash(total, first, stop + window - 1), "multi": (moves[stop - 1] > moves[first]).astype(np.int32)})
-    names = ("doc", "start", "windows", "anchor", "string", "multi")
+        found.append({"doc": doc[first], "start": at + first - offsets[doc[first]], "windows": stop - first, "anchor": value[first], "string": range_hash(total, first, stop + window - 1), "multi": (moves[stop - 1] > moves[first]).astype(np.int32)})
     return {k: np.concatenate([f[k] for f in found]) if found else np.empty(0, np.uint64 if k in ("anchor", "string") else np.int64) for k in names}
 
 
-def _strings_of(window, gram):
-    """Strings of whole texts, or of the window ranges in a fourth column."""
-    schema = pa.schema([("anchor", pa.int64()), ("string", pa.int64()), ("content", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("windows", pa.int64()), ("multi", pa.int32())])
+_STRINGS = "anchor bigint, string bigint, content bigint, content2 bigint, doc_id bigint, starts array<bigint>, windows bigint, multi int, at bigint, size bigint"
+_PLACE = (*CONTENT, "doc_id", "at", "size")
+
+
+def _strings_of(unit, window, gram):
+    """Strings of whole texts, or of the window ranges in a fifth column; at most two copies of a text in a task."""
+    schema = pa.schema([("anchor", pa.int64()), ("string", pa.int64()), ("content", pa.int64()), ("content2", pa.int64()), ("doc_id", pa.int64()), ("starts", pa.list_(pa.int64())), ("windows", pa.int64()), ("multi", pa.int32()), ("at", pa.int64()), ("size", pa.int64())])
 
     def run(batches):
+        seen: dict[tuple[int, int], int] = {}
         for batch in batches:
-            ids, contents, texts = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
-            row, shift = np.arange(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            if batch.num_columns > 3:
-                parts = [(i, r["start"], t[r["start"] : r["start"] + r["windows"] + window - 1]) for i, (text, ranges) in enumerate(zip(texts, batch.column(3), strict=True)) if ranges.is_valid for t in [text.as_py().encode("utf-8")] for r in ranges.as_py()]
-                row, shift = (np.array([p[k] for p in parts], np.int64) for k in (0, 1))
-                texts = pa.array([p[2] for p in parts], pa.binary())
-            for block in blocks(texts, ANCHOR_BYTES):
-                s = anchors(block, window, gram)
-                part = s["doc"] + block.first
-                yield batch_of({"anchor": s["anchor"].view(np.int64), "string": s["string"].view(np.int64), "content": contents[row[part]], "doc_id": ids.take(pa.array(row[part], pa.int64())), "start": s["start"] + shift[part], "windows": s["windows"], "multi": s["multi"]}, schema)
+            new = np.zeros(batch.num_rows, bool)
+            for i, key in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+                times = seen.get(key, 0)
+                if times < 2:
+                    seen[key], new[i] = times + 1, True
+            if len(seen) > SEEN:
+                seen.clear()
+            batch = batch if new.all() else batch.filter(pa.array(new))
+            ranges = batch.column(4).to_pylist() if batch.num_columns > 4 else None
+            for block in blocks(batch.column(3), ANCHOR_BYTES):
+                w = words(block) if unit == WORDS else None
+                data, offsets = (block.data, block.offsets) if w is None else (w.hashes, w.first)
+                row, shift, origin = np.arange(block.n_docs), np.zeros(block.n_docs, np.int64), offsets[:-1]
+                if ranges is not None:
+                    parts = [(i, r["start"], offsets[i] + r["start"], r["windows"] + window - 1) for i in range(block.n_docs) for r in ranges[block.first + i] or ()]
+                    if not parts:
+                        continue
+                    row, shift, origin, sizes = np.array(parts, np.int64).T
+                    data, offsets = np.concatenate([data[a : a + n] for _, _, a, n in parts]), np.concatenate([[0], np.cumsum(sizes)])
+                s = anchors(data, offsets, window, gram)
+                at, size = s["start"] + shift[s["doc"]], s["windows"] + window - 1
+                start = at
+                if w is not None:  # where the string's bytes are
+                    first = origin[s["doc"]] + s["start"]
+                    at = w.starts[first] - block.offsets[row[s["doc"]]]
+                    size = w.ends[first + size - 1] - w.starts[first]
+                # one row for a string that a text holds in several places
+                place = row[s["doc"]]
+                order = np.lexsort((start, s["string"], s["anchor"], place))
+                new = np.zeros(len(order), bool)
+                new[:1] = True
+                for key in (place, s["anchor"], s["string"]):
+                    new[1:] |= key[order][1:] != key[order][:-1]
+                lead = order[new]
+                starts = pa.ListArray.from_arrays(pa.array(np.append(np.flatnonzero(new), len(order)), pa.int32()), pa.array(start[order], pa.int64()))
+                take = pa.array(place[lead] + block.first, pa.int64())
+                yield batch_of({"anchor": s["anchor"][lead].view(np.int64), "string": s["string"][lead].view(np.int64), "content": batch.column(1).take(take), "content2": batch.column(2).take(take), "doc_id": batch.column(0).take(take), "starts": starts, "windows": s["windows"][lead], "multi": s["multi"][lead], "at": at[lead], "size": size[lead]}, schema)
 
     return run
 
@@ -153,47 +199,49 @@ class ShardTransform:
 def merge_transforms(shards: list[ShardTransform], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Interleave refinement: all suffixes in merged order, and for each the number of
     symbols (at most ``depth``) that it shares with the one before."""
-    source = np.repeat(np.arange(len(shards)), [len(s.suffixes) for s in shards])
+    source = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(s.suffixes) for s in shards])
+    transforms = np.concatenate([s.transform for s in shards]).astype(np.int32)
     n = len(source)
-    common, group = np.full(n, depth, np.int64), np.zeros(n, np.int64)
+    common, group = np.full(n, depth, np.int8), np.zeros(n, np.int32)
     if n:
         common[0] = 0
     for t in range(depth):
-        symbol = np.empty(n, np.int64)
-        for k, s in enumerate(shards):  # each shard's transform is read in its own order
-            symbol[source == k] = s.transform
+        symbol = np.empty(n, np.int32)
+        symbol[np.argsort(source, kind="stable")] = transforms  # each shard's transform is read in its own order
         order = _stable_order(symbol)
         source, symbol, group = source[order], symbol[order], group[order]
         parted = np.ones(n, bool)
         parted[1:] = (symbol[1:] != symbol[:-1]) | (group[1:] != group[:-1])
-        common = np.where(parted & (common == depth), np.minimum(common, t), common)
-        group = np.cumsum(parted)
-    merged = np.empty(n, np.int64)
-    for k, s in enumerate(shards):
-        merged[source == k] = s.suffixes
+        common[parted & (common > t)] = t
+        group = np.cumsum(parted, dtype=np.int32)
+    merged = np.empty(n, np.int32)
+    merged[np.argsort(source, kind="stable")] = np.concatenate([s.suffixes for s in shards])
     return merged, common
 
 
-def repeated_windows(strings: list[bytes], keys: np.ndarray, weights: np.ndarray, window: int = WINDOW, symbol: int = SYMBOL, n_shards: int = SHARDS) -> list[np.ndarray]:
-    """Per string a mask of its windows that occur again under the same key.
+def repeated_windows(strings: list[np.ndarray], keys: np.ndarray, weights: np.ndarray, window: int = WINDOW, n_shards: int = SHARDS) -> list[np.ndarray]:
+    """Per string (an array of units) a mask of its windows that occur again under the same key.
 
     ``weights`` counts the copies of each string; all copies share one entry.
     """
-    depth = window // symbol
-    # one end byte each, so that every remainder of a place by the symbol ends in an end mark
-    sizes = np.array([len(s) + 1 for s in strings])
-    offsets = np.concatenate([[0], np.cumsum(sizes)])
-    data = np.frombuffer(b"\0".join([*strings, b""]), np.uint8)
-    owner = np.repeat(np.arange(len(strings)), sizes)
-    place = np.arange(len(data))
-    begin, end = offsets[owner], offsets[owner + 1]
-    full = place + symbol < end
-    hashed = range_hash(prefix_hash(data), place[full], place[full] + symbol) ^ (keys[owner[full]] * _U(0x9E3779B97F4A7C15))
-    symbols = np.zeros(len(data), np.int64)
-    symbols[full] = _dense(hashed) + 1
+    depth = next(d for d in (4, 3, 5, 2, 1) if window % d == 0)
+    symbol = window // depth
+    # one end unit each, so that every remainder of a place by the symbol ends in an end mark
+    end_unit = np.zeros(1, strings[0].dtype)
+    data = np.concatenate([x for s in strings for x in (s, end_unit)])
+    offsets = np.concatenate([[0], np.cumsum([len(s) + 1 for s in strings])]).astype(np.int32)
+    owner = np.repeat(np.arange(len(strings), dtype=np.int32), np.diff(offsets))
+    place = np.arange(len(data), dtype=np.int32)
+    begin = offsets[owner]
+    full = place + symbol < offsets[owner + 1]
+    whole = np.flatnonzero(full)
+    hashed = range_hash(_prefix(data), whole, whole + symbol) ^ (keys[owner[whole]] * _U(0x9E3779B97F4A7C15))
+    symbols = np.zeros(len(data), np.int32)
+    symbols[whole] = _dense(hashed) + 1
+    del hashed, whole
     # one symbol on, or back to the first place of the same remainder: a cycle through the end mark
-    after = np.where(full, place + symbol, begin + (place - begin) % symbol)
-    before = np.empty(len(data), np.int64)
+    after = np.where(full, place + np.int32(symbol), begin + (place - begin) % np.int32(symbol))
+    before = np.empty(len(data), np.int32)
     before[after] = place
     cuts = np.linspace(0, len(strings), min(n_shards, len(strings)) + 1).astype(int)
     shards = [ShardTransform(place[offsets[a] : offsets[b]], symbols, after, before, depth) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -211,12 +259,20 @@ def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def _merge_task(window):
+def units_of(strings: list[bytes], unit: str) -> list[np.ndarray]:
+    """Bytes of each string, or hashes of its words."""
+    if unit == BYTES:
+        return [np.frombuffer(s, np.uint8) for s in strings]
+    w = words(Block(0, np.frombuffer(b"".join(strings), np.uint8), np.concatenate([[0], np.cumsum([len(s) for s in strings])])))
+    return np.split(w.hashes, w.first[1:-1])
+
+
+def _merge_task(unit, window):
     """Rows sorted by anchor (anchor, string, weight, bytes): repeated window ranges per string."""
     schema = pa.schema([("anchor", pa.int64()), ("string", pa.int64()), ("from", pa.list_(pa.int32())), ("to", pa.list_(pa.int32()))])
 
     def solve(rows):
-        masks = repeated_windows([r[3] for r in rows], np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[2] for r in rows]), window)
+        masks = repeated_windows(units_of([r[3] for r in rows], unit), np.array([r[0] for r in rows], np.int64).view(np.uint64), np.array([r[2] for r in rows]), window)
         spans = [runs(m) for m in masks]
         keep = [i for i, s in enumerate(spans) if len(s[0])]
         return batch_of({"anchor": [rows[i][0] for i in keep], "string": [rows[i][1] for i in keep], "from": [spans[i][0] for i in keep], "to": [spans[i][1] for i in keep]}, schema)
@@ -240,20 +296,8 @@ def _merge_task(window):
     return run
 
 
-def _cut_strings(window):
-    schema = pa.schema([("anchor", pa.int64()), ("string", pa.int64()), ("weight", pa.int64()), ("bytes", pa.binary())])
-
-    def run(batches):
-        for batch in batches:
-            for text, wanted in zip(batch.column(0), batch.column(1), strict=True):
-                data, wanted = text.as_py().encode("utf-8"), wanted.as_py()
-                yield batch_of({"anchor": [w["anchor"] for w in wanted], "string": [w["string"] for w in wanted], "weight": [w["weight"] for w in wanted], "bytes": [data[w["start"] : w["start"] + w["windows"] + window - 1] for w in wanted]}, schema)
-
-    return run
-
-
 def merged_spans(spans) -> list[tuple[int, int]]:
-    """Union of (from, to) byte ranges; ranges that touch join."""
+    """Union of (from, to) ranges; ranges that touch join."""
     out: list[list[int]] = []
     for a, b in sorted(spans):
         if out and a <= out[-1][1]:
@@ -263,59 +307,83 @@ def merged_spans(spans) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _by_content(docs: DataFrame, lists: DataFrame, column: str, how: str = "inner") -> DataFrame:
-    """Documents joined with lists per content; few list entries in all are broadcast, more are shuffled."""
-    entries = lists.agg(F.sum(F.size(column) + 1)).first()[0] or 0
-    return docs.join(F.broadcast(lists) if entries <= BROADCAST_ROWS else lists, "content", how)
-
+def _level(docs: DataFrame, occurrences: DataFrame, unit: str, window: int, last: bool, held: list) -> tuple[DataFrame, DataFrame | None]:
+    """Ranges of repeated windows (content keys, spans array<struct<a,b>>), and window ranges of hot anchors, if any.
 
-def _level(docs: DataFrame, occurrences: DataFrame, window: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
-    """Ranges of repeated windows per content (content, a, b), and window ranges of hot anchors, if any."""
-    strings = occurrences.groupBy("anchor", "string").agg(F.count("*").alias("weight"), F.max("multi").alias("multi"), F.max("windows").alias("windows"), F.min(F.struct("content", "doc_id", "start")).alias("at"))
-    groups = strings.groupBy("anchor").agg(F.sum(F.col("weight") + F.col("multi")).alias("total"), F.count("*").alias("kinds")).where("total > 1").select("anchor", "kinds")
-    shared = materialise(strings.join(groups, "anchor").select("anchor", "string", "weight", "multi", "windows", "kinds", "at.content", "at.doc_id", "at.start"), "shared-strings")
-    hot = F.lit(False) if last else F.col("kinds") > HOT_STRINGS
-    alone = (F.col("kinds") == 1) & (F.col("multi") == 0)
-    sure = shared.where(alone).select("anchor", "string", F.array(F.lit(0)).alias("from"), F.array(F.col("windows").cast("int")).alias("to"))
-
-    compared = shared.where(~alone & ~hot)
-    keys = materialise(compared.select("content", F.col("doc_id").alias("at_id")).distinct(), "holders")
-    holders = docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, (docs["content"] == keys["content"]) & docs["doc_id"].eqNullSafe(keys["at_id"]), "left_semi")
-    wanted = compared.groupBy("content", F.col("doc_id").alias("at_id")).agg(F.collect_list(F.struct("anchor", "string", "weight", "start", "windows")).alias("wanted"))
-    texts = holders.select("content", "doc_id", "text").join(wanted, (holders["content"] == wanted["content"]) & holders["doc_id"].eqNullSafe(wanted["at_id"])).select("text", "wanted")
-    parts = texts.mapInArrow(lean(_cut_strings(window)), "anchor bigint, string bigint, weight bigint, bytes binary")
+    Tables that the ranges are read from are added to ``held``.
+    """
+    # most strings share their anchor with no other: anchors are counted alone, before anything wider moves
+    anchors_of = occurrences.groupBy("anchor").agg(F.sum(F.size("starts") + F.col("multi")).alias("total")).where("total > 1").select("anchor")
+    kept = materialise(anchors_of, "shared-anchors")
+    occurrences, every = materialise(occurrences.join(small_side(kept, row_bytes=24), "anchor", "left_semi"), "shared-occurrences"), occurrences
+    drop(kept, every)
+    # one of the copies: the same for all columns, by a hash of where it is
+    chosen = F.xxhash64(*_PLACE)
+    strings = occurrences.groupBy("anchor", "string").agg(F.sum(F.size("starts")).alias("weight"), *[F.min_by(c, chosen).alias(c) for c in _PLACE])
+    groups = strings.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("size").alias("bytes"))
+    hot = F.lit(False) if last else (F.col("bytes") > HOT_BYTES) & (F.col("kinds") > 1)
+    shared = materialise(strings.join(groups.select("anchor", hot.alias("hot")), "anchor").select("anchor", "string", "weight", "hot", *_PLACE), "shared-strings")
+    compared = shared.where("not hot")
+
+    # the text of one copy of each string: its holder, found by content and id
+    keyed = [F.col(c).alias(f"at_{c}") for c in (*CONTENT, "doc_id")]
+    wanted = compared.groupBy(*keyed).agg(F.collect_list(F.struct("anchor", "string", "weight", "at", "size")).alias("wanted"))
+    keys = materialise(compared.select(*keyed).distinct(), "holders")
+    same = (F.col("content") == F.col("at_content")) & (F.col("content2") == F.col("at_content2")) & F.col("doc_id").eqNullSafe(F.col("at_doc_id"))
+    texts = docs.join(small_side(keys), same, "left_semi").join(wanted, same).select(F.col("text").cast("binary").alias("text"), F.explode("wanted").alias("w"))
+    # F.substring takes no columns before Spark 4; the expression does
+    parts = texts.select("w.anchor", "w.string", "w.weight", F.expr("substring(text, cast(w.at as int) + 1, cast(w.size as int))").alias("bytes"))
     parts = parts.repartition("anchor").sortWithinPartitions("anchor")
-    merged = materialise(parts, "repeated-windows", lean(_merge_task(window)), "anchor bigint, string bigint, from array<int>, to array<int>")
-
-    found = occurrences.join(sure.unionByName(merged), ["anchor", "string"]).select("content", "start", F.explode(F.arrays_zip("from", "to")).alias("r"))
-    spans = found.select("content", (F.col("start") + F.col("r.from")).alias("a"), (F.col("start") + F.col("r.to") + (window - 1)).alias("b")).distinct()
-    split = shared.where(~alone & hot).select("anchor").distinct()
+    merged = materialise(parts, "repeated-windows", lean(_merge_task(unit, window)), "anchor bigint, string bigint, from array<int>, to array<int>")
+    drop(keys)
+    held += [occurrences, shared, merged]
+
+    # a text's spans stay in arrays: one row for a string and text, however often it holds the string
+    each = lambda start: F.transform(F.arrays_zip("from", "to"), lambda r: F.struct((start + r["from"]).alias("a"), (start + r["to"] + (window - 1)).alias("b")))
+    spans = occurrences.join(merged, ["anchor", "string"]).select(*CONTENT, F.flatten(F.transform("starts", each)).alias("spans")).distinct()
+    split = shared.where("hot").select("anchor").distinct()
     if last or split.isEmpty():
         return spans, None
-    again = occurrences.join(split, "anchor", "left_semi").select("content", F.struct("start", "windows").alias("range")).distinct()
-    return spans, materialise(again.groupBy("content").agg(F.collect_list("range").alias("ranges")), "hot-ranges")
+    ranges = F.transform("starts", lambda start: F.struct(start.alias("start"), F.col("windows").alias("windows")))
+    again = occurrences.join(split, "anchor", "left_semi").select(*CONTENT, ranges.alias("ranges")).distinct()
+    return spans, materialise(again.groupBy(*CONTENT).agg(F.flatten(F.collect_list("ranges")).alias("ranges")), "hot-ranges")
 
 
-def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Byte ranges to remove per distinct text: content, spans array<struct<a,b>>.
+def repeated_spans(docs: DataFrame, window: int = WINDOW, unit: str = BYTES) -> DataFrame:
+    """Ranges of units to remove per distinct text: content keys, spans array<struct<a,b>>; a table in the shared folder.
 
-    ``docs`` has doc_id, content (64-bit hash of the text) and text.
+    ``docs`` has doc_id, the content keys and text.
     """
-    columns, every, ranges = "anchor bigint, string bigint, content bigint, doc_id bigint, start bigint, windows bigint, multi int", None, None
+    every, ranges, held = None, None, []
+    docs = docs.select("doc_id", *CONTENT, "text")
     for share in GRAMS:
-        source = docs.select("doc_id", "content", "text") if ranges is None else _by_content(docs, ranges, "ranges").select("doc_id", "content", "text", "ranges")
-        occurrences = materialise(source, "strings", lean(_strings_of(window, max(1, int(share * window)))), columns)
-        spans, ranges = _level(docs, occurrences, window, share == GRAMS[-1])
+        source = docs if ranges is None else docs.join(small_side(ranges, F.size("ranges")), [*CONTENT]).select("doc_id", *CONTENT, "text", "ranges")
+        occurrences = materialise(source, "strings", lean(_strings_of(unit, window, max(1, int(share * window)))), _STRINGS)
+        held.append(ranges)
+        spans, ranges = _level(docs, occurrences, unit, window, share == GRAMS[-1], held)
         every = spans if every is None else every.unionByName(spans)
         if ranges is None:
             break
-    return every.groupBy("content").agg(F.array_sort(F.collect_set(F.struct("a", "b"))).alias("spans"))
+    spans = materialise(every.groupBy(*CONTENT).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans")), "removal-spans")
+    drop(*held)
+    return spans
 
 
-def cut_bytes(text: str | None, spans) -> tuple[bytes, bytes, list[tuple[int, int]]]:
-    """A text's bytes, what is left of them, and the maximal removed runs."""
+def covered(spans) -> F.col:
+    """Units covered by a sorted array of spans (a, b)."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("to"))
+    step = lambda acc, s: F.struct((acc["n"] + F.greatest(F.lit(0).cast("bigint"), s["b"] - F.greatest(s["a"], acc["to"]))).alias("n"), F.greatest(acc["to"], s["b"]).alias("to"))
+    return F.coalesce(F.aggregate(spans, zero, step, lambda acc: acc["n"]), F.lit(0).cast("bigint"))
+
+
+def cut_bytes(text: str | None, spans, word_spans=None) -> tuple[bytes, bytes, list[tuple[int, int]]]:
+    """A text's bytes, what is left of them, and the maximal removed runs (byte spans, and spans of words)."""
     data, at, kept = (text or "").encode("utf-8"), 0, []
-    cut = merged_spans((s["a"], s["b"]) for s in spans or ())
+    places = [(s["a"], s["b"]) for s in spans or ()]
+    if word_spans:
+        w = words(Block(0, np.frombuffer(data, np.uint8), np.array([0, len(data)])))
+        places += [(int(w.starts[s["a"]]), int(w.ends[s["b"] - 1])) for s in word_spans]
+    cut = merged_spans(places)
     for a, b in cut:
         kept.append(data[at:a])
         at = b
@@ -323,12 +391,12 @@ def cut_bytes(text: str | None, spans) -> tuple[bytes, bytes, list[tuple[int, in
 
 
 def _digests(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("n_passage_words", pa.int64())])
     for batch in batches:
         rows = {c: [] for c in schema.names}
-        for doc_id, text, spans in zip(batch.column(0), batch.column(1), batch.column(2), strict=True):
+        for doc_id, text, spans, passages in zip(*batch.columns, strict=True):
             data, left, cut = cut_bytes(text.as_py(), spans.as_py())
-            for c, v in zip(schema.names, (doc_id.as_py(), len(data), len(data) - len(left), len(cut), hashlib.sha256(left).hexdigest()), strict=True):
+            for c, v in zip(schema.names, (doc_id.as_py(), len(data), len(data) - len(left), len(cut), hashlib.sha256(left).hexdigest(), passages.as_py()), strict=True):
                 rows[c].append(v)
         yield batch_of(rows, schema)
 
@@ -336,33 +404,54 @@ def _digests(batches):
 def _cut_column(place):
     def run(batches):
         for batch in batches:
-            texts = [text.as_py() if not spans.is_valid else cut_bytes(text.as_py(), spans.as_py())[1].decode("utf-8", "ignore") for text, spans in zip(batch.column(place), batch.column(batch.num_columns - 1), strict=True)]
-            columns = batch.columns[:-1]
+            spans, word_spans = batch.columns[-2:]
+            texts = [text.as_py() if not (s.is_valid or w.is_valid) else cut_bytes(text.as_py(), s.as_py(), w.as_py())[1].decode("utf-8", "ignore") for text, s, w in zip(batch.column(place), spans, word_spans, strict=True)]
+            columns = batch.columns[:-2]
             columns[place] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-2])
 
     return run
 
 
-def _with_spans(source: DataFrame, window: int) -> DataFrame:
-    spans = materialise(repeated_spans(source.select("doc_id", "content", "text"), window), "removal-spans")
-    return _by_content(source, spans, "spans", "left").drop("content")
+def _spans_table(source: DataFrame, window: int, passage: int | None) -> DataFrame:
+    """Per content: spans of bytes, and spans of words of repeated passages (null if ``passage`` is None)."""
+    spans = repeated_spans(source, window)
+    if passage is None:
+        return spans.select(*CONTENT, "spans", F.lit(None).cast("array<struct<a:bigint,b:bigint>>").alias("word_spans"))
+    passages = repeated_spans(source, passage, WORDS).withColumnRenamed("spans", "word_spans")
+    both = materialise(spans.join(passages, [*CONTENT], "full"), "both-spans")
+    drop(spans, passages)
+    return both
+
 
+def _with_spans(source: DataFrame, window: int, passage: int | None) -> DataFrame:
+    both = _spans_table(source, window, passage)
+    entries = F.greatest(F.size("spans"), F.lit(0)) + F.greatest(F.size("word_spans"), F.lit(0))
+    return source.join(small_side(both, entries), [*CONTENT], "left").drop(*CONTENT)
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_key(F.col(text_col)).alias("content"), F.col(text_col).alias("text"))
-    return _with_spans(source, window).select("doc_id", "text", "spans").mapInArrow(lean(_digests), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+
+def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", passage: int | None = PASSAGE_WORDS) -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_words.
+
+    Bytes go by the rule of ``window`` bytes. ``n_passage_words`` only reports: words inside runs of
+    ``passage`` words (compared with A-Z lower-cased) that start anywhere else too, which may be
+    shorter than the window.
+    """
+    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *text_keys(F.col(text_col)), F.col(text_col).alias("text"))
+    rows = _with_spans(source, window, passage).select("doc_id", "text", "spans", covered(F.col("word_spans")).alias("n_passage_words"))
+    return mapped(rows, _digests, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, n_passage_words bigint")
 
 
-def strip_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def strip_repeats(docs: DataFrame, window: int = WINDOW, passage: int | None = None) -> DataFrame:
     """The documents with what is left of their texts; other columns stay.
 
+    Repeated windows of ``window`` bytes go, and with ``passage`` repeated runs of so many words.
     ``docs`` has doc_id and text. Bytes of a character that a cut has split are
     left out; n_chars, if there, counts the new text.
     """
     # the columns travel in a struct, so that none can clash with those used here
-    source = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), text_key(F.col("text")).alias("content"), F.col("text").alias("text"))
-    joined = _with_spans(source, window).select("doc.*", F.col("spans").alias(f"spans_{uuid.uuid4().hex}"))
-    out = joined.mapInArrow(lean(_cut_column(docs.columns.index("text"))), docs.schema)
+    source = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("bigint").alias("doc_id"), *text_keys(F.col("text")), F.col("text").alias("text"))
+    extra = [f"{c}_{uuid.uuid4().hex}" for c in ("spans", "words")]
+    joined = _with_spans(source, window, passage).select("doc.*", F.col("spans").alias(extra[0]), F.col("word_spans").alias(extra[1]))
+    out = mapped(joined, _cut_column(docs.columns.index("text")), docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
