@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import blocks, distinct_pairs, mix, sequence_hashes, shingles, words
-from .common import batch_of, lean, materialise
+from .common import CONTENT, batch_of, drop, lean, mapped, materialise, small_side, text_keys
 from .graph import connected_components
 
 REGISTERS = 640
@@ -45,7 +45,6 @@ NUMERATOR, DENOMINATOR = 75, 100
 SLACK = 4 * (0.75 * 0.25 / REGISTERS) ** 0.5
 PER_TASK = 256
 BLOCK = 1024
-BROADCAST_ROWS = 1_000_000
 
 _U = np.uint64
 _GOLD = _U(0x9E3779B97F4A7C15)
@@ -111,28 +110,29 @@ def plausible(size_a, size_b, above, below, same) -> np.ndarray:
 
 
 def _sketches(batches):
-    schema = pa.schema([("doc_id", pa.int64()), ("content", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("registers", pa.binary())])
-    seen: set[int] = set()
+    schema = pa.schema([("doc_id", pa.int64()), ("content", pa.int64()), ("content2", pa.int64()), ("node", pa.int64()), ("check", pa.int64()), ("n", pa.int64()), ("registers", pa.binary())])
+    seen: set[tuple[int, int]] = set()
     for batch in batches:
-        node, size, regs = [], [], []
-        for block in blocks(batch.column(2)):
+        node, check, size, regs = [], [], [], []
+        for block in blocks(batch.column(3)):
             w = words(block)
             doc, h = distinct_pairs(*shingles(w, SHINGLE))
-            names = sequence_hashes(w).view(np.int64)
+            names, checks = (sequence_hashes(w, seed).view(np.int64).tolist() for seed in (0, 1))
             n = np.bincount(doc, minlength=block.n_docs)
             new = np.zeros(block.n_docs, bool)
-            for i, name in enumerate(names.tolist()):
-                if name and name not in seen:
+            for i, name in enumerate(zip(names, checks, strict=True)):
+                if name[0] and name not in seen:
                     new[i] = True
                     seen.add(name)
             if len(seen) > 1 << 20:
                 seen.clear()
             keep = new[doc]
             made = _made((np.cumsum(new) - 1)[doc[keep]], h[keep], int(new.sum()))
-            node += [x or None for x in names.tolist()]
+            node += [x or None for x in names]
+            check += checks
             size += n.tolist()
             regs += [next(made).tobytes() if x else None for x in new]
-        yield batch_of({"doc_id": batch.column(0), "content": batch.column(1), "node": node, "n": size, "registers": regs}, schema)
+        yield batch_of({"doc_id": batch.column(0), "content": batch.column(1), "content2": batch.column(2), "node": node, "check": check, "n": size, "registers": regs}, schema)
 
 
 def _made(doc, hashes, n_docs):
@@ -247,41 +247,63 @@ def _cross_pairs(live: DataFrame, parts: DataFrame, sketches: DataFrame) -> Data
     rows = rows.select("bucket", "node", "component", "block", other).select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "component", "block")
     rows = rows.join(sketches, "node").select("bucket", "i", "j", "node", "component", "n", "block", "registers")
     rows = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "node")
-    return rows.mapInArrow(lean(_between), "node bigint, hub bigint").distinct()
+    return mapped(rows, _between, "node bigint, hub bigint").distinct()
+
+
+def _twins(rows: DataFrame) -> DataFrame:
+    """Node hashes that different word sequences share, with the least of their check hashes."""
+    names = rows.where("node is not null").groupBy("node").agg(F.min("check").alias("first"), F.max("check").alias("other"))
+    return materialise(names.where("first <> other").select("node", "first"), "twins")
+
+
+def _told_apart(rows: DataFrame, twins: DataFrame) -> DataFrame:
+    """Rows whose node names a word sequence by 128 bits: all but one of the sequences that share a hash get another."""
+    if twins.isEmpty():
+        return rows
+    new = F.when(F.col("first").isNotNull() & (F.col("check") != F.col("first")), F.xxhash64("node", "check")).otherwise(F.col("node"))
+    return rows.join(small_side(twins), "node", "left").withColumn("node", new).drop("first")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept (doc_id is the component's), content (text key)."""
+    """One row per input row: doc_id, n_shingles, component_id, kept (doc_id is the component's), and the content keys."""
     text = F.col(text_col)
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("content"), text.alias("text"))
-    rows = materialise(source, "sketches", lean(_sketches), "doc_id bigint, content bigint, node bigint, n bigint, registers binary")
-    named = rows.where("registers is not null")
-    nodes = materialise(named.groupBy("node").agg(F.max(F.struct("doc_id", "content")).alias("at"), F.max("n").alias("n"), F.max("registers").alias("registers")), "nodes")
-    bands = nodes.select("node", "registers").mapInArrow(lean(_bands), "bucket bigint, node bigint")
+    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *text_keys(text), text.alias("text"))
+    made = materialise(source, "sketches", lean(_sketches), "doc_id bigint, content bigint, content2 bigint, node bigint, check bigint, n bigint, registers binary")
+    twins = _twins(made)
+    named = _told_apart(made.where("registers is not null"), twins)
+    nodes = materialise(named.groupBy("node").agg(F.max(F.struct("doc_id", *CONTENT)).alias("at"), F.max("n").alias("n"), F.max("registers").alias("registers")), "nodes")
+    rows = materialise(_told_apart(made, twins).select("doc_id", "n", "node", *CONTENT), "rows")
+    drop(made, twins)
+    bands = mapped(nodes.select("node", "registers"), _bands, "bucket bigint, node bigint")
     shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     live = materialise(bands.join(shared, "bucket").select("bucket", "node", "size"), "buckets")
 
     company = live.groupBy("node").agg(F.sum("size").alias("company"))
-    involved = company.count()
     chosen = nodes.join(company.select("node"), "node", "left_semi")
     sketches = materialise(chosen.select("node", "n", "registers"), "candidate-sketches")
-    wanted = chosen.select("node", F.col("at.doc_id").alias("at_id"), F.col("at.content").alias("content"))
-    if involved <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = source.join(wanted, (source["content"] == wanted["content"]) & source["doc_id"].eqNullSafe(F.col("at_id"))).select("node", "text")
+    wanted = materialise(chosen.select("node", F.col("at.doc_id").alias("at_id"), *[F.col(f"at.{c}").alias(c) for c in CONTENT]), "candidates")
+    drop(nodes)
+    near = small_side(wanted)
+    texts = source.join(near, (source["content"] == near["content"]) & (source["content2"] == near["content2"]) & source["doc_id"].eqNullSafe(F.col("at_id"))).select("node", "text")
     texts = materialise(texts, "candidate-texts")
+    drop(wanted)
 
     hubs = live.join(company, "node").groupBy("bucket").agg(F.max(F.struct("company", "node")).alias("top")).select("bucket", F.col("top.node").alias("hub"))
     stars = live.join(hubs, "bucket").where("node <> hub").select("node", "hub").distinct()
     links = verified(stars, texts, sketches)
     parts = materialise(connected_components(links), "parts")
-    cross = _cross_pairs(live, parts, sketches)
-    more = verified(materialise(cross, "cross-pairs"), texts, sketches)
+    cross = materialise(_cross_pairs(live, parts, sketches), "cross-pairs")
+    more = verified(cross, texts, sketches)
+    drop(live, sketches, texts, cross, parts)
     parts = connected_components(links.unionByName(more))
+    drop(links, more)
 
     least = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    placed = least.join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least")
-    named = placed.join(placed.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("node", "component_id")
-    full = rows.where("node is not null").select("doc_id", "n", "node", "content").join(named, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "content")
-    bare = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "content")
-    return full.unionByName(bare).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "content")
+    placed = materialise(least.join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("component"), "least"), "placed")
+    # a table of its own, so that the rows of a large component can be dealt to several tasks
+    first = materialise(placed.groupBy("component").agg(F.min("least").alias("component_id")), "components")
+    called = materialise(placed.join(small_side(first), "component").select("node", "component_id"), "called")
+    drop(placed, first)
+    full = rows.where("node is not null").join(small_side(called), "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", *CONTENT)
+    bare = rows.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), *CONTENT)
+    return full.unionByName(bare).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), *CONTENT)
