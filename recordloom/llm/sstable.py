@@ -184,7 +184,7 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
     range, encodes it and writes shards of bounded size, so neither a task nor the
     driver ever holds more than one shard. Returns a manifest row per shard.
     Null texts are empty; null identifiers come first; equal identifiers follow
-    each other in text order.
+    each other in order of a hash of the text.
     """
     make_dir(folder)
     schema = pa.schema([("shard", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_bytes", pa.int64())])
@@ -213,8 +213,9 @@ def write_shards(docs: DataFrame, tokenizer: str, folder: str, end_id: int | Non
             close()
         yield batch_of(done, schema)
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"), F.monotonically_increasing_id().alias("row"))
+    # rows of one id, even equal ones, may be dealt to several tasks
+    ordered = rows.repartitionByRange("doc_id", "tie", "row").sortWithinPartitions("doc_id", "tie", "row").select("doc_id", "text")
     return materialise(ordered, "shard-manifest", run, _MANIFEST)
 
 
