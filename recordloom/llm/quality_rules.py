@@ -11,8 +11,8 @@ threshold is a fixed low percentile of the scores of the other half, which the
 weights have not seen, so that it is right for unseen clean text and the same for
 every run over the same tables.
 
-The trusted set is a bounded sample (``trusted_limit`` ids, the smallest by hash)
-and the weight table has ``buckets`` rows; both bounds make the broadcasts safe.
+All trusted documents count; their ids are counted first and broadcast only where they
+are few. The weight table has ``buckets`` rows, which bounds its broadcast.
 Counting is a partial aggregate per task with at most ``buckets`` groups. Word
 windows are compared inside their row, so a hot source or text moves no data.
 
@@ -26,10 +26,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise_native, text_key
+from .common import CONTENT, materialise_native, small_side, text_keys
 
 BUCKETS = 1 << 16
-TRUSTED_LIMIT = 1 << 18
+STEP = 1e-6
 PERCENTILE = 0.001
 SMOOTHING = 1.0
 WINDOW = 5
@@ -74,10 +74,10 @@ def base_columns(docs: DataFrame) -> DataFrame:
     """Rule counts of rows (doc_id, text, trusted), keeping `words`."""
     text = F.coalesce("text", F.lit(""))
     bare = F.length(F.translate(text, _SPACE, ""))
-    step = docs.select("doc_id", "trusted", text_key(F.col("text")).alias("content"), bare.cast("bigint").alias("word_chars"), (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("bigint").alias("n_symbols"), _dup_lines(F.col("text")).cast("bigint").alias("n_dup_lines"), words_of(F.col("text")).alias("words"))
+    step = docs.select("doc_id", "trusted", *text_keys(F.col("text")), bare.cast("bigint").alias("word_chars"), (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("bigint").alias("n_symbols"), _dup_lines(F.col("text")).cast("bigint").alias("n_dup_lines"), words_of(F.col("text")).alias("words"))
     step = step.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     step = step.withColumn("windows", _windows(F.col("hashes")))
-    return step.select("doc_id", "trusted", "content", F.size("words").cast("bigint").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", _repeat_words(F.col("windows")).cast("bigint").alias("n_repeat_words"), "hashes")
+    return step.select("doc_id", "trusted", *CONTENT, F.size("words").cast("bigint").alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", _repeat_words(F.col("windows")).cast("bigint").alias("n_repeat_words"), "hashes")
 
 
 def _features(rows: DataFrame, buckets: int, *keep: str) -> DataFrame:
@@ -100,31 +100,32 @@ def weights(rows: DataFrame, buckets: int, smoothing: float = SMOOTHING) -> Data
     return counts.crossJoin(F.broadcast(totals)).select("f", weight.alias("w"))
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_LIMIT) -> DataFrame:
-    """At most ``limit`` distinct ids of labels with quality 1, smallest by hash."""
-    ids = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("trusted_id")).distinct()
-    return ids.orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(limit)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Distinct ids of labels with quality 1."""
+    return labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("trusted_id")).distinct()
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, percentile: float = PERCENTILE, trusted_limit: int = TRUSTED_LIMIT) -> DataFrame:
-    """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, llr, content.
+def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS, percentile: float = PERCENTILE) -> DataFrame:
+    """Per row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, llr, and the content keys.
 
-    The verdict depends on the text alone; ``content`` is its 64-bit key.
+    The verdict depends on the text alone.
     """
-    known = materialise_native(trusted_ids(labels, trusted_limit), "trusted")
+    known = materialise_native(trusted_ids(labels), "trusted")
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    flagged = source.join(F.broadcast(known), F.col("doc_id") == F.col("trusted_id"), "left").select("doc_id", "text", F.col("trusted_id").isNotNull().alias("trusted"))
+    flagged = source.join(small_side(known), F.col("doc_id") == F.col("trusted_id"), "left").select("doc_id", "text", F.col("trusted_id").isNotNull().alias("trusted"))
     fits = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
     hashed = flagged.select((F.col("trusted") & F.coalesce(fits, F.lit(False))).alias("trusted"), F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w)).alias("hashes"))
     table = materialise_native(weights(hashed, buckets), "llr-weights")
     base = base_columns(flagged).withColumn("row_id", F.monotonically_increasing_id())
-    kept = ["doc_id", "trusted", "content", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    kept = ["doc_id", "trusted", *CONTENT, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     one, two = (F.broadcast(table.select(F.col("f").alias(f"f{k}"), F.col("w").alias(f"w{k}"))) for k in (1, 2))
     scored = _features(base, buckets, "row_id", *kept).join(one, "f1", "left").join(two, "f2", "left")
     scored = scored.groupBy("row_id").agg(*[F.first(c).alias(c) for c in kept], F.sum(F.coalesce("w1", F.lit(0.0)) + F.coalesce("w2", F.lit(0.0))).alias("total"))
     scored = scored.withColumn("llr", F.when(F.col("n_words") > 0, F.col("total") / (2 * F.col("n_words") - 1)).otherwise(F.lit(0.0)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     scored = materialise_native(scored.drop("total").withColumn("base_failed", failed), "llr-scores")
-    least = scored.where(F.col("trusted") & ~F.col("base_failed") & ~fits).agg(F.percentile("llr", F.lit(percentile)).alias("least"))
+    # over a histogram in steps of STEP, so that no task holds all scores
+    held = scored.where(F.col("trusted") & ~F.col("base_failed") & ~fits).groupBy(F.floor(F.col("llr") / STEP).alias("step")).agg(F.count("*").alias("n"))
+    least = held.agg((F.percentile("step", F.lit(percentile), F.col("n")) * F.lit(STEP)).alias("least"))
     passed = ~F.col("base_failed") & (F.coalesce("least", F.lit(float("-inf"))) <= F.col("llr"))
-    return scored.crossJoin(F.broadcast(least)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", passed.alias("kept"), "llr", "content")
+    return scored.crossJoin(F.broadcast(least)).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", passed.alias("kept"), "llr", *CONTENT)
