@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import ALNUM, batch_words
-from .common import batch_of, lean, materialise, text_key
+from .common import CONTENT, batch_of, lean, mapped, materialise, text_keys
 
 WINDOW = 13
 BLOCK_BYTES = 4 << 20
@@ -118,8 +118,8 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _MATCH = pa.struct([("item_id", pa.int64()), ("doc_word", pa.int64()), ("item_word", pa.int64()), ("words", pa.int64())])
-_SCHEMA = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("content", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), ("matches", pa.list_(_MATCH))])
-_DDL = "row_id bigint, doc_id bigint, content bigint, n_words bigint, spans array<struct<a:bigint,b:bigint>>, matches array<struct<item_id:bigint,doc_word:bigint,item_word:bigint,words:bigint>>"
+_SCHEMA = pa.schema([("row_id", pa.int64()), ("doc_id", pa.int64()), ("content", pa.int64()), ("content2", pa.int64()), ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), ("matches", pa.list_(_MATCH))])
+_DDL = "row_id bigint, doc_id bigint, content bigint, content2 bigint, n_words bigint, spans array<struct<a:bigint,b:bigint>>, matches array<struct<item_id:bigint,doc_word:bigint,item_word:bigint,words:bigint>>"
 
 
 def _scan(tests):
@@ -135,7 +135,7 @@ def _scan(tests):
                         ident = tests.value.ids[item]
                         longest[ident] = max(longest.get(ident, (0,)), (b - a, -a, -(a - diagonal)))
                 matches[d] = [{"item_id": i, "doc_word": -a, "item_word": -o, "words": n} for i, (n, a, o) in longest.items()]
-            yield batch_of({"row_id": batch.column(0), "doc_id": batch.column(1), "content": batch.column(3), "n_words": counts, "spans": spans, "matches": matches}, _SCHEMA)
+            yield batch_of({"row_id": batch.column(0), "doc_id": batch.column(1), "content": batch.column(3), "content2": batch.column(4), "n_words": counts, "spans": spans, "matches": matches}, _SCHEMA)
 
     return run
 
@@ -146,23 +146,23 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_b
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
-    source = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), text_key(F.col(text_col)).alias("content"))
+    source = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *text_keys(F.col(text_col)))
     passes = []
     for k in range(n_blocks):
         block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()
         tests = spark.sparkContext.broadcast(TestSet([(r["item_id"], r["text"]) for r in block], window))
         if n_blocks == 1:
-            return source.mapInArrow(lean(_scan(tests)), _DDL).drop("row_id")
+            return mapped(source, _scan(tests), _DDL).drop("row_id")
         passes.append(materialise(source, "suffix-hits", lean(_scan(tests)), _DDL))
     every = passes[0]
     for more in passes[1:]:
         every = every.unionByName(more)
-    merged = every.groupBy("row_id").agg(F.first("doc_id").alias("doc_id"), F.first("content").alias("content"), F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("matches")).alias("matches"))
+    merged = every.groupBy("row_id").agg(F.first("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in CONTENT], F.first("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("matches")).alias("matches"))
     return merged.drop("row_id")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, **kw) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match, matches, content (text key).
+    """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, longest_match, matches, and the content keys.
 
     A document is contaminated if hits cover at least one word in twenty.
     """
@@ -171,7 +171,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, *
     zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("to"))
     n_hit = F.aggregate(F.array_sort("spans"), zero, step, lambda acc: acc["n"])
     listed = F.array_sort(F.array_distinct(F.transform(F.filter("matches", lambda m: m["item_id"].isNotNull()), lambda m: m["item_id"].cast("string"))))
-    out = found.select("doc_id", "content", "n_words", n_hit.alias("n_hit"), listed.alias("items"), F.coalesce(F.array_max(F.transform("matches", lambda m: m["words"])), F.lit(0)).alias("longest_match"), "matches")
+    out = found.select("doc_id", *CONTENT, "n_words", n_hit.alias("n_hit"), listed.alias("items"), F.coalesce(F.array_max(F.transform("matches", lambda m: m["words"])), F.lit(0)).alias("longest_match"), "matches")
     return out.select(
         "doc_id",
         "n_words",
@@ -181,5 +181,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, *
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
         "longest_match",
         "matches",
-        "content",
+        *CONTENT,
     )

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import batch_of, materialise
-from .tokens import encoder
+from .tokens import encoder, forget
 
 PARTITION_ITEMS = 200_000
 ROUNDS = 3
@@ -101,6 +101,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
                         rows[c].append(v)
                     item += 1
             yield batch_of(rows, schema)
+        forget()  # the worker stays, and what comes next may run no Python that would drop the cache
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return materialise(source, "pieces", run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, item bigint")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Block, blocks, distinct_pairs, mix, shingles, words
-from .common import batch_of, lean, materialise
+from .common import batch_of, mapped, materialise
 
 POSITIVES = 6_000
 UNLABELLED = 12_000
@@ -177,7 +177,8 @@ def samples(source: DataFrame, labels: DataFrame, positives: int, unlabelled: in
     trusted = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct().join(open_ids, "doc_id", "left_semi")
     chosen = trusted.orderBy(*order("doc_id", 1)).limit(positives).withColumn("positive", F.lit(True)).unionByName(open_ids.orderBy(*order("doc_id", 2)).limit(unlabelled).withColumn("positive", F.lit(False)))
     chosen = materialise(chosen.select(F.col("doc_id").alias("chosen_id"), "positive"), "sample-ids")
-    rows = source.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("positive", "text").mapInArrow(lean(_feature_rows), "positive boolean, features binary").toPandas()
+    rows = source.join(F.broadcast(chosen), F.col("doc_id") == F.col("chosen_id")).select("positive", "text")
+    rows = mapped(rows, _feature_rows, "positive boolean, features binary").toPandas()
     table = lambda part: np.frombuffer(b"".join(part), np.float32).reshape(-1, WIDTH)
     # collected order depends on the scan; sort so that the fit does not
     return tuple(table(sorted(rows.loc[rows["positive"] == kind, "features"])) for kind in (True, False))
@@ -193,4 +194,4 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     yes, some = samples(source, labels, positives, unlabelled)
     model = fit(yes, some, prior)[0] if len(yes) > 1 and len(some) > 1 else None
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return source.mapInArrow(lean(_score_rows(sent)), "doc_id bigint, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return mapped(source, _score_rows(sent), "doc_id bigint, held_out boolean, score double").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

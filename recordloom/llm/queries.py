@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontamination, maxent_lm, near_dedup, packing, pu_classifier, quality_rules, sstable, substring_dedup, token_counts, warc
-from .common import few_files
+from .common import CONTENT
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,11 +29,11 @@ def op3_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents")).drop("content")
+    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents")).drop(*CONTENT)
 
 
 def op5_llr_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).drop("content")
+    return quality_rules.quality_rules(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels")).drop(*CONTENT)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +42,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("matches", "longest_match", "content")
+    return decontamination.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")).drop("matches", "longest_match", *CONTENT)
 
 
 def op8_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: lambda spark, sf_dir, f=f: few_files(f(spark, sf_dir)) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain, pipeline)}
+    return {f.__name__: lambda spark, sf_dir, f=f: f(spark, sf_dir) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
