@@ -1,67 +1,22 @@
 """A training corpus from `documents`: five stages, each one corpus operator.
 
-Every stage takes (spark, docs, sf_dir) and returns the columns of documents, the
-last one the packed pieces. Between stages the rows are written as Parquet to the
-shared folder and read again, so a lost executor costs one stage at most.
+Between stages the rows are written as Parquet to the shared folder and read again,
+so a lost executor costs one stage at most.
 """
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from recordloom.llm import decontamination, near_dedup, packing, quality_rules, substring_dedup
-from recordloom.llm.common import few_files, materialise, materialise_native, rows_of_keys, scratch, text_key
-
-
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
-    verdicts = quality_rules.quality_rules(docs, _table(spark, sf_dir, "labels"))
-    return few_files(rows_of_keys(docs, verdicts.where("not kept"), {"content": text_key(F.col("text"))}, "left_anti", materialise_native))
-
-
-def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays; rows repeated whole are one document, of which one row stays."""
-    kept = materialise(near_dedup.near_duplicates(docs).where("kept").select("doc_id", "content"), "kept-keys")
-    keys = {"content": text_key(F.col("text")), "doc_id": F.col("doc_id").cast("bigint")}
-    counted = kept.groupBy("doc_id", "content").count().where("count > 1").select("doc_id", "content")
-    repeated = materialise(counted, "repeated-rows")
-    found = rows_of_keys(docs, kept, keys, "left_semi")
-    if repeated.isEmpty():
-        return few_files(found)
-    # of repeated rows the least stays; each task sends one row of a group
-    groups = rows_of_keys(found, repeated, keys, "left_semi").groupBy(*[value.alias(f"key_{name}") for name, value in keys.items()])
-    least = groups.agg(F.min(F.struct(*docs.columns)).alias("least")).select("least.*")
-    return few_files(rows_of_keys(found, repeated, keys, "left_anti").unionByName(least))
-
-
-def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 400 bytes and more that start elsewhere too are cut out."""
-    return few_files(substring_dedup.strip_repeats(docs))
-
-
-def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark passages go."""
-    verdicts = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    return few_files(rows_of_keys(docs, verdicts.where("contaminated"), {"content": text_key(F.col("text"))}, "left_anti"))
-
-
-def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of the remaining documents with their places in sequences."""
-    return few_files(packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, capacity=2048))
 
+from recordloom.llm import stages
+from recordloom.llm.common import drop, scratch
 
 STAGES = [
-    ("quality rules", quality_stage),
-    ("near-dedup", near_dedup_stage),
-    ("suffix-array dedup", substring_stage),
-    ("benchmark decontamination", decontamination_stage),
-    ("best-fit packing", packing_stage),
+    ("quality rules", stages.quality_stage),
+    ("near-dedup", stages.near_dedup_stage),
+    ("suffix-array dedup", stages.substring_stage),
+    ("benchmark decontamination", stages.decontamination_stage),
+    ("best-fit packing", stages.packing_stage),
 ]
 
 #: Tokenisation and likelihood weights have no SQL form; the tests hold the stages against brute force.
@@ -70,7 +25,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`."""
-    docs = _table(spark, sf_dir, "documents")
+    docs, before = stages.read_table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)
         if number == len(STAGES) - 1:
@@ -78,4 +33,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch(spark, f"stage{number}")
         out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        drop(before)
+        before = path
     return docs
