@@ -1,15 +1,14 @@
 """Incremental controllers with exactly-once commit order.
 
-State documents are small; their transitions are pure functions, so that any store
-with an atomic replace can hold them. In each, what the state refers to is durable
-before the state names it.
+In each, what the state refers to is durable before the state names it. Leases on
+ranges are in ``leases``.
 """
 
 from __future__ import annotations
 
-import copy
+import hashlib
 import json
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 from datetime import datetime
 from pathlib import Path
 
@@ -17,13 +16,14 @@ from pyspark.sql import DataFrame
 
 from ..functions.canonical import content_digest
 from ..operators.checks import Violation
-from ..operators.replay import Pacing
-from ..sinks.documents import write_bytes, write_json, write_table
+from ..operators.replay import Pacing, wait_seconds
+from ..sinks.documents import append_bytes, write_bytes, write_json, write_table
 
 # --- high-water sync ---------------------------------------------------------
 
 
 def load_state(path: str) -> dict:
+    """A state document; empty where there is none yet."""
     at = Path(path)
     return json.loads(at.read_text(encoding="utf-8")) if at.exists() else {}
 
@@ -48,103 +48,33 @@ def sync_batches(folder: str, verify: Callable[[str], bool]) -> Callable[[DataFr
     return run
 
 
-# --- range leases ------------------------------------------------------------
-
-
-def _ranges(rows: Iterable[dict], count: int) -> list[dict]:
-    out = sorted(({**r, "start_offset": int(r["start_offset"]), "end_offset": int(r["end_offset"])} for r in rows), key=lambda r: (r["start_offset"], r["end_offset"]))
-    if any(not 0 <= r["start_offset"] < r["end_offset"] <= count for r in out):
-        raise Violation("range outside the queue")
-    return out
-
-
-def _meet(a: dict, b: dict) -> bool:
-    return a["start_offset"] < b["end_offset"] and b["start_offset"] < a["end_offset"]
-
-
-def checked_leases(state: dict) -> dict:
-    """Normal form of a lease state {queue_count, completed, leases, receipts, failures}; aborts on overlaps."""
-    count = int(state.get("queue_count", 0))
-    if count < 1:
-        raise Violation("queue_count must be positive")
-    done, leases = _ranges(state.get("completed", []), count), _ranges(state.get("leases", []), count)
-    if any(a["end_offset"] > b["start_offset"] for a, b in zip(done[:-1], done[1:], strict=True)):
-        raise Violation("completed ranges overlap")
-    if len(leases) > 1:
-        raise Violation("only one active lease is allowed")
-    if any(_meet(a, b) for a in done for b in leases):
-        raise Violation("lease overlaps completed work")
-    return {**copy.deepcopy(state), "queue_count": count, "completed": done, "leases": leases, "receipts": list(state.get("receipts", [])), "failures": list(state.get("failures", []))}
-
-
-def reserve(state: dict, start: int, size: int, run_id: int) -> dict:
-    """Lease a range; asking again for one's own lease changes nothing."""
-    now = checked_leases(state)
-    if start < 0 or size < 1 or run_id < 1 or start + size > now["queue_count"]:
-        raise Violation("requested range is outside the queue")
-    want = {"start_offset": start, "end_offset": start + size, "run_id": run_id}
-    if want in now["leases"]:
-        return now
-    if any(_meet(r, want) for r in now["completed"] + now["leases"]):
-        raise Violation("requested range is taken")
-    now["leases"].append(want)
-    return now
-
-
-def _own(now: dict, run_id: int, receipt: dict) -> dict:
-    held = [x for x in now["leases"] if x.get("run_id") == run_id]
-    if len(held) != 1:
-        raise Violation("exactly one matching active lease is required")
-    lease = held[0]
-    if (receipt.get("start_offset"), receipt.get("batch_size")) != (lease["start_offset"], lease["end_offset"] - lease["start_offset"]):
-        raise Violation("receipt does not match the lease")
-    now["leases"] = []
-    return lease
-
-
-def complete(state: dict, run_id: int, receipt: dict) -> dict:
-    """The run's lease becomes completed work with its receipt."""
-    now = checked_leases(state)
-    lease = _own(now, run_id, receipt)
-    now["completed"].append(lease)
-    now["receipts"].append({**receipt, "run_id": run_id, "end_offset": lease["end_offset"]})
-    return checked_leases(now)
-
-
-def abandon(state: dict, run_id: int, receipt: dict) -> dict:
-    """Release a failed lease; the receipt must name the failure and its kept artifact."""
-    now = checked_leases(state)
-    lease = _own(now, run_id, receipt)
-    if receipt.get("workflow_conclusion") != "failure" or not receipt.get("artifact_url") or not receipt.get("artifact_digest"):
-        raise Violation("failure receipt must name its failure and artifact")
-    now["failures"].append({**receipt, "run_id": run_id, "end_offset": lease["end_offset"]})
-    return now
-
-
-def next_offset(state: dict) -> int:
-    """First offset that no completed range covers."""
-    at = 0
-    for r in checked_leases(state)["completed"]:
-        if r["start_offset"] > at:
-            break
-        at = max(at, r["end_offset"])
-    return at
+# --- hash-chained journal and replay -----------------------------------------
 
 
-# --- hash-chained journal and replay -----------------------------------------
+def last_entry(journal: str) -> dict | None:
+    """Last whole line of a journal, read from its end; a torn line after it is ignored."""
+    at = Path(journal)
+    if not at.exists():
+        return None
+    size, step = at.stat().st_size, 1 << 12
+    with at.open("rb") as f:
+        while True:
+            f.seek(max(0, size - step))
+            tail = f.read(min(step, size))
+            whole = tail[: tail.rfind(b"\n") + 1].splitlines()
+            if len(whole) > 1 or step >= size:
+                return json.loads(whole[-1]) if whole else None
+            step *= 2
 
 
 def append_entry(journal: str, entry: dict) -> dict:
-    """Append an entry with its sequence, link and own digest."""
+    """Append an entry with its sequence, link and own digest. Only the journal's end is read and written."""
     if {"sequence", "previous_entry_sha256", "entry_sha256"} & set(entry):
         raise Violation("chain fields are not the caller's")
-    at = Path(journal)
-    lines = at.read_bytes().splitlines() if at.exists() else []
-    last = json.loads(lines[-1]) if lines else None
+    last = last_entry(journal)
     made = {**entry, "sequence": last["sequence"] + 1 if last else 0, "previous_entry_sha256": last["entry_sha256"] if last else None}
     made["entry_sha256"] = content_digest(made)
-    at.parent.mkdir(parents=True, exist_ok=True)
-    write_bytes(at, b"".join(x + b"\n" for x in lines) + json.dumps(made, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode() + b"\n")
+    append_bytes(journal, json.dumps(made, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode() + b"\n")
     return made
 
 
@@ -152,31 +82,30 @@ def replay(folder: str, members: list[str], observe: Callable[[str], tuple[str,
     """One pass over members that are not settled: object, then journal, then checkpoint.
 
     ``observe`` returns the disposition (complete, retryable, terminal), the body and
-    the wished wait. The pass stops when the circuit opens. A crash between the steps
+    the wished wait. The pass stops when the circuit opens, and does not begin while it is
+    open: the checkpoint holds until when. A crash between the steps
     leaves at most an object or an entry that the next pass repeats.
     """
-    import hashlib
-
-    from ..operators.replay import retry_after
-
     checkpoint = Path(folder) / "checkpoint.json"
     held = load_state(str(checkpoint))
     states = {m: held.get("states", {}).get(m, "pending") for m in members}
     p = held.get("pacing", {})
-    pacing = Pacing(p.get("delay", policy["floor_seconds"]), p.get("failures", 0), tuple(p.get("recent", ())))
+    until = p.get("open_until")
+    pacing = Pacing(p.get("delay", policy["floor_seconds"]), p.get("failures", 0), tuple(p.get("recent", ())), datetime.fromisoformat(until) if until else None)
     for m in members:
         if states[m] in ("complete", "terminal"):
             continue
         now = clock()
+        if pacing.open_until is not None and now < pacing.open_until:
+            break
         disposition, body, wait = observe(m)
         digest = None
         if disposition == "complete":
             digest = hashlib.sha256(body).hexdigest()
             write_bytes(Path(folder) / "objects" / digest[:2] / digest, body)
         append_entry(f"{folder}/journal.jsonl", {"member": m, "disposition": disposition, "object_sha256": digest, "at": now.isoformat()})
-        pacing = pacing.after(disposition, policy, now, jitter(), retry_after(wait, now, policy["ceiling_seconds"]))
+        pacing = pacing.after(disposition, policy, now, jitter(), wait_seconds(wait, now, policy["ceiling_seconds"]))
         states[m] = disposition
-        write_json(checkpoint, {"states": states, "pacing": {"delay": pacing.delay, "failures": pacing.failures, "recent": list(pacing.recent)}})
-        if pacing.open_until is not None:
-            break
+        opened = pacing.open_until.isoformat() if pacing.open_until else None
+        write_json(checkpoint, {"states": states, "pacing": {"delay": pacing.delay, "failures": pacing.failures, "recent": list(pacing.recent), "open_until": opened}})
     return states

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -9,35 +10,43 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import Violation
-from ..operators.events import latest_revisions, not_retracted
+from ..operators.events import latest_revisions, merge_shards, not_retracted
 
 EVENT = "event_id string, case_id string, activity string, logical_id string, revision bigint, operation string, source_index bigint"
 UPDATE = "logical_id string, event_id string, case_id string, revision bigint, operation string, active boolean"
-STATE = "revision bigint, event_id string, case_id string, operation string, payload string"
+STATE = "revision bigint, event_id string, case_id string, operation string, revisions array<bigint>, digests array<string>"
+
+
+def _digest(row) -> str:
+    """Digest of a delivery's whole payload, null told apart from text."""
+    parts = (row.event_id, row.case_id, row.activity, row.operation, row.source_index)
+    return hashlib.sha256("\x1f".join("\x00" if v is None or v != v else f"={v}" for v in parts).encode()).hexdigest()[:32]
 
 
 def _step(key, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    """Keep the newest (revision, event_id); the same revision with another payload aborts."""
+    """Keep the newest (revision, event_id); any revision, old or new, that comes again with another payload aborts."""
     held = state.get if state.exists else None
-    best = held
+    best, known = held[:4] if held else None, dict(zip(held[4], held[5], strict=True)) if held else {}
+    before = dict(known)
     for part in parts:
         for r in part.itertuples(index=False):
-            payload = f"{r.case_id}\x1f{r.activity}\x1f{r.operation}\x1f{r.source_index}"
-            row = (int(r.revision), r.event_id, r.case_id, r.operation, payload)
-            if best is not None and row[0] == best[0] and row[1] == best[1] and row[4] != best[4]:
-                raise Violation(f"conflicting payloads for logical event revision {key[0]}:{row[0]}")
+            revision, digest = int(r.revision), _digest(r)
+            if known.setdefault(revision, digest) != digest:
+                raise Violation(f"conflicting payloads for logical event revision {key[0]}:{revision}")
+            row = (revision, r.event_id, r.case_id, r.operation)
             if best is None or row[:2] > tuple(best[:2]):
                 best = row
-    if best is not None and best != held:
-        state.update(tuple(best))
+    if known != before:
+        state.update((*best, list(known), list(known.values())))
+    if best is not None and (held is None or tuple(best) != tuple(held[:4])):
         yield pd.DataFrame([(key[0], best[1], best[2], best[0], best[3], best[3] != "retract")], columns=[c.split()[0] for c in UPDATE.split(", ")])
 
 
 def latest_stream(events: DataFrame) -> DataFrame:
     """Stream of changes of each logical event's latest revision (update mode).
 
-    State holds one row per logical event; keys are spread by the shuffle, and each
-    key's work in a batch is one pass over its rows.
+    State holds one row per logical event, with a digest for each of its revisions;
+    keys are spread by the shuffle, and each key's work in a batch is one pass over its rows.
     """
     from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -50,17 +59,18 @@ def read_stream(spark: SparkSession, folder: str, schema: str = EVENT, files_per
 
 
 def upsert_batches(target: str) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: merge a batch of events into a table of latest revisions.
+    """For ``foreachBatch``: merge a batch of events into a table of logical revisions.
 
     Each batch writes a new version folder and then names it in a marker row; a
-    repeated batch writes the same version again. Readers use ``current``.
+    repeated batch writes the same version again. A revision that comes with another payload
+    than before, in whatever batch, aborts before anything is written. Readers use ``current``.
     """
 
     def merge(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = current(spark, target, before=number)
-        rows = batch if old is None else old.unionByName(batch)
-        latest_revisions(rows.dropDuplicates()).write.mode("overwrite").parquet(f"{target}/v{number:012d}")
+        old = revisions(spark, target, before=number)
+        rows = batch if old is None else old.unionByName(batch.select(old.columns))
+        merge_shards(rows).write.mode("overwrite").parquet(f"{target}/v{number:012d}")
         spark.createDataFrame([(number,)], "version bigint").coalesce(1).write.mode("overwrite").parquet(f"{target}/_done/version={number}")
 
     return merge
@@ -74,12 +84,18 @@ def _versions(spark: SparkSession, target: str) -> list[int]:
     return sorted(int(s.getPath().getName().partition("=")[2]) for s in fs.listStatus(path) if "=" in s.getPath().getName())
 
 
-def current(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """Latest complete version of the table, or of those before a batch number."""
+def revisions(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
+    """All logical revisions in the latest complete version, or in the latest of those before a batch number."""
     done = [v for v in _versions(spark, target) if before is None or v < before]
     return spark.read.parquet(f"{target}/v{done[-1]:012d}") if done else None
 
 
+def current(spark: SparkSession, target: str) -> DataFrame | None:
+    """Latest revision per logical event."""
+    found = revisions(spark, target)
+    return None if found is None else latest_revisions(found)
+
+
 def active(spark: SparkSession, target: str) -> DataFrame:
     return not_retracted(current(spark, target))
 

@@ -5,11 +5,12 @@ import zipfile
 from datetime import UTC, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from recordloom.operators import checks, discovery, events
 from recordloom.sinks import documents
 from recordloom.sources import index_api, readers
-from recordloom.streaming import control, event_log
+from recordloom.streaming import control, event_log, leases
 
 
 def put(path, *rows):
@@ -199,21 +200,24 @@ def test_objects_ledger_manifest(spark, tmp_path):
     assert documents.descriptors("n", "d", "s", "1", 2, "l", "h")["schema.org.jsonld"]["size"] == 2
 
 
-def test_leases():
-    s = {"queue_count": 10, "completed": [], "leases": []}
-    s = control.reserve(s, 0, 4, 1)
-    assert control.reserve(s, 0, 4, 1) == s
+def test_leases(spark):
+    s = leases.reserve(leases.empty(spark), 10, 0, 4, 1)
+    # asking again for one's own lease changes nothing, whatever else its row holds
+    assert leases.reserve(s.withColumn("receipt", F.lit("note")), 10, 0, 4, 1).count() == 1
+    for bad in ((4, 2, 2), (2, 2, 1), (9, 5, 3), (0, 0, 3), (0, 1, 0)):
+        with pytest.raises(checks.Violation):
+            leases.reserve(s, 10, *bad)
     with pytest.raises(checks.Violation):
-        control.reserve(s, 4, 2, 2) and control.checked_leases(control.reserve(s, 4, 2, 2))
-    s = control.complete(s, 1, {"start_offset": 0, "batch_size": 4})
-    assert control.next_offset(s) == 4
+        leases.complete(s, 1, 0, 3)
+    s = leases.complete(s, 1, 0, 4, "r")
+    assert leases.next_offset(s) == 4
     with pytest.raises(checks.Violation):
-        control.reserve(s, 3, 2, 2)
-    s = control.reserve(s, 4, 6, 2)
+        leases.reserve(s, 10, 3, 2, 2)
+    s = leases.reserve(s, 10, 4, 6, 2)
     with pytest.raises(checks.Violation):
-        control.abandon(s, 2, {"start_offset": 4, "batch_size": 6})
-    s = control.abandon(s, 2, {"start_offset": 4, "batch_size": 6, "workflow_conclusion": "failure", "artifact_url": "u", "artifact_digest": "d"})
-    assert s["leases"] == [] and len(s["failures"]) == 1
+        leases.abandon(s, 2, 4, 6, "failure", "", "d")
+    s = leases.abandon(s, 2, 4, 6, "failure", "u", "d")
+    assert sorted(r.role for r in s.collect()) == ["done", "failed"] and leases.next_offset(s) == 4
 
 
 def test_replay_resumes(tmp_path):
@@ -236,6 +240,29 @@ def test_replay_resumes(tmp_path):
     assert [x["sequence"] for x in lines] == list(range(6)) and lines[1]["previous_entry_sha256"] == lines[0]["entry_sha256"]
 
 
+def test_open_circuit_survives_a_restart(tmp_path):
+    policy = {"floor_seconds": 1, "ceiling_seconds": 9, "backoff_multiplier": 2, "jitter_fraction": 0, "decay_factor": 1, "window_size": 9, "minimum_window": 9, "failure_ratio": 1, "circuit_consecutive_failures": 1, "circuit_seconds": 60}
+    t, asked = datetime(2024, 1, 1, tzinfo=UTC), []
+    fail = lambda m: asked.append(m) or ("retryable", None, None)
+    control.replay(str(tmp_path), ["a", "b"], fail, policy, lambda: t)
+    control.replay(str(tmp_path), ["a", "b"], fail, policy, lambda: t + timedelta(seconds=59))
+    assert asked == ["a"]
+    control.replay(str(tmp_path), ["a", "b"], fail, policy, lambda: t + timedelta(seconds=61))
+    assert asked == ["a", "a"]
+
+
+def test_journal_is_appended_after_a_torn_line(tmp_path):
+    at = str(tmp_path / "j.jsonl")
+    first = control.append_entry(at, {"member": "m" * 9000})
+    with open(at, "ab") as f:
+        f.write(b'{"torn')
+    second = control.append_entry(at, {"member": "b"})
+    lines = [json.loads(x) for x in open(at, encoding="utf-8")]
+    assert lines == [first, second] and second["previous_entry_sha256"] == first["entry_sha256"] and second["sequence"] == 1
+    with pytest.raises(checks.Violation):
+        control.append_entry(at, {"sequence": 3})
+
+
 def test_sync_state_advances_last(spark, tmp_path):
     df = spark.createDataFrame([(1,)], "x int")
     run = control.sync_batches(str(tmp_path), lambda p: False)
@@ -268,6 +295,25 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(r.event_id for r in event_log.active(spark, str(tmp_path / "table")).collect()) == sorted(r.event_id for r in batch.collect()) == ["e2"]
 
 
+@pytest.mark.parametrize("second", [("e1", "c1", "b", "l1", 1, "upsert", 1), ("e9", "c1", "a", "l1", 1, "upsert", 1), ("e0", None, "a", "l1", 1, "upsert", 1)])
+def test_stream_conflicts_abort(spark, tmp_path, second):
+    """A revision that comes again with another payload aborts, also when a newer one has come between."""
+    _events(tmp_path / "in/1.json", ("e1", "c1", "a", "l1", 1, "upsert", 1))
+    _events(tmp_path / "in/2.json", ("e2", "c1", "a", "l1", 2, "upsert", 2))
+    _events(tmp_path / "in/3.json", second)
+    stream = event_log.read_stream(spark, str(tmp_path / "in"), files_per_batch=1)
+    q = event_log.latest_stream(stream).writeStream.outputMode("update").format("noop").option("checkpointLocation", str(tmp_path / "cp1")).start()
+    with pytest.raises(Exception, match="conflicting payloads"):
+        q.processAllAvailable()
+    merge = event_log.upsert_batches(str(tmp_path / "table"))
+    parts = [spark.read.schema(event_log.EVENT).json(str(tmp_path / f"in/{k}.json")) for k in (1, 2, 3)]
+    merge(parts[0], 0)
+    merge(parts[1], 1)
+    with pytest.raises(checks.Violation, match="l1:1"):
+        merge(parts[2], 2)
+    assert event_log.current(spark, str(tmp_path / "table")).first().event_id == "e2"
+
+
 def test_stream_windows(spark, tmp_path):
     put(tmp_path / "w/1.json", {"ts": "2024-01-01T00:01:00", "activity": "a"}, {"ts": "2024-01-01T00:02:00", "activity": "a"})
     s = spark.readStream.schema("ts timestamp, activity string").json(str(tmp_path / "w"))

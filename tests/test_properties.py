@@ -3,12 +3,12 @@
 import json
 from datetime import UTC, datetime
 
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from recordloom.functions import canonical, text
 from recordloom.operators import checks, replay
-from recordloom.streaming import control
+from recordloom.streaming import leases
 
 values = st.recursive(st.none() | st.booleans() | st.integers(-(2**53), 2**53) | st.text(max_size=8), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(max_size=4), x, max_size=3), max_leaves=8)
 documents = st.dictionaries(st.text(max_size=6), values, max_size=5)
@@ -33,25 +33,24 @@ def test_any_markup_gives_fields(markup):
     assert len(fields) == len(text.PAGE_FIELDS) and all(f is None or isinstance(f, str) for f in fields)
 
 
-@settings(max_examples=60)
-@given(st.lists(st.tuples(st.sampled_from(["reserve", "complete", "abandon"]), st.integers(0, 30), st.integers(1, 8)), max_size=12))
-def test_leases_never_overlap(steps):
-    state = {"queue_count": 30, "completed": [], "leases": []}
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(steps=st.lists(st.tuples(st.sampled_from(["reserve", "complete", "abandon"]), st.integers(0, 30), st.integers(1, 8)), max_size=6))
+def test_leases_never_overlap(spark, steps):
+    held, spans = None, leases.empty(spark)
     for what, start, size in steps:
         try:
             if what == "reserve":
-                state = control.reserve(state, start, size, 1)
-            elif state["leases"]:
-                lease = state["leases"][0]
-                receipt = {"start_offset": lease["start_offset"], "batch_size": lease["end_offset"] - lease["start_offset"], "workflow_conclusion": "failure", "artifact_url": "u", "artifact_digest": "d"}
-                state = getattr(control, what)(state, 1, receipt)
+                spans = leases.reserve(spans, 30, start, size, 1)
+                held = (start, size)
+            elif held:
+                spans = leases.complete(spans, 1, *held) if what == "complete" else leases.abandon(spans, 1, *held, "failure", "u", "d")
+                held = None
         except checks.Violation:
             continue
-        state = control.checked_leases({**state, "leases": state["leases"][:1]})
-    covered = [i for r in state["completed"] for i in range(r["start_offset"], r["end_offset"])]
-    assert len(covered) == len(set(covered))
-    first = control.next_offset(state)
-    assert first not in covered and set(range(first)) <= set(covered)
+        spans = spark.createDataFrame(spans.collect(), leases.SPANS)
+    covered = [i for r in spans.where("role = 'done'").collect() for i in range(r.start_offset, r.end_offset)]
+    first = leases.next_offset(spans)
+    assert len(covered) == len(set(covered)) and first not in covered and set(range(first)) <= set(covered)
 
 
 @given(st.lists(st.tuples(st.sampled_from(["retryable", "complete", "terminal"]), st.floats(0, 0.999)), max_size=30))
