@@ -32,6 +32,25 @@ def write_bytes(path: str | Path, body: bytes) -> None:
     os.replace(part, path)
 
 
+def append_bytes(path: str | Path, body: bytes) -> None:
+    """Append whole lines; what a crash has left of a line at the end is cut off first."""
+    path = Path(path)
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with path.open("ab+") as f:
+        end, step = f.tell(), 1 << 12
+        while end:
+            start = max(0, end - step)
+            f.seek(start)
+            whole = f.read(end - start).rfind(b"\n") + 1
+            if whole or not start:
+                f.truncate(start + whole)
+                break
+            step *= 2
+        f.write(body)
+        f.flush()
+        os.fsync(f.fileno())
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Parquet; columns of no type become text, as an empty table still needs a schema."""
     df.withColumns({c: F.col(c).cast("string") for c, kind in df.dtypes if kind == "void"}).write.mode(mode).parquet(path)
@@ -58,8 +77,12 @@ def checksums(spark: SparkSession, folder: str) -> DataFrame:
     return files.select(inside.alias("path"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256")).orderBy("path")
 
 
+SUMS = "CHECKSUMS.sha256"
+
+
 def write_projection(folder: str, tables: Mapping[str, DataFrame], coverage: dict, name: str, version: str = "1.0.0") -> dict:
-    """Write a projection's tables with coverage.json, dataset_info.json and CHECKSUMS.json.
+    """Write a projection's tables with coverage.json, dataset_info.json, CHECKSUMS.json (content of
+    tables, whatever their files) and CHECKSUMS.sha256 (bytes of every file).
 
     Tables go to a staging folder beside the target and are moved at the end, so
     nothing partial is left.
@@ -76,6 +99,8 @@ def write_projection(folder: str, tables: Mapping[str, DataFrame], coverage: dic
         info = {"name": name, "version": version, "resources": [{"name": k, "path": f"{k}.parquet", "format": "parquet"} for k in tables], "coverage": "coverage.json"}
         write_json(stage / "dataset_info.json", info)
         write_json(stage / "CHECKSUMS.json", {"tables": digests, "coverage": content_digest(coverage), "dataset_info": content_digest(info)})
+        spark = next(iter(tables.values())).sparkSession
+        write_bytes(stage / SUMS, "".join(f"{r['sha256']}  {r['path']}\n" for r in checksums(spark, str(stage)).collect()).encode())
         if target.exists():
             shutil.rmtree(target)
         stage.replace(target)
@@ -88,6 +113,10 @@ def write_projection(folder: str, tables: Mapping[str, DataFrame], coverage: dic
 def verify_projection(spark: SparkSession, folder: str) -> dict:
     """Coverage of a projection whose checksums hold and whose counts reconcile; else aborts."""
     root = Path(folder)
+    stated = [tuple(reversed(line.split("  ", 1))) for line in (root / SUMS).read_text(encoding="utf-8").splitlines()]
+    found = [(r["path"], r["sha256"]) for r in checksums(spark, folder).collect() if r["path"] != SUMS]
+    if sorted(stated) != sorted(found):
+        raise Violation("projection files differ from their checksums")
     sums = json.loads((root / "CHECKSUMS.json").read_text(encoding="utf-8"))
     coverage = json.loads((root / "coverage.json").read_text(encoding="utf-8"))
     if content_digest(coverage) != sums["coverage"] or content_digest(json.loads((root / "dataset_info.json").read_text(encoding="utf-8"))) != sums["dataset_info"]:
@@ -181,6 +210,9 @@ def build_package(root: str, instance: str, revision: int, files: Mapping[str, s
     same revision, or a revision before the last, aborts.
     """
     home = Path(root) / "packages" / instance / f"{revision:020d}"
+    held = indexed(root, instance)
+    if not home.exists() and held and revision <= max(r["archive_revision"] for r in held):
+        raise Violation(f"revision {revision} comes after a later one")
     home.parent.mkdir(parents=True, exist_ok=True)
     stage = Path(tempfile.mkdtemp(prefix=".package-", dir=home.parent))
     try:
@@ -205,27 +237,36 @@ def build_package(root: str, instance: str, revision: int, files: Mapping[str, s
     except BaseException:
         shutil.rmtree(stage, ignore_errors=True)
         raise
-    _index(Path(root), instance, manifest)
+    publish_index(root, instance)
     return manifest
 
 
-def _index(root: Path, instance: str, manifest: dict) -> None:
-    at = root / "indexes" / instance / "index.json"
-    revisions = json.loads(at.read_text(encoding="utf-8"))["revisions"] if at.exists() else []
-    entry = {"archive_revision": manifest["archive_revision"], "package_id": manifest["package_id"], "counts": manifest["counts"]}
-    known = [r for r in revisions if r["archive_revision"] == entry["archive_revision"]]
-    if known and known != [entry]:
-        raise Violation("revision already indexes a different package")
-    if not known:
-        if revisions and revisions[-1]["archive_revision"] >= entry["archive_revision"]:
-            raise Violation("revisions must be appended in increasing order")
-        revisions.append(entry)
-    write_bytes(at, canonical_bytes({"instance_id": instance, "revisions": revisions}) + b"\n")
-    write_bytes(at.with_name("latest.json"), canonical_bytes({"instance_id": instance, "revision": revisions[-1]}) + b"\n")
-    catalog = root / "catalog.json"
-    rows = {r["instance_id"]: r for r in json.loads(catalog.read_text(encoding="utf-8"))["instances"]} if catalog.exists() else {}
-    rows[instance] = {"instance_id": instance, "latest_archive_revision": revisions[-1]["archive_revision"], "latest_package_id": revisions[-1]["package_id"], "revision_count": len(revisions)}
-    write_bytes(catalog, canonical_bytes({"instances": [rows[k] for k in sorted(rows)]}) + b"\n")
+def indexed(root: str, instance: str) -> list[dict]:
+    """Revisions that an instance's index names."""
+    at = Path(root) / "indexes" / instance / "index.json"
+    return json.loads(at.read_bytes())["revisions"] if at.exists() else []
+
+
+def publish_index(root: str, instance: str) -> None:
+    """Make an instance's index, its latest revision and the catalogue again from the packages that are there.
+
+    Packages are the truth: the index follows from them, and only grows. A package
+    that the index names and that is gone or has another identity aborts.
+    """
+    rows = []
+    for at in sorted((Path(root) / "packages" / instance).glob(f"*/{PACKAGE}")):
+        manifest = json.loads(at.read_bytes())
+        rows.append({k: manifest[k] for k in ("archive_revision", "package_id", "counts")})
+    if any(r not in rows for r in indexed(root, instance)):
+        raise Violation(f"an indexed package of {instance} is gone or changed")
+    folder = Path(root) / "indexes" / instance
+    for name, document in (("index.json", {"instance_id": instance, "revisions": rows}), ("latest.json", {"instance_id": instance, "revision": rows[-1]})):
+        write_bytes(folder / name, canonical_bytes(document) + b"\n")
+    instances = []
+    for at in sorted((Path(root) / "indexes").glob("*/index.json")):
+        every = json.loads(at.read_bytes())["revisions"]
+        instances.append({"instance_id": at.parent.name, "latest_archive_revision": every[-1]["archive_revision"], "latest_package_id": every[-1]["package_id"], "revision_count": len(every)})
+    write_bytes(Path(root) / "catalog.json", canonical_bytes({"instances": instances}) + b"\n")
 
 
 def verify_package(folder: str) -> dict:
