@@ -67,4 +67,9 @@ def recent_runs(rows: DataFrame, run: str, order: str, n: int) -> DataFrame:
 
 def page_violations(pages: DataFrame) -> DataFrame:
     """One row over index pages (page, header, fingerprint): gaps, repeats, header changes."""
-    return pages.agg((F.max("page") + 1 - F.count("*")).alias("missing_pages"), (F.count("*") - F.count_distinct("fingerprint")).alias("repeated_pages"), (F.count_distinct("header") - 1).alias("header_changes"))
+    return pages.agg(
+        (F.max("page") + 1 - F.count_distinct("page")).alias("missing_pages"),
+        (F.count("*") - F.count_distinct("fingerprint")).alias("repeated_pages"),
+        (F.count_distinct("header") - 1).alias("header_changes"),
+        (F.count("*") - F.count_distinct("page")).alias("repeated_ordinals"),
+    )

@@ -92,11 +92,17 @@ def canonical_queue(rows: DataFrame) -> DataFrame:
     return rows.groupBy("slug").agg(F.coalesce(page, twin).alias("url"))
 
 
-def queue_minus_ledger(queued: DataFrame, incoming: DataFrame, completed: DataFrame, key: str) -> DataFrame:
-    """Queue united with incoming rows, the incoming winning, without completed keys."""
-    fresh = incoming.join(completed.select(key).distinct(), key, "left_anti")
-    kept = queued.join(incoming.select(key).distinct(), key, "left_anti").join(completed.select(key).distinct(), key, "left_anti")
-    return kept.unionByName(fresh)
+def queue_minus_ledger(queued: DataFrame, incoming: DataFrame, completed: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """Queue and incoming rows once by key, the last winning, without completed keys.
+
+    Incoming rows come after queued ones; ``order`` tells which of the same side is last
+    (without it the greatest row is taken, so that the result is the same on any number of tasks).
+    """
+    columns = queued.columns
+    at = F.col(order) if order else F.struct(*columns)
+    tagged = [df.select(F.struct(*columns).alias("r"), F.struct(F.lit(side).alias("side"), at.alias("at")).alias("o")) for side, df in enumerate((queued, incoming.select(columns)))]
+    last = tagged[0].unionByName(tagged[1]).groupBy(F.col(f"r.{key}").alias("k")).agg(F.max_by("r", "o").alias("r")).select("r.*")
+    return last.join(completed.select(key).distinct(), key, "left_anti")
 
 
 def missing_plan(all_slugs: DataFrame, selected: DataFrame, kinds: list[str], key: str = "slug") -> DataFrame:

@@ -32,15 +32,16 @@ def conflicts(events: DataFrame, payload: Column | None = None) -> DataFrame:
     Only a digest of the payload is shuffled; equal deliveries collapse before it.
     """
     digest = F.sha2(_whole(events) if payload is None else payload, 256)
-    keyed = events.select("logical_id", "revision", digest.alias("d")).distinct()
-    return keyed.groupBy("logical_id", "revision").agg(F.count("*").alias("n_payloads")).where("n_payloads > 1")
+    keyed = events.select("logical_id", "revision", digest.alias("d"))
+    # equal least and greatest digests are one payload; only the others are counted
+    mixed = keyed.groupBy("logical_id", "revision").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count_distinct("d").alias("n_payloads"))
+    return mixed.where("low <> high").select("logical_id", "revision", "n_payloads")
 
 
 def merge_shards(events: DataFrame, payload: Column | None = None, check: bool = True) -> DataFrame:
     """One row per logical revision; repeated deliveries collapse, different payloads abort."""
-    if check and not (bad := conflicts(events, payload).limit(1)).isEmpty():
-        row = bad.first()
-        raise Violation(f"conflicting payloads for logical event revision {row['logical_id']}:{row['revision']}")
+    if check and (bad := conflicts(events, payload).take(1)):
+        raise Violation(f"conflicting payloads for logical event revision {bad[0]['logical_id']}:{bad[0]['revision']}")
     return events.dropDuplicates(["logical_id", "revision"])
 
 

@@ -68,7 +68,7 @@ def source_graph(instances: DataFrame, sites: DataFrame, targets: DataFrame) ->
     for df, what, name in ((lost, "site", "site_id"), (stray, "target", "target_id")):
         if not (bad := df.select(name).limit(1)).isEmpty():
             raise Violation(f"{what} {bad.first()[0]} resolves to nothing")
-    placed = sites.join(F.broadcast(instances.select("instance_id", "host")), "host")
+    placed = sites.join(instances.select("instance_id", "host"), "host")
     by = targets.groupBy("site_id").agg(F.array_sort(F.collect_set("target_id")).alias("targets"))
     return placed.join(by, "site_id", "left").groupBy("instance_id").agg(F.array_sort(F.collect_set("site_id")).alias("sites"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("targets")))).alias("targets"))
 
@@ -173,8 +173,9 @@ def last_by_id(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def site_totals(pages: DataFrame) -> DataFrame:
-    """Per site: pages, rows, and whether the pages are complete (0..n-1, unrepeated)."""
-    complete = (F.max("page") + 1 == F.count("*")) & (F.count_distinct("fingerprint") == F.count("*"))
+    """Per site: pages, rows, and whether the pages are complete (each of 0..n-1 once, no fingerprint twice)."""
+    each = (F.max("page") + 1 == F.count("*")) & (F.count_distinct("page") == F.count("*")) & (F.min("page") == 0)
+    complete = each & (F.count_distinct("fingerprint") == F.count("*"))
     return pages.groupBy("site_id").agg(F.count("*").alias("pages"), F.sum("rows").alias("rows"), complete.alias("complete"))
 
 

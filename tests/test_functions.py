@@ -41,6 +41,8 @@ def test_state(spark):
 
 def test_clean_and_tags(spark):
     assert one(spark, text.clean_text, " a&amp;b \n c ", None) == ["a&b c", ""]
+    assert one(spark, text.clean_text, "a  b&nbsp;", "\u2003x\u00a0\u3000y\x1f") == ["a b", "x y"]
+    assert one(spark, text.normalize_state, "Partially&nbsp;successful", "not\u00a0held") == ["partially_successful", "not_held"]
     assert one(spark, text.body_tag, "NSW_State--Body ") == ["nsw state body"]
     assert one(spark, lambda c: text.safe_relative_path(c), "a/b", "/a", "a/../b", "a//b", "a\\b", "") == [True, False, False, False, False, False]
     assert one(spark, text.language_of, "en_NZ", "fr") == ["en", "fr"]

@@ -3,7 +3,7 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.operators import chains, checks, completeness, discovery, manifest, mirrors, ranges, replay
+from recordloom.operators import chains, checks, completeness, discovery, manifest, mirrors, ranges, registry, replay
 
 
 def rows(df):
@@ -145,7 +145,7 @@ def test_failure_windows(spark):
 
 def test_page_checks(spark):
     df = spark.createDataFrame([(0, "h", "a"), (2, "h", "a"), (3, "g", "b")], "page int, header string, fingerprint string")
-    assert tuple(chains.page_violations(df).first()) == (1, 1, 1)
+    assert tuple(chains.page_violations(df).first()) == (1, 1, 1, 0)
 
 
 def test_artifacts(spark):
@@ -177,4 +177,25 @@ def test_pacing():
     assert p.open_until is not None
     p = p.after("complete", policy, now)
     assert (p.delay, p.failures) == (30.0, 0)
-    assert replay.retry_after("Mon, 01 Jan 2024 00:00:10 GMT", now, 60) == 10 and replay.retry_after("7", now, 5) == 5 and replay.retry_after("x", now, 5) is None
+    assert replay.wait_seconds("Mon, 01 Jan 2024 00:00:10 GMT", now, 60) == 10 and replay.wait_seconds("7", now, 5) == 5 and replay.wait_seconds("x", now, 5) is None and replay.wait_seconds(None, now, 5) is None
+
+
+def test_retry_after_column(spark):
+    rows = spark.createDataFrame([("Mon, 01 Jan 2024 00:00:10 GMT", 10.0), (" 7 ", 7.0), ("900", 60.0), ("x", None), (None, None), ("Sun, 31 Dec 2023 00:00:00 GMT", 0.0)], "h string, want double")
+    got = rows.select("want", replay.retry_after(F.col("h"), F.timestamp_seconds(F.lit(1704067200)), 60).alias("got")).collect()
+    assert all(r.got == r.want for r in got)
+
+
+def test_page_ordinals(spark):
+    rows = spark.createDataFrame([(0, "h", "a"), (2, "h", "b"), (2, "h", "c")], "page int, header string, fingerprint string")
+    assert chains.page_violations(rows).first().asDict() == {"missing_pages": 1, "repeated_ordinals": 1, "repeated_pages": 0, "header_changes": 0}
+    sites = rows.select(F.lit("s").alias("site_id"), "page", "fingerprint", F.lit(1).alias("rows"))
+    assert registry.site_totals(sites).first().complete is False
+    assert registry.site_totals(sites.where("fingerprint <> 'c'").withColumn("page", F.col("page").cast("int") % 2)).first().complete is False
+
+
+def test_queue_takes_the_last_of_repeated_keys(spark):
+    ddl = "id int, v string, at int"
+    queued, incoming = spark.createDataFrame([(1, "a", 0), (1, "b", 1), (2, "c", 2), (3, "d", 3)], ddl), spark.createDataFrame([(2, "x", 0), (2, "y", 1), (4, "z", 2)], ddl)
+    got = discovery.queue_minus_ledger(queued, incoming, spark.createDataFrame([(3,)], "id int"), "id", "at")
+    assert sorted((r.id, r.v) for r in got.collect()) == [(1, "b"), (2, "y"), (4, "z")]
