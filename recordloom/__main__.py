@@ -8,11 +8,12 @@ from __future__ import annotations
 import argparse
 import json
 import sys
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from .operators import completeness, events, manifest, ranges
-from .operators.checks import Violation, event_rules, require
+from .operators import completeness, events, manifest, projection, ranges
+from .operators.checks import CONTRACT, Violation, event_rules, require
 from .session import session
 from .sinks import documents
 from .sources import readers
@@ -25,19 +26,38 @@ def project(a) -> dict:
     gone = readers.read_takedowns(spark, a.takedowns) if a.takedowns else None
     kept = events.without_takedowns(log, gone) if gone is not None else log
     active = events.not_retracted(events.latest_revisions(kept)).persist()
-    expected, records = None, None
+    given = readers.read_attachments(spark, a.attachments).drop("arrival") if a.attachments else None
+    files = projection.kept_attachments(given, gone) if given is not None else spark.createDataFrame([], "case_id string, event_id string, payload string")
+    meta, figures, records = None, None, None
     if a.manifest:
-        meta, rows = readers.read_manifest(spark, a.manifest)
-        if a.require_live and rows.where("state = 'dry-run'").limit(1).count():
+        document, rows = readers.read_manifest(spark, a.manifest)
+        meta, figures = document.first(), projection.manifest_figures(rows).first()
+        if a.require_live and figures["rehearsals"]:
             raise Violation("manifest contains dry-run rows")
-        expected = meta.first()["record_count"]
-        records = events.source_records(active, manifest.merge_last_wins(rows, "request_id", "row"))
-    coverage = events.coverage(log, kept, active, expected).first().asDict()
-    tables = {"events": active, "cases": events.cases(active), "revisions": active.agg(F.lit(a.revision).alias("revision"), F.count("*").alias("event_count"), F.count_distinct("case_id").alias("case_count"))}
+        records = projection.published_records(active, manifest.merge_last_wins(rows, "request_id", "row"), F.lit(meta["source"]))
+    counted = events.coverage(log, kept, active).withColumns(
+        {
+            "attachment_count": F.lit(files.count()),
+            "source_record_count": F.lit(None if records is None else records.count()).cast("bigint"),
+            "manifest_request_count": F.lit(meta and meta["record_count"]).cast("bigint"),
+            "manifest_attachment_count": F.lit(figures and figures["attachments"]).cast("bigint"),
+            "attachments_given": F.lit(given is not None),
+        }
+    )
+    coverage = projection.reconciled(counted).drop("attachments_given").first().asDict()
+    coverage |= {
+        "contract_version": CONTRACT,
+        "source_events": sorted(r["file"] for r in readers.event_files(spark, a.events).collect()),
+        "snapshot_revision": a.revision,
+        "takedown_ids": [] if gone is None else sorted(r["id"] for r in gone.collect()),
+        "manifest_dry_run_request_count": figures["rehearsals"] if figures else 0,
+        "require_live_manifest": a.require_live,
+    }
+    if a.source_reconciliation:
+        coverage["source_reconciliation"] = projection.reconciliation_note(Path(a.source_reconciliation).read_text(encoding="utf-8"))
+    tables = {"events": active, "cases": events.cases(active), "attachments": files, "revisions": projection.revision_row(active, a.revision, meta["captured_at"] if meta else None)}
     if records is not None:
         tables["source_records"] = records
-        coverage["source_record_count"] = records.count()
-        coverage["source_record_count_reconciles"] = coverage["source_record_count"] == coverage["case_count"]
     documents.write_projection(a.output, tables, coverage, "process-events")
     return coverage
 
@@ -100,7 +120,7 @@ def main(argv: list[str] | None = None) -> int:
         p.set_defaults(run=run)
 
     need, some = {"required": True}, {"default": None}
-    command("project", project, ("--events", need), ("--output", need), ("--takedowns", some), ("--manifest", some), ("--revision", {"default": "local"}), ("--require-live", {"action": "store_true"}))
+    command("project", project, ("--events", need), ("--output", need), ("--takedowns", some), ("--manifest", some), ("--attachments", some), ("--source-reconciliation", some), ("--revision", some), ("--require-live", {"action": "store_true"}))
     command("verify", verify, ("folder", {}))
     command("merge-manifests", merge_manifests, ("manifests", {"nargs": "+"}), ("--output", need), ("--source", need))
     command("package", package, ("--store", need), ("--instance", need), ("--revision", {"type": int, **need}), ("--cases", need), ("--events", need), ("--attachments", need), ("--repository", need), ("--repository-revision", need), ("--kind", {"default": "snapshot"}))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.canonical import json_digest
+
 # Columns of a request record and their defaults (null stays null where none is given).
 RECORD = {"request_id": None, "url_title": "", "title": "", "authority": "", "body_tag": "", "state": "", "html_captured": False, "license": None, "attribution": None, "first_seen": None, "last_updated": None}
 
@@ -16,15 +18,23 @@ def authority_name(value: Column) -> Column:
     return F.coalesce(F.when(F.ltrim(value).startswith("{"), F.coalesce(at("$.url_name"), at("$.name"), at("$.id"))), value, F.lit(""))
 
 
-def normalize_records(rows: DataFrame) -> DataFrame:
-    """Request records with all columns and defaults; ``id`` stands in for request_id."""
+def normalize_records(rows: DataFrame, hashed: bool = False) -> DataFrame:
+    """Request records with all columns and defaults; ``id`` stands in for request_id.
+
+    With ``hashed`` every row has a content_sha256: its own, or that of its canonical form.
+    """
     types = {"request_id": "bigint", "html_captured": "boolean"}
     out = []
     for name, default in RECORD.items():
         names = [n for n in ([name, "id"] if name == "request_id" else [name]) if n in rows.columns]
         value = F.coalesce(*[F.col(n).cast(types.get(name, "string")) for n in names]) if names else F.lit(None).cast(types.get(name, "string"))
         out.append((value if default is None else F.coalesce(value, F.lit(default))).alias(name))
-    return rows.select(*out, *(["content_sha256"] if "content_sha256" in rows.columns else []))
+    made = rows.select(*out, F.nullif(F.col("content_sha256"), F.lit("")).alias("content_sha256") if "content_sha256" in rows.columns else F.lit(None).cast("string").alias("content_sha256"))
+    if not hashed:
+        return made if "content_sha256" in rows.columns else made.drop("content_sha256")
+    # a row without a hash gets that of its own canonical form
+    whole = F.to_json(F.struct(*sorted(RECORD)), {"ignoreNullFields": "false"})
+    return made.withColumn("content_sha256", F.coalesce("content_sha256", json_digest(whole, "manifest")))
 
 
 def merge_last_wins(rows: DataFrame, key: str, *order: str) -> DataFrame:

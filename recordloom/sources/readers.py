@@ -23,7 +23,7 @@ MAX_QUEUE_LINE = 1_048_576
 
 ATTACHMENTS = "array<struct<name:string,url:string,content_type:string,size:bigint,sha256:string>>"
 REQUEST = f"request_id bigint, url_title string, title string, authority string, body_tag string, state string, html_captured boolean, attachments {ATTACHMENTS}, warc_record_ids array<string>, license string, attribution string, first_seen string, last_updated string, content_sha256 string"
-META = "generated_at string, source string, instance_id string, jurisdiction string, version string, record_count bigint, schema string"
+META = "generated_at string, captured_at string, source string, instance_id string, jurisdiction string, version string, record_count bigint, schema string"
 
 
 def _lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
@@ -77,6 +77,18 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def event_files(spark: SparkSession, path: str) -> DataFrame:
+    """Names of the shards that an event log is read from."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").load(path)
+    return files.select(F.substring_index("path", "/", -1).alias("file")).distinct()
+
+
+def read_attachments(spark: SparkSession, path: str) -> DataFrame:
+    """Attachment rows of JSON lines: ids, contract version, the usual fields, and the canonical payload."""
+    get = lambda k, t="string": F.try_variant_get("row", f"$.{k}", t).alias(k)
+    return read_jsonl(spark, path).select("arrival", get("case_id"), get("event_id"), get("contract_version"), get("name"), get("url"), get("content_type"), get("size", "bigint"), get("sha256"), F.to_json("row").alias("payload"))
+
+
 def read_takedowns(spark: SparkSession, path: str) -> DataFrame:
     """Ids of a takedown list: per row the first of case_id, event_id, id that is a text and not blank."""
     rows = read_jsonl(spark, path)
