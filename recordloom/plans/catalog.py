@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
-from ..operators import chains, checks, completeness, discovery, events, manifest, mirrors, ranges, registry, replay
+from ..operators import chains, checks, completeness, discovery, events, manifest, mirrors, projection, ranges, registry, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -737,3 +737,204 @@ def html_core_fields(spark, sf_dir):
 @query()
 def html_visible_text(spark, sf_dir):
     return _pages(spark, sf_dir).select("page_id", text.html_fields("html")["visible_text"].alias("visible_text"))
+
+
+# --- published projection ----------------------------------------------------
+
+
+@query(f"""WITH {LOG_SQL}, a AS (SELECT 'case-' || l_suppkey AS case_id, CAST(l_orderkey AS VARCHAR) AS event_id FROM lineitem)
+SELECT case_id, count(*) AS attachment_count FROM a WHERE case_id NOT IN (SELECT id FROM takedown) AND event_id NOT IN (SELECT id FROM takedown) GROUP BY case_id""")
+def projection_attachments(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("case-"), F.col("l_suppkey").cast("string")).alias("case_id"), F.col("l_orderkey").cast("string").alias("event_id"))
+    return projection.attachment_cases(projection.kept_attachments(rows, takedowns(spark, sf_dir)))
+
+
+@query("""SELECT 'urn:request:' || user_id AS case_id, CAST(user_id AS BIGINT) AS request_id,
+  CASE WHEN c_custkey % 2 = 0 THEN 'https://u.test/' || c_custkey ELSE 'https://s.test/request/r' || c_custkey END AS canonical_url, sha256(c_name) AS content_sha256,
+  CAST(c_custkey % 4 AS BIGINT) AS attachment_count, c_mktsegment AS source_state, 'canonical_archive' AS raw_material_location
+FROM (SELECT DISTINCT user_id FROM events) e JOIN customer ON c_custkey = user_id""")
+def published_source_records(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.concat(F.lit("urn:request:"), F.col("user_id").cast("string")).alias("case_id"))
+    mapped = e.withColumn("request_id", text.request_sequence(F.lit(None).cast("string"), F.col("case_id")))
+    k = F.col("c_custkey")
+    requests = table(spark, sf_dir, "customer").select(
+        k.cast("bigint").alias("request_id"), F.concat(F.lit("r"), k.cast("string")).alias("url_title"), F.when(k % 2 == 0, F.concat(F.lit("https://u.test/"), k.cast("string"))).otherwise("").alias("canonical_url"),
+        F.sha2("c_name", 256).alias("content_sha256"), F.array_repeat(F.lit("x"), (k % 4).cast("int")).alias("attachments"), F.col("c_mktsegment").alias("state"))
+    found = projection.published_records(mapped, requests, F.lit("https://s.test/"))
+    return found.select("case_id", "request_id", "canonical_url", "content_sha256", "attachment_count", "source_state", "raw_material_location")
+
+
+@query(f"""WITH {LOG_SQL}, a AS (SELECT 'case-' || l_suppkey AS case_id, CAST(l_orderkey AS VARCHAR) AS event_id FROM lineitem),
+n AS (SELECT (SELECT count(DISTINCT case_id) FROM active) AS case_count, (SELECT count(*) FROM a WHERE case_id NOT IN (SELECT id FROM takedown) AND event_id NOT IN (SELECT id FROM takedown)) AS attachment_count,
+  CAST(NULL AS BIGINT) AS source_record_count, (SELECT count(*) FROM customer) AS manifest_request_count, CAST((SELECT sum(c_custkey % 4) FROM customer) AS BIGINT) AS manifest_attachment_count, TRUE AS attachments_given)
+SELECT *, manifest_request_count = case_count AS request_count_reconciles, manifest_attachment_count = attachment_count AS attachment_count_reconciles, TRUE AS source_record_count_reconciles FROM n""")
+def projection_verdict(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("case-"), F.col("l_suppkey").cast("string")).alias("case_id"), F.col("l_orderkey").cast("string").alias("event_id"))
+    files = projection.kept_attachments(rows, takedowns(spark, sf_dir)).agg(F.count("*").alias("attachment_count"))
+    manifest_rows = table(spark, sf_dir, "customer").select(F.array_repeat(F.lit("x"), (F.col("c_custkey") % 4).cast("int")).alias("attachments"))
+    figures = projection.manifest_figures(manifest_rows).select(F.col("requests").alias("manifest_request_count"), F.col("attachments").alias("manifest_attachment_count"))
+    counts = _active(spark, sf_dir).agg(F.count_distinct("case_id").alias("case_count")).crossJoin(files).crossJoin(figures)
+    return projection.reconciled(counts.withColumns({"source_record_count": F.lit(None).cast("bigint"), "attachments_given": F.lit(True)}))
+
+
+@query("SELECT CAST(n_nationkey AS BIGINT) AS id, n_name AS name, CAST(NULL AS BIGINT) AS size FROM nation UNION ALL SELECT CAST(p_partkey AS BIGINT), p_name, CAST(p_size AS BIGINT) FROM part")
+def dynamic_union(spark, sf_dir):
+    a = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("bigint").alias("id"), F.col("n_name").alias("name"))
+    b = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("id"), F.col("p_name").alias("name"), F.col("p_size").cast("bigint").alias("size"))
+    return registry.union_all(a, b)
+
+
+@query("SELECT r_name AS instance_id FROM region WHERE r_regionkey % 2 = 0")
+def automation_targets(spark, sf_dir):
+    rows = table(spark, sf_dir, "region").select(F.col("r_name").alias("instance_id"), F.when(F.col("r_regionkey") % 2 == 0, F.lit(True)).alias("enabled"))
+    return registry.automation_targets(rows).select("instance_id")
+
+
+@query("SELECT n_name FROM nation WHERE n_nationkey IN (1, 3)")
+def requested_rows(spark, sf_dir):
+    rows = table(spark, sf_dir, "nation").withColumn("key", F.col("n_nationkey").cast("string"))
+    return registry.requested(rows, ["1", "3"], "key").select("n_name")
+
+
+@query(f"WITH {URL_SQL} SELECT page_id, scheme = 'https' AND query = '' AND NOT contains(url, '#') AND NOT contains(host, '@') AS exact FROM u")
+def url_exact_canonical(spark, sf_dir):
+    u = F.col("url")
+    return _pages(spark, sf_dir).select("page_id", urls.is_exact_canonical(u, urls.host(u)).alias("exact"))
+
+
+@query("SELECT count_if(page_id % 7 = 0) AS bad_timestamp, CAST(0 AS BIGINT) AS bad_original, count_if(page_id % 5 = 0) AS bad_digest FROM pages")
+def index_row_checks(spark, sf_dir):
+    rows = _pages(spark, sf_dir).select(F.col("url").alias("original"), F.when(F.col("page_id") % 7 == 0, "2024").otherwise("20240101000000").alias("timestamp"), F.when(F.col("page_id") % 5 != 0, F.sha2("html", 256)).alias("digest"))
+    names = ["bad_timestamp", "bad_original", "bad_digest"]
+    return rows.agg(*[F.count_if(broken).alias(n) for n, (_, broken) in zip(names, registry.index_row_rules(), strict=True)])
+
+
+@query("SELECT s_name AS mirror, CAST(s_suppkey % 3 AS BIGINT) AS n FROM supplier WHERE NOT (s_acctbal < 0 AND s_suppkey % 3 = 0)")
+def mirror_eligibility(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("mirror"), F.when(F.col("s_acctbal") < 0, "unavailable").otherwise("ok").alias("status"), (F.col("s_suppkey") % 3).cast("bigint").alias("n"))
+    return mirrors.eligible(rows).select("mirror", "n")
+
+
+@query(f"""WITH {CAPTURE_SQL}, a AS (SELECT slug, 'https://a.test/request/' || slug || CASE WHEN page_id % 3 = 0 THEN '.json' ELSE '' END AS url, CASE WHEN page_id % 2 = 0 THEN digest ELSE '' END AS digest FROM cap WHERE slug <> ''),
+g AS (SELECT slug, string_agg(DISTINCT url, ' ' ORDER BY url) AS urls, string_agg(DISTINCT digest, ' ' ORDER BY digest) FILTER (WHERE digest <> '') AS digests FROM a GROUP BY slug)
+SELECT CAST(c_custkey AS VARCHAR) AS request_id, CAST(c_custkey AS VARCHAR) AS slug, coalesce(urls, '') AS urls, coalesce(digests, '') AS digests FROM customer LEFT JOIN g ON slug = CAST(c_custkey AS VARCHAR)""")
+def reconciled_queue(spark, sf_dir):
+    c = _captures(spark, sf_dir).where("slug <> ''")
+    archive = c.select(F.concat(F.lit("https://a.test/request/"), "slug", F.when(F.col("page_id") % 3 == 0, ".json").otherwise("")).alias("url"), F.when(F.col("page_id") % 2 == 0, F.col("digest")).otherwise("").alias("digest"))
+    wanted = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("request_id"), F.col("c_custkey").cast("string").alias("slug"))
+    found = discovery.reconciled_queue(wanted, archive)
+    joined = lambda c: F.coalesce(F.array_join(c, " "), F.lit(""))
+    return found.select("request_id", "slug", joined("archive_urls").alias("urls"), joined("archive_digests").alias("digests"))
+
+
+@query(f"""WITH {BATCH_SQL}, r AS (SELECT o_orderkey * 10 AS id_from, o_custkey FROM orders WHERE o_totalprice > 300000)
+SELECT batch.id_from || '-' || id_to AS label, CASE WHEN r.id_from IS NOT NULL THEN 'merged' WHEN raw = '' THEN 'pending' ELSE raw END AS status, CASE WHEN r.id_from IS NOT NULL THEN 1 ELSE record_count END AS record_count, 'w' || r.o_custkey AS worker_run_id
+FROM batch LEFT JOIN r USING (id_from)""")
+def merge_receipts(spark, sf_dir):
+    k = F.col("o_orderkey") * 10
+    receipts = table(spark, sf_dir, "orders").where("o_totalprice > 300000").select(F.concat_ws("-", k, k + 9).alias("label"), F.lit(1).cast("bigint").alias("record_count"), F.concat(F.lit("w"), F.col("o_custkey").cast("string")).alias("worker_run_id"))
+    return ranges.mark_merged(_batches(spark, sf_dir), receipts).select("label", "status", "record_count", "worker_run_id")
+
+
+@query("SELECT s_suppkey, n_name FROM supplier JOIN nation ON n_nationkey = s_nationkey")
+def approval_join(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("n_nationkey"))
+    return registry.approved(rows, table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), "n_nationkey").select("s_suppkey", "n_name")
+
+
+@query("SELECT n_name, r_name FROM nation JOIN region ON r_regionkey = n_regionkey")
+def dimension_lookup(spark, sf_dir):
+    rows = table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "r_regionkey")
+    return registry.looked_up(rows, table(spark, sf_dir, "region").select("r_regionkey", "r_name"), "r_regionkey").select("n_name", "r_name")
+
+
+@query("SELECT n_name AS mirror, CAST(CASE WHEN n_regionkey = 1 THEN 99 ELSE n_regionkey END AS BIGINT) AS n FROM nation")
+def report_upsert(spark, sf_dir):
+    reports = table(spark, sf_dir, "nation").select(F.col("n_name").alias("mirror"), F.col("n_regionkey").cast("bigint").alias("n"))
+    return mirrors.upsert_reports(reports, reports.where("n = 1").withColumn("n", F.lit(99).cast("bigint")))
+
+
+@query(f"""WITH {CAPTURE_SQL}, l AS (SELECT slug, kind, arg_max(digest, (timestamp, -page_id)) AS digest FROM cap GROUP BY ALL),
+s AS (SELECT slug, arg_min(kind, kind = 'html') AS kind FROM l GROUP BY slug), k AS (SELECT CAST(c_custkey AS VARCHAR) AS slug FROM customer UNION SELECT slug FROM cap)
+SELECT slug, coalesce(kind, 'none') AS kind FROM k LEFT JOIN s USING (slug)""")
+def completion_selection(spark, sf_dir):
+    latest = discovery.latest_captures(_captures(spark, sf_dir), ["slug", "kind"], "timestamp", "page_id")
+    keys = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("slug")).unionByName(latest.select("slug"))
+    chosen, missing = discovery.complete_selection(keys, latest, "slug", "kind", "digest")
+    return chosen.select("slug", "kind").unionByName(missing.select("slug", F.lit("none").alias("kind")))
+
+
+@query("SELECT DISTINCT sha256(coalesce(text, '')) AS candidate_sha256 FROM documents")
+def candidate_self_hash(spark, sf_dir):
+    return replay.distinct_candidates(table(spark, sf_dir, "documents").select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("candidate_sha256"), "doc_id")).select("candidate_sha256")
+
+
+@query("""WITH i AS (SELECT CASE WHEN n_nationkey % 3 = 0 THEN n_name ELSE CAST(n_nationkey AS VARCHAR) END AS id FROM nation)
+SELECT id, row_number() OVER (ORDER BY TRY_CAST(id AS BIGINT) IS NULL, TRY_CAST(id AS BIGINT), id) AS place FROM i""")
+def type_aware_order(spark, sf_dir):
+    ids = table(spark, sf_dir, "nation").select(F.when(F.col("n_nationkey") % 3 == 0, F.col("n_name")).otherwise(F.col("n_nationkey").cast("string")).alias("id"))
+    return ids.select("id", F.row_number().over(Window.orderBy(*discovery.numeric_first(F.col("id")))).cast("bigint").alias("place"))
+
+
+@query("""SELECT n_nationkey FROM (SELECT n_nationkey, count(*) OVER w AS n, coalesce(sum(n_nationkey) OVER w, 0) AS b FROM nation WINDOW w AS (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE n < 20 AND b < 100""")
+def capped_queue(spark, sf_dir):
+    return ranges.cap_running(table(spark, sf_dir, "nation"), "n_nationkey", "n_nationkey", 20, 100).select("n_nationkey")
+
+
+@query(f"WITH {BATCH_SQL} SELECT min(id_from) || '-' || max(id_to) AS label FROM batch")
+def label_collapse(spark, sf_dir):
+    return ranges.collapse_labels(_batches(spark, sf_dir))
+
+
+@query("""WITH x AS (SELECT p_partkey, p_name, CASE WHEN p_partkey % 4 = 0 THEN 'https://x.test/' || p_partkey ELSE '' END AS e, CASE WHEN p_partkey % 3 <> 0 THEN 'https://s.test' END AS s FROM part)
+SELECT p_partkey, coalesce(nullif(e, ''), CASE WHEN p_name <> '' THEN s || '/request/' || p_name END) AS url FROM x""")
+def request_address(spark, sf_dir):
+    k = F.col("p_partkey")
+    explicit, source = F.when(k % 4 == 0, F.concat(F.lit("https://x.test/"), k.cast("string"))).otherwise(""), F.when(k % 3 != 0, F.lit("https://s.test//"))
+    return table(spark, sf_dir, "part").select("p_partkey", urls.canonical_request_url(explicit, source, F.col("p_name")).alias("url"))
+
+
+@query("SELECT conv_id, turn, right(coalesce(text, ''), 50) AS tail FROM conversations")
+def text_tail(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", text.tail(F.col("text"), 50).alias("tail"))
+
+
+@query("SELECT p_partkey, p_partkey % 5 >= 3 AS safe FROM part")
+def relative_paths(spark, sf_dir):
+    k, n = F.col("p_partkey"), F.col("p_name")
+    at = F.when(k % 5 == 0, F.concat(F.lit("/"), n)).when(k % 5 == 1, F.concat(n, F.lit("/../x"))).when(k % 5 == 2, F.concat(F.lit("a//"), n)).otherwise(F.concat(F.lit("a/"), n))
+    return table(spark, sf_dir, "part").select("p_partkey", text.safe_relative_path(at).alias("safe"))
+
+
+@query("SELECT DISTINCT 'pkg+archive.' || strftime(ts, '%Y.%m') AS version FROM events")
+def publication_versions(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(text.publication_version(F.lit("pkg"), F.col("ts")).alias("version")).distinct()
+
+
+@query("SELECT DISTINCT lower(lang) AS language FROM documents WHERE lang IS NOT NULL")
+def language_codes(spark, sf_dir):
+    return table(spark, sf_dir, "documents").where("lang is not null").select(text.language_of(F.concat(F.upper("lang"), F.lit("_NZ"))).alias("language")).distinct()
+
+
+@query("SELECT coalesce(nullif(CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE '' END, ''), 'id' || s_suppkey) AS slug, coalesce(CASE WHEN s_suppkey % 3 = 0 THEN s_name END, nullif(CASE WHEN s_suppkey % 2 = 0 THEN s_name ELSE '' END, ''), 'id' || s_suppkey) AS name FROM supplier")
+def body_labels(spark, sf_dir):
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(F.when(k % 2 == 0, F.col("s_name")).otherwise(" ").alias("url_name"), F.concat(F.lit("id"), k.cast("string")).alias("id"), F.when(k % 3 == 0, F.col("s_name")).alias("title"), F.lit(None).cast("array<string>").alias("tags"))
+    return registry.body_labels(rows).select("slug", "name")
+
+
+@query("SELECT p_partkey, regexp_matches(p_brand, '^[A-Za-z0-9][A-Za-z0-9._-]{0,254}$') AS brand_safe, regexp_matches(p_name, '^[A-Za-z0-9][A-Za-z0-9._-]{0,254}$') AS name_safe FROM part")
+def request_id_safety(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.safe_request_id(F.col("p_brand")).alias("brand_safe"), text.safe_request_id(F.col("p_name")).alias("name_safe"))
+
+
+@query("SELECT max(turn) + 1 - count(DISTINCT turn) AS missing_pages, count(*) - count(DISTINCT text) AS repeated_pages, count(DISTINCT role) - 1 AS header_changes, count(*) - count(DISTINCT turn) AS repeated_ordinals FROM conversations")
+def page_checks(spark, sf_dir):
+    pages = table(spark, sf_dir, "conversations").select(F.col("turn").cast("bigint").alias("page"), F.col("role").alias("header"), F.col("text").alias("fingerprint"))
+    return chains.page_violations(pages)
+
+
+@query("""WITH c AS (SELECT s_suppkey IS NOT NULL AS present, CAST(s_suppkey % 50 AS BIGINT) = p_size AS size_matches FROM part LEFT JOIN supplier ON s_suppkey = p_partkey)
+SELECT bool_and(present AND coalesce(size_matches, TRUE)) AS verified FROM c""")
+def mirror_verdict(spark, sf_dir):
+    return mirrors.mirror_verified(artifact_compare(spark, sf_dir).withColumn("checksum_matches", F.lit(None).cast("boolean")))
