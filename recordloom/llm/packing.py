@@ -85,8 +85,12 @@ def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None =
     return best
 
 
-def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Token pieces of documents: doc_id, piece, start, length, ids_crc32, item (a number of their own). Null texts hold only the end id."""
+def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col: str = "doc_id", text_col: str = "text", release: bool = False) -> DataFrame:
+    """Token pieces of documents: doc_id, piece, start, length, ids_crc32, item (a number of their own). Null texts hold only the end id.
+
+    With ``release`` each task drops the worker's cache of pre-tokens when it ends: the worker
+    stays, and what comes next may run no Python that would.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("item", pa.int64())])
 
     def run(batches):
@@ -101,7 +105,8 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
                         rows[c].append(v)
                     item += 1
             yield batch_of(rows, schema)
-        forget()  # the worker stays, and what comes next may run no Python that would drop the cache
+        if release:
+            forget()
 
     source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     return materialise(source, "pieces", run, "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, item bigint")
@@ -167,11 +172,11 @@ def pack(items: DataFrame, capacity: int, per_group: int = PARTITION_ITEMS, roun
     return packed.select("item", (F.col("grp") * (1 << 20) + F.col("bin")).alias("sequence_id"), "offset", (F.col("bins") == F.col("bound")).alias("certified")).unionByName(alone)
 
 
-def packed_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, **kw) -> DataFrame:
+def packed_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, release: bool = False, **kw) -> DataFrame:
     """Pieces of all documents with their place in a sequence.
 
     Repeated rows are packed row by row; null ids stay null; an empty table gives no rows.
     """
-    cut = pieces(docs, tokenizer, end_id, capacity)
+    cut = pieces(docs, tokenizer, end_id, capacity, release=release)
     placed = pack(cut.select("item", "length"), capacity, **kw)
     return cut.join(placed, "item").drop("item")

@@ -59,4 +59,4 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the remaining documents with their places in sequences."""
-    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, capacity=2048)
+    return packing.packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=0, capacity=2048, release=True)
