@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, maxent_lm, near_dedup, packing, pu_classifier, quality_rules, sstable, substring_dedup, token_counts, warc
+from . import collocations, decontamination, maxent_lm, near_dedup, packing, pu_classifier, quality_rules, sstable, substring_dedup, token_counts, warc
 from .common import CONTENT
 
 
@@ -57,6 +57,10 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(_read(spark, sf_dir, "pages")).drop("archive", "offset")
 
 
+def op13_vertical_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -64,11 +68,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: lambda spark, sf_dir, f=f: f(spark, sf_dir) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain, pipeline)}
+    return {f.__name__: lambda spark, sf_dir, f=f: f(spark, sf_dir) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain, op13_vertical_phrases, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_setsketch_dedup": _OP4, "op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10}
+    return {"op4_setsketch_dedup": _OP4, "op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10, "op13_vertical_phrases": _OP13}
 
 
 _OP4 = """
@@ -114,3 +118,27 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 100 AND page_id <> least_id THEN least_id END AS refers_to
 FROM m
 """
+
+_OP13 = """
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+f AS (
+  SELECT lang, m, array_to_string(w[i : i + m - 1], ' ') AS g, count(*) AS f
+  FROM (SELECT lang, w, m, unnest(generate_series(1, len(w) - m + 1)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) t(m) WHERE len(w) >= m) GROUP BY ALL HAVING count(*) >= 30),
+total AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+cut AS (
+  SELECT lang, g, f AS a, k, array_to_string(string_split(g, ' ')[1 : k], ' ') AS head, array_to_string(string_split(g, ' ')[k + 1 :], ' ') AS rest
+  FROM (SELECT lang, g, f, unnest(generate_series(1, m - 1)) AS k FROM f WHERE m > 1)),
+scored AS (
+  SELECT c.lang, c.g, c.a, x.f AS l, y.f AS r, (CAST(2000000 AS HUGEINT) * c.a) // (CAST(x.f AS HUGEINT) + y.f) AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.g = c.head JOIN f y ON y.lang = c.lang AND y.g = c.rest
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, c.k) = 1),
+part AS (
+  SELECT lang, array_to_string(string_split(g, ' ')[b : b + k - 1], ' ') AS g, max(f) AS longer
+  FROM (SELECT lang, g, f, m, k, unnest(generate_series(1, m - k + 1)) AS b FROM f, (VALUES (2), (3)) t(k) WHERE m > k) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM scored LEFT JOIN part USING (lang, g) JOIN total USING (lang)
+WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) <= 2000
+"""
