@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontamination, maxent_lm, near_dedup, packing, pu_classifier, quality_rules, sstable, substring_dedup, token_counts, warc
+from . import collocations, decontamination, hard_negatives, maxent_lm, near_dedup, packing, pu_classifier, quality_rules, sstable, substring_dedup, token_counts, warc
 from .common import CONTENT
 
 
@@ -57,6 +57,10 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(_read(spark, sf_dir, "pages")).drop("archive", "offset")
 
 
+def op12_vptree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(_read(spark, sf_dir, "embeddings"))
+
+
 def op13_vertical_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_read(spark, sf_dir, "documents"))
 
@@ -68,11 +72,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: lambda spark, sf_dir, f=f: f(spark, sf_dir) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain, op13_vertical_phrases, pipeline)}
+    return {f.__name__: lambda spark, sf_dir, f=f: f(spark, sf_dir) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain, op12_vptree_negatives, op13_vertical_phrases, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_setsketch_dedup": _OP4, "op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10, "op13_vertical_phrases": _OP13}
+    return {"op4_setsketch_dedup": _OP4, "op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10, "op12_vptree_negatives": _OP12, "op13_vertical_phrases": _OP13}
 
 
 _OP4 = """
@@ -119,6 +123,24 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
+_OP12 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+  other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) <= 10
+"""
+
 _OP13 = """
 WITH pieces AS (
   SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w
