@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontamination, hard_negatives, maxent_lm, near_dedup, packing, pu_classifier, quality_rules, sstable, substring_dedup, token_counts, warc
+from . import collocations, decontamination, hard_negatives, jaccard_join, maxent_lm, near_dedup, packing, pu_classifier, quality_rules, sstable, substring_dedup, token_counts, warc
 from .common import CONTENT
 
 
@@ -57,6 +57,10 @@ def op10_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(_read(spark, sf_dir, "pages")).drop("archive", "offset")
 
 
+def op11_vertical_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_read(spark, sf_dir, "documents"))
+
+
 def op12_vptree_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(_read(spark, sf_dir, "embeddings"))
 
@@ -72,11 +76,11 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: lambda spark, sf_dir, f=f: f(spark, sf_dir) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain, op12_vptree_negatives, op13_vertical_phrases, pipeline)}
+    return {f.__name__: lambda spark, sf_dir, f=f: f(spark, sf_dir) for f in (op1_sstable_tokens, op2_maxent_lm, op3_bestfit_packing, op4_setsketch_dedup, op5_llr_quality, op6_token_counts, op7_suffix_decontamination, op8_pu_quality, op9_bwt_dedup, op10_warc_chain, op11_vertical_jaccard, op12_vptree_negatives, op13_vertical_phrases, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_setsketch_dedup": _OP4, "op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10, "op12_vptree_negatives": _OP12, "op13_vertical_phrases": _OP13}
+    return {"op4_setsketch_dedup": _OP4, "op7_suffix_decontamination": _OP7, "op10_warc_chain": _OP10, "op11_vertical_jaccard": _OP11, "op12_vptree_negatives": _OP12, "op13_vertical_phrases": _OP13}
 
 
 _OP4 = """
@@ -123,6 +127,23 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM m
 """
 
+_OP11 = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM (SELECT * FROM s JOIN n USING (doc_id)) a JOIN (SELECT * FROM s JOIN n USING (doc_id)) b
+  ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n GROUP BY ALL),
+link AS (SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * k >= 90 * (a.n + b.n - k)),
+pair AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, pair.y FROM reach JOIN pair ON reach.y = pair.x)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least_id AS component_id
+FROM (SELECT x AS doc_id, min(y) AS least_id FROM reach GROUP BY x) LEFT JOIN n USING (doc_id)
+"""
+
 _OP12 = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
