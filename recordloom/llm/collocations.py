@@ -3,13 +3,14 @@
 1. Texts are cut into blocks of one language and about one megabyte. In a block, every
    word gets the sorted list of its positions (piece ends leave a gap); these lists are
    written once to the shared folder and are all that later passes read.
-2. The length of a list, summed over blocks, is the exact frequency. Lists of words below
-   ``least`` are passed over from then on.
-3. A phrase is extended by merging its occurrence positions, moved by its length, with the
+2. A phrase is extended by merging its occurrence positions, moved by its length, with the
    postings of the next word; only occurrences whose phrase and whose suffix are frequent
-   take part. List lengths, summed, are the frequencies of the longer phrases.
-4. Which phrases are frequent reaches the tasks as one bit array of fixed size a level. A
-   false bit costs an extra row that the exact count drops again; it never changes a result.
+   take part. The length of a list, summed over blocks, is the exact frequency.
+3. Before a length is counted exactly, hashes of its occurrences are counted: a phrase that is
+   frequent has a frequent hash. Which hashes are reaches the tasks as one bit array of fixed
+   size a length, and only lists that it marks are counted. A false bit costs an extra row
+   that the exact count drops again; it never changes a result.
+4. ``least`` copies of one hash from one task say as much as more of them.
 5. Cuts, inclusion and ranks are joins and a ranked window over the tables of frequent phrases.
 
 Rows: a null text is empty; a null language is ``und``, together with rows that say so;
@@ -22,12 +23,15 @@ language; two frequent words that share them abort the job.
 from __future__ import annotations
 
 import hashlib
+import math
 import zlib
+from collections import Counter
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +42,8 @@ LONGEST = 4
 FILTER_BITS = 27
 CHUNK_BITS = 16
 HELD_ROWS = 1 << 19
+HELD_KEYS = 1 << 22
+HELD_WORDS = 1 << 18
 
 _U = np.uint64
 _W = [f"w{i + 1}" for i in range(LONGEST)]
@@ -77,35 +83,85 @@ def _postings(batches):
                 yield batch_of({"lang": [lang], "terms": [terms.tobytes()], "words": [called], "lengths": [lengths.astype(np.int32).tobytes()], "positions": [positions.tobytes()]}, _POSTINGS)
 
 
-def _word_counts(batches):
-    schema = pa.schema([("lang", pa.string()), ("w1", pa.int64()), ("word", pa.string()), ("f", pa.int64())])
-    for batch in batches:
-        for lang, terms, called, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
-            terms = np.frombuffer(terms, np.int64)
-            yield batch_of({"lang": pa.array([lang] * len(terms), pa.string()), "w1": terms, "word": called.values, "f": np.frombuffer(lengths, np.int32).astype(np.int64)}, schema)
-
-
 def _seed(lang: str, size: int) -> np.uint64:
     return _U(int.from_bytes(hashlib.blake2b(f"{size}:{lang}".encode(), digest_size=8).digest(), "little"))
 
 
-def _slots(seed: np.uint64, columns: list[np.ndarray]) -> np.ndarray:
-    """Bit of each phrase, given by its words' columns."""
-    h = np.full(len(columns[0]), seed, np.uint64)
+def _hashes(lang: str, columns: list[np.ndarray]) -> np.ndarray:
+    """64-bit hash of each phrase, given by its words' columns."""
+    h = np.full(len(columns[0]), _seed(lang, len(columns)), np.uint64)
     for c in columns:
         h = mix(h ^ c.view(np.uint64)) + _U(0x9E3779B97F4A7C15)
-    return (mix(h) >> _U(64 - FILTER_BITS)).astype(np.int64)
+    return mix(h)
+
+
+def _packed(keys: np.ndarray, least: int) -> bytes:
+    """Sorted 32-bit keys as differences, byte by byte; more than ``least`` copies of one say no more than ``least``."""
+    if len(keys) > least:
+        keys = keys[np.concatenate([np.ones(least, bool), keys[least:] != keys[:-least]])]
+    gaps = np.diff(keys, prepend=np.uint32(0)).astype("<u4")
+    return zstandard.compress(np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
-def _bits_of(size: int):
+def _keys(size: int, least: int, bits: int, filters: list):
+    """Hashes of all occurrences, packed by bucket: the top ``bits`` bits name it, 32 more are kept."""
+    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary())])
+
+    def out(held):
+        keys = np.sort(np.concatenate(held) >> _U(32 - bits))
+        bucket = (keys >> _U(32)).astype(np.int32)
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]])
+        rows = [(int(bucket[i]), _packed(keys[i:j].astype(np.uint32), least)) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        return batch_of(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
+
     def run(batches):
-        schema = pa.schema([("chunk", pa.int32()), ("low", pa.int32())])
+        frequent, held, rows = None, [], 0
         for batch in batches:
-            langs, columns = batch.column(0), [batch.column(1 + i).to_numpy() for i in range(size)]
-            for lang in pc.unique(langs).to_pylist():
-                own = pc.equal(langs, lang).to_numpy(zero_copy_only=False)
-                slot = _slots(_seed(lang, size), [c[own] for c in columns])
-                yield batch_of({"chunk": (slot >> CHUNK_BITS).astype(np.int32), "low": (slot & ((1 << CHUNK_BITS) - 1)).astype(np.int32)}, schema)
+            frequent = [_loaded(b.value) for b in filters] if frequent is None else frequent
+            for lang, *lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                terms, lengths, positions = (np.frombuffer(x, t) for x, t in zip(lists, (np.int64, np.int32, np.int32), strict=True))
+                if size == 1:
+                    found = np.repeat(_hashes(lang, [terms]), np.minimum(lengths, least))
+                else:
+                    found = _hashes(lang, occurrences(lang, terms, lengths, positions, size, frequent))
+                if len(found):
+                    held.append(found)
+                    rows += len(found)
+                if rows > HELD_KEYS:
+                    yield out(held)
+                    held, rows = [], 0
+        if held:
+            yield out(held)
+
+    return run
+
+
+def _often(bits: int, least: int):
+    """Rows sorted by bucket: places in the bit array of keys that occur ``least`` times."""
+    schema = pa.schema([("chunk", pa.int32()), ("low", pa.int32())])
+
+    def places(bucket, held):
+        keys, n = np.unique(np.concatenate(held), return_counts=True)
+        slot = (((bucket << 32) + keys[n >= least].astype(np.int64)) >> (bits + 32 - FILTER_BITS)).astype(np.int64)
+        slot = np.unique(slot)
+        return batch_of({"chunk": (slot >> CHUNK_BITS).astype(np.int32), "low": (slot & ((1 << CHUNK_BITS) - 1)).astype(np.int32)}, schema)
+
+    def run(batches):
+        bucket, held = None, []
+        for batch in batches:
+            for at, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if at != bucket and held:
+                    yield places(bucket, held)
+                    held = []
+                bucket = at
+                held.append(_unpacked(data))
+        if held:
+            yield places(bucket, held)
 
     return run
 
@@ -128,12 +184,14 @@ def _chunks(batches):
         yield batch_of({"chunk": [chunk], "bits": [zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)]}, schema)
 
 
-def frequent_bits(phrases: DataFrame, size: int) -> list[tuple[int, bytes]]:
-    """The frequent phrases of one length as a bit array of 2**FILTER_BITS bits, in compressed chunks.
+def frequent_bits(lists: DataFrame, size: int, least: int, bits: int, filters: list) -> list[tuple[int, bytes]]:
+    """Phrases of ``size`` words that may occur ``least`` times, as a bit array of 2**FILTER_BITS bits in compressed chunks.
 
-    At most 2**(FILTER_BITS - CHUNK_BITS) rows and 16 MB reach the driver, whatever the input.
+    Hashes are counted, not phrases: some two to three bytes an occurrence are shuffled. At most
+    2**(FILTER_BITS - CHUNK_BITS) rows and 16 MB reach the driver, whatever the input.
     """
-    marked = mapped(phrases.select("lang", *_W[:size]), _bits_of(size), "chunk int, low int")
+    keys = mapped(lists, _keys(size, least, bits, filters), "bucket int, keys binary")
+    marked = mapped(keys.repartition("bucket").sortWithinPartitions("bucket"), _often(bits, least), "chunk int, low int")
     parts = mapped(marked.repartition("chunk").sortWithinPartitions("chunk"), _chunks, "chunk int, bits binary")
     return [(r["chunk"], bytes(r["bits"])) for r in parts.collect()]
 
@@ -147,14 +205,14 @@ def _loaded(chunks: list[tuple[int, bytes]]) -> np.ndarray:
 
 
 def _marked(bits: np.ndarray, lang: str, columns: list[np.ndarray]) -> np.ndarray:
-    slot = _slots(_seed(lang, len(columns)), columns)
+    slot = (_hashes(lang, columns) >> _U(64 - FILTER_BITS)).astype(np.int64)
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
 def occurrences(lang: str, terms: np.ndarray, lengths: np.ndarray, positions: np.ndarray, size: int, frequent: list[np.ndarray]) -> list[np.ndarray]:
     """Word columns of all occurrences of phrases of ``size`` words whose shorter parts are marked.
 
-    ``frequent[i]`` holds the marks of phrases of i + 1 words.
+    ``frequent[i]`` holds the marks of phrases of i + 1 words; marks for ``size`` words are heeded as well.
     """
     live = _marked(frequent[0], lang, [terms])
     at = positions[np.repeat(live, lengths)]
@@ -169,7 +227,10 @@ def occurrences(lang: str, terms: np.ndarray, lengths: np.ndarray, positions: np
         begins[held] = True
         # merge with the next word's postings; the suffix that ends there is in a kept list too
         held = held[posted[held + n] & begins[held + 1]]
-    return [word[held + i] for i in range(size)]
+    columns = [word[held + i] for i in range(size)]
+    if len(frequent) == size:
+        columns = [c[keep] for keep in [_marked(frequent[-1], lang, columns)] for c in columns]
+    return columns
 
 
 def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
@@ -184,6 +245,34 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
     return [c[at] for c in columns], np.add.reduceat(counts[order], at)
 
 
+def _word_counts(filters: list):
+    """Counts of the marked words, and in a row without a word the number of all words."""
+    schema = pa.schema([("lang", pa.string()), ("w1", pa.int64()), ("word", pa.string()), ("f", pa.int64())])
+
+    def run(batches):
+        frequent, held, total = None, {}, Counter()
+        for batch in batches:
+            frequent = _loaded(filters[0].value) if frequent is None else frequent
+            for lang, terms, called, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
+                terms, lengths = np.frombuffer(terms, np.int64), np.frombuffer(lengths, np.int32)
+                live = np.flatnonzero(_marked(frequent, lang, [terms]))
+                own = held.setdefault(lang, Counter())
+                for key, f in zip(zip(terms[live].tolist(), called.values.take(pa.array(live)).to_pylist(), strict=True), lengths[live].tolist(), strict=True):
+                    own[key] += f
+                total[lang] += int(lengths.sum())
+            if sum(map(len, held.values())) > HELD_WORDS:
+                yield from out(held)
+                held = {}
+        yield from out(held)
+        yield batch_of({"lang": list(total), "w1": [None] * len(total), "word": [None] * len(total), "f": list(total.values())}, schema)
+
+    def out(held):
+        for lang, own in held.items():
+            yield batch_of({"lang": [lang] * len(own), "w1": [k for k, _ in own], "word": [w for _, w in own], "f": list(own.values())}, schema)
+
+    return run
+
+
 def _phrases(size: int, filters: list):
     schema = pa.schema([("lang", pa.string()), *[(w, pa.int64()) for w in _W[:size]], ("f", pa.int64())])
 
@@ -198,7 +287,7 @@ def _phrases(size: int, filters: list):
             return batch_of({"lang": pa.array([lang] * len(counts), pa.string()), "f": counts} | dict(zip(_W, columns, strict=False)), schema)
 
         for batch in batches:
-            frequent = frequent or [_loaded(b.value) for b in filters]
+            frequent = [_loaded(b.value) for b in filters] if frequent is None else frequent
             for lang, *lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 terms, lengths, positions = (np.frombuffer(x, t) for x, t in zip(lists, (np.int64, np.int32, np.int32), strict=True))
                 found = occurrences(lang, terms, lengths, positions, size, frequent)
@@ -245,16 +334,21 @@ def phrase_tables(docs: DataFrame, least: int, text_col: str = "text", lang_col:
     source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
     ddl = "lang string, terms binary, words array<string>, lengths binary, positions binary"
     lists = materialise(source, "postings", lean(_postings), ddl)
-    counts = mapped(lists.select("lang", "terms", "words", "lengths"), _word_counts, "lang string, w1 bigint, word string, f bigint")
-    counts = materialise(counts.groupBy("lang", "w1", "word").agg(F.sum("f").alias("f")), "word-counts")
-    totals = materialise(counts.groupBy("lang").agg(F.sum("f").alias("n")), "word-totals")
-    levels, filters = [materialise(counts.where(F.col("f") >= least), "phrases1")], []
-    drop(counts)
-    if not levels[0].groupBy("lang", "w1").count().where("count > 1").isEmpty():
-        raise ValueError("two frequent words of one language share a 64-bit hash")
-    for size in range(2, LONGEST + 1):
-        filters.append(spark.sparkContext.broadcast(frequent_bits(levels[-1], size - 1)))
-        found = mapped(lists.select("lang", "terms", "lengths", "positions"), _phrases(size, filters), f"lang string, {', '.join(f'{w} bigint' for w in _W[:size])}, f bigint")
+    # buckets of about a million words; a block has up to a megabyte of text
+    bits = min(24, max(4, math.ceil(math.log2(max(1, lists.count() / 4)))))
+    plain, levels, filters = lists.select("lang", "terms", "lengths", "positions"), [], []
+    for size in range(1, LONGEST + 1):
+        filters.append(spark.sparkContext.broadcast(frequent_bits(plain, size, least, bits, filters)))
+        if size == 1:
+            found = mapped(lists.select("lang", "terms", "words", "lengths"), _word_counts(filters), "lang string, w1 bigint, word string, f bigint")
+            counts = materialise(found.groupBy("lang", "w1", "word").agg(F.sum("f").alias("f")), "word-counts")
+            totals = materialise(counts.where("w1 is null").select("lang", F.col("f").alias("n")), "word-totals")
+            levels.append(materialise(counts.where(F.col("w1").isNotNull() & (F.col("f") >= least)), "phrases1"))
+            drop(counts)
+            if not levels[0].groupBy("lang", "w1").count().where("count > 1").isEmpty():
+                raise ValueError("two frequent words of one language share a 64-bit hash")
+            continue
+        found = mapped(plain, _phrases(size, filters), f"lang string, {', '.join(f'{w} bigint' for w in _W[:size])}, f bigint")
         found = found.groupBy("lang", *_W[:size]).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
         levels.append(materialise(found, f"phrases{size}"))
     for held in filters:
