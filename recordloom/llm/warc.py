@@ -10,8 +10,9 @@ Reading: an archive is split by bytes. Tasks look for the record magic in their
 split, and emit for each candidate its offset and the offset where its record
 would end. A payload may hold the magic too, so per archive pointer jumping from
 offset 0 marks the reachable candidates in a logarithmic number of doublings; the
-others are rejected. The chain must end at the archive's end, and each payload
-must have the digest that its header states, or the read fails.
+others are rejected. The chain must end at the archive's end with as many records as the
+manifest states, and each payload must have the digest that its header states, or the
+read fails; so it does where an archive is missing, cut, emptied or overwritten.
 
 Null html is an empty payload. Rows without an id are written without one; they
 are revisits of a repeated payload whose smallest id exists, else responses.
@@ -119,13 +120,37 @@ def write_archives(pages: DataFrame, folder: str, date: str = "1970-01-01T00:00:
 
 
 def candidates(data: bytes, base: int, length: int) -> list[tuple[int, int]]:
-    """(offset, successor) of every record magic that starts in the first ``length`` bytes of a split."""
-    out, at = [], data.find(MAGIC)
+    """(offset, successor) of every record magic that starts in the first ``length`` bytes of a split.
+
+    Headers are read from the last magic to the first, and a line that one header has led
+    through is not read again for another: a payload full of magic, bare or inside fields,
+    takes time in proportion to its length.
+    """
+    starts, at = [], data.find(MAGIC)
     while 0 <= at < length:
-        if parsed := parse_header(data, at):
-            out.append((base + at, base + parsed[1] + int(parsed[0]["content-length"]) + 4))
+        starts.append(at)
         at = data.find(MAGIC, at + 1)
-    return out
+    out: list[tuple[int, int]] = []
+    led: dict[int, tuple[int, bytes | None] | None] = {}
+    for at in reversed(starts):
+        line, through = at + len(MAGIC), []
+        while line not in led:
+            end = data.find(b"\r\n", line)
+            if end <= line or data.find(b": ", line, end) < 0:
+                break
+            through.append((line, end))
+            line = end + 2
+        if line in led:
+            found = led[line]
+        else:
+            found = (line + 2, None) if through and data.startswith(b"\r\n", line) else None
+        for line, end in reversed(through):
+            if found and found[1] is None and data[line : line + 16].lower() == b"content-length: ":
+                found = found[0], data[line + 16 : end]
+            led[line] = found
+        if found and found[1] and found[1].isdigit():
+            out.append((base + at, base + found[0] + int(found[1]) + 4))
+    return out[::-1]
 
 
 def reachable(offsets: np.ndarray, successors: np.ndarray, size: int) -> np.ndarray:
@@ -149,11 +174,20 @@ def reachable(offsets: np.ndarray, successors: np.ndarray, size: int) -> np.ndar
 
 
 def _split_of(f, length: int) -> bytes:
-    """A split, and what follows it up to the end of the header of its last record magic."""
+    """A split, and what follows it up to the end of the header of its last record magic, or to a line that is no field."""
     data = f.read(length + HEADER_BYTES)
     last = data.rfind(MAGIC, 0, length + len(MAGIC) - 1)
-    while last >= 0 and data.find(b"\r\n\r\n", last) < 0 and (more := f.read(max(HEADER_BYTES, len(data) - last))):
-        data += more
+    line = last + len(MAGIC)
+    while last >= 0:
+        end = data.find(b"\r\n", line)
+        if end < 0:
+            if not (more := f.read(max(HEADER_BYTES, len(data) - last))):
+                break
+            data += more
+        elif data.find(b": ", line, end) < 0:
+            break
+        else:
+            line = end + 2
     return data
 
 
@@ -178,9 +212,15 @@ _RECORDS = "page_id bigint, payload_bytes bigint, payload_digest string, record_
 def _records_of(folder):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         name, size = pdf["archive"].iloc[0], int(pdf["n_bytes"].iloc[0])
+        stated = pdf[pdf["offset"] < 0]
+        pdf = pdf[pdf["offset"] >= 0]
         offsets, ends = pdf["offset"].to_numpy(), pdf["successor"].to_numpy()
-        keep = reachable(offsets, ends, size)
         rows, (fs, path) = [], filesystem(f"{folder}/{name}")
+        if fs.get_file_info(path).size != size:
+            raise ValueError(f"{name}: the manifest states {size} bytes")
+        keep = reachable(offsets, ends, size)
+        if keep.sum() != stated["successor"].sum():
+            raise ValueError(f"{name}: {keep.sum()} records; the manifest states {stated['successor'].sum()}")
         with fs.open_input_file(path) as f:
             for at, end in sorted(zip(offsets[keep].tolist(), ends[keep].tolist(), strict=True)):
                 f.seek(at)
@@ -199,11 +239,18 @@ def _records_of(folder):
 
 
 def read_archives(manifest: DataFrame, folder: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """Records of the manifest's archives."""
+    """Records of the manifest's archives.
+
+    Fails where an archive has another length than stated, where its chain of records does not
+    lead from its start to its end, where it has another number of records than stated, and
+    where a response's payload does not match its digest.
+    """
     starts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n_bytes") - 1, F.lit(split_bytes).cast("bigint")))
     splits = manifest.where("n_bytes > 0").select("archive", "n_bytes", starts.alias("start"), F.lit(split_bytes).cast("bigint").alias("length"))
     splits = splits.repartition("archive", "start")
     found = splits.mapInArrow(_candidates_of(folder), "archive string, n_bytes bigint, offset bigint, successor bigint")
+    # one row more of every archive holds its stated number of records, so that none is passed over in silence
+    found = found.unionByName(manifest.select("archive", "n_bytes", F.lit(-1).cast("bigint").alias("offset"), F.col("n_records").alias("successor")))
     return found.groupBy("archive").applyInPandas(_records_of(folder), _RECORDS)
 
 
