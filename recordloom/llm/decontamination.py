@@ -7,9 +7,10 @@ are sorted. Every benchmark suffix is then located by binary search; a window
 that occurs gives the shard's suffixes of one interval, hence all places. Runs of
 hits on one diagonal give the longest verbatim match per document and item.
 
-Documents are never shuffled. The benchmark is the stated query set; it is read in
-blocks of at most ``block_bytes`` of text, one broadcast and one pass per block,
-and passes are merged by row, so that neither driver nor tasks ever hold more.
+Documents are never shuffled. The benchmark is the stated query set. Its items, each once,
+are dealt by hash to blocks of about ``block_bytes`` of text (a longer item is a block of
+that length), one broadcast and one pass over the documents for each block that has items;
+passes are merged by row.
 
 Words are `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of text with A-Z lower-cased. An item
 of fewer than ``window`` words, but not none, is one window. Words are compared by
@@ -143,15 +144,17 @@ def _scan(tests):
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_words, spans of hit words, and the longest match of each item."""
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text"))
+    items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")).where(F.octet_length("text") > 0).distinct()
+    items = materialise(items, "items")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = max(1, -(-total // block_bytes))
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, -(-total // block_bytes)))))
+    filled = [r["block"] for r in items.select("block").distinct().orderBy("block").collect()]
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), *text_keys(F.col(text_col)))
     passes = []
-    for k in range(n_blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()
+    for k in filled or [0]:
+        block = items.where(F.col("block") == k).collect()
         tests = spark.sparkContext.broadcast(TestSet([(r["item_id"], r["text"]) for r in block], window))
-        if n_blocks == 1:
+        if len(filled) < 2:
             return mapped(source, _scan(tests), _DDL).drop("row_id")
         passes.append(materialise(source, "suffix-hits", lean(_scan(tests)), _DDL))
     every = passes[0]

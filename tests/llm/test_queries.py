@@ -227,6 +227,18 @@ def test_op7(spark, docs, awkward, empty, block):
     assert decontamination.decontaminate(docs, items.limit(0)).where("n_hit > 0 or contaminated").count() == 0
 
 
+def test_op7_repeated_items_are_one_block(spark, monkeypatch):
+    """Five thousand equal items: one block, one pass, the same verdicts."""
+    passes, real = [], decontamination.TestSet.__init__
+    monkeypatch.setattr(decontamination.TestSet, "__init__", lambda self, items, window: (passes.append(len(items)), real(self, items, window))[1])
+    docs = spark.createDataFrame([(1, PROSE), (2, "clean words only")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, PROSE[100:260])] * 5000 + [(8, ""), (9, None)], "item_id bigint, text string")
+    got = decontamination.decontaminate(docs, items, block_bytes=1000)
+    assert passes == [1] and [r.n_hit > 0 for r in got.orderBy("doc_id").collect()] == [True, False]
+    got = decontamination.decontaminate(docs, spark.createDataFrame([(i, PROSE) for i in range(3)] + [(5, "seven")], "item_id bigint, text string"), block_bytes=500)
+    assert sum(passes[1:]) == 4 and [r.n_items for r in got.orderBy("doc_id").collect()] == [3, 0]
+
+
 def test_op7_longest_match(spark):
     text = " ".join(f"t{i}" for i in range(40))
     docs = spark.createDataFrame([(1, f"x y {text} z")], "doc_id bigint, text string")
@@ -327,6 +339,21 @@ def test_op10(spark):
     assert warc.archived_pages(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("harm", ["zeroed", "cut", "emptied", "gone", "shortened"])
+def test_op10_never_loses_records_in_silence(spark, tmp_path, harm):
+    df = spark.createDataFrame([(i, "u", f"page {i} " * 30) for i in range(40)], "page_id bigint, url string, html string").repartition(4)
+    manifest = warc.write_archives(df, str(tmp_path))
+    assert warc.read_archives(manifest, str(tmp_path)).count() == 40
+    path = sorted(tmp_path.glob("*.warc"))[1]
+    data = path.read_bytes()
+    if harm == "gone":
+        path.unlink()
+    else:
+        path.write_bytes({"zeroed": b"\0" * len(data), "cut": data[: len(data) // 2], "emptied": b"", "shortened": data[: data.rfind(warc.MAGIC)]}[harm])
+    with pytest.raises(Exception, match=path.name if harm != "zeroed" else "chain of records"):
+        warc.read_archives(manifest, str(tmp_path)).collect()
+
+
 def test_op2(spark, docs, awkward, empty):
     counts = collections.Counter()
     for doc_id, text, *_ in awkward:

@@ -328,3 +328,27 @@ def test_shared_folder_must_be_named_on_a_cluster():
     assert common.shared_root(session("local[2]")) == common.shared_root(session("local[2]"))
     with pytest.raises(ValueError):
         common.shared_root(session("yarn"))
+
+
+def test_magic_in_payloads_is_searched_in_linear_time():
+    """Megabytes of magic, bare, as fields, and as whole headers without end."""
+    import time
+
+    for line, per in ((warc.MAGIC, 1), (b"X: " + warc.MAGIC, 1), (warc.MAGIC + b"A: b\r\n" * 3, 1), (warc.MAGIC + b"Content-Length: 3\r\n", 1)):
+        data = line * ((4 << 20) // len(line))
+        began = time.perf_counter()
+        found = warc.candidates(data + b"\r\n", 0, len(data))
+        assert time.perf_counter() - began < 20 and len(found) <= 1
+
+
+def test_candidates_are_what_headers_say():
+    r = random.Random(11)
+    parts = [warc.MAGIC, b"X: y\r\n", b"Content-Length: 4\r\n", b"content-length: 11\r\n", b"Content-Length: x\r\n", b"\r\n", b"no field\r\n", b"Z: WARC/1.1\r\n", b"tail", b": \r\n"]
+    for _ in range(400):
+        data = b"".join(r.choice(parts) for _ in range(r.randrange(30)))
+        want, at = [], data.find(warc.MAGIC)
+        while at >= 0:
+            if parsed := warc.parse_header(data, at):
+                want.append((at, parsed[1] + int(parsed[0]["content-length"]) + 4))
+            at = data.find(warc.MAGIC, at + 1)
+        assert warc.candidates(data, 0, len(data)) == want
