@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .operators import completeness, events, manifest, projection, ranges
 from .operators.checks import CONTRACT, Violation, event_rules, require
 from .session import session
-from .sinks import documents
+from .sinks import documents, packages
 from .sources import readers
 
 
@@ -83,16 +83,16 @@ def merge_manifests(a) -> dict:
 
 def package(a) -> dict:
     files = {"cases": a.cases, "events": a.events, "attachments": a.attachments}
-    made = documents.build_package(a.store, a.instance, a.revision, files, {"repository": a.repository, "revision": a.repository_revision}, {"kind": a.kind})
+    made = packages.build_package(session(), a.store, a.instance, a.revision, files, {"repository": a.repository, "revision": a.repository_revision}, {"kind": a.kind})
     return {k: made[k] for k in ("package_id", "archive_revision", "counts")}
 
 
 def verify_package(a) -> dict:
-    return {"package_id": documents.verify_package(a.folder)["package_id"]}
+    return {"package_id": packages.verify_package(session(), a.folder)["package_id"]}
 
 
 def verify_store(a) -> dict:
-    return {"packages": documents.verify_store(a.store)}
+    return {"packages": packages.verify_store(session(), a.store)}
 
 
 def completeness_report(a) -> dict:

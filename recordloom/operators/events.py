@@ -32,16 +32,49 @@ def conflicts(events: DataFrame, payload: Column | None = None) -> DataFrame:
     Only a digest of the payload is shuffled; equal deliveries collapse before it.
     """
     digest = F.sha2(_whole(events) if payload is None else payload, 256)
-    keyed = events.select("logical_id", "revision", digest.alias("d"))
-    # equal least and greatest digests are one payload; only the others are counted
-    mixed = keyed.groupBy("logical_id", "revision").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.count_distinct("d").alias("n_payloads"))
-    return mixed.where("low <> high").select("logical_id", "revision", "n_payloads")
+    keyed = events.select("logical_id", "revision", digest.alias("d")).groupBy("logical_id", "revision")
+    # equal least and greatest digests are one payload; only of the others the number is of interest
+    mixed = keyed.agg(F.min("d").alias("low"), F.max("d").alias("high")).where("low <> high").select("logical_id", "revision")
+    found = events.select("logical_id", "revision", digest.alias("d")).join(mixed, ["logical_id", "revision"])
+    return found.groupBy("logical_id", "revision").agg(F.count_distinct("d").alias("n_payloads"))
+
+
+#: How an abort for two payloads of one revision begins.
+CLASH = "two payloads for one logical revision:"
+
+
+def payload_digest(events: DataFrame) -> Column:
+    return F.sha2(_whole(events), 256)
+
+
+def merged_or_fail(events: DataFrame, digest: Column, held: DataFrame | None = None) -> DataFrame:
+    """One row per logical revision in one aggregate; the job that reads it fails where a revision has two payloads.
+
+    With ``held`` (logical_id, revision, _digest) only revisions that are not in it are
+    returned, and those that are must have the same digest.
+    """
+    row = F.struct(*[F.col(c) for c in events.columns])
+    rows = events.select("logical_id", "revision", digest.alias("d"), row.alias("e"), F.lit(False).alias("old"))
+    if held is not None:
+        none = F.lit(None).cast(events.select(row.alias("e")).schema["e"].dataType)
+        rows = rows.unionByName(held.select("logical_id", "revision", F.col("_digest").alias("d"), none.alias("e"), F.lit(True).alias("old")))
+    one = rows.groupBy("logical_id", "revision").agg(F.min("d").alias("low"), F.max("d").alias("high"), F.bool_or("old").alias("old"), F.any_value("e", True).alias("e"))
+    name = F.concat(F.lit(f"{CLASH} "), F.coalesce("logical_id", F.lit("null")), F.lit(":"), F.coalesce(F.col("revision").cast("string"), F.lit("null")))
+    # the filter also decides which rows stay, so that no plan can leave the test out
+    same = F.when(F.col("low") != F.col("high"), F.raise_error(name).cast("boolean")).otherwise(~F.col("old"))
+    return one.where(same).select("e.*")
 
 
 def merge_shards(events: DataFrame, payload: Column | None = None, check: bool = True) -> DataFrame:
-    """One row per logical revision; repeated deliveries collapse, different payloads abort."""
-    if check and (bad := conflicts(events, payload).take(1)):
-        raise Violation(f"conflicting payloads for logical event revision {bad[0]['logical_id']}:{bad[0]['revision']}")
+    """One row per logical revision; repeated deliveries collapse, different payloads abort.
+
+    With ``check`` the log is read once for conflicts, before anything else happens; without it
+    the rows are those of ``merged_or_fail``, whose job fails on a conflict.
+    """
+    if not check:
+        return merged_or_fail(events, F.sha2(_whole(events) if payload is None else payload, 256))
+    if bad := conflicts(events, payload).take(1):
+        raise Violation(f"{CLASH} {bad[0]['logical_id']}:{bad[0]['revision']}")
     return events.dropDuplicates(["logical_id", "revision"])
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .checks import Violation
+from .prefix import scan
 
 OFFSETS = ("start_offset", "end_offset")
 
@@ -25,22 +26,15 @@ def pending(batches: DataFrame, limit: int) -> DataFrame:
     return batches.where(batch_status(F.col("status")) == "pending").orderBy("id_from", "id_to", "label").limit(limit)
 
 
-def _running(df: DataFrame, start: str, end: str, shard: str | None, width: int = 1_000_000) -> DataFrame:
+def _running(df: DataFrame, start: str, end: str, shard: str | None) -> DataFrame:
     """Adds ``before``: the largest ``end`` of all rows before, in order of (start, end).
 
-    With ``shard`` the order is taken inside that column. Without it rows meet in
-    buckets of ``width`` offsets: each bucket is scanned by itself, and only one row
-    a bucket is scanned for what comes from earlier ones, so no task sees all rows.
+    With ``shard`` the order is taken inside that column, else by a scan in two levels.
     """
     if shard is not None:
         w = Window.partitionBy(shard).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
         return df.withColumn("before", F.max(end).over(w))
-    dealt = df.withColumn("_part", F.floor(F.col(start) / width))
-    inner = Window.partitionBy("_part").orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    over = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = dealt.groupBy("_part").agg(F.max(end).alias("_most")).select("_part", F.max("_most").over(over).alias("_carry"))
-    local = dealt.withColumn("_local", F.max(end).over(inner))
-    return local.join(carry, "_part").withColumn("before", F.greatest("_local", "_carry")).drop("_part", "_local", "_carry")
+    return scan(df, [start, end], maxima={"before": F.col(end)})
 
 
 def gaps(ranges: DataFrame, start: str = OFFSETS[0], end: str = OFFSETS[1], origin: int = 0, shard: str | None = None) -> DataFrame:
@@ -72,12 +66,16 @@ def verified_cursor(batches: DataFrame, origin: int = 1) -> DataFrame:
 
 
 def adjacent_overlaps(ranges: DataFrame, start: str = OFFSETS[0], end: str = OFFSETS[1], shard: str | None = None) -> DataFrame:
-    """Ranges that begin before the one before them, by start and end, has ended.
+    """Ranges that begin before the one before them, by start and end, has ended: adds previous_end.
 
-    For half-open ranges this finds an overlap wherever there is one.
+    For half-open ranges this finds an overlap wherever there is one. Without ``shard`` the
+    range before is the maximum so far of (start, end), so that a scan in two levels finds it.
     """
-    w = Window.partitionBy(*([shard] if shard else [])).orderBy(start, end)
-    return ranges.withColumn("previous_end", F.lag(end).over(w)).where(F.col("previous_end") > F.col(start))
+    if shard is not None:
+        w = Window.partitionBy(shard).orderBy(start, end)
+        return ranges.withColumn("previous_end", F.lag(end).over(w)).where(F.col("previous_end") > F.col(start))
+    seen = scan(ranges, [start, end], maxima={"_last": F.struct(F.col(start).alias("s"), F.col(end).alias("e"))})
+    return seen.withColumn("previous_end", F.col("_last.e")).drop("_last").where(F.col("previous_end") > F.col(start))
 
 
 def overlaps(a: DataFrame, b: DataFrame, keys: list[str], start: str = OFFSETS[0], end: str = OFFSETS[1], width: int | None = None) -> DataFrame:
@@ -173,20 +171,87 @@ def backfill_verification(captured: Column, merged: Column, mirrors: list[Column
     return {"tolerance": tolerance, "captured_within_tolerance": within, "captured_covers_merged": covers, "mirrors_match": match, "fully_verified": (covers | within) & match}
 
 
-def cap_running(rows: DataFrame, size: str, order: str, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
-    """Rows taken before a cap is reached. Caps are tested before a row is taken, so the row that crosses stays.
+def cap_running(rows: DataFrame, size: str, order: str | list[str], max_rows: int | None = None, max_bytes: int | None = None, seconds: str | None = None, max_minutes: float | None = None, free: str | None = None, min_free: int | None = None) -> DataFrame:
+    """Rows taken before a cap is reached, in a global order.
 
-    For queue-sized tables: the order is global.
+    Caps are tested before a row is taken, so the row that crosses stays: rows and bytes taken
+    so far, minutes spent so far (``seconds`` of each row), and bytes left of the disk
+    (``free`` of each row, as it was when the row came up; the first row below ``min_free`` ends it).
     """
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    seen = rows.withColumns({"_n": F.count("*").over(w), "_b": F.coalesce(F.sum(size).over(w), F.lit(0))})
+    sums = {"_n": F.lit(1).cast("bigint"), "_b": F.coalesce(F.col(size), F.lit(0)).cast("bigint")}
+    if max_minutes is not None:
+        sums["_s"] = F.coalesce(F.col(seconds), F.lit(0)).cast("decimal(20,6)")
+    low = F.lit(False)
+    if min_free is not None:
+        low = F.col(free) < min_free
+        sums["_low"] = low.cast("bigint")
+    seen = scan(rows, [order] if isinstance(order, str) else order, sums)
     if max_rows is not None:
         seen = seen.where(F.col("_n") < max_rows)
     if max_bytes is not None:
         seen = seen.where(F.col("_b") < max_bytes)
-    return seen.drop("_n", "_b")
+    if max_minutes is not None:
+        seen = seen.where(F.col("_s") < max_minutes * 60)
+    if min_free is not None:
+        seen = seen.where((F.col("_low") == 0) & ~F.coalesce(low, F.lit(False)))
+    return seen.drop(*sums)
 
 
 def coverage_percent(done: Column, total: Column, places: int) -> Column:
     """Half-even percentage, capped at 100, 0 without a total."""
     return F.when(F.coalesce(total, F.lit(0)) <= 0, F.lit(0.0)).otherwise(F.least(F.lit(100.0), F.bround(100 * done / total, places)))
+
+
+def run_islands(labels: DataFrame, run: str = "run", label: str = "label", place: str = "place") -> DataFrame:
+    """Labels of runs as islands: batches that follow each other without a gap inside one run.
+
+    ``labels`` are from-to, in the run's order ``place``. Adds id_from, id_to, island (its number
+    in the run, from 0) and first (the island's first label).
+    """
+    bound = lambda n: F.split_part(F.col(label), F.lit("-"), F.lit(n)).cast("bigint")
+    rows = labels.withColumns({"id_from": bound(1), "id_to": bound(2)})
+    w = Window.partitionBy(run).orderBy("id_from", "id_to", place)
+    begins = ~F.col("id_from").eqNullSafe(F.max("id_to").over(w.rowsBetween(Window.unboundedPreceding, -1)) + 1)
+    rows = rows.withColumn("_begins", begins)
+    return rows.withColumn("island", (F.sum(F.col("_begins").cast("bigint")).over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1)).withColumnRenamed("_begins", "first")
+
+
+def rebuilt_batches(batches: DataFrame, runs: DataFrame, merged: DataFrame) -> DataFrame:
+    """Controller batches (label, id_from, id_to, status, record_count) rebuilt from what merge runs have taken.
+
+    ``runs`` holds run, label, place (order inside the run); ``merged`` holds run, seq (order of runs)
+    and record_count. Every label of a run is merged. The run's first label by ``place`` carries its
+    count, the others keep theirs, or 0; a label in several runs goes by the last run that gave it a
+    count. Labels that the controller never had come in; batches of no run stay as they are.
+    """
+    w = Window.partitionBy("run").orderBy("place", "label")
+    numbered = runs.withColumn("_n", F.row_number().over(w)).join(merged.select("run", "seq", F.col("record_count").alias("_count")), "run")
+    taken = numbered.groupBy("label").agg(F.max_by("_count", F.when(F.col("_n") == 1, F.col("seq"))).alias("_count"), F.max(F.when(F.col("_n") == 1, F.lit(True))).alias("_lead"), F.lit(True).alias("_taken"))
+    known = batches.where(~(F.coalesce("label", F.lit("")) == ""))
+    rows = known.join(taken, "label", "full_outer")
+    bound = lambda n: F.split_part("label", F.lit("-"), F.lit(n)).cast("bigint")
+    hit = F.coalesce("_taken", F.lit(False))
+    return rows.select(
+        "label",
+        F.when(hit, bound(1)).otherwise(F.col("id_from")).cast("bigint").alias("id_from"),
+        F.when(hit, bound(2)).otherwise(F.col("id_to")).cast("bigint").alias("id_to"),
+        F.when(hit, F.lit("merged")).otherwise(batch_status(F.col("status"))).alias("status"),
+        F.when(F.coalesce("_lead", F.lit(False)), F.col("_count")).when(hit, F.coalesce("record_count", F.lit(0))).otherwise(F.col("record_count")).cast("bigint").alias("record_count"),
+    )
+
+
+def summarised(batches: DataFrame, summary_captured: Column | None = None, place: str = "id_from", runs: int = 10) -> DataFrame:
+    """``controller_summary`` with the recorded summary and the worker runs.
+
+    The summary's own count of captured records wins over the sum of merged batches (which may count
+    a record twice after bulk merges) wherever it is there, even as 0. ``worker_runs`` are distinct and
+    sorted; ``recent_worker_runs`` are the last ten distinct ones in the order of their first batch.
+    """
+    run = F.nullif(F.col("worker_run_id"), F.lit(""))
+    first = batches.select(run.alias("r"), F.col(place).alias("p")).where("r is not null").groupBy("r").agg(F.min("p").alias("p"))
+    named = first.agg(F.array_sort(F.collect_list("r")).alias("worker_runs"))
+    last = first.orderBy(F.desc("p"), F.desc("r")).limit(runs).agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "r"))), lambda x: x["r"]).alias("recent_worker_runs"))
+    one = controller_summary(batches).withColumn("captured_records_summed_batches", F.col("captured_records"))
+    if summary_captured is not None:
+        one = one.withColumn("captured_records", F.coalesce(summary_captured.cast("bigint"), F.col("captured_records")))
+    return one.crossJoin(named).crossJoin(last)

@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 import tempfile
+import uuid
 from collections.abc import Mapping
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.canonical import canonical_bytes, content_digest
+from .. import files
+from ..functions.canonical import content_digest
 from ..operators.checks import Violation
 
 
@@ -84,45 +86,44 @@ def write_projection(folder: str, tables: Mapping[str, DataFrame], coverage: dic
     """Write a projection's tables with coverage.json, dataset_info.json, CHECKSUMS.json (content of
     tables, whatever their files) and CHECKSUMS.sha256 (bytes of every file).
 
-    Tables go to a staging folder beside the target and are moved at the end, so
-    nothing partial is left.
+    Tables go to a staging folder beside the target, on the target's file system, and are moved at
+    the end, so nothing partial is left.
     """
-    target = Path(folder)
-    target.parent.mkdir(parents=True, exist_ok=True)
-    stage = Path(tempfile.mkdtemp(prefix=f".{target.name}-", dir=target.parent))
+    spark = next(iter(tables.values())).sparkSession
+    home, _, last = folder.rstrip("/").rpartition("/")
+    stage = f"{home}/.{last}-{uuid.uuid4().hex}" if home else f".{last}-{uuid.uuid4().hex}"
+    text = lambda document: (json.dumps(document, indent=2, sort_keys=True, ensure_ascii=False) + "\n").encode("utf-8")
     try:
         digests = {}
         for key, df in tables.items():
-            write_table(df, str(stage / f"{key}.parquet"))
-            digests[key] = content_digest_of(df.sparkSession.read.parquet(str(stage / f"{key}.parquet")))
-        write_json(stage / "coverage.json", coverage)
+            write_table(df, f"{stage}/{key}.parquet")
+            digests[key] = content_digest_of(spark.read.parquet(f"{stage}/{key}.parquet"))
+        files.write(spark, f"{stage}/coverage.json", text(coverage))
         info = {"name": name, "version": version, "resources": [{"name": k, "path": f"{k}.parquet", "format": "parquet"} for k in tables], "coverage": "coverage.json"}
-        write_json(stage / "dataset_info.json", info)
-        write_json(stage / "CHECKSUMS.json", {"tables": digests, "coverage": content_digest(coverage), "dataset_info": content_digest(info)})
-        spark = next(iter(tables.values())).sparkSession
-        write_bytes(stage / SUMS, "".join(f"{r['sha256']}  {r['path']}\n" for r in checksums(spark, str(stage)).collect()).encode())
-        if target.exists():
-            shutil.rmtree(target)
-        stage.replace(target)
+        files.write(spark, f"{stage}/dataset_info.json", text(info))
+        files.write(spark, f"{stage}/CHECKSUMS.json", text({"tables": digests, "coverage": content_digest(coverage), "dataset_info": content_digest(info)}))
+        files.write(spark, f"{stage}/{SUMS}", "".join(f"{r['sha256']}  {r['path']}\n" for r in checksums(spark, stage).collect()).encode())
+        files.delete(spark, folder)
+        files.rename(spark, stage, folder)
     except BaseException:
-        shutil.rmtree(stage, ignore_errors=True)
+        files.delete(spark, stage)
         raise
     return digests
 
 
 def verify_projection(spark: SparkSession, folder: str) -> dict:
     """Coverage of a projection whose checksums hold and whose counts reconcile; else aborts."""
-    root = Path(folder)
-    stated = [tuple(reversed(line.split("  ", 1))) for line in (root / SUMS).read_text(encoding="utf-8").splitlines()]
+    folder = folder.rstrip("/")
+    text = lambda name: files.read(spark, f"{folder}/{name}").decode("utf-8")
+    stated = [tuple(reversed(line.split("  ", 1))) for line in text(SUMS).splitlines()]
     found = [(r["path"], r["sha256"]) for r in checksums(spark, folder).collect() if r["path"] != SUMS]
     if sorted(stated) != sorted(found):
         raise Violation("projection files differ from their checksums")
-    sums = json.loads((root / "CHECKSUMS.json").read_text(encoding="utf-8"))
-    coverage = json.loads((root / "coverage.json").read_text(encoding="utf-8"))
-    if content_digest(coverage) != sums["coverage"] or content_digest(json.loads((root / "dataset_info.json").read_text(encoding="utf-8"))) != sums["dataset_info"]:
+    sums, coverage = json.loads(text("CHECKSUMS.json")), json.loads(text("coverage.json"))
+    if content_digest(coverage) != sums["coverage"] or content_digest(json.loads(text("dataset_info.json"))) != sums["dataset_info"]:
         raise Violation("projection documents were changed")
     for key, want in sums["tables"].items():
-        if content_digest_of(spark.read.parquet(str(root / f"{key}.parquet"))) != want:
+        if content_digest_of(spark.read.parquet(f"{folder}/{key}.parquet")) != want:
             raise Violation(f"projection table {key} was changed")
     for flag in ("request_count_reconciles", "attachment_count_reconciles", "source_record_count_reconciles"):
         if not coverage.get(flag, True):
@@ -149,6 +150,16 @@ def export_table(spark: SparkSession, parquet: str, name: str = "requests") -> N
     spark.read.parquet(parquet).createOrReplaceTempView(name)
 
 
+def export_bucketed(rows: DataFrame, path: str, name: str = "requests", key: str = "request_id", buckets: int = 32) -> DataFrame:
+    """A catalogue table of the rows, bucketed and sorted by their key, at ``path``; returns it.
+
+    Joins and differences by the key between tables of the same number of buckets read both
+    sides where they lie: no exchange, whatever their size.
+    """
+    rows.repartition(buckets, key).write.mode("overwrite").format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+    return rows.sparkSession.table(name)
+
+
 def descriptors(name: str, description: str, source: str, version: str, record_count: int, license_url: str, home: str) -> dict[str, dict]:
     """Croissant, Frictionless and schema.org descriptions of a manifest table."""
     path, kind = "manifests/latest_manifest.parquet", "application/vnd.apache.parquet"
@@ -166,148 +177,25 @@ def append_ledger(df: DataFrame, path: str) -> None:
 def store_objects(df: DataFrame, root: str, digest: str = "sha256", body: str = "body") -> int:
     """Write each distinct body once, at aa/bb/<digest>; a body with another digest aborts.
 
-    ``root`` is a folder that all executors share. Returns the number of objects.
-    """
-    import hashlib
-
-    def put(rows):
-        for r in rows:
-            if hashlib.sha256(r[body]).hexdigest() != r[digest]:
-                raise Violation(f"body does not match digest {r[digest]}")
-            at = Path(root) / r[digest][:2] / r[digest][2:4] / r[digest]
-            if not at.exists():
-                write_bytes(at, bytes(r[body]))
-
-    distinct = df.dropDuplicates([digest]).select(digest, body)
-    distinct.foreachPartition(put)
-    return distinct.count()
-
-
-# --- immutable packages ------------------------------------------------------
-
-PACKAGE = "archive-package.json"
-
-
-def _entry(order: int, root: Path, path: Path, role: str, rows: int | None) -> dict:
-    import hashlib
-
-    return {"order": order, "path": path.relative_to(root).as_posix(), "role": role, "bytes": path.stat().st_size, "sha256": hashlib.sha256(path.read_bytes()).hexdigest(), "row_count": rows}
-
-
-def package_id(manifest: dict) -> str:
-    return content_digest({k: v for k, v in manifest.items() if k != "package_id"})
-
-
-def _count(path: Path) -> int:
-    with path.open("rb") as f:
-        return sum(bool(line.strip()) for line in f)
-
-
-def build_package(root: str, instance: str, revision: int, files: Mapping[str, str], source: dict, metadata: dict) -> dict:
-    """Build or confirm one immutable package of NDJSON files {role: path}.
-
-    Stage, verify, rename. The same content again is fine; other content under the
-    same revision, or a revision before the last, aborts.
-    """
-    home = Path(root) / "packages" / instance / f"{revision:020d}"
-    held = indexed(root, instance)
-    if not home.exists() and held and revision <= max(r["archive_revision"] for r in held):
-        raise Violation(f"revision {revision} comes after a later one")
-    home.parent.mkdir(parents=True, exist_ok=True)
-    stage = Path(tempfile.mkdtemp(prefix=".package-", dir=home.parent))
-    try:
-        entries = []
-        for order, (role, path) in enumerate(files.items(), 1):
-            copy = stage / f"{role}.ndjson"
-            shutil.copyfile(path, copy)
-            entries.append(_entry(order, stage, copy, role, _count(copy)))
-        note = stage / "metadata" / "package-metadata.json"
-        write_bytes(note, canonical_bytes(metadata) + b"\n")
-        entries.append(_entry(len(entries) + 1, stage, note, "other", None))
-        manifest = {"schema_version": "1.0.0", "instance_id": instance, "archive_revision": revision, "source": source, "counts": {e["role"]: e["row_count"] for e in entries if e["row_count"] is not None}, "files": entries}
-        manifest["package_id"] = package_id(manifest)
-        write_bytes(stage / PACKAGE, canonical_bytes(manifest) + b"\n")
-        verify_package(str(stage))
-        if home.exists():
-            if verify_package(str(home))["package_id"] != manifest["package_id"]:
-                raise Violation("revision already holds a different package")
-            shutil.rmtree(stage)
-        else:
-            stage.replace(home)
-    except BaseException:
-        shutil.rmtree(stage, ignore_errors=True)
-        raise
-    publish_index(root, instance)
-    return manifest
-
-
-def indexed(root: str, instance: str) -> list[dict]:
-    """Revisions that an instance's index names."""
-    at = Path(root) / "indexes" / instance / "index.json"
-    return json.loads(at.read_bytes())["revisions"] if at.exists() else []
-
-
-def publish_index(root: str, instance: str) -> None:
-    """Make an instance's index, its latest revision and the catalogue again from the packages that are there.
-
-    Packages are the truth: the index follows from them, and only grows. A package
-    that the index names and that is gone or has another identity aborts.
+    ``root`` is a folder that all executors share. The input is read once: tasks count what
+    they keep. Returns the number of objects.
     """
-    rows = []
-    for at in sorted((Path(root) / "packages" / instance).glob(f"*/{PACKAGE}")):
-        manifest = json.loads(at.read_bytes())
-        rows.append({k: manifest[k] for k in ("archive_revision", "package_id", "counts")})
-    if any(r not in rows for r in indexed(root, instance)):
-        raise Violation(f"an indexed package of {instance} is gone or changed")
-    folder = Path(root) / "indexes" / instance
-    for name, document in (("index.json", {"instance_id": instance, "revisions": rows}), ("latest.json", {"instance_id": instance, "revision": rows[-1]})):
-        write_bytes(folder / name, canonical_bytes(document) + b"\n")
-    instances = []
-    for at in sorted((Path(root) / "indexes").glob("*/index.json")):
-        every = json.loads(at.read_bytes())["revisions"]
-        instances.append({"instance_id": at.parent.name, "latest_archive_revision": every[-1]["archive_revision"], "latest_package_id": every[-1]["package_id"], "revision_count": len(every)})
-    write_bytes(Path(root) / "catalog.json", canonical_bytes({"instances": instances}) + b"\n")
-
-
-def verify_package(folder: str) -> dict:
-    """Manifest of a package whose identity, order, inventory, digests and counts hold; else aborts."""
     import hashlib
 
-    root = Path(folder)
-    manifest = json.loads((root / PACKAGE).read_text(encoding="utf-8"))
-    if package_id(manifest) != manifest.get("package_id"):
-        raise Violation("package identity mismatch")
-    files = manifest["files"]
-    if [f["order"] for f in files] != list(range(1, len(files) + 1)):
-        raise Violation("package file order must be exactly 1..N")
-    there = set()
-    for p in root.rglob("*"):
-        if p.is_symlink():
-            raise Violation("package holds a symlink")
-        if p.is_file() and p.name != PACKAGE:
-            there.add(p.relative_to(root).as_posix())
-    if there != {f["path"] for f in files} or len(there) != len(files):
-        raise Violation("package inventory does not match its manifest")
-    for f in files:
-        body = (root / f["path"]).read_bytes()
-        if len(body) != f["bytes"] or hashlib.sha256(body).hexdigest() != f["sha256"]:
-            raise Violation(f"package file {f['path']} was changed")
-        if f["row_count"] is not None and _count(root / f["path"]) != f["row_count"]:
-            raise Violation(f"package file {f['path']} has another row count")
-    return manifest
-
-
-def verify_store(root: str) -> int:
-    """Number of packages of a store whose index and packages agree; else aborts."""
-    n = 0
-    for at in sorted((Path(root) / "indexes").glob("*/index.json")):
-        index = json.loads(at.read_text(encoding="utf-8"))
-        numbers = [r["archive_revision"] for r in index["revisions"]]
-        if numbers != sorted(set(numbers)):
-            raise Violation("index revisions must increase")
-        for r in index["revisions"]:
-            manifest = verify_package(str(Path(root) / "packages" / index["instance_id"] / f"{r['archive_revision']:020d}"))
-            if manifest["package_id"] != r["package_id"]:
-                raise Violation("index and package differ")
-            n += 1
-    return n
+    def put(batches):
+        n = 0
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if hashlib.sha256(data).hexdigest() != name:
+                    raise Violation(f"body does not match digest {name}")
+                n += 1
+                path = f"{root}/{name[:2]}/{name[2:4]}/{name}"
+                fs, at = files.filesystem(path)
+                if fs.get_file_info(at).size != len(data):
+                    part = files.Part(path)
+                    part.write(data)
+                    part.publish()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    kept = df.dropDuplicates([digest]).select(digest, F.col(body).cast("binary").alias(body))
+    return kept.mapInArrow(put, "n bigint").agg(F.sum("n")).first()[0] or 0

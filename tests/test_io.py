@@ -164,23 +164,6 @@ def test_projection_roundtrip(spark, tmp_path):
     assert documents.checksums(spark, str(tmp_path / "p")).count() >= 3
 
 
-def test_package(tmp_path):
-    files = {"cases": put(tmp_path / "c", {"a": 1}), "events": put(tmp_path / "e", {"a": 1}, {"a": 2})}
-    build = lambda rev, **kw: documents.build_package(str(tmp_path / "store"), "nz", rev, kw.get("files", files), {"repository": "r"}, {"m": 1})
-    first = build(1)
-    assert first["counts"] == {"cases": 1, "events": 2} and build(1)["package_id"] == first["package_id"]
-    with pytest.raises(checks.Violation):
-        build(1, files={"cases": put(tmp_path / "c2", {"b": 1})})
-    build(3)
-    with pytest.raises(checks.Violation):
-        build(2)
-    assert documents.verify_store(str(tmp_path / "store")) == 2
-    at = tmp_path / "store/packages/nz" / f"{1:020d}"
-    (at / "events.ndjson").write_text("{}\n")
-    with pytest.raises(checks.Violation):
-        documents.verify_package(str(at))
-
-
 def test_objects_ledger_manifest(spark, tmp_path):
     import hashlib
 
@@ -303,7 +286,7 @@ def test_stream_conflicts_abort(spark, tmp_path, second):
     _events(tmp_path / "in/3.json", second)
     stream = event_log.read_stream(spark, str(tmp_path / "in"), files_per_batch=1)
     q = event_log.latest_stream(stream).writeStream.outputMode("update").format("noop").option("checkpointLocation", str(tmp_path / "cp1")).start()
-    with pytest.raises(Exception, match="conflicting payloads"):
+    with pytest.raises(Exception, match="two payloads"):
         q.processAllAvailable()
     merge = event_log.upsert_batches(str(tmp_path / "table"))
     parts = [spark.read.schema(event_log.EVENT).json(str(tmp_path / f"in/{k}.json")) for k in (1, 2, 3)]
