@@ -20,6 +20,8 @@ from .. import files
 from .checks import Violation
 
 SEGMENT = 65_536
+#: Problems of an entry, gravest first: what makes the later ones meaningless comes before them.
+GRAVEST = ["is no entry", "has another place", "does not have its own digest", "begins with a link", "has no entry before", "does not follow the entry before"]
 _SEGMENT = "{keys}segment bigint, first bigint, last bigint, head string, tail string, problem string, problem_at bigint"
 
 
@@ -141,6 +143,9 @@ def _objects(spark: SparkSession, folder: str) -> DataFrame:
 def require_whole(spark: SparkSession, folder: str, members: list[str] | DataFrame, size: int = SEGMENT) -> None:
     """Aborts with the first finding: of the journal by place, then objects, then the checkpoint."""
     rank = F.when(F.col("what") == "journal", 0).when(F.col("what") == "object", 1).otherwise(2)
-    bad = findings(spark, folder, members, size).orderBy(rank, F.try_to_number("at", F.lit("9999999999999999999")), "at", "problem").head(1)
+    grave = F.array_position(F.array(*[F.lit(p) for p in GRAVEST]), F.col("problem"))
+    grave = F.when(grave == 0, len(GRAVEST) + 1).otherwise(grave)
+    place = F.when(F.col("what") == "journal", F.col("at").try_cast("bigint"))
+    bad = findings(spark, folder, members, size).orderBy(rank, place, grave, "at", "problem").head(1)
     if bad:
         raise Violation(f"{bad[0]['what']} {bad[0]['at']} {bad[0]['problem']}")

@@ -20,6 +20,11 @@ UPDATE = "logical_id string, event_id string, case_id string, revision bigint, o
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def keyed_state(spark: SparkSession) -> None:
+    """Queries that this session starts from now on keep their state in RocksDB, which state of several kinds needs."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+
+
 def _digest(row) -> str:
     """Digest of a delivery's whole payload, null told apart from text."""
     parts = (row.event_id, row.case_id, row.activity, row.operation, row.source_index)
@@ -58,9 +63,9 @@ def latest_stream(events: DataFrame) -> DataFrame:
     """Stream of changes of each logical event's latest revision (update mode).
 
     Any revision, old or new, that comes again with another payload aborts. A batch reads and
-    writes only the revisions that it brings: they are entries of a map state (RocksDB, which
-    the session has to name as its state store).
+    writes only the revisions that it brings: they are entries of a map state.
     """
+    keyed_state(events.sparkSession)
     return events.groupBy("logical_id").transformWithStateInPandas(_Latest(), UPDATE, "Update", "None")
 
 

@@ -22,6 +22,7 @@ from .. import files
 from ..functions.canonical import content_digest
 from ..operators.checks import Violation
 from ..operators.replay import Pacing, wait_seconds
+from .event_log import keyed_state
 
 ENTRY = "host string, sequence bigint, member string, attempt bigint, disposition string, object_sha256 string, at timestamp, delay double, failures int, open_until timestamp, previous_entry_sha256 string, entry_sha256 string"
 _COLUMNS = [c.split()[0] for c in ENTRY.split(", ")]
@@ -114,6 +115,7 @@ def replay_stream(selection: DataFrame, folder: str, observe: Observe, policy: M
 
     Hosts are keys: they progress in parallel, and an open circuit holds up its own host alone.
     """
+    keyed_state(selection.sparkSession)
     return selection.select("host", "member").groupBy("host").transformWithStateInPandas(Replay(folder, observe, policy, burst), ENTRY, "Update", "ProcessingTime")
 
 
