@@ -11,14 +11,15 @@ outcomes sum to one. In histories, every word that training has seen ``CONTEXT_C
 times (and is among the ``hot_limit`` words that travel) is told apart, the others by ending.
 
 1. Counts of all training tokens: partial counts per task, one shuffle.
-2. Observed counts of (feature row, outcome) over all training positions give the first
-   weights: shrunk log ratios of a row's share of an outcome to the outcome's own share.
-3. Distributed gradient updates. The rounds share out the training documents by a
-   hash of the text, so that they are one epoch: every training position gives one
+2. Training starts from bias rows alone, the shares of classes and slots; all other weights are 0.
+3. Distributed gradient updates: counts of (feature row, outcome) observed over all training
+   positions against counts that the model expects, each weight moved by the logarithm of their
+   ratio. What the start expects follows in closed form. The later rounds share out the training
+   documents by a hash of the text, so that they are one epoch: every training position gives one
    expected outcome at the round's tables, drawn by a hash of the position and weighted so that it is
-   an unbiased sample of the gradient's expected part (importance sampling of the softmax). The update is observed against
-   expected counts, scaled by them. All counts are whole numbers and add up over tasks, so that
-   the result depends neither on partitions nor on cores. Tables have a fixed size.
+   an unbiased sample of the gradient's expected part (importance sampling of the softmax). All
+   counts are whole numbers and add up over tasks, so that the result depends neither on
+   partitions nor on cores. Tables have a fixed size.
 4. Scoring in sparse numpy batches. Counts of the most frequent words travel to the
    tasks (at most ``hot_limit``); the rest, rare and so without hot keys, is joined
    by word, and only needs the sum of log10(count + 1) per document.
@@ -47,13 +48,13 @@ CONTEXT_COUNT = 16
 CLASS_ROWS = 1 << 15
 SLOT_ROWS = 1 << 16
 FEATURES = 5
-ROUNDS = 2
+ROUNDS = 3
 CHUNK = 16384
 BATCH = 2048
 HELD = 1 << 23
-RATE = 0.1
-PRIOR = 50
-SHRINK, TRUST = 30.0, 0.5
+RATE = 0.4
+PRIOR = 20
+SHRINK, TRUST = 30.0, 0.4
 HOT_LIMIT = 1 << 18
 ROW_BLOCK = 1 << 10
 SLOT_SHIFT = 40
@@ -206,23 +207,33 @@ def bias_rows() -> tuple[int, np.ndarray]:
     return int(by_class[0, 0]), by_slot[:, 0]
 
 
-def first_tables(mass: np.ndarray, observed: np.ndarray) -> np.ndarray:
-    """Tables from observed counts: bias rows give the shares of classes and slots, the others how a feature shifts them."""
+def bias_tables(mass: np.ndarray) -> np.ndarray:
+    """Where training starts: bias rows give the shares of classes and slots, all other weights are 0."""
     share = mass + 0.5
-    table = np.empty(observed.shape, np.float32)
-    for part, prior in ((slice(0, CLASS_ROWS), share.sum(axis=1) / share.sum()), (slice(CLASS_ROWS, None), None)):
-        seen = observed[part]
-        if prior is None:
-            prior = seen.sum(axis=0) + 0.5
-            prior = prior / prior.sum()
-        of_row = seen.sum(axis=1, keepdims=True)
-        table[part] = TRUST * np.log((seen + SHRINK * prior) / ((of_row + SHRINK) * prior))
+    table = np.zeros((CLASS_ROWS + SLOT_ROWS, SLOTS), np.float32)
     by_class, by_slot = bias_rows()
     table[by_class] = np.log(share.sum(axis=1) / share.sum())
     table[by_slot] = np.log(share / share.sum(axis=1, keepdims=True))
     return table
 
 
+def bias_expected(mass: np.ndarray, observed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Counts that the start expects of every row's positions, in closed form, and the shares they follow from.
+
+    A slot row is shared by features of many classes, so that its expectation takes the slots' shares over all of them.
+    """
+    share = np.empty(observed.shape)
+    by_class, by_slot = mass.sum(axis=1) + SLOTS * 0.5, observed[CLASS_ROWS:].sum(axis=0) + 0.5
+    share[:CLASS_ROWS], share[CLASS_ROWS:] = by_class / by_class.sum(), by_slot / by_slot.sum()
+    return observed.sum(axis=1, keepdims=True) * share, share
+
+
+def updated(tables: np.ndarray, observed: np.ndarray, expected: np.ndarray, prior, rate: float) -> np.ndarray:
+    """One gradient step: the log-likelihood's gradient is observed - expected; each weight moves by the
+    logarithm of their ratio, which is that difference over a step size of its own, smoothed by ``prior``."""
+    return (tables + rate * np.log((observed + prior) / (expected + prior))).astype(np.float32)
+
+
 def _counts(batches):
     schema = pa.schema([("word", pa.int64()), ("ending", pa.int32()), ("n", pa.int64())])
     for batch in batches:
@@ -253,7 +264,7 @@ class Tally:
     """Counts of (row, outcome), added up from many positions at a time."""
 
     def __init__(self):
-        self.counts, self.held, self.size = np.zeros((CLASS_ROWS + SLOT_ROWS) * SLOTS, np.int32), [], 0
+        self.counts, self.held, self.size = np.zeros((CLASS_ROWS + SLOT_ROWS) * SLOTS, np.int64), [], 0
         self.weights: list = []
 
     def add(self, rows: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None) -> None:
@@ -298,7 +309,8 @@ def _gathered(lexicon, tables):
         for k, at in enumerate(range(0, len(counts), ROW_BLOCK * SLOTS)):
             cells = counts[at : at + ROW_BLOCK * SLOTS]
             if cells.any():
-                yield batch_of({"salt": [salt], "block": [k], "cells": [_packed(cells)]}, _BLOCK_SCHEMA)
+                narrow = cells if cells.max() >> 31 else cells.astype(np.int32)
+                yield batch_of({"salt": [salt], "block": [k], "cells": [_packed(narrow)]}, _BLOCK_SCHEMA)
 
     return run
 
@@ -333,16 +345,26 @@ def gather(texts: DataFrame, lexicon, tables=None) -> np.ndarray:
 
 
 def train(training: DataFrame, lexicon, rounds: int = ROUNDS) -> np.ndarray:
-    """Tables after the observed counts and ``rounds`` of gradient updates, one epoch in all."""
+    """Tables after ``rounds`` of gradient updates from bias rows alone.
+
+    What the start expects is known in closed form, so the first round needs no sampling; the
+    others share out the training documents, one epoch in all.
+    """
     context = training.sparkSession.sparkContext
+    tables, bias = bias_tables(lexicon.value.mass), bias_rows()
+    if not rounds:
+        return tables
     observed = gather(training, lexicon)
-    tables, bias = first_tables(lexicon.value.mass, observed), bias_rows()[0]
-    for number in range(rounds):
+    expected, share = bias_expected(lexicon.value.mass, observed)
+    start, held = tables, np.concatenate([[bias[0]], bias[1]])
+    tables = updated(tables, observed, expected, SHRINK * share, TRUST)
+    tables[held] = start[held]  # bias rows are at their optimum
+    for number in range(rounds - 1):
         sent = context.broadcast(tables)
-        expected = gather(training.where(F.pmod(F.xxhash64("text"), F.lit(rounds)) == number), lexicon, sent) / UNIT
+        expected = gather(training.where(F.pmod(F.xxhash64("text"), F.lit(rounds - 1)) == number), lexicon, sent) / UNIT
         sent.unpersist()
-        share = expected[bias].sum() / max(observed[bias].sum(), 1)
-        tables = tables + RATE * np.log((observed * share + PRIOR) / (expected + PRIOR)) if share else tables
+        part = expected[bias[0]].sum() / max(observed[bias[0]].sum(), 1)
+        tables = updated(tables, observed * part, expected, PRIOR, RATE) if part else tables
     return tables
 
 

@@ -449,6 +449,14 @@ def test_op2_beats_its_base_on_held_out_text(spark, sf_dir):
     assert out["score"].sum() > out["base_score"].sum()
 
 
+def test_op2_rounds_of_training_gain(spark, sf_dir):
+    """Log10 a held-out token: each round gains; without any the model is no better than counts of words."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    mean = [maxent_lm.lm_scores(docs, rounds=r).where("held_out").selectExpr("sum(score) / sum(n_tokens) as s", "sum(base_score) / sum(n_tokens) as b").first() for r in (0, 1, 3)]
+    assert abs(mean[0].s - mean[0].b) < 0.05
+    assert mean[1].s > mean[0].s + 0.1 and mean[2].s > mean[1].s
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_oracles(spark, sf_dir, name):
     con = duckdb.connect()

@@ -268,7 +268,10 @@ def test_lm_counts_cover_every_position_whatever_the_batches():
         return out.reshape(-1, maxent_lm.SLOTS)
 
     observed = total([batch(texts)], None)
-    table = maxent_lm.first_tables(lex.value.mass, observed)
+    start = maxent_lm.bias_tables(lex.value.mass)
+    expected, share = maxent_lm.bias_expected(lex.value.mass, observed)
+    assert np.allclose(expected.sum(axis=1), observed.sum(axis=1)) and np.allclose(share.sum(axis=1), 1)
+    table = maxent_lm.updated(start, observed, expected, maxent_lm.SHRINK * share, maxent_lm.TRUST)
     for tables in (None, table):
         one, many = total([batch(texts)], tables), total([batch([t]) for t in texts], tables)
         assert (one == many).all()
