@@ -6,18 +6,17 @@
 2. A phrase is extended by merging its occurrence positions, moved by its length, with the
    postings of the next word; only occurrences whose phrase and whose suffix are frequent
    take part. The length of a list, summed over blocks, is the exact frequency.
-3. Before a length is counted exactly, hashes of its occurrences are counted: a phrase that is
-   frequent has a frequent hash. Which hashes are reaches the tasks as one bit array of fixed
-   size a length, and only lists that it marks are counted. A false bit costs an extra row
-   that the exact count drops again; it never changes a result.
-4. ``least`` copies of one hash from one task say as much as more of them.
+3. Lengths are summed by the phrase's 64-bit hash, packed, so that an occurrence moves a few
+   bytes and no words. Which hashes are frequent reaches the tasks as one bit array of fixed
+   size a length. A false bit lets a longer phrase be counted that the sum drops again.
+4. The words of a frequent phrase are looked up once, in one of the parts that have it.
 5. Cuts, inclusion and ranks are joins and a ranked window over the tables of frequent phrases.
 
 Rows: a null text is empty; a null language is ``und``, together with rows that say so;
 empty texts and texts of separators have no words; ties in score and frequency go by the
 phrase's bytes; repeated rows count as often as they are there; an empty table gives an
-empty result; other columns are not looked at. Words are told apart by 64 bits within their
-language; two frequent words that share them abort the job.
+empty result; other columns are not looked at. Words and phrases are told apart by 64 bits
+within their language.
 """
 
 from __future__ import annotations
@@ -32,18 +31,17 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import LOWER, blocks, mix, words
-from .common import batch_of, drop, lean, mapped, materialise, small_side
+from .common import AtomicFile, batch_of, drop, filesystem, lean, make_dir, mapped, materialise, scratch, small_side
 
 LONGEST = 4
 FILTER_BITS = 27
 CHUNK_BITS = 16
-HELD_ROWS = 1 << 19
 HELD_KEYS = 1 << 22
-HELD_WORDS = 1 << 18
 
 _U = np.uint64
 _W = [f"w{i + 1}" for i in range(LONGEST)]
@@ -54,7 +52,7 @@ ENDS[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 INSIDE = ~ENDS
 INSIDE[[0x20, 0x09]] = False
 
-_POSTINGS = pa.schema([("lang", pa.string()), ("terms", pa.binary()), ("words", pa.list_(pa.string())), ("lengths", pa.binary()), ("positions", pa.binary())])
+_POSTINGS = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("terms", pa.binary()), ("words", pa.list_(pa.string())), ("lengths", pa.binary()), ("positions", pa.binary())])
 
 
 def positions_of(data: np.ndarray, starts: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -67,7 +65,9 @@ def positions_of(data: np.ndarray, starts: np.ndarray, first: np.ndarray) -> np.
 
 
 def _postings(batches):
-    """Inverted lists of blocks: terms ascending, list lengths, positions list by list."""
+    """Inverted lists of blocks: terms ascending, list lengths, positions list by list; ``part`` is the task that made them."""
+    context = TaskContext.get()
+    part = context.partitionId() if context else 0
     for batch in batches:
         langs, texts = batch.column(0), batch.column(1)
         for lang in pc.unique(langs).to_pylist():
@@ -80,7 +80,7 @@ def _postings(batches):
                 text = LOWER[block.data].tobytes()
                 called = [text[a:b].decode() for a, b in zip(w.starts[at].tolist(), w.ends[at].tolist(), strict=True)]
                 positions = positions_of(block.data, w.starts, w.first)[order]
-                yield batch_of({"lang": [lang], "terms": [terms.tobytes()], "words": [called], "lengths": [lengths.astype(np.int32).tobytes()], "positions": [positions.tobytes()]}, _POSTINGS)
+                yield batch_of({"part": [part], "lang": [lang], "terms": [terms.tobytes()], "words": [called], "lengths": [lengths.astype(np.int32).tobytes()], "positions": [positions.tobytes()]}, _POSTINGS)
 
 
 def _seed(lang: str, size: int) -> np.uint64:
@@ -95,77 +95,91 @@ def _hashes(lang: str, columns: list[np.ndarray]) -> np.ndarray:
     return mix(h)
 
 
-def _packed(keys: np.ndarray, least: int) -> bytes:
-    """Sorted 32-bit keys as differences, byte by byte; more than ``least`` copies of one say no more than ``least``."""
-    if len(keys) > least:
-        keys = keys[np.concatenate([np.ones(least, bool), keys[least:] != keys[:-least]])]
-    gaps = np.diff(keys, prepend=np.uint32(0)).astype("<u4")
-    return zstandard.compress(np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers byte by byte: bytes that are mostly zero take next to no room."""
+    return zstandard.compress(np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes(), 1)
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
+def _numbers(data: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
-def _keys(size: int, least: int, bits: int, filters: list):
-    """Hashes of all occurrences, packed by bucket: the top ``bits`` bits name it, 32 more are kept."""
-    schema = pa.schema([("bucket", pa.int32()), ("keys", pa.binary())])
+_KEYS = "bucket int, part bigint, keys binary, counts binary"
 
-    def out(held):
-        keys = np.sort(np.concatenate(held) >> _U(32 - bits))
-        bucket = (keys >> _U(32)).astype(np.int32)
+
+def _keys(size: int, bits: int, filters: list):
+    """Hashes of the phrases of each part with their counts, packed by bucket: a hash's top ``bits`` bits."""
+    schema = pa.schema([("bucket", pa.int32()), ("part", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())])
+
+    def out(part, held):
+        (keys,), counts = _summed([np.concatenate([k for k, _ in held])], np.concatenate([c for _, c in held]))
+        bucket = (keys >> _U(64 - bits)).astype(np.int32)
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(keys)]])
-        rows = [(int(bucket[i]), _packed(keys[i:j].astype(np.uint32), least)) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        rows = [(int(bucket[i]), part, _planes(np.diff(keys[i:j], prepend=_U(0))), _planes(counts[i:j].astype("<u4"))) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
         return batch_of(dict(zip(schema.names, zip(*rows, strict=True), strict=True)), schema)
 
     def run(batches):
-        frequent, held, rows = None, [], 0
+        frequent, part, held, rows = None, None, [], 0
         for batch in batches:
             frequent = [_loaded(b.value) for b in filters] if frequent is None else frequent
-            for lang, *lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for of, lang, *lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and (of != part or rows > HELD_KEYS):
+                    yield out(part, held)
+                    held, rows = [], 0
+                part = of
                 terms, lengths, positions = (np.frombuffer(x, t) for x, t in zip(lists, (np.int64, np.int32, np.int32), strict=True))
                 if size == 1:
-                    found = np.repeat(_hashes(lang, [terms]), np.minimum(lengths, least))
+                    found, counts = _hashes(lang, [terms]), lengths.astype(np.int64)
                 else:
                     found = _hashes(lang, occurrences(lang, terms, lengths, positions, size, frequent))
+                    (found,), counts = _summed([found], np.ones(len(found), np.int64))
                 if len(found):
-                    held.append(found)
+                    held.append((found, counts))
                     rows += len(found)
-                if rows > HELD_KEYS:
-                    yield out(held)
-                    held, rows = [], 0
         if held:
-            yield out(held)
+            yield out(part, held)
 
     return run
 
 
-def _often(bits: int, least: int):
-    """Rows sorted by bucket: places in the bit array of keys that occur ``least`` times."""
-    schema = pa.schema([("chunk", pa.int32()), ("low", pa.int32())])
+def _often(least: int):
+    """Rows sorted by bucket: hashes that occur ``least`` times, their counts, and one of the parts that have them."""
+    schema = pa.schema([("hash", pa.int64()), ("f", pa.int64()), ("part", pa.int64())])
 
-    def places(bucket, held):
-        keys, n = np.unique(np.concatenate(held), return_counts=True)
-        slot = (((bucket << 32) + keys[n >= least].astype(np.int64)) >> (bits + 32 - FILTER_BITS)).astype(np.int64)
-        slot = np.unique(slot)
-        return batch_of({"chunk": (slot >> CHUNK_BITS).astype(np.int32), "low": (slot & ((1 << CHUNK_BITS) - 1)).astype(np.int32)}, schema)
+    def total(held):
+        keys = np.concatenate([k for k, _, _ in held])
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        f = np.add.reduceat(np.concatenate([c for _, c, _ in held])[order], at)
+        part = np.concatenate([np.full(len(k), p, np.int64) for k, _, p in held])[order][at]
+        keep = f >= least
+        return batch_of({"hash": keys[at][keep].view(np.int64), "f": f[keep], "part": part[keep]}, schema)
 
     def run(batches):
         bucket, held = None, []
         for batch in batches:
-            for at, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if at != bucket and held:
-                    yield places(bucket, held)
+            for of, part, keys, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if of != bucket and held:
+                    yield total(held)
                     held = []
-                bucket = at
-                held.append(_unpacked(data))
+                bucket = of
+                held.append((np.cumsum(_numbers(keys, "<u8"), dtype=np.uint64), _numbers(counts, "<u4").astype(np.int64), part))
         if held:
-            yield places(bucket, held)
+            yield total(held)
 
     return run
 
 
+def _places(batches):
+    """Places of hashes in the bit array."""
+    schema = pa.schema([("chunk", pa.int32()), ("low", pa.int32())])
+    for batch in batches:
+        slot = np.unique(batch.column(0).to_numpy().view(np.uint64) >> _U(64 - FILTER_BITS)).astype(np.int64)
+        yield batch_of({"chunk": (slot >> CHUNK_BITS).astype(np.int32), "low": (slot & ((1 << CHUNK_BITS) - 1)).astype(np.int32)}, schema)
+
+
 def _chunks(batches):
     """Rows sorted by chunk: one bit array a chunk."""
     schema, chunk, bits = pa.schema([("chunk", pa.int32()), ("bits", pa.binary())]), None, None
@@ -184,14 +198,21 @@ def _chunks(batches):
         yield batch_of({"chunk": [chunk], "bits": [zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)]}, schema)
 
 
-def frequent_bits(lists: DataFrame, size: int, least: int, bits: int, filters: list) -> list[tuple[int, bytes]]:
-    """Phrases of ``size`` words that may occur ``least`` times, as a bit array of 2**FILTER_BITS bits in compressed chunks.
+def frequent_hashes(lists: DataFrame, size: int, least: int, bits: int, filters: list) -> DataFrame:
+    """Phrases of ``size`` words that occur ``least`` times: hash, f, part.
 
-    Hashes are counted, not phrases: some two to three bytes an occurrence are shuffled. At most
-    2**(FILTER_BITS - CHUNK_BITS) rows and 16 MB reach the driver, whatever the input.
+    Some six bytes are shuffled for each phrase of a part, in buckets of bounded size.
     """
-    keys = mapped(lists, _keys(size, least, bits, filters), "bucket int, keys binary")
-    marked = mapped(keys.repartition("bucket").sortWithinPartitions("bucket"), _often(bits, least), "chunk int, low int")
+    keys = mapped(lists, _keys(size, bits, filters), _KEYS)
+    return materialise(keys.repartition("bucket").sortWithinPartitions("bucket"), f"frequent{size}", lean(_often(least)), "hash bigint, f bigint, part bigint")
+
+
+def bits_of(frequent: DataFrame) -> list[tuple[int, bytes]]:
+    """Hashes as a bit array of 2**FILTER_BITS bits in compressed chunks.
+
+    At most 2**(FILTER_BITS - CHUNK_BITS) rows and 16 MB reach the driver, whatever the input.
+    """
+    marked = mapped(frequent.select("hash"), _places, "chunk int, low int")
     parts = mapped(marked.repartition("chunk").sortWithinPartitions("chunk"), _chunks, "chunk int, bits binary")
     return [(r["chunk"], bytes(r["bits"])) for r in parts.collect()]
 
@@ -245,62 +266,82 @@ def _summed(columns: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndar
     return [c[at] for c in columns], np.add.reduceat(counts[order], at)
 
 
-def _word_counts(filters: list):
-    """Counts of the marked words, and in a row without a word the number of all words."""
-    schema = pa.schema([("lang", pa.string()), ("w1", pa.int64()), ("word", pa.string()), ("f", pa.int64())])
+def _totals(batches):
+    schema, total = pa.schema([("lang", pa.string()), ("n", pa.int64())]), Counter()
+    for batch in batches:
+        for lang, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total[lang] += int(np.frombuffer(lengths, np.int32).sum())
+    yield batch_of({"lang": list(total), "n": list(total.values())}, schema)
+
+
+def _wanted_files(folder: str):
+    """Rows (part, size, hash) sorted by part: one file a part, hashes by size."""
 
     def run(batches):
-        frequent, held, total = None, {}, Counter()
+        part, held = None, []
+
+        def put():
+            sizes, hashes = (np.concatenate([h[i] for h in held]) for i in (0, 1))
+            body = [np.sort(hashes[sizes == n].view(np.uint64)) for n in range(1, LONGEST + 1)]
+            with AtomicFile(f"{folder}/{part}") as f:
+                f.write(np.array([len(x) for x in body], "<i8").tobytes() + b"".join(x.tobytes() for x in body))
+
+        done = 0
         for batch in batches:
-            frequent = _loaded(filters[0].value) if frequent is None else frequent
-            for lang, terms, called, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), strict=True):
-                terms, lengths = np.frombuffer(terms, np.int64), np.frombuffer(lengths, np.int32)
-                live = np.flatnonzero(_marked(frequent, lang, [terms]))
-                own = held.setdefault(lang, Counter())
-                for key, f in zip(zip(terms[live].tolist(), called.values.take(pa.array(live)).to_pylist(), strict=True), lengths[live].tolist(), strict=True):
-                    own[key] += f
-                total[lang] += int(lengths.sum())
-            if sum(map(len, held.values())) > HELD_WORDS:
-                yield from out(held)
-                held = {}
-        yield from out(held)
-        yield batch_of({"lang": list(total), "w1": [None] * len(total), "word": [None] * len(total), "f": list(total.values())}, schema)
-
-    def out(held):
-        for lang, own in held.items():
-            yield batch_of({"lang": [lang] * len(own), "w1": [k for k, _ in own], "word": [w for _, w in own], "f": list(own.values())}, schema)
+            parts, sizes, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(np.diff(parts)) + 1, [len(parts)]]).astype(int)
+            for i, j in zip(edges[:-1], edges[1:], strict=True):
+                if j > i:
+                    if parts[i] != part and held:
+                        put()
+                        held, done = [], done + 1
+                    part = int(parts[i])
+                    held.append((sizes[i:j], hashes[i:j]))
+        if held:
+            put()
+            done += 1
+        yield pa.RecordBatch.from_arrays([pa.array([done], pa.int64())], ["n"])
 
     return run
 
 
-def _phrases(size: int, filters: list):
-    schema = pa.schema([("lang", pa.string()), *[(w, pa.int64()) for w in _W[:size]], ("f", pa.int64())])
+def _wanted(folder: str, part: int) -> list[np.ndarray]:
+    fs, path = filesystem(f"{folder}/{part}")
+    if fs.get_file_info(path).type.name == "NotFound":
+        return [np.empty(0, np.uint64)] * LONGEST
+    with fs.open_input_stream(path) as f:
+        data = f.read()
+    sizes = np.frombuffer(data[: 8 * LONGEST], "<i8")
+    return np.split(np.frombuffer(data[8 * LONGEST :], np.uint64), np.cumsum(sizes)[:-1])
 
-    def run(batches):
-        frequent, held, rows = None, {}, 0
 
-        def flush(lang):
-            columns, counts = _summed([np.concatenate([x[i] for x, _ in held[lang]]) for i in range(size)], np.concatenate([c for _, c in held[lang]]))
-            return columns, counts
+def _named(folder: str, filters: list):
+    """The words of every wanted phrase, once from the part that was chosen for it."""
+    schema = pa.schema([("size", pa.int32()), ("hash", pa.int64()), ("lang", pa.string()), *[(w, pa.int64()) for w in _W], ("word", pa.string())])
 
-        def out(lang, columns, counts):
-            return batch_of({"lang": pa.array([lang] * len(counts), pa.string()), "f": counts} | dict(zip(_W, columns, strict=False)), schema)
+    def rows(size, lang, hashes, columns, called=None):
+        none = pa.nulls(len(hashes), pa.int64())
+        return batch_of({"size": np.full(len(hashes), size, np.int32), "hash": hashes.view(np.int64), "lang": pa.array([lang] * len(hashes), pa.string()), "word": called or pa.nulls(len(hashes), pa.string())} | {w: columns[i] if i < size else none for i, w in enumerate(_W)}, schema)
 
+    def run(batches):
+        frequent, part, wanted = None, None, []
         for batch in batches:
             frequent = [_loaded(b.value) for b in filters] if frequent is None else frequent
-            for lang, *lists in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                terms, lengths, positions = (np.frombuffer(x, t) for x, t in zip(lists, (np.int64, np.int32, np.int32), strict=True))
-                found = occurrences(lang, terms, lengths, positions, size, frequent)
-                if not len(found[0]):
-                    continue
-                held.setdefault(lang, []).append(_summed(found, np.ones(len(found[0]), np.int64)))
-                rows += len(held[lang][-1][1])
-                if rows > HELD_ROWS:
-                    for lang in held:
-                        yield out(lang, *flush(lang))
-                    held, rows = {}, 0
-        for lang in held:
-            yield out(lang, *flush(lang))
+            for at, (of, lang, terms, lengths, positions) in enumerate(zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4, 5)), strict=True)):
+                if of != part:
+                    part, wanted = of, _wanted(folder, of)
+                lists = np.frombuffer(terms, np.int64), np.frombuffer(lengths, np.int32), np.frombuffer(positions, np.int32)
+                for size in range(1, LONGEST + 1):
+                    if not len(wanted[size - 1]):
+                        continue
+                    columns = [lists[0]] if size == 1 else occurrences(lang, *lists, size, frequent[:size])
+                    hashes, first = np.unique(_hashes(lang, columns), return_index=True)
+                    hit = np.isin(hashes, wanted[size - 1], assume_unique=True)
+                    hashes, first = hashes[hit], first[hit]
+                    if len(hashes):
+                        wanted[size - 1] = np.setdiff1d(wanted[size - 1], hashes, assume_unique=True)
+                        called = batch.column(3)[at].values.take(pa.array(first)) if size == 1 else None
+                        yield rows(size, lang, hashes, [c[first] for c in columns], called)
 
     return run
 
@@ -332,28 +373,30 @@ def phrase_tables(docs: DataFrame, least: int, text_col: str = "text", lang_col:
     """Word totals (lang, n), and frequent phrases of 1 to 4 words (lang, w1.., f; the first with ``word``)."""
     spark = docs.sparkSession
     source = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("string").alias("text"))
-    ddl = "lang string, terms binary, words array<string>, lengths binary, positions binary"
+    ddl = "part bigint, lang string, terms binary, words array<string>, lengths binary, positions binary"
     lists = materialise(source, "postings", lean(_postings), ddl)
-    # buckets of about a million words; a block has up to a megabyte of text
+    plain, filters, found = lists.select("part", "lang", "terms", "lengths", "positions"), [], []
+    # buckets of about a million keys; a block has up to a megabyte of text
     bits = min(24, max(4, math.ceil(math.log2(max(1, lists.count() / 4)))))
-    plain, levels, filters = lists.select("lang", "terms", "lengths", "positions"), [], []
     for size in range(1, LONGEST + 1):
-        filters.append(spark.sparkContext.broadcast(frequent_bits(plain, size, least, bits, filters)))
-        if size == 1:
-            found = mapped(lists.select("lang", "terms", "words", "lengths"), _word_counts(filters), "lang string, w1 bigint, word string, f bigint")
-            counts = materialise(found.groupBy("lang", "w1", "word").agg(F.sum("f").alias("f")), "word-counts")
-            totals = materialise(counts.where("w1 is null").select("lang", F.col("f").alias("n")), "word-totals")
-            levels.append(materialise(counts.where(F.col("w1").isNotNull() & (F.col("f") >= least)), "phrases1"))
-            drop(counts)
-            if not levels[0].groupBy("lang", "w1").count().where("count > 1").isEmpty():
-                raise ValueError("two frequent words of one language share a 64-bit hash")
-            continue
-        found = mapped(plain, _phrases(size, filters), f"lang string, {', '.join(f'{w} bigint' for w in _W[:size])}, f bigint")
-        found = found.groupBy("lang", *_W[:size]).agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-        levels.append(materialise(found, f"phrases{size}"))
+        found.append(frequent_hashes(plain, size, least, bits, filters))
+        filters.append(spark.sparkContext.broadcast(bits_of(found[-1])))
+    totals = materialise(mapped(lists.select("lang", "lengths"), _totals, "lang string, n bigint").groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
+    folder = scratch(spark, "wanted")
+    make_dir(folder)
+    every = reduce(DataFrame.unionByName, [f.select("part", F.lit(n).alias("size"), "hash") for n, f in enumerate(found, 1)])
+    mapped(every.repartition("part").sortWithinPartitions("part"), _wanted_files(folder), "n bigint").agg(F.sum("n")).collect()
+    named = f"size int, hash bigint, lang string, {', '.join(f'{w} bigint' for w in _W)}, word string"
+    # a part whose file was read by two tasks names a phrase twice
+    written = materialise(lists, "phrase-words", lean(_named(folder, filters)), named)
+    words_of = written.dropDuplicates(["size", "hash"])
+    levels = []
+    for n, f in enumerate(found, 1):
+        own = words_of.where(F.col("size") == n).select("hash", "lang", *_W[:n], *(["word"] if n == 1 else []))
+        levels.append(materialise(own.join(f.select("hash", "f"), "hash").drop("hash"), f"phrases{n}"))
     for held in filters:
         held.unpersist()
-    drop(lists)
+    drop(lists, folder, written, *found)
     return totals, levels
 
 

@@ -229,22 +229,23 @@ def test_op13(spark, top):
 
 
 @pytest.mark.parametrize("bits", [4, 9])
-def test_marks_are_the_frequent_phrases(bits):
-    """Hash counts over several tasks mark what is there often enough, and next to nothing else."""
+def test_hash_counts_are_exact_and_marked(bits):
+    """Counts of hashes over several parts; the bit array marks what is frequent and next to nothing else."""
     r = np.random.default_rng(2)
     often, rare = (r.integers(-(1 << 62), 1 << 62, 2000) for _ in range(2))
-    tasks = [np.concatenate([np.repeat(often, k), np.repeat(rare, k - 1)]) for k in (3, 2, 1)]  # 6 and 3 times
     rows = []
-    for terms in tasks:
-        terms, lengths = np.unique(terms, return_counts=True)
-        batch = pa.RecordBatch.from_arrays([pa.array(["en"]), *(pa.array([x.tobytes()]) for x in (terms, lengths.astype(np.int32), lengths.astype(np.int32)))], ["lang", "terms", "lengths", "positions"])
-        rows += [pa.Table.from_batches([b]) for b in collocations._keys(1, 6, bits, [])([batch])]
+    for part, k in enumerate((3, 2, 1)):  # 6 and 3 times
+        terms, lengths = np.unique(np.concatenate([np.repeat(often, k), np.repeat(rare, k - 1)]), return_counts=True)
+        batch = pa.RecordBatch.from_arrays([pa.array([part]), pa.array(["en"]), *(pa.array([x.tobytes()]) for x in (terms, lengths.astype(np.int32), lengths.astype(np.int32)))], ["part", "lang", "terms", "lengths", "positions"])
+        rows += [pa.Table.from_batches([b]) for b in collocations._keys(1, bits, [])([batch])]
     keys = pa.concat_tables(rows).sort_by("bucket").combine_chunks().to_batches()
-    marks = pa.Table.from_batches(list(collocations._often(bits, 6)(keys))).sort_by("chunk").combine_chunks().to_batches()
+    found = pa.Table.from_batches(list(collocations._often(6)(keys)))
+    assert sorted(found["hash"].to_pylist()) == sorted(collocations._hashes("en", [often]).view(np.int64).tolist()) and set(found["f"].to_pylist()) == {6}
+    marks = pa.Table.from_batches(list(collocations._places(found.select(["hash"]).to_batches()))).sort_by("chunk").combine_chunks().to_batches()
     chunks = [x for b in collocations._chunks(marks) for x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
-    found = collocations._loaded(chunks)
-    assert collocations._marked(found, "en", [often]).all()
-    assert collocations._marked(found, "en", [rare]).mean() < 0.01 and collocations._marked(found, "fr", [often]).mean() < 0.01
+    held = collocations._loaded(chunks)
+    assert collocations._marked(held, "en", [often]).all()
+    assert collocations._marked(held, "en", [rare]).mean() < 0.01 and collocations._marked(held, "fr", [often]).mean() < 0.01
 
 
 @pytest.mark.parametrize("name", ["op11_vertical_jaccard", "op12_vptree_negatives", "op13_vertical_phrases"])
