@@ -43,6 +43,20 @@ def attempt_violations(attempts: DataFrame, member: str, sequence: str, attempt:
     return attempts.withColumn("_before", F.lag(attempt).over(w)).where(F.col("_before") >= F.col(attempt)).drop("_before")
 
 
+def occurrence_violations(attempts: DataFrame, occurrence: str) -> DataFrame:
+    """Occurrence ids that are blank or not their attempt's alone: the id and how many attempts have it."""
+    counted = attempts.groupBy(F.coalesce(occurrence, F.lit("")).alias(occurrence)).agg(F.count("*").alias("n"))
+    return counted.where((F.col("n") > 1) | (F.col(occurrence) == ""))
+
+
+def identity_violations(journal: DataFrame, members: DataFrame, member: str, *fields: str) -> DataFrame:
+    """Journal entries about no member, or whose fields are not the member's: the entry and its problem."""
+    known = members.select(member, F.struct(*fields).alias("_known"))
+    mine = F.struct(*fields)
+    problem = F.when(F.col("_known").isNull(), "unknown member").when(~mine.eqNullSafe(F.col("_known")), "other identity")
+    return journal.join(known, member, "left").withColumn("problem", problem).drop("_known").where("problem is not null")
+
+
 def last_states(members: DataFrame, journal: DataFrame, member: str, sequence: str, state: str, default: str = "pending") -> DataFrame:
     """Latest state of every member; members without entries have the default."""
     last = journal.groupBy(member).agg(F.max_by(state, sequence).alias(state))

@@ -190,3 +190,65 @@ def union_all(*parts: DataFrame) -> DataFrame:
     """Rows of all parts by column name; missing columns are null, columns sorted by name."""
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     return together.select(*sorted(together.columns))
+
+
+def replacement_problems(wanted: DataFrame, members: DataFrame, rows: DataFrame) -> DataFrame:
+    """Wanted replacements (member_id, candidate_url, capture_timestamp, source_row_sha256) with their first problem, null if none.
+
+    ``members`` holds member_id, canonical_url, state; ``rows`` the approved index rows: row_sha256 and
+    own_sha256 (stated, and as computed), member_id, canonical_url, capture_timestamp (ISO), archive_url,
+    query_scope, retrieved_at. A replacement is for a failed member, for its exact address inside the approved
+    scope, and pinned to exactly one row, whose digest, identity, archive address and times hold.
+    """
+    found = rows.groupBy("row_sha256").agg(F.count("*").alias("_rows"), F.any_value(F.struct(*[c for c in rows.columns if c != "row_sha256"])).alias("_r"))
+    asked = wanted.join(members.select("member_id", F.col("canonical_url").alias("_url"), F.col("state").alias("_state")), "member_id", "left")
+    asked = asked.join(found, asked["source_row_sha256"] == found["row_sha256"], "left")
+    r = lambda name: F.col(f"_r.{name}")
+    taken = F.try_to_timestamp("capture_timestamp")
+    place = F.concat(F.lit("https://web.archive.org/web/"), F.date_format(taken, "yyyyMMddHHmmss"), F.lit("id_/"), F.col("_url"))
+    differs = lambda a, b: ~a.eqNullSafe(b)
+    problem = (
+        F.when(F.col("_state").isNull(), "member is outside the population")
+        .when(~F.col("_state").isin("retryable", "terminal"), "member has not failed")
+        .when(~F.coalesce(urls.is_safe_https(F.col("candidate_url")), F.lit(False)) | differs(F.col("candidate_url"), F.col("_url")), "address is not the member's")
+        .when(F.col("_rows").isNull(), "pinned row is missing")
+        .when(F.col("_rows") > 1, "pinned row is ambiguous")
+        .when(differs(r("own_sha256"), F.col("source_row_sha256")), "pinned row does not match its digest")
+        .when(~F.coalesce(urls.in_scope(F.col("_url"), r("query_scope")), F.lit(False)), "address is outside the approved scope")
+        .when(differs(r("member_id"), F.col("member_id")) | differs(r("canonical_url"), F.col("_url")) | differs(r("capture_timestamp"), F.col("capture_timestamp")), "pinned row is another capture")
+        .when(taken.isNull(), "capture time cannot be read")
+        .when(differs(r("archive_url"), place), "archive address does not follow from the capture")
+        .when(taken > F.try_to_timestamp(r("retrieved_at")), "capture is later than its retrieval")
+    )
+    return asked.select(*wanted.columns, problem.alias("problem"))
+
+
+def bound_checkpoints(queries: DataFrame, checkpoints: DataFrame, bodies: DataFrame, header: list[str]) -> DataFrame:
+    """Queries (canonical_slug, media_kind, exact_url) with what keeps their checkpoint from standing, null if nothing does.
+
+    ``checkpoints`` holds the same keys, status, exact_url, records (array of rows), record_count,
+    response_body_filename, response_sha256 and response_byte_count; ``bodies`` holds name and content.
+    A checkpoint stands if it is complete, about this very query, and its body, by name, length and
+    digest, holds exactly its records: successes of the exact address under the expected header.
+    """
+    keys = ["canonical_slug", "media_kind"]
+    held = checkpoints.select(*keys, F.struct(*[c for c in checkpoints.columns if c not in keys]).alias("c"))
+    rows = queries.join(held, keys, "left").withColumn("_name", F.concat("canonical_slug", F.lit("."), "media_kind", F.lit(".json")))
+    there = bodies.select(F.col("name").alias("_name"), F.sha2("content", 256).alias("_digest"), F.octet_length("content").alias("_bytes"), F.from_json(F.decode("content", "UTF-8"), "array<array<string>>").alias("_rows"))
+    rows = rows.join(there, "_name", "left")
+    told = F.when(F.size("c.records") > 0, F.concat(F.array(F.array(*[F.lit(h) for h in header])), F.col("c.records"))).otherwise(F.col("_rows"))
+    listed = F.when(F.size("_rows") > 0, F.slice("_rows", 2, F.greatest(F.size("_rows") - 1, F.lit(1)))).otherwise(F.col("_rows"))
+    at = {name: i for i, name in enumerate(header)}
+    strange = F.exists(listed, lambda x: (F.size(x) != len(header)) | ~x[at["original"]].eqNullSafe(F.col("exact_url")) | ~x[at["statuscode"]].eqNullSafe(F.lit("200")))
+    problem = (
+        F.when(F.col("c").isNull(), "no checkpoint")
+        .when(~F.col("c.status").eqNullSafe("complete"), "not complete")
+        .when(~F.col("c.exact_url").eqNullSafe(F.col("exact_url")), "of another query")
+        .when(~F.col("c.response_body_filename").eqNullSafe(F.col("_name")), "names another body")
+        .when(F.col("_digest").isNull(), "body is missing")
+        .when((F.col("_bytes") != F.col("c.response_byte_count")) | ~F.col("_digest").eqNullSafe(F.col("c.response_sha256")), "body was changed")
+        .when(F.col("_rows").isNull() | F.coalesce((F.size("_rows") > 0) & (F.col("_rows")[0] != F.array(*[F.lit(h) for h in header])), F.lit(False)), "body is no answer")
+        .when(F.coalesce(strange, F.lit(False)), "body holds other captures")
+        .when(~told.eqNullSafe(F.col("_rows")) | ~F.col("c.record_count").eqNullSafe(F.greatest(F.size("_rows") - 1, F.lit(0)).cast("bigint")), "records differ from the body")
+    )
+    return rows.select(*queries.columns, problem.alias("problem"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
-from ..operators import chains, checks, completeness, discovery, events, manifest, mirrors, projection, ranges, registry, replay
+from ..operators import chains, checks, completeness, discovery, events, manifest, mirrors, prefix, projection, ranges, registry, replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -610,10 +610,16 @@ def chunk_plan(spark, sf_dir):
     return ranges.chunk_plan(spark, 0, last, 250)
 
 
-@query("""SELECT a || '-' || least(a + 4, 2023) AS id, CAST(a AS BIGINT) AS from_year, CAST(least(a + 4, 2023) AS BIGINT) AS to_year FROM (SELECT unnest(generate_series(1996, 2023, 5)) AS a)
-UNION ALL SELECT '2024-open', CAST(2024 AS BIGINT), NULL""")
+@query("""WITH y AS (SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) AS hi FROM orders), a AS (SELECT unnest(generate_series(lo, hi - 1, 2)) AS a, hi FROM y),
+b AS (SELECT a || '-' || least(a + 1, hi - 1) AS id, CAST(a AS BIGINT) AS from_year, CAST(least(a + 1, hi - 1) AS BIGINT) AS to_year FROM a UNION ALL SELECT hi || '-open', hi, NULL FROM y)
+SELECT id, from_year, to_year, count(o_orderkey) AS n_orders FROM b LEFT JOIN orders ON year(o_orderdate) BETWEEN from_year AND coalesce(to_year, 9999) GROUP BY ALL""")
 def year_buckets(spark, sf_dir):
-    return ranges.require_contiguous_years(ranges.year_buckets(spark, 1996, 2024))
+    """Buckets of two years over the years of the orders, the last open, with the orders of each."""
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("y")).groupBy("y").agg(F.count("*").alias("n")).persist()
+    bounds = orders.agg(F.min("y").alias("lo"), F.max("y").alias("hi")).first()
+    plan = ranges.require_contiguous_years(ranges.year_buckets(spark, bounds["lo"], bounds["hi"], 2))
+    joined = plan.join(orders, (F.col("y") >= F.col("from_year")) & (F.col("y") <= F.coalesce("to_year", F.lit(9999))), "left")
+    return joined.groupBy("id", "from_year", "to_year").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_orders"))
 
 
 @query("SELECT role, count(*) AS n FROM conversations GROUP BY role")
@@ -869,16 +875,21 @@ def candidate_self_hash(spark, sf_dir):
     return replay.distinct_candidates(table(spark, sf_dir, "documents").select(F.sha2(F.coalesce("text", F.lit("")), 256).alias("candidate_sha256"), "doc_id")).select("candidate_sha256")
 
 
-@query("""WITH i AS (SELECT CASE WHEN n_nationkey % 3 = 0 THEN n_name ELSE CAST(n_nationkey AS VARCHAR) END AS id FROM nation)
-SELECT id, row_number() OVER (ORDER BY TRY_CAST(id AS BIGINT) IS NULL, TRY_CAST(id AS BIGINT), id) AS place FROM i""")
+@query("""WITH i AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority || o_orderkey ELSE CAST(o_orderkey AS VARCHAR) END AS id FROM orders)
+SELECT k AS o_orderkey, row_number() OVER (ORDER BY TRY_CAST(id AS BIGINT) IS NULL, TRY_CAST(id AS BIGINT), id) AS place FROM i""")
 def type_aware_order(spark, sf_dir):
-    ids = table(spark, sf_dir, "nation").select(F.when(F.col("n_nationkey") % 3 == 0, F.col("n_name")).otherwise(F.col("n_nationkey").cast("string")).alias("id"))
-    return ids.select("id", F.row_number().over(Window.orderBy(*discovery.numeric_first(F.col("id")))).cast("bigint").alias("place"))
+    mixed = F.when(F.col("o_orderkey") % 3 == 0, F.concat("o_orderpriority", F.col("o_orderkey").cast("string"))).otherwise(F.col("o_orderkey").cast("string"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", mixed.alias("id"))
+    keys = {f"_k{i}": c for i, c in enumerate([F.col("id").try_cast("bigint").isNull(), F.col("id").try_cast("bigint"), F.col("id")])}
+    return prefix.ordinals(rows.withColumns(keys), list(keys), "place").select("o_orderkey", (F.col("place") + 1).alias("place"))
 
 
-@query("""SELECT n_nationkey FROM (SELECT n_nationkey, count(*) OVER w AS n, coalesce(sum(n_nationkey) OVER w, 0) AS b FROM nation WINDOW w AS (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE n < 20 AND b < 100""")
+@query("""SELECT o_orderkey FROM (SELECT o_orderkey, count(*) OVER w AS n, coalesce(sum(o_custkey) OVER w, 0) AS b, count(*) OVER () AS every, sum(o_custkey) OVER () AS whole FROM orders
+  WINDOW w AS (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) WHERE n < every * 9 // 10 AND b < whole * 3 // 4""")
 def capped_queue(spark, sf_dir):
-    return ranges.cap_running(table(spark, sf_dir, "nation"), "n_nationkey", "n_nationkey", 20, 100).select("n_nationkey")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_custkey")
+    whole = rows.agg(F.count("*").alias("n"), F.sum("o_custkey").alias("b")).first()
+    return ranges.cap_running(rows, "o_custkey", ["o_orderdate", "o_orderkey"], whole["n"] * 9 // 10, whole["b"] * 3 // 4).select("o_orderkey")
 
 
 @query(f"WITH {BATCH_SQL} SELECT min(id_from) || '-' || max(id_to) AS label FROM batch")
@@ -938,3 +949,6 @@ def page_checks(spark, sf_dir):
 SELECT bool_and(present AND coalesce(size_matches, TRUE)) AS verified FROM c""")
 def mirror_verdict(spark, sf_dir):
     return mirrors.mirror_verified(artifact_compare(spark, sf_dir).withColumn("checksum_matches", F.lit(None).cast("boolean")))
+
+
+from . import stateful  # noqa: E402, F401  its queries register themselves
