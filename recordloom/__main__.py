@@ -1,6 +1,6 @@
 """Command line: python -m recordloom <command> ...
 
-Exit status 2 means that a verification is false, 1 that a rule was broken.
+Exit status 2 means that a verification is false, 1 that a rule was broken or that counts drift.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from .commands import COMMANDS
 from .operators import completeness, events, manifest, projection, ranges
 from .operators.checks import CONTRACT, Violation, event_rules, require
 from .session import session
@@ -128,6 +129,8 @@ def main(argv: list[str] | None = None) -> int:
     command("verify-store", verify_store, ("store", {}))
     command("completeness", completeness_report, ("--enumerated", need), ("--channel", {"action": "append", "default": []}))
     command("backfill", backfill, ("--captured", {"type": int, **need}), ("--merged", {"type": int, **need}), ("--mirror", {"type": int, "action": "append", "default": []}))
+    for name, (run, options) in COMMANDS.items():
+        command(name, run, *options)
     args = parser.parse_args(argv)
     try:
         result = args.run(args)
@@ -135,7 +138,9 @@ def main(argv: list[str] | None = None) -> int:
         print(f"violation: {error}", file=sys.stderr)
         return 1
     print(json.dumps(result, indent=2, sort_keys=True, default=str))
-    return 2 if result.get("fully_verified") is False else 0
+    if result.get("valid") is False or result.get("healthy") is False:
+        return 1
+    return 2 if result.get("fully_verified") is False or result.get("verified") is False else 0
 
 
 if __name__ == "__main__":

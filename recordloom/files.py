@@ -36,7 +36,12 @@ def shared_folder(spark: SparkSession, label: str) -> str:
 
 def _at(spark: SparkSession, path: str):
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() == "file":
+        # without the local file system's checksums: they have no place in packages, and hide what was changed
+        fs = spark._jvm.org.apache.hadoop.fs.RawLocalFileSystem()
+        fs.initialize(spark._jvm.java.net.URI("file:///"), spark._jsc.hadoopConfiguration())
+    return fs, where
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -142,11 +142,10 @@ def projected_fields(spark: SparkSession, mapping: str, fixture: str) -> DataFra
     from .registry import json_path
 
     rows = _items(document(spark, mapping), "mappings").select(_of("native_field").alias("native_field"), _of("classification").alias("classification"), F.split_part(_of("evidence_fixture"), F.lit("#"), F.lit(2)).alias("pointer")).collect()
-    doc = document(spark, fixture)
-    made = [doc.select(F.lit(r["native_field"]).alias("native_field"), F.lit(r["classification"]).alias("classification"), F.to_json(F.try_variant_get("d", json_path(r["pointer"]), "variant")).alias("native_value")) for r in rows]
-    out = made[0]
-    for part in made[1:]:
-        out = out.unionByName(part)
+    value = lambda r: F.struct(F.lit(r["native_field"]).alias("native_field"), F.lit(r["classification"]).alias("classification"), F.to_json(F.try_variant_get("d", json_path(r["pointer"]), "variant")).alias("native_value"))
+    none = F.array().cast("array<struct<native_field:string,classification:string,native_value:string>>")
+    # the fixture is parsed once, whatever the number of mappings
+    out = document(spark, fixture).select(F.explode(F.array(*[value(r) for r in rows]) if rows else none).alias("m")).select("m.*")
     if not out.where("native_value is null").isEmpty():
         raise Violation("a mapped field is not in the fixture")
     return out.withColumn("projected_value", F.when(F.col("classification").isin("exact", "approximate"), F.col("native_value")))

@@ -80,6 +80,7 @@ def checksums(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SUMS = "CHECKSUMS.sha256"
+DOCUMENT_ROWS = 1_000_000
 
 
 def write_projection(folder: str, tables: Mapping[str, DataFrame], coverage: dict, name: str, version: str = "1.0.0") -> dict:
@@ -132,7 +133,9 @@ def verify_projection(spark: SparkSession, folder: str) -> dict:
 
 
 def manifest_document(meta: dict, rows: DataFrame) -> dict:
-    """Manifest of a request table small enough for one document (the caller checks its size)."""
+    """Manifest of a request table, which has to be small enough for one document; a larger one aborts."""
+    if rows.count() > DOCUMENT_ROWS:
+        raise Violation(f"a manifest document holds at most {DOCUMENT_ROWS} requests")
     requests = [r.asDict(recursive=True) for r in rows.orderBy("request_id").collect()]
     return {"meta": meta | {"record_count": len(requests)}, "requests": requests}
 
