@@ -61,7 +61,7 @@ def validate_derived(a) -> dict:
 
 def validate_changes(a) -> dict:
     """Problems of a change document."""
-    return _judged(checks.messages(_changes(session(), a.document), checks.change_rules()))
+    return _judged(checks.messages(readers.read_changes(session(), a.document), checks.change_rules()))
 
 
 def package_derived(a) -> dict:
@@ -144,20 +144,10 @@ def run_seed(a) -> dict:
 # --- sync --------------------------------------------------------------------
 
 
-def _changes(spark, path: str):
-    """Entries of a change document; an absent document has none."""
-    ddl = "bucket string, request_id bigint, url_title string, content_sha256 string, previous_sha256 string"
-    if not Path(path).exists():
-        return spark.createDataFrame([], ddl)
-    held = json.loads(_text(path))
-    fields = [c.split()[0] for c in ddl.split(", ")][1:]
-    return spark.createDataFrame([(b, *[e.get(f) for f in fields]) for b in ("added", "updated", "removed") for e in held.get(b, [])], ddl)
-
-
 def run_sync(a) -> dict:
     """Write what a change document brings as the next batch, read it back, then advance the state."""
     spark = session()
-    rows = require(_changes(spark, a.changes), checks.change_rules())
+    rows = require(readers.read_changes(spark, a.changes), checks.change_rules())
     fresh = manifest.change_rows(rows)
     before = control.load_state(f"{a.folder}/state.json")
     if fresh.isEmpty():

@@ -90,6 +90,15 @@ def manifest_rules(sources: list[str], instance_id: str | None = None, jurisdict
     return rules
 
 
+def manifest_problems(meta: DataFrame, requests: DataFrame, sources: list[str], instance_id: str | None = None, jurisdiction: str | None = None) -> list[str]:
+    """Broken rules of a manifest: its meta row and its requests (request_id, content_sha256), counted in one pass."""
+    fields = {c: F.col(c) if c in meta.columns else F.lit(None).cast("string") for c in ("source", "instance_id", "jurisdiction", "record_count")}
+    digest = F.col("content_sha256") if "content_sha256" in requests.columns else F.lit(None).cast("string")
+    counted = requests.agg(F.count("*").alias("n_requests"), F.count_if(F.coalesce(F.col("request_id") < 1, F.lit(True))).alias("n_bad_ids"), F.count_if(F.coalesce(F.length(digest), F.lit(64)) != 64).alias("n_bad_hashes"))
+    one = meta.select(*[v.alias(k) for k, v in fields.items()]).withColumn("record_count", F.col("record_count").cast("bigint")).crossJoin(counted)
+    return messages(one, manifest_rules(sources, instance_id, jurisdiction))
+
+
 def change_rules() -> list[Rule]:
     """Rules of change entries (bucket, request_id, url_title, digests)."""
     return [

@@ -255,3 +255,27 @@ def summarised(batches: DataFrame, summary_captured: Column | None = None, place
     if summary_captured is not None:
         one = one.withColumn("captured_records", F.coalesce(summary_captured.cast("bigint"), F.col("captured_records")))
     return one.crossJoin(named).crossJoin(last)
+
+
+def dispatch_plan(batches: DataFrame, next_id: int, id_to: int, span: int, limit: int | None = None) -> DataFrame:
+    """Batches that dispatching comes to next: after the cursor and every dispatched batch, up to ``id_to``."""
+    start = dispatch_from(batches, next_id).first()["dispatch_next_id"]
+    return chunk_plan(batches.sparkSession, start, id_to, span, limit)
+
+
+def controller_step(batches: DataFrame, receipts: DataFrame, id_from: int, id_to: int, span: int, limit: int) -> tuple[DataFrame, dict]:
+    """One transition of the controller: receipts are merged, the cursor moves on, new batches are appended as pending.
+
+    At most ``limit`` batches are open at a time. A receipt for a label that was never dispatched aborts.
+    Returns the batches and the state (next_id, dispatch_next_id, complete).
+    """
+    if not receipts.join(batches, "label", "left_anti").isEmpty():
+        raise Violation("receipt for a batch that was never dispatched")
+    merged = mark_merged(batches, receipts)
+    cursor = verified_cursor(merged, id_from).first()["next_id"]
+    still = merged.where(batch_status(F.col("status")) != "merged").count()
+    planned = dispatch_plan(merged, cursor, id_to, span, max(0, limit - still))
+    new = planned.withColumns({c: F.lit("pending" if c == "status" else None).cast(merged.schema[c].dataType) for c in merged.columns if c not in planned.columns})
+    after = merged.unionByName(new)
+    dispatched = dispatch_from(after, cursor).first()["dispatch_next_id"]
+    return after, {"next_id": cursor, "dispatch_next_id": dispatched, "complete": cursor > id_to and not still}

@@ -371,3 +371,30 @@ def run_islands(spark, sf_dir):
     o = catalog.table(spark, sf_dir, "orders")
     labels = o.select(F.col("o_custkey").alias("run"), F.concat_ws("-", "o_orderkey", "o_orderkey").alias("label"), F.col("o_orderkey").alias("place"))
     return ranges.run_islands(labels).select("run", "id_from", "first", "island")
+
+
+@query("""WITH k AS (SELECT max(o_orderkey) AS m FROM orders), b AS (SELECT unnest(generate_series(0, m // 2, 100)) AS a, m FROM k), s AS (SELECT max(a) + 100 AS start, max(m) AS m FROM b), p AS (SELECT unnest(generate_series(start, m, 100)) AS a, m FROM s LIMIT 20)
+SELECT a || '-' || least(a + 99, m) AS label, CAST(a AS BIGINT) AS id_from, CAST(least(a + 99, m) AS BIGINT) AS id_to FROM p ORDER BY a LIMIT 20""")
+def dispatch_plan(spark, sf_dir):
+    """Half of the orders' ids are dispatched; the next twenty batches."""
+    last = catalog.table(spark, sf_dir, "orders").agg(F.max("o_orderkey").alias("m")).first()["m"]
+    done = ranges.chunk_plan(spark, 0, last // 2 // 100 * 100 + 99, 100)
+    return ranges.dispatch_plan(done, 0, last, 100, 20)
+
+
+@query("""WITH r AS (SELECT o_orderkey // 50 AS k, count(*) AS n FROM orders WHERE o_orderkey < 1000 AND (o_orderkey // 50) % 7 <> 6 GROUP BY 1),
+b AS (SELECT unnest(generate_series(0, 19)) AS k)
+SELECT (k * 50) || '-' || (k * 50 + 49) AS label, CASE WHEN k < 8 AND n IS NOT NULL THEN 'merged' ELSE 'pending' END AS status, CAST(CASE WHEN k < 8 THEN n END AS BIGINT) AS record_count FROM b LEFT JOIN r USING (k) WHERE k < 15""")
+def controller_transitions(spark, sf_dir):
+    """Receipts of orders' batches in micro-batches of a controller: eight open at a time, one never comes back."""
+    from ..streaming import control
+
+    key = F.floor(F.col("o_orderkey") / 50)
+    counted = catalog.table(spark, sf_dir, "orders").where("o_orderkey < 1000").groupBy(key.alias("k")).agg(F.count("*").alias("record_count")).where("k % 7 <> 6")
+    receipts = counted.select("k", F.concat_ws("-", F.col("k") * 50, F.col("k") * 50 + 49).alias("label"), "record_count", F.lit("w").alias("worker_run_id"))
+    folder = files.shared_folder(spark, "controller")
+    step = control.controller_batches(folder, 0, 999, 50, 8)
+    for number, part in enumerate((receipts.limit(0), receipts.where("k < 4"), receipts.where("k >= 4 and k < 8"))):
+        step(part, number)
+    state = control.load_state(files.filesystem(f"{folder}/state.json")[1])
+    return spark.read.schema(control.BATCH).parquet(state["table"]).select("label", "status", "record_count")

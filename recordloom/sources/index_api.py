@@ -16,6 +16,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.canonical import strict_json
@@ -159,6 +160,12 @@ def read_index(spark: SparkSession, opener: Opener, pattern: str, **options: obj
     return reader.load()
 
 
+def distinct_rows(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """Rows of pages, each once at its first place; with ``limit`` the first so many of them."""
+    first = rows.groupBy(*FIELDS).agg(F.min(F.struct("page", "at")).alias("_place")).select(F.col("_place.page").alias("page"), F.col("_place.at").alias("at"), *FIELDS)
+    return first if limit is None else first.orderBy("page", "at").limit(limit)
+
+
 def parse_catalog(archive: bytes, names: tuple[str, ...] = ("discovered_bodies.json", "discovered_bodies.provenance.json")) -> list[dict]:
     """Objects of the named members of a ZIP, within bounds of size and number; nothing is unpacked to disk."""
     if len(archive) > CATALOG_BYTES:

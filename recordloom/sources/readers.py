@@ -7,9 +7,13 @@ number of tasks. Untrusted JSON becomes VARIANT; a bad line aborts.
 
 from __future__ import annotations
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import files
 from ..functions import text, urls
 from ..operators.checks import Violation
 
@@ -298,3 +302,48 @@ def jurisdiction_rules(spark: SparkSession, document: dict) -> DataFrame:
         raise Violation("jurisdiction rules need lists of tags and a known default")
     rows = [{"tag": t, "jurisdiction": n, "ord": i} for i, (n, tags) in enumerate(names.items()) for t in tags]
     return spark.createDataFrame([(r["tag"], r["jurisdiction"], r["ord"]) for r in rows], "tag string, jurisdiction string, ord int").select(text.body_tag(F.col("tag")).alias("tag"), "jurisdiction", "ord")
+
+
+CHANGES = "bucket string, request_id bigint, url_title string, content_sha256 string, previous_sha256 string"
+
+
+def read_changes(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of a change document with their bucket, in no order; an absent document has none."""
+    if not files.exists(spark, path):
+        return spark.createDataFrame([], CHANGES)
+    doc = _documents(spark, path).select(F.try_parse_json("value").alias("d"))
+    if not doc.where(F.col("d").isNull() | ~_is_object(F.col("d"))).isEmpty():
+        raise Violation("change document must be an object")
+    entry = lambda k, t="string": F.try_variant_get("e", f"$.{k}", t).alias(k)
+    parts = [doc.select(F.lit(b).alias("bucket"), F.explode(F.try_variant_get("d", f"$.{b}", "array<variant>")).alias("e")) for b in ("added", "updated", "removed")]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.select("bucket", entry("request_id", "bigint"), entry("url_title"), entry("content_sha256"), entry("previous_sha256"))
+
+
+def read_package_lines(spark: SparkSession, path: str, label: str) -> DataFrame:
+    """Objects of a package's NDJSON file: arrival, value, row. A missing file, and a line that is no object, abort under ``label``."""
+    if not files.exists(spark, path):
+        raise Violation(f"{label}: {path} is missing")
+    try:
+        return read_jsonl(spark, path)
+    except Violation as error:
+        raise Violation(f"{label}: {error}") from error
+
+
+def read_catalogs(spark: SparkSession, path: str) -> DataFrame:
+    """Catalogue archives below a path: path, bodies (JSON), provenance (JSON), problem (null for a good one)."""
+    from .index_api import parse_catalog
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for at, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                try:
+                    found, origin = parse_catalog(body)
+                    out.append((at, json.dumps(found, sort_keys=True), json.dumps(origin, sort_keys=True), None))
+                except ValueError as error:
+                    out.append((at, None, None, str(error)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in (zip(*out, strict=True) if out else [[]] * 4)], ["path", "bodies", "provenance", "problem"])
+
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").option("recursiveFileLookup", "true").load(path)
+    return archives.select("path", "content").mapInArrow(run, "path string, bodies string, provenance string, problem string")

@@ -388,3 +388,63 @@ def test_scan_refuses_repeated_or_lost_pages(spark, tmp_path):
     (tmp_path / "b/page-00000002.json").unlink()
     with pytest.raises(Violation, match="missing"):
         index_stream.kept_pages(spark, str(tmp_path / "b"), index_stream.scan_config("h/*", 4))
+
+
+# --- controller and small readers --------------------------------------------
+
+
+def test_controller_moves_in_whole_steps(spark, tmp_path):
+    folder, ddl = str(tmp_path), "label string, record_count bigint, worker_run_id string"
+    step = control.controller_batches(folder, 1, 95, 10, 4)
+    state = lambda: json.loads((tmp_path / "state.json").read_text())
+    rows = lambda: sorted((r.id_from, r.label, r.status, r.record_count) for r in spark.read.parquet(state()["table"]).collect())
+    step(spark.createDataFrame([], ddl), 0)
+    assert [r[1] for r in rows()] == ["1-10", "11-20", "21-30", "31-40"] and state()["next_id"] == 1
+    step(spark.createDataFrame([("1-10", 5, "w1"), ("21-30", 6, "w2")], ddl), 1)
+    assert state()["next_id"] == 11 and state()["dispatch_next_id"] == 61 and [r[1:] for r in rows()][:3] == [("1-10", "merged", 5), ("11-20", "pending", None), ("21-30", "merged", 6)]
+    before = state()
+    step(spark.createDataFrame([("11-20", 1, "w")], ddl), 1)  # a batch that was done
+    with pytest.raises(Violation, match="never dispatched"):
+        step(spark.createDataFrame([("61-70", 1, "w")], ddl), 2)
+    assert state() == before
+    for number in range(2, 9):
+        open_now = [(r[1], 1, "w") for r in rows() if r[2] == "pending"]
+        step(spark.createDataFrame(open_now, ddl), number)
+    assert state()["complete"] and state()["next_id"] == 96 and rows()[-1][1] == "91-95"
+
+
+def test_small_readers(spark, tmp_path):
+    import io
+    import zipfile
+
+    from recordloom.operators import checks
+    from recordloom.sources import readers
+
+    (tmp_path / "c.json").write_text(json.dumps({"added": [{"request_id": 1, "url_title": "a"}], "removed": [{"request_id": 2}]}))
+    assert sorted((r.bucket, r.request_id, r.url_title) for r in readers.read_changes(spark, str(tmp_path / "c.json")).collect()) == [("added", 1, "a"), ("removed", 2, None)]
+    assert readers.read_changes(spark, str(tmp_path / "none")).count() == 0
+    (tmp_path / "l.json").write_text("[1]")
+    with pytest.raises(Violation, match="object"):
+        readers.read_changes(spark, str(tmp_path / "l.json"))
+    (tmp_path / "e.ndjson").write_text('{"a":1}\n\n{"a":2}\n')
+    assert readers.read_package_lines(spark, str(tmp_path / "e.ndjson"), "events").count() == 2
+    (tmp_path / "e.ndjson").write_text("{}\n7\n")
+    for path in ("e.ndjson", "gone.ndjson"):
+        with pytest.raises(Violation, match="^events: "):
+            readers.read_package_lines(spark, str(tmp_path / path), "events")
+    made = io.BytesIO()
+    with zipfile.ZipFile(made, "w") as z:
+        z.writestr("discovered_bodies.json", '{"bodies": []}')
+        z.writestr("discovered_bodies.provenance.json", "{}")
+    (tmp_path / "zips").mkdir()
+    (tmp_path / "zips/a.zip").write_bytes(made.getvalue())
+    (tmp_path / "zips/b.zip").write_bytes(b"no archive")
+    found = sorted(map(tuple, readers.read_catalogs(spark, str(tmp_path / "zips")).select("bodies", "provenance", "problem").collect()), key=repr)
+    assert found[0][0] is None and "cannot be read" in found[0][2] or found[1][0] is None
+    assert ('{"bodies": []}', "{}", None) in found
+    pages = spark.createDataFrame([(0, 0, *"abcde"), (0, 1, *"abcdf"), (1, 0, *"abcde"), (2, 0, *"zbcde")], "page int, at int, " + ", ".join(f"{f} string" for f in index_api.FIELDS))
+    assert [(r.page, r["at"], r.length) for r in index_api.distinct_rows(pages, 2).collect()] == [(0, 0, "e"), (0, 1, "f")] and index_api.distinct_rows(pages).count() == 3
+    requests = spark.createDataFrame([(1, "a" * 64), (0, "x"), (None, None)], "request_id bigint, content_sha256 string")
+    meta = spark.createDataFrame([("s", "nz", 3)], "source string, instance_id string, record_count bigint")
+    assert checks.manifest_problems(meta, requests, ["s"], "nz") == ["request without a positive id", "content hash is not 64 characters"]
+    assert checks.manifest_problems(meta, requests.limit(1), ["t"], "au", "NSW") == ["unknown source", "jurisdiction mismatch", "instance mismatch", "record count differs from requests"]
