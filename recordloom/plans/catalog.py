@@ -742,7 +742,7 @@ def html_core_fields(spark, sf_dir):
 
 @query()
 def html_visible_text(spark, sf_dir):
-    return _pages(spark, sf_dir).select("page_id", text.html_fields("html")["visible_text"].alias("visible_text"))
+    return _pages(spark, sf_dir).select("page_id", text.visible_text("html").alias("visible_text"))
 
 
 # --- published projection ----------------------------------------------------

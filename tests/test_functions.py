@@ -72,3 +72,47 @@ def test_canonical():
     assert canonical.decode_state(json.dumps(canonical.encode_state(state))) == state == canonical.decode_state(json.dumps(state))
     with pytest.raises(ValueError):
         canonical.decode_state("[]")
+
+
+# Each page with its title, authority, slug, state and visible text.
+PAGES = [
+    (None, ("", "", "", "", "")),
+    ("", ("", "", "", "", "")),
+    ("   \n ", ("", "", "", "", "")),
+    ("plain words", ("", "", "", "", "plain words")),
+    ("<h1></h1><title>t</title>", ("t", "", "", "", "t")),
+    ("<h1> </h1><h1>Second</h1><title>t</title>", ("Second", "", "", "", "Second t")),
+    ("<h1>Open <b>bold<i>er</h1> after", ("Open bold er", "", "", "", "Open bold er after")),
+    ("<h1>Never closed <p>para", ("Never closed para", "", "", "", "Never closed para")),
+    ("<meta property='og:title' content=' Shared  title '><title>t</title>", ("Shared title", "", "", "", "t")),
+    ("<title>a &amp; b &lt;c&gt;</title>", ("a & b <c>", "", "", "", "a & b <c>")),
+    ("<a href='/body/list'>All</a><a href='/body/all'>x</a><a href='/body/one'>One</a>", ("", "One", "one", "", "All x One")),
+    ("<a href='/body/one'>One</a><a class='public-body' href='/body/two'>Two</a>", ("", "Two", "two", "", "One Two")),
+    ("<a href='/body/a%20b?x#y'>A</a>", ("", "A", "a b", "", "A")),
+    ("<a href='/body/one'></a><span class='request-authority'>Named</span>", ("", "Named", "", "", "Named")),
+    ("<div class='status'>closed</div><div class='request-status'>waiting</div>", ("", "", "", "waiting", "closed waiting")),
+    ("<p>Status: Partially successful, since May</p>", ("", "", "", "Partially successful", "Status: Partially successful, since May")),
+    ("<script>if (a < b) status: open</script><style>p{}</style>seen", ("", "", "", "", "seen")),
+    ("<noscript>state: gone</noscript><template>x</template>a", ("", "", "", "", "a")),
+    ("<ul><li>one<li>two<li>three</ul>", ("", "", "", "", "one two three")),
+    ("a<br>b<hr/>c<img src=x>d", ("", "", "", "", "a b c d")),
+    ("</h1></div>stray ends", ("", "", "", "", "stray ends")),
+    ("<h1 class='status'>Both</h1>", ("Both", "", "", "Both", "Both")),
+    ("<!-- <h1>no</h1> --><h1>yes</h1><![CDATA[x]]>", ("yes", "", "", "", "yes")),
+    ("<H1>Upper</H1><P CLASS='Status'>x", ("Upper", "", "", "", "Upper x")),
+    ("<h1>" + "<b>" * 3000 + "deep", ("deep", "", "", "", "deep")),
+]
+
+
+@pytest.mark.parametrize("case", range(len(PAGES)))
+def test_page_fields_of_odd_markup(case):
+    markup, want = PAGES[case]
+    title, name, slug, _, state, _, _, visible = text.page_fields(markup)
+    assert (title, name, slug, state, visible) == want
+    assert text.shown_text(markup) == visible
+
+
+def test_page_columns_agree(spark):
+    df = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(PAGES)], "i int, html string")
+    rows = df.select("i", text.html_fields("html").alias("f"), text.visible_text("html").alias("v")).collect()
+    assert all(r.f.visible_text == r.v == PAGES[r.i][1][4] for r in rows)
