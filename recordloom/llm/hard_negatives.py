@@ -1,8 +1,9 @@
 """Hard negatives by vantage-point trees over norm-augmented vectors.
 
 Every vector v gets one more component, sqrt(M^2 - |v|^2) with M the largest norm, an
-anchor gets 0. Then distance^2 = |anchor|^2 + M^2 - 2 * score: a higher score is a nearer
-row, and a window of scores is an annulus around the anchor.
+anchor gets 0 and is lengthened to M, by c = M / |anchor|. All then lie on one sphere, and
+distance^2 = 2 * M^2 - 2 * c * score: a higher score is a nearer row, and a window of scores is
+an annulus around the anchor.
 
 1. A vantage-point tree over a bounded sample (``SAMPLE`` rows, taken by hash) cuts space
    into cells; every row goes down it to its cell. Cells of over ``SHARD`` rows are dealt
@@ -90,9 +91,26 @@ def augmented(vectors: np.ndarray, most: float) -> np.ndarray:
     return np.concatenate([vectors, np.sqrt(np.maximum(most - norm, 0))[:, None]], axis=1)
 
 
-def radius(anchor2: float, most: float, score: int) -> float:
-    """Distance of a row with this score from the anchor."""
-    return float(np.sqrt(max(anchor2 + most - 2.0 * score, 0.0)))
+class Place:
+    """An anchor among the augmented rows: lengthened to their common norm M, so that it lies on their sphere."""
+
+    def __init__(self, anchor: np.ndarray, most: float):
+        norm = float(np.sqrt((anchor * anchor).sum()))
+        self.scale, self.most = most**0.5 / norm if norm and most else 1.0, most
+        self.point = np.append(anchor * self.scale, 0.0)
+        self.norm2 = (norm * self.scale) ** 2
+        self.slack = 1e-7 * (1 + 2 * most**0.5)
+
+    def gaps(self, places: np.ndarray) -> np.ndarray:
+        return np.sqrt(((places - self.point) ** 2).sum(axis=1))
+
+    def radius(self, score: int) -> float:
+        """Distance of a row with this score."""
+        return float(np.sqrt(max(self.norm2 + self.most - 2.0 * self.scale * score, 0.0)))
+
+    def ring(self, low: int, high: int) -> list[float]:
+        """Radii between which rows of these scores lie, with slack."""
+        return [self.radius(high) - self.slack, self.radius(low) + self.slack]
 
 
 def exact_scores(rows: np.ndarray, largest: int, anchor: np.ndarray) -> np.ndarray:
@@ -119,12 +137,10 @@ class Shard:
 
     def nearest(self, own: int, label: int, anchor: np.ndarray, same: bool, windows: list[tuple[int, int]], k: int) -> list[list[tuple[int, int]]]:
         """For each window the k best (score, id) of rows with the same, or another, label; ties by least id."""
-        query = anchor.astype(np.float64)
-        anchor2 = float(query @ query)
-        slack = 1e-7 * (1 + self.most**0.5 + anchor2**0.5)
-        gaps = np.sqrt(((self.places - np.append(query, 0.0)) ** 2).sum(axis=1)) if len(self.places) else []
+        place = Place(anchor.astype(np.float64), self.most)
+        gaps = place.gaps(self.places)
         low, found = [w[0] for w in windows], [[] for _ in windows]
-        rings = [[radius(anchor2, self.most, hi) - slack, radius(anchor2, self.most, lo) + slack] for lo, hi in windows]
+        rings = [place.ring(lo, hi) for lo, hi in windows]
         heap = [(0.0, np.inf, 0)]
         while heap:
             near, far, node = heapq.heappop(heap)
@@ -148,7 +164,7 @@ class Shard:
                     found[i] = best
                     if len(best) == k:
                         low[i] = max(low[i], -best[-1][0])
-                        rings[i][1] = radius(anchor2, self.most, low[i]) + slack
+                        rings[i] = [rings[i][0], place.ring(low[i], low[i])[1]]
         return [[(-s, x) for s, x in f] for f in found]
 
 
@@ -212,10 +228,9 @@ class Cells:
                 lows, highs = batch.column(4).to_pylist(), batch.column(5).to_pylist()
                 seen, out = batch.column(6).to_pylist(), []
                 for i, q in enumerate(query):
-                    anchor2 = float(q @ q)
-                    slack = 1e-7 * (1 + self.most**0.5 + anchor2**0.5)
-                    gaps = np.sqrt(((places - np.append(q, 0.0)) ** 2).sum(axis=1))
-                    inner, outer = radius(anchor2, self.most, highs[i]) - slack, radius(anchor2, self.most, lows[i]) + slack
+                    place = Place(q, self.most)
+                    gaps = place.gaps(places)
+                    inner, outer = place.ring(lows[i], highs[i])
                     met = []
                     for c, path in enumerate(self.paths):
                         if not self.salts[c]:

@@ -172,8 +172,8 @@ def test_op12_large_components(spark):
 
 def test_shard_search_prunes_and_is_exact():
     r = np.random.default_rng(0)
-    n = 3000
-    vectors = np.floor(256 * (r.normal(size=(20, 16))[r.integers(0, 20, n)] + 0.05 * r.normal(size=(n, 16)))).astype(np.int64)
+    n, x = 12_000, r.normal(size=(12_000, 3))
+    vectors = np.floor(256 * x / np.sqrt((x * x).sum(axis=1))[:, None]).astype(np.int64)
     labels, ids = r.integers(0, 3, n), np.arange(n)
     shard = hard_negatives.Shard(ids, labels, vectors, float((vectors.astype(float) ** 2).sum(axis=1).max()))
     looked, real = [], hard_negatives.exact_scores
@@ -188,7 +188,7 @@ def test_shard_search_prunes_and_is_exact():
                 assert found == sorted(zip(score[hit].tolist(), ids[hit].tolist(), strict=True), key=lambda x: (-x[0], x[1]))[:10]
     finally:
         hard_negatives.exact_scores = real
-    assert sum(looked) < 0.6 * n * len(range(0, n, 300))
+    assert sum(looked) < 0.3 * n * len(range(0, n, 300))
 
 
 def phrases_by_hand(rows, least, top):
