@@ -15,6 +15,7 @@ import json
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import files
 from .checks import Violation
@@ -22,7 +23,6 @@ from .checks import Violation
 SEGMENT = 65_536
 #: Problems of an entry, gravest first: what makes the later ones meaningless comes before them.
 GRAVEST = ["is no entry", "has another place", "does not have its own digest", "begins with a link", "has no entry before", "does not follow the entry before"]
-_SEGMENT = "{keys}segment bigint, first bigint, last bigint, head string, tail string, problem string, problem_at bigint"
 
 
 def entry_fields(text: str) -> dict | None:
@@ -40,41 +40,47 @@ def own_digest(entry: dict) -> str:
     return hashlib.sha256(json.dumps(rest, sort_keys=True, separators=(",", ":"), ensure_ascii=False).encode("utf-8")).hexdigest()
 
 
-def _segment_of(keys: list[str], names: list[str]):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("place", kind="stable")
-        before, problem, at = None, None, None
-        first = last = None
-        head = tail = None
-        for place, text in zip(pdf["place"].tolist(), pdf["entry"].tolist(), strict=True):
-            entry = entry_fields(text)
-            found = (
-                "is no entry" if entry is None
-                else "has another place" if entry.get("sequence") != place or isinstance(entry.get("sequence"), bool)
-                else "does not have its own digest" if own_digest(entry) != entry.get("entry_sha256")
-                else "does not follow the entry before" if last is not None and entry.get("previous_entry_sha256") != before
-                else None
-            )
-            if last is None:
-                first, head = place, entry.get("previous_entry_sha256") if entry else None
-            if found and problem is None:
-                problem, at = found, place
-            last, before = place, entry.get("entry_sha256") if entry else None
-            tail = before
-        row = [pdf[k].iloc[0] for k in keys] + [pdf["segment"].iloc[0], first, last, head, tail, problem, at]
-        out = pd.DataFrame([row], columns=[*keys, *names])
-        return out.astype({"problem_at": "Int64"})
-
-    return run
+def _named(value: object) -> str | None:
+    """A stated digest; what is no text is told from any digest by its first words."""
+    return value if value is None or isinstance(value, str) else f"no text: {json.dumps(value)}"
+
+
+_CHECKED = T.StructType([T.StructField(f, T.StringType()) for f in ("problem", "link", "own")])
+
+
+@F.pandas_udf(_CHECKED)
+def _checked(place: pd.Series, text: pd.Series) -> pd.DataFrame:
+    """What is wrong with an entry by itself, the digest that it follows, and its own as stated."""
+    out = []
+    for at, line in zip(place.tolist(), text.tolist(), strict=True):
+        entry = entry_fields(line)
+        found = (
+            "is no entry" if entry is None
+            else "has another place" if entry.get("sequence") != at or isinstance(entry.get("sequence"), bool)
+            else "does not have its own digest" if own_digest(entry) != entry.get("entry_sha256")
+            else None
+        )
+        entry = entry or {}
+        out.append((found, _named(entry.get("previous_entry_sha256")), _named(entry.get("entry_sha256"))))
+    return pd.DataFrame(out, columns=["problem", "link", "own"], dtype="object")
 
 
 def journal_segments(lines: DataFrame, keys: list[str] | None = None, size: int = SEGMENT) -> DataFrame:
-    """Segments of journals (keys, place from 0, entry text): their ends and their first problem."""
+    """Segments of journals (keys, place from 0, entry text): their ends and their first problem.
+
+    Entries are checked where they lie. Segments are a window over what is left of them, so
+    that many short journals cost no more than a few long ones.
+    """
     keys = keys or []
-    ddl = _SEGMENT.format(keys="".join(f"{k} {lines.schema[k].dataType.simpleString()}, " for k in keys))
-    names = [c.split()[0] for c in _SEGMENT.format(keys="").split(", ")]
-    cut = lines.select(*keys, "place", "entry", F.floor(F.col("place") / size).cast("bigint").alias("segment"))
-    return cut.groupBy(*keys, "segment").applyInPandas(_segment_of(keys, names), ddl)
+    one = [*keys, "segment"]
+    rows = lines.select(*keys, "place", F.floor(F.col("place") / size).cast("bigint").alias("segment"), _checked("place", "entry").alias("e"))
+    rows = rows.select(*one, "place", "e.*")
+    before = Window.partitionBy(*one).orderBy("place")
+    unlinked = F.when(F.lag("place").over(before).isNotNull() & ~F.col("link").eqNullSafe(F.lag("own").over(before)), "does not follow the entry before")
+    found = rows.select(*one, "place", "link", "own", F.coalesce("problem", unlinked).alias("problem"))
+    worst = F.min(F.when(F.col("problem").isNotNull(), F.struct("place", "problem")))
+    ends = found.groupBy(*one).agg(F.min(F.struct("place", "link")).alias("a"), F.max(F.struct("place", "own")).alias("z"), worst.alias("w"))
+    return ends.select(*one, F.col("a.place").alias("first"), F.col("z.place").alias("last"), F.col("a.link").alias("head"), F.col("z.own").alias("tail"), F.col("w.problem").alias("problem"), F.col("w.place").alias("problem_at"))
 
 
 def chain_findings(segments: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from .. import files
@@ -54,15 +54,26 @@ def package_role_digests(spark, sf_dir):
     return spark.createDataFrame(rows, "role string, path string, row_count bigint, bytes bigint, sha256 string")
 
 
-def _chained(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Journal lines of one user's events, in order; every 41st event is changed after it was signed."""
-    before, out = None, []
-    for i, event in enumerate(sorted(pdf["event_id"].tolist())):
-        rest = f'{{"event_id":{event},"previous_entry_sha256":{"null" if before is None else chr(34) + before + chr(34)},"sequence":{i}}}'
-        before = hashlib.sha256(rest.encode()).hexdigest()
-        shown = rest.replace(f'"event_id":{event},', f'"event_id":{event + 1},') if event % 41 == 0 else rest
-        out.append((pdf["user_id"].iloc[0], i, f'{shown[:-1]},"entry_sha256":"{before}"}}'))
-    return pd.DataFrame(out, columns=["user_id", "place", "entry"])
+def _chained(batches):
+    """Journal lines of users' events, which come by user and in order; every 41st event is changed after it was signed."""
+    user, before, i = None, None, 0
+    for batch in batches:
+        out = ([], [], [])
+        for owner, event in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if owner != user:
+                user, before, i = owner, None, 0
+            rest = f'{{"event_id":{event},"previous_entry_sha256":{"null" if before is None else chr(34) + before + chr(34)},"sequence":{i}}}'
+            before = hashlib.sha256(rest.encode()).hexdigest()
+            shown = rest.replace(f'"event_id":{event},', f'"event_id":{event + 1},') if event % 41 == 0 else rest
+            for column, value in zip(out, (owner, i, f'{shown[:-1]},"entry_sha256":"{before}"}}'), strict=True):
+                column.append(value)
+            i += 1
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string())], ["user_id", "place", "entry"])
+
+
+def _journals(spark, sf_dir):
+    events = catalog.table(spark, sf_dir, "events").select("user_id", "event_id")
+    return events.repartition("user_id").sortWithinPartitions("user_id", "event_id").mapInArrow(_chained, "user_id bigint, place bigint, entry string")
 
 
 @query("""WITH e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS place FROM events)
@@ -71,14 +82,14 @@ SELECT user_id, CAST(place // 16 AS BIGINT) AS segment, CAST(min(place) AS BIGIN
 FROM e GROUP BY user_id, place // 16""")
 def journal_segments(spark, sf_dir):
     """Hash-chained journals of the users' events, checked segment by segment."""
-    lines = catalog.table(spark, sf_dir, "events").select("user_id", "event_id").groupBy("user_id").applyInPandas(_chained, "user_id bigint, place bigint, entry string")
+    lines = _journals(spark, sf_dir)
     return reverify.journal_segments(lines, ["user_id"], size=16).select("user_id", "segment", "first", "last", "problem", "problem_at")
 
 
 @query("""WITH e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS place FROM events)
 SELECT user_id, CAST(min(place) AS BIGINT) AS place, 'does not have its own digest' AS problem FROM e WHERE event_id % 41 = 0 GROUP BY user_id, place // 16""")
 def journal_findings(spark, sf_dir):
-    lines = catalog.table(spark, sf_dir, "events").select("user_id", "event_id").groupBy("user_id").applyInPandas(_chained, "user_id bigint, place bigint, entry string")
+    lines = _journals(spark, sf_dir)
     return reverify.chain_findings(reverify.journal_segments(lines, ["user_id"], size=16), ["user_id"])
 
 
