@@ -86,15 +86,27 @@ def journal_segments(lines: DataFrame, keys: list[str] | None = None, size: int
 def chain_findings(segments: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Problems of segments and of their joins, one row for each: keys, place, problem.
 
-    Each segment is matched with the one that begins where it ends: rows are a few a journal
-    and joined by their ends, so no journal is one task's.
+    Each segment tells its first place, the place after its last and its problem's; what is
+    told of one place meets there. Segments are read once, and no journal is one task's.
     """
     keys = keys or []
-    inner = segments.where("problem is not null").select(*keys, F.col("problem_at").alias("place"), "problem")
-    ends = segments.select(*keys, (F.col("last") + 1).alias("first"), F.col("tail").alias("before"), F.lit(True).alias("led"))
-    joined = segments.select(*keys, "first", "head").join(ends, [*keys, "first"], "left")
-    broken = F.when((F.col("first") == 0) & F.col("head").isNotNull(), "begins with a link").when((F.col("first") > 0) & F.col("led").isNull(), "has no entry before").when((F.col("first") > 0) & ~F.col("head").eqNullSafe(F.col("before")), "does not follow the entry before")
-    return inner.unionByName(joined.select(*keys, F.col("first").alias("place"), broken.alias("problem")).where("problem is not null")).distinct()
+    told = lambda place, what, text: F.struct(place.cast("bigint").alias("place"), F.lit(what).alias("what"), text.cast("string").alias("text"))
+    parts = F.array(told(F.col("first"), "begins", F.col("head")), told(F.col("last") + 1, "led", F.col("tail")), told(F.col("problem_at"), "within", F.col("problem")))
+    rows = segments.select(*keys, F.explode(parts).alias("t")).select(*keys, "t.*").where("place is not null")
+    of = lambda what: F.when(F.col("what") == what, F.col("text"))
+    met = rows.groupBy(*keys, "place").agg(
+        F.count_if(F.col("what") == "begins").alias("begins"), F.max(of("begins")).alias("head"),
+        F.count_if(F.col("what") == "led").alias("led"), F.max(of("led")).alias("before"),
+        F.max(of("within")).alias("within"),
+    )
+    first = F.col("begins") > 0
+    broken = (
+        F.when(first & (F.col("place") == 0) & F.col("head").isNotNull(), "begins with a link")
+        .when(first & (F.col("place") > 0) & (F.col("led") == 0), "has no entry before")
+        .when(first & (F.col("place") > 0) & ~F.col("head").eqNullSafe(F.col("before")), "does not follow the entry before")
+    )
+    both = F.explode(F.array_distinct(F.array(F.col("within"), broken))).alias("problem")
+    return met.select(*keys, "place", both).where("problem is not null")
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:

@@ -22,9 +22,20 @@ def journal(owner, n, broken=()):
 
 
 def test_journals_are_checked_without_a_call_for_each_group(spark, sf_dir):
-    plan = plan_of(stateful.journal_segments(spark, sf_dir))
-    assert "InPandas" not in plan, plan
-    assert plan.count("ArrowEvalPython") == 1, plan
+    for name in ("journal_segments", "journal_findings"):
+        plan = plan_of(getattr(stateful, name)(spark, sf_dir))
+        assert "InPandas" not in plan, plan
+        assert plan.count("ArrowEvalPython") == 1, plan
+
+
+def test_journal_of_no_owner_is_one_journal(spark):
+    # joins by ends once lost null keys: "has no entry before" at 4 and 8
+    rows = journal(None, 10) + journal("a", 9, broken={5}) + [r for r in journal("b", 9) if r[1] not in (3, 4)]
+    lines = spark.createDataFrame(rows, "owner string, place bigint, entry string").repartition(3)
+    found = reverify.chain_findings(reverify.journal_segments(lines, ["owner"], size=4), ["owner"])
+    assert sorted((r.owner, r.place, r.problem) for r in found.collect()) == [
+        ("a", 5, "does not have its own digest"), ("b", 5, "has no entry before"),
+    ]
 
 
 def test_entries_that_state_no_digest(spark):
