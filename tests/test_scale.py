@@ -2,6 +2,9 @@
 
 import json
 
+from pyspark.sql import functions as F
+
+from recordloom.functions import replay_json
 from recordloom.operators import reverify
 from recordloom.plans import stateful
 
@@ -42,3 +45,15 @@ def test_entries_that_state_no_digest(spark):
     rows = [(0, "{}"), (1, "[1]"), (2, json.dumps({"sequence": 2, "previous_entry_sha256": 7, "entry_sha256": 8})), (3, None)]
     one = reverify.journal_segments(spark.createDataFrame(rows, "place bigint, entry string"), size=10).collect()
     assert [(r.segment, r.first, r.last, r.head, r.tail, r.problem, r.problem_at) for r in one] == [(0, 0, 3, None, None, "has another place", 0)]
+
+
+def test_documents_are_parsed_once(spark):
+    texts = ['{"title":"a","public_body":{"name":"b","tags":["x",["y",1],3,[],null]},"created_at":0}', '{"authority":7,"id":{"k":1}}', "[1]", "no", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    made = df.select("i", replay_json.replay_fields(F.col("t")).alias("r"), replay_json.record_count(F.col("t")).alias("n"))
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 2, plan
+    rows = [r.r for r in made.orderBy("i").collect()]
+    assert (rows[0].title, rows[0].authority, rows[0].authority_tags, rows[0].first_seen) == ("a", "b", ["x", "y", "[]"], None)
+    assert (rows[1].authority, rows[1].authority_slug, rows[1].authority_tags, rows[1].request_id) == ("7", "", [], '{"k":1}')
+    assert rows[2:] == [None, None, None]
