@@ -326,8 +326,7 @@ def stored_objects(spark, sf_dir):
     root = files.shared_folder(spark, "objects")
     files.make_folder(spark, root)
     documents.store_objects(rows, root)
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return found.select(F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+    return documents.read_objects(spark, root).select("sha256", "bytes")
 
 
 @query("""SELECT page_id, 'https://web.archive.org/web/' || (20200101000000 + page_id) || 'id_/https://h.org/r/' || page_id || '?q=a%20b' AS replay_url FROM pages""")

@@ -57,3 +57,11 @@ def test_documents_are_parsed_once(spark):
     assert (rows[0].title, rows[0].authority, rows[0].authority_tags, rows[0].first_seen) == ("a", "b", ["x", "y", "[]"], None)
     assert (rows[1].authority, rows[1].authority_slug, rows[1].authority_tags, rows[1].request_id) == ("7", "", [], '{"k":1}')
     assert rows[2:] == [None, None, None]
+
+
+def test_objects_are_listed_by_tasks(spark, sf_dir):
+    found = stateful.stored_objects(spark, sf_dir)
+    plan = plan_of(found)
+    assert "binaryFile" not in plan and "FileScan" not in plan, plan
+    rows = found.collect()
+    assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").select("text").distinct().count()
