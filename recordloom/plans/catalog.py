@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import session
 from ..functions import text, urls
 from ..operators import chains, checks, completeness, discovery, events, manifest, mirrors, prefix, projection, ranges, registry, replay
 
@@ -736,12 +737,14 @@ def html_identity(spark, sf_dir):
 
 @query()
 def html_core_fields(spark, sf_dir):
+    session.bounded_batches(spark)  # a batch of 10,000 pages is any number of bytes
     fields = _pages(spark, sf_dir).select("page_id", text.html_fields("html").alias("f")).select("page_id", "f.*")
     return fields.select("page_id", "title", "authority", "authority_slug", text.law_used(F.col("subtitle")).alias("law_used"), text.normalize_state(F.col("state_text")).alias("state"), "state_text", "first_seen", "last_updated")
 
 
 @query()
 def html_visible_text(spark, sf_dir):
+    session.bounded_batches(spark)  # a batch of 10,000 pages is any number of bytes
     return _pages(spark, sf_dir).select("page_id", text.visible_text("html").alias("visible_text"))
 
 

@@ -2,11 +2,13 @@
 
 import json
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from recordloom import session
 from recordloom.functions import replay_json
 from recordloom.operators import reverify
-from recordloom.plans import stateful
+from recordloom.plans import catalog, stateful
 
 
 def plan_of(df) -> str:
@@ -65,3 +67,18 @@ def test_objects_are_listed_by_tasks(spark, sf_dir):
     assert "binaryFile" not in plan and "FileScan" not in plan, plan
     rows = found.collect()
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null").select("text").distinct().count()
+
+
+def test_pages_reach_python_in_batches_of_bounded_bytes(spark, sf_dir):
+    @F.pandas_udf("int")
+    def rows_of_batch(x: pd.Series) -> pd.Series:
+        return pd.Series([len(x)] * len(x))
+
+    spark.conf.unset(session.BYTES_SETTING)
+    for query in (catalog.html_visible_text, catalog.html_core_fields):
+        query(spark, sf_dir)
+        assert int(spark.conf.get(session.BYTES_SETTING)) == session.BATCH_BYTES
+        spark.conf.unset(session.BYTES_SETTING)
+    session.bounded_batches(spark)
+    text = F.concat(F.repeat(F.lit("x"), 100_000), F.col("id").cast("string"))
+    assert spark.range(0, 400, 1, 1).select(rows_of_batch(text).alias("n")).agg(F.max("n")).first()[0] < 100
