@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import blocks, distinct_pairs, mix, shingles, words
@@ -292,7 +292,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     names = made.where("node is not null").groupBy("node").agg(F.min("check").alias("first"), F.max("check").alias("other"))
     twins = materialise(names.where("first <> other").select("node", "first"), "twins")
     apart = (lambda x: x) if twins.isEmpty() else (lambda x: _told_apart(x, twins))
-    postings = apart(made.where("keys is not null").select("node", "check", "keys")).select("node", F.explode("keys").alias("bucket")).distinct()
+    dealt = apart(made.where("keys is not null").select("node", "check", "keys")).select("node", F.explode("keys").alias("bucket")).repartition("bucket")
+    # buckets of one node, by far the most, end where they were dealt: one exchange of two numbers a row
+    alone = Window.partitionBy("bucket")
+    met = dealt.select("bucket", "node", F.min("node").over(alone).alias("x"), F.max("node").over(alone).alias("y")).where("x <> y")
+    postings = materialise(met.select("bucket", "node").distinct(), "met-buckets")
     shared = postings.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")).where("size > 1")
     # buckets with the same members are one
     kept = materialise(shared.groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket"), "kept-buckets")
@@ -302,7 +306,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = rows.join(small_side(chosen), "node", "left_semi").groupBy("node").agg(F.max(F.struct("doc_id", *CONTENT)).alias("at"), F.max("n").alias("n"), F.max("parity").alias("parity"))
     nodes = materialise(nodes.select("node", F.col("at.doc_id").alias("at_id"), *[F.col(f"at.{c}").alias(f"at_{c}") for c in CONTENT], "n", "parity"), "nodes")
     rows = materialise(apart(made.select("node", "check", "doc_id", "n")).select("doc_id", "n", "node"), "rows")
-    drop(made, kept, chosen)
+    drop(made, kept, chosen, postings)
     wanted = small_side(nodes.select("node", "at_id", *[f"at_{c}" for c in CONTENT]))
     same = [source[c] == F.col(f"at_{c}") for c in CONTENT]
     texts = source.join(wanted, same[0] & same[1] & source["doc_id"].eqNullSafe(F.col("at_id"))).select("node", "text").dropDuplicates(["node"])
